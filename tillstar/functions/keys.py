@@ -40,4 +40,6 @@ def date_key(day: Column | str) -> Column:
 
 
 def date_from_key(key: Column | str) -> Column:
-    return F.to_date(_column(key).cast("string"), "yyyyMMdd")
+    key = _column(key).cast("int")
+    month = F.floor(key / 100).cast("int") % 100
+    return F.make_date(F.floor(key / 10000).cast("int"), month, key % 100)

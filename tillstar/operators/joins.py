@@ -11,6 +11,21 @@ from pyspark.sql import functions as F
 NULL_SPREAD = 256
 
 
+def null_spread(missing: Column, *spread_by: str) -> Column:
+    """Zero for rows with a key, a hash below `NULL_SPREAD` for rows without."""
+    scattered = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int")
+    return F.when(missing, scattered).otherwise(0)
+
+
+def zero_of(column: str) -> Column:
+    """Zero in a form that stays a join column.
+
+    A literal would be folded into a filter on the other side, and the join
+    would then be shuffled on the key alone.
+    """
+    return F.pmod(F.hash(column), F.lit(1))
+
+
 def left_lookup(
     df: DataFrame,
     other: DataFrame,
@@ -42,9 +57,8 @@ def left_lookup(
         missing = reduce(
             lambda a, b: a | b, [F.col(n).isNull() for n in on if n not in null_safe]
         )
-        salt = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int")
-        df = df.withColumn("__spread", F.when(missing, salt).otherwise(0))
-        right = right.withColumn("__zero", F.lit(0))
+        df = df.withColumn("__spread", null_spread(missing, *spread_by))
+        right = right.withColumn("__zero", zero_of(f"__{on[0]}"))
         condition = condition & (F.col("__spread") == F.col("__zero"))
     if when is not None:
         condition = condition & when

@@ -74,8 +74,15 @@ def _longest_first(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in sorted(values, key=len, reverse=True)])
 
 
-def _first_where(array: Column, test) -> Column:
-    return F.try_element_at(F.filter(array, test), F.lit(1))
+def _first_in(array: Column, text: Column, test) -> Column:
+    """First element for which `test(text, element)` holds.
+
+    The text goes in as an array beside the elements, so its expression is
+    evaluated once per row and not once per element.
+    """
+    beside = F.array_repeat(text, F.size(array))
+    hits = F.zip_with(array, beside, lambda item, t: F.when(test(t, item), item))
+    return F.try_element_at(F.array_compact(hits), F.lit(1))
 
 
 def category_list(best_sellers: DataFrame) -> DataFrame:
@@ -107,8 +114,8 @@ def parse_listings(listings: DataFrame, best_sellers: DataFrame, strip_once: boo
     staged = staged.withColumn("__blank", term == "").withColumn("__term", drop_leading(term))
     staged = staged.withColumn(
         "__found",
-        _first_where(
-            F.col("__categories"), lambda c: F.contains(F.col("__term"), F.lower(c))
+        _first_in(
+            F.col("__categories"), F.col("__term"), lambda t, c: F.contains(t, F.lower(c))
         ),
     )
     at = F.instr(F.col("__term"), F.lower(F.col("__found")))
@@ -116,8 +123,8 @@ def parse_listings(listings: DataFrame, best_sellers: DataFrame, strip_once: boo
     staged = staged.withColumn("__before", before if strip_once else drop_leading(before))
 
     brands = _longest_first(KNOWN_BRANDS)
-    inside = _first_where(brands, lambda b: F.contains(F.col("__before"), b))
-    leading = _first_where(brands, lambda b: F.startswith(F.col("__term"), b))
+    inside = _first_in(brands, F.col("__before"), F.contains)
+    leading = _first_in(brands, F.col("__term"), F.startswith)
     staged = staged.withColumn("__inside", inside).withColumn("__leading", leading)
 
     pieces = words(F.col("__term"))

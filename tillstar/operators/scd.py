@@ -5,13 +5,16 @@ Intervals are half open: `valid_from` <= day < `valid_to`, `valid_to` null while
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.operators.joins import NULL_SPREAD
+from tillstar.operators.joins import null_spread, zero_of
+
+END_OF_TIME = dt.date(9999, 12, 31)
 
 
 def scd2_from_versions(df: DataFrame, keys: Sequence[str], valid_from: str) -> DataFrame:
@@ -32,10 +35,6 @@ def current(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_current"))
 
 
-def valid_at(day: Column, valid_from: Column, valid_to: Column) -> Column:
-    return (day >= valid_from.cast("date")) & (valid_to.isNull() | (day < valid_to.cast("date")))
-
-
 def as_of_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -48,11 +47,16 @@ def as_of_join(
 
     `dim` holds `key`, `valid_from`, `valid_to` and the columns wanted; these
     three are dropped from the result. The key is an equality, so Spark hashes
-    or merges on it and tests the interval on the few versions of the key.
-    `spread_by` scatters facts without a key, as in `left_lookup`.
+    or merges on it and tests the interval on the few versions of the key. The
+    bounds become plain days once per version, since the test runs once per
+    fact and version. `spread_by` scatters facts without a key, as in `left_lookup`.
     """
-    right = dim.withColumnsRenamed(
-        {key: "__key", "valid_from": "__from", "valid_to": "__to"}
+    wanted = [c for c in dim.columns if c not in (key, "valid_from", "valid_to")]
+    right = dim.select(
+        F.col(key).alias("__key"),
+        F.col("valid_from").cast("date").alias("__from"),
+        F.coalesce(F.col("valid_to").cast("date"), F.lit(END_OF_TIME)).alias("__to"),
+        *wanted,
     )
     if how == "inner":
         left = fact.where(F.col(key).isNotNull())
@@ -61,11 +65,10 @@ def as_of_join(
         left = fact
         condition = F.col(key) == F.col("__key")
         if spread_by is not None:
-            salt = F.pmod(F.xxhash64(spread_by), F.lit(NULL_SPREAD)).cast("int")
-            left = left.withColumn("__spread", F.when(F.col(key).isNull(), salt).otherwise(0))
-            right = right.withColumn("__zero", F.lit(0))
+            left = left.withColumn("__spread", null_spread(F.col(key).isNull(), spread_by))
+            right = right.withColumn("__zero", zero_of("__key"))
             condition = condition & (F.col("__spread") == F.col("__zero"))
-    inside = valid_at(F.col(at), F.col("__from"), F.col("__to"))
+    inside = (F.col(at) >= F.col("__from")) & (F.col(at) < F.col("__to"))
     return left.join(right, condition & inside, how).drop(
         "__key", "__from", "__to", "__spread", "__zero"
     )

@@ -199,23 +199,27 @@ def purchase_activity(fct_transactions: DataFrame, dim_users: DataFrame) -> Data
 
 
 def activity_events(fct_transactions: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """Profile changes and purchases of all customers.
+
+    Apply `lifetime_as_of` to `dim_users` first to see lifetime totals as they
+    stood at each version instead of the all-time totals.
+    """
     return profile_changes(dim_users).unionByName(purchase_activity(fct_transactions, dim_users))
 
 
 def customer_activity(
-    fct_transactions: DataFrame,
-    dim_users: DataFrame,
+    events: DataFrame,
     dim_date: DataFrame,
     dim_products: DataFrame,
     dim_brand: DataFrame,
     dim_sub_category: DataFrame,
     dim_main_category: DataFrame,
 ) -> DataFrame:
-    """Profile changes and purchases of each customer in order.
+    """Profile changes and purchases (`activity_events`) of each customer in order.
 
     All events of a day carry noon as time, so ties are broken by kind,
-    transaction and unit. Use `lifetime_as_of` on `dim_users` first to see
-    lifetime totals as they stood, instead of the all-time totals.
+    transaction and unit. The events are read twice and should be a stored or
+    settled table.
     """
     catalog = _product_attributes(
         dim_products, dim_brand, dim_sub_category, dim_main_category
@@ -234,8 +238,7 @@ def customer_activity(
         F.col("is_weekend").alias("activity_is_weekend"),
     )
     ordered = sequence_events(
-        activity_events(fct_transactions, dim_users), "customer_id", "activity_date",
-        ["activity_type", "transaction_id", "item_id"],
+        events, "customer_id", "activity_date", ["activity_type", "transaction_id", "item_id"]
     )
     day = F.col("activity_date")
     timed = ordered.select(

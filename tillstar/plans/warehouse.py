@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.plans import competitor, dims, exports, facts, marts, reports, staging
-from tillstar.sinks.writers import as_view, commented, target_database, write_table
+from tillstar.sinks.writers import as_view, commented, settled, target_database, write_table
 
 
 class Warehouse:
@@ -37,6 +37,12 @@ class Warehouse:
         self.__dict__[name] = df
         return df
 
+    def settle(self, *names: str) -> Warehouse:
+        """Compute tables that several others read just once, in the order given."""
+        for name in names:
+            self.store(name, settled(getattr(self, name)))
+        return self
+
     # staging
 
     @cached_property
@@ -173,20 +179,29 @@ class Warehouse:
             self.dim_brand, self.dim_sub_category, self.dim_main_category,
         )
 
-    def customer_activity(self, dim_users: DataFrame) -> DataFrame:
+    @cached_property
+    def activity_events(self):
+        return marts.activity_events(self.fct_transactions, self.dim_users)
+
+    @cached_property
+    def activity_events_as_of(self):
+        """Activity with lifetime totals as they stood at each version."""
+        dated = marts.lifetime_as_of(self.dim_users, self.stg_transactions)
+        return marts.activity_events(self.fct_transactions, dated)
+
+    def customer_activity(self, events: DataFrame) -> DataFrame:
         return marts.customer_activity(
-            self.fct_transactions, dim_users, self.dim_date, self.dim_products, self.dim_brand,
-            self.dim_sub_category, self.dim_main_category,
+            events, self.dim_date, self.dim_products, self.dim_brand, self.dim_sub_category,
+            self.dim_main_category,
         )
 
     @cached_property
     def rpt_customer_activity(self):
-        return self.customer_activity(self.dim_users)
+        return self.customer_activity(self.activity_events)
 
     @cached_property
     def rpt_customer_activity_as_of(self):
-        """The activity mart with lifetime totals as they stood at each version."""
-        return self.customer_activity(marts.lifetime_as_of(self.dim_users, self.stg_transactions))
+        return self.customer_activity(self.activity_events_as_of)
 
     def channel_performance(
         self, start: dt.date | None = None, end: dt.date | None = None
@@ -267,7 +282,7 @@ CORE = {
     "dim_brand": "Brands",
     "dim_main_category": "Main categories",
     "dim_sub_category": "Sub-categories",
-    "geo_locations": None,
+    "geo_locations": "Cities seen, split into city and region",
     "dim_country": "Countries",
     "dim_region": "Regions",
     "dim_geo": "Cities",
@@ -278,6 +293,7 @@ CORE = {
     "fct_advertising": "Ad numbers per day and platform",
     "fct_sessions": "One row per session",
     "fct_transactions": "One row per unit sold",
+    "activity_events": "Profile changes and purchases, not yet in order",
 }
 MARTS = {
     "rpt_transactions": "Units sold with profit and refunds",
@@ -332,9 +348,12 @@ def competitor_star(
     own_brand: str,
     as_of: Column,
 ) -> dict[str, DataFrame]:
-    """Best sellers, search terms, enriched listings and the listing star."""
-    best = competitor.best_sellers(stg_items, stg_attributes, own_brand)
-    listings = competitor.enrich(raw_listings, best, as_of)
+    """Best sellers, search terms, enriched listings and the listing star.
+
+    Best sellers and listings are computed once: several tables read them.
+    """
+    best = settled(competitor.best_sellers(stg_items, stg_attributes, own_brand))
+    listings = settled(competitor.enrich(raw_listings, best, as_of))
     brand, category = competitor.brands(listings), competitor.categories(listings)
     return {
         "best_sellers": best,

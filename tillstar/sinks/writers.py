@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -83,6 +85,30 @@ def write_bucketed(
     return df.sparkSession.table(name)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: the cluster's `spark.checkpoint.dir`.
+
+    Without that setting only a local session gets a folder of its own.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    return context.getCheckpointDir()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a table once for several readers.
+
+    The rows are written to the shared folder and read back, so each reader
+    scans only its columns and a lost executor never repeats the work before.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace `folder/<name>` with each frame and return its row count.
 

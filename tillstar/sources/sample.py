@@ -7,13 +7,14 @@ order lines; `EventSources` covers web events. The two do not overlap in time.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.keys import conformed_key
-from tillstar.sources.schemas import AD_PLATFORMS
+from tillstar.sources.schemas import AD_PLATFORMS, RETAIL_TABLES
 
 GENDERS = ["M", "F", "Non-binary", "Unknown"]
 PRODUCT_GENDERS = ["men", "women", "unisex", "kids"]
@@ -42,21 +43,50 @@ def pick(values: list[str], index: Column) -> Column:
     return F.element_at(array, (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
 
 
-class _Sample:
+# Tables that queries compute on, and the column their rows are spread by.
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A sample table.
+
+    A small file is one split, and one task would do all the work up to the
+    first shuffle. Tables of fewer splits than cores are spread by key; larger
+    ones are read as they are.
+    """
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, SPREAD_BY[name])
+    return df
+
+
+class _Sample(Mapping):
+    """Source tables by name, each read and mapped when first asked for."""
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = read_table(self.spark, self.folder, name)
+        return self._read[name]
 
-    def frames(self) -> dict[str, DataFrame]:
-        names = (
-            "productattributes", "product_costs", "product_listprices", "users", "sessions",
-            "transactions", "transactionsanditems", "funnelevents", "product_returns",
-            "adplatform_data",
-        )
-        return {n: getattr(self, n) for n in names if hasattr(type(self), n)}
+    def _names(self) -> list[str]:
+        return [n for n in RETAIL_TABLES if hasattr(type(self), n)]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names():
+            raise KeyError(name)
+        return getattr(self, name)
+
+    def __iter__(self):
+        return iter(self._names())
+
+    def __len__(self) -> int:
+        return len(self._names())
 
     @cached_property
     def productattributes(self) -> DataFrame:
@@ -363,7 +393,7 @@ class EventSources(_Sample):
 
 def raw_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Competitor listings before enrichment, one per part."""
-    part = spark.read.parquet(f"{folder}/part.parquet")
+    part = read_table(spark, folder, "part")
     size = F.col("p_size")
     sub_category = F.concat_ws(" ", "p_type", F.substring_index("p_name", " ", 1))
     term = F.concat_ws(" ", F.lit("new"), "p_brand", sub_category, pick(LISTING_GENDERS, size))

@@ -499,7 +499,7 @@ def relationship_counts(spark, folder):
 
 
 def row_counts(spark, folder):
-    house = order_house(spark, folder)
+    house = order_house(spark, folder).settle("dim_users", "fct_transactions")
     names = (
         "stg_transactions", "fct_transactions", "dim_users", "dim_products", "dim_date",
         "rpt_transactions",

@@ -1,6 +1,6 @@
 """Every named query against its reference SQL on the sample tables."""
 
-import sys
+import re
 
 import pytest
 
@@ -22,6 +22,8 @@ def test_every_query_has_reference_sql():
 @pytest.mark.parametrize("name", NAMES)
 def test_query(name, spark, sf_dir, con):
     df = entry.queries()[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"EvalPython|InPandas|CartesianProduct|NestedLoop", plan)
     assert differences(df, con, entry.oracle_sql()[name]) == []
 
 

@@ -364,8 +364,11 @@ def relationship_counts(parent: DataFrame, child: DataFrame, key: str) -> DataFr
     lost = orphans(child, key, parent, key).agg(
         F.coalesce(F.sum("child_rows"), F.lit(0)).alias("orphaned_records")
     )
-    # Three single-row frames.
-    return side(parent, "parent").crossJoin(side(child, "child")).crossJoin(lost)
+    # Three single-row frames side by side: each column is filled in one of them.
+    stacked = side(parent, "parent")
+    for one in (side(child, "child"), lost):
+        stacked = stacked.unionByName(one, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def row_counts(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.sources.readers import read_competitor_seed
+
 # Databases of the production target by layer.
 PRODUCTION = {"staging": "dev_warehouse", "core": "dev_warehouse", "marts": "warehouse"}
 COMMENT_LIMIT = 1024
@@ -138,5 +140,4 @@ def export_parquet(df: DataFrame, folder: str, name: str, run_date: dt.date) ->
 def load_csv(spark: SparkSession, df: DataFrame, folder: str, table: str) -> DataFrame:
     """Write enriched listings as CSV and refill the landing table from the same rows."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
-    stored = spark.read.schema(df.schema).option("header", True).option("escape", '"').csv(folder)
-    return write_table(stored, table)
+    return write_table(read_competitor_seed(spark, folder), table)

@@ -22,11 +22,12 @@ def read_catalog_sources(spark: SparkSession, database: str) -> dict[str, DataFr
 
 
 def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    # Listing titles may hold line breaks inside quotes.
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", False)
+        .option("multiLine", True)
         .option("escape", '"')
         .csv(path)
     )

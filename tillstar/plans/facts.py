@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import time_of_day
-from tillstar.functions.keys import conformed_key, date_key
+from tillstar.functions.keys import conformed_key, date_from_key, date_key
 from tillstar.functions.numbers import percent, ratio
 from tillstar.operators.joins import left_lookup
 from tillstar.operators.scd import as_of_join
@@ -109,18 +109,17 @@ def purchase_times(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def transactions(
+def sold_units(
     stg_items: DataFrame,
     stg_transactions: DataFrame,
     stg_returns: DataFrame,
     stg_events: DataFrame,
-    dim_users: DataFrame,
 ) -> DataFrame:
-    """One row per unit sold.
+    """One row per unit sold with its order, purchase time and return.
 
     Order header, purchase time and return are each one row per key before they
-    join, so a unit is never repeated. Membership is that of the customer
-    version valid on the day of the sale.
+    join, so a unit is never repeated; and since their keys are known to be
+    distinct, Catalyst drops the joins whose columns nobody reads.
     """
     items = stg_items.select(
         "item_id", "transaction_id", "product_id", "date", "product_price", "product_quantity",
@@ -131,14 +130,11 @@ def transactions(
         "transaction_revenue", "transaction_shipping", "transaction_total",
         F.lit(True).alias("has_header"),
     )
-    members = dim_users.select("customer_id", "valid_from", "valid_to", "plus_status")
-
     rows = left_lookup(items, headers, "transaction_id", spread_by="item_id")
     rows = left_lookup(
         rows, purchase_times(stg_events), ["transaction_id", "product_id"], spread_by="item_id"
     )
     rows = left_lookup(rows, returns_per_item(stg_returns), "item_id", spread_by="product_id")
-    rows = as_of_join(rows, members, "customer_id", "date", spread_by="item_id")
 
     returned = F.coalesce("return_quantity", F.lit(0.0))
     return rows.select(
@@ -157,7 +153,6 @@ def transactions(
         F.when(F.col("customer_id").isNotNull(), "Registered")
         .otherwise("Guest")
         .alias("customer_type"),
-        F.when(F.col("plus_status"), F.col("plus_status").cast("string")).alias("plus_status"),
         "return_status", "return_quantity", "return_date",
         date_key("return_date").alias("return_date_key"),
         F.col("return_status").isNotNull().alias("has_return"),
@@ -165,3 +160,12 @@ def transactions(
         .otherwise(0.0)
         .alias("return_rate_pct"),
     )
+
+
+def transactions(units: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """Units sold (`sold_units`) with the membership of the customer on the day of sale."""
+    members = dim_users.select("customer_id", "valid_from", "valid_to", "plus_status")
+    dated = units.withColumn("sold_on", date_from_key("date_key"))
+    rows = as_of_join(dated, members, "customer_id", "sold_on", spread_by="item_id")
+    member = F.when(F.col("plus_status"), F.col("plus_status").cast("string"))
+    return rows.withColumn("plus_status", member).drop("sold_on")

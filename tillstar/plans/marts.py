@@ -38,7 +38,7 @@ def _product_attributes(
 
 
 def transactions(
-    fct_transactions: DataFrame,
+    units: DataFrame,
     dim_date: DataFrame,
     dim_users: DataFrame,
     dim_products: DataFrame,
@@ -46,7 +46,8 @@ def transactions(
     dim_sub_category: DataFrame,
     dim_main_category: DataFrame,
 ) -> DataFrame:
-    """Unit sold with date, current customer, product, cost, profit and refund."""
+    """Units sold (`facts.sold_units`) with date, current customer, product, cost, profit
+    and refund."""
     catalog = _product_attributes(dim_products, dim_brand, dim_sub_category, dim_main_category)
     customers = current(dim_users).select(
         "customer_id",
@@ -60,8 +61,7 @@ def transactions(
     calendar = dim_date.select(
         "date_key", "date", "year", "month", "day_of_week", "quarter", "is_weekend", "is_holiday"
     )
-    sold = fct_transactions.drop("plus_status")
-    rows = left_lookup(sold, calendar, "date_key", spread_by="item_id")
+    rows = left_lookup(units, calendar, "date_key", spread_by="item_id")
     rows = left_lookup(rows, catalog, "product_id", spread_by="item_id")
     rows = left_lookup(rows, customers, "customer_id", spread_by="item_id")
 
@@ -171,7 +171,7 @@ def profile_changes(dim_users: DataFrame) -> DataFrame:
     )
 
 
-def purchase_activity(fct_transactions: DataFrame, dim_users: DataFrame) -> DataFrame:
+def purchase_activity(units: DataFrame, dim_users: DataFrame) -> DataFrame:
     """Units bought by known customers with the customer version of that day."""
     versions = dim_users.select(
         "customer_id", "valid_from", "valid_to",
@@ -180,7 +180,7 @@ def purchase_activity(fct_transactions: DataFrame, dim_users: DataFrame) -> Data
         "plus_status", "plus_tier", "opt_in_status", "lifetime_orders", "lifetime_value",
         F.col("user_key").alias("customer_version_key"),
     )
-    sold = fct_transactions.select(
+    sold = units.select(
         "customer_id", date_from_key("date_key").alias("activity_date"),
         "item_id", "transaction_id", "product_id", "product_revenue", "product_quantity",
     )
@@ -198,13 +198,13 @@ def purchase_activity(fct_transactions: DataFrame, dim_users: DataFrame) -> Data
     )
 
 
-def activity_events(fct_transactions: DataFrame, dim_users: DataFrame) -> DataFrame:
+def activity_events(units: DataFrame, dim_users: DataFrame) -> DataFrame:
     """Profile changes and purchases of all customers.
 
     Apply `lifetime_as_of` to `dim_users` first to see lifetime totals as they
     stood at each version instead of the all-time totals.
     """
-    return profile_changes(dim_users).unionByName(purchase_activity(fct_transactions, dim_users))
+    return profile_changes(dim_users).unionByName(purchase_activity(units, dim_users))
 
 
 def customer_activity(

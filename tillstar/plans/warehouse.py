@@ -35,6 +35,8 @@ class Warehouse:
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         self.__dict__[name] = df
+        if name == "fct_transactions":
+            self.__dict__.pop("sold_units", None)
         return df
 
     def settle(self, *names: str) -> Warehouse:
@@ -164,30 +166,37 @@ class Warehouse:
         )
 
     @cached_property
-    def fct_transactions(self):
-        return facts.transactions(
+    def sold_units(self):
+        """What the marts need of `fct_transactions`: all but the membership."""
+        if "fct_transactions" in self.__dict__:
+            return self.fct_transactions.drop("plus_status")
+        return facts.sold_units(
             self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
-            self.stg_funnel_events, self.dim_users,
+            self.stg_funnel_events,
         )
 
+    @cached_property
+    def fct_transactions(self):
+        return facts.transactions(self.sold_units, self.dim_users)
+
     # marts
 
     @cached_property
     def rpt_transactions(self):
         return marts.transactions(
-            self.fct_transactions, self.dim_date, self.dim_users, self.dim_products,
-            self.dim_brand, self.dim_sub_category, self.dim_main_category,
+            self.sold_units, self.dim_date, self.dim_users, self.dim_products, self.dim_brand,
+            self.dim_sub_category, self.dim_main_category,
         )
 
     @cached_property
     def activity_events(self):
-        return marts.activity_events(self.fct_transactions, self.dim_users)
+        return marts.activity_events(self.sold_units, self.dim_users)
 
     @cached_property
     def activity_events_as_of(self):
         """Activity with lifetime totals as they stood at each version."""
         dated = marts.lifetime_as_of(self.dim_users, self.stg_transactions)
-        return marts.activity_events(self.fct_transactions, dated)
+        return marts.activity_events(self.sold_units, dated)
 
     def customer_activity(self, events: DataFrame) -> DataFrame:
         return marts.customer_activity(
@@ -207,7 +216,7 @@ class Warehouse:
         self, start: dt.date | None = None, end: dt.date | None = None
     ) -> DataFrame:
         return marts.daily_channel_performance(
-            self.fct_advertising, self.fct_sessions, self.fct_transactions, self.dim_users,
+            self.fct_advertising, self.fct_sessions, self.sold_units, self.dim_users,
             self.dim_date, self.dim_ad_platform, start, end,
         )
 
@@ -221,7 +230,7 @@ class Warehouse:
     def daily_spend_metrics(self):
         return exports.daily_spend_metrics(
             self.fct_advertising, self.dim_ad_platform, self.dim_source, self.fct_sessions,
-            self.fct_transactions,
+            self.sold_units,
         )
 
     @cached_property

@@ -291,12 +291,11 @@ def profile_changes(spark, folder):
 
 
 def event_sequence(spark, folder):
-    """Order of each user's events within the month's days."""
+    """Order of each user's events by day and id."""
     events = _table(spark, folder, "events").select(
         "event_id", "user_id", F.col("ts").cast("date").alias("day")
     )
-    week = F.date_trunc("week", "day")
-    return sequence_events(events, "user_id", "day", ["event_id"], week)
+    return sequence_events(events, "user_id", "day", ["event_id"])
 
 
 def dense_keys(spark, folder):

@@ -8,46 +8,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sequence_events(
-    df: DataFrame,
-    key: str,
-    day: str,
-    ties: Sequence[str | Column],
-    period: Column | None = None,
-) -> DataFrame:
+def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str | Column]) -> DataFrame:
     """Add `sequence`, `prev_day` and `first_day` to each event of a key, by day then `ties`.
 
     A window over the whole key would put a hot key's events in one task. Events
-    are windowed per key and period (a calendar month unless given; it must
-    follow the day order), while counts and bounds per period, one small row
-    each, are summed over the key and joined back.
+    are numbered within key and day; the counts per day, at most one row per key
+    and day, are summed over the key and joined back. The events are read twice
+    and should be a stored table. Rows without key or day are left out.
     """
-    period = F.trunc(day, "MM") if period is None else period
-    events = df.withColumn("__period", period)
-
-    across = Window.partitionBy(key).orderBy("__period")
+    across = Window.partitionBy(key).orderBy(day)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    bounds = (
-        events.groupBy(key, "__period")
-        .agg(F.count("*").alias("__n"), F.min(day).alias("__min"), F.max(day).alias("__max"))
+    days = (
+        df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+        .groupBy(key, day)
+        .agg(F.count("*").alias("__n"))
         .select(
             F.col(key).alias("__key"),
-            F.col("__period").alias("__of"),
+            F.col(day).alias("__day"),
             F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
-            F.lag("__max").over(across).alias("__before"),
-            F.first("__min").over(across).alias("first_day"),
+            F.lag(day).over(across).alias("__before"),
+            F.first(day).over(across).alias("first_day"),
         )
     )
-    inside = Window.partitionBy(key, "__period").orderBy(day, *ties)
-    joined = events.join(
-        bounds, (F.col(key) == F.col("__key")) & (F.col("__period") == F.col("__of"))
-    )
+    inside = Window.partitionBy(key, day).orderBy(*ties)
     return (
-        joined.withColumn(
-            "sequence", (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
-        )
-        .withColumn("prev_day", F.coalesce(F.lag(day).over(inside), F.col("__before")))
-        .drop("__period", "__key", "__of", "__offset", "__before")
+        df.join(days, (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day")))
+        .withColumn("__place", F.row_number().over(inside))
+        .withColumn("sequence", (F.col("__place") + F.col("__offset")).cast("bigint"))
+        .withColumn("prev_day", F.when(F.col("__place") == 1, F.col("__before")).otherwise(F.col(day)))
+        .drop("__key", "__day", "__offset", "__before", "__place")
     )
 
 

@@ -30,7 +30,6 @@ def left_lookup(
     df: DataFrame,
     other: DataFrame,
     on: Sequence[str] | str,
-    when: Column | None = None,
     spread_by: Sequence[str] | str | None = None,
     null_safe: Sequence[str] = (),
 ) -> DataFrame:
@@ -39,9 +38,9 @@ def left_lookup(
     Rows with a null key never match, yet a plain hash shuffle sends them all
     to one task. `spread_by` names columns whose hash scatters those rows over
     `NULL_SPREAD` values of a second join column that is zero for real keys.
-    `when` is an extra condition over both sides; in the `null_safe` columns null
-    equals null. Hot real keys are left to adaptive skew-join splitting, and the
-    choice of a broadcast to Spark's own size check.
+    In the `null_safe` columns null equals null. Hot real keys are left to
+    adaptive skew-join splitting, and the choice of a broadcast to Spark's own
+    size check.
     """
     on = [on] if isinstance(on, str) else list(on)
     right = other
@@ -60,8 +59,6 @@ def left_lookup(
         df = df.withColumn("__spread", null_spread(missing, *spread_by))
         right = right.withColumn("__zero", zero_of(f"__{on[0]}"))
         condition = condition & (F.col("__spread") == F.col("__zero"))
-    if when is not None:
-        condition = condition & when
     joined = df.join(right, condition, "left")
     return joined.drop("__spread", "__zero", *[f"__{name}" for name in on])
 

@@ -17,7 +17,6 @@ def unpivot_metrics(
     groups: Sequence[str],
     metrics: Mapping[str, str],
     name: str,
-    values: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Columns `<group>_<metric>` to one row per group, in a single scan.
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import bpe, counts, decontaminate, licences, quality, sharding, urls
+from tillstar.llm import (
+    bpe, counts, decontaminate, licences, near, passages, quality, sharding, urls,
+)
 
 SHARDS = 40
 
@@ -22,6 +24,21 @@ def op1_byte_bpe(spark, folder):
     )
 
 
+def op2_near_duplicates(spark, folder):
+    documents = _table(spark, folder, "documents")
+    return near.near_duplicates(documents, words=2).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
+def op3_passages(spark, folder):
+    spans = passages.repeated_spans(_table(spark, folder, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), F.explode("spans").alias("span")).select(
+        "doc_id", F.col("span.start").alias("start_char"), F.col("span.end").alias("end_char"),
+        F.col("span.words").alias("n_words"), F.col("span.kept_id").alias("kept_doc_id"),
+    )
+
+
 def op5_decontamination(spark, folder):
     documents, benchmark = (_table(spark, folder, n) for n in ("documents", "benchmark"))
     return decontaminate.contaminated(documents, benchmark, keep=["doc_id"]).select(
@@ -59,8 +76,8 @@ def op10_urls(spark, folder):
 
 def queries():
     every = (
-        op1_byte_bpe, op5_decontamination, op6_sharding, op7_quality, op8_licences,
-        op9_token_counts, op10_urls,
+        op1_byte_bpe, op2_near_duplicates, op3_passages, op5_decontamination, op6_sharding,
+        op7_quality, op8_licences, op9_token_counts, op10_urls,
     )
     return {f.__name__: f for f in every}
 

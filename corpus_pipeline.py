@@ -7,12 +7,31 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tillstar.llm import bpe, decontaminate
+from tillstar.llm import bpe, decontaminate, near, passages, toxicity
 from tillstar.llm.common import scratch
 
+#: The columns of documents; n_chars stays that of the text as it came.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the network, trained on the labelled ones, doesn't find toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.toxicity(docs, model, keep=COLUMNS)
+    return scored.where("predicted = 0").select(*COLUMNS)
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near.without_near_duplicates(docs).select(*COLUMNS)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the passages that an earlier one has."""
+    return passages.without_repeats(docs).select(*COLUMNS)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that benchmark items have too."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -27,6 +46,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", harmless),
+    ("near_dedup", distinct),
+    ("substring_dedup", unrepeated),
     ("decontamination", decontaminated),
     ("byte_bpe", encoded),
 ]

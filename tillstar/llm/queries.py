@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    bpe, counts, decontaminate, licences, near, passages, quality, sharding, urls,
+    bpe, counts, decontaminate, licences, near, passages, quality, sharding, toxicity,
+    urls,
 )
 
 SHARDS = 40
@@ -39,6 +40,13 @@ def op3_passages(spark, folder):
     )
 
 
+def op4_toxicity(spark, folder):
+    documents, labels = (_table(spark, folder, n) for n in ("documents", "labels"))
+    scored = toxicity.toxicity(documents, toxicity.fit(documents, labels), keep=["doc_id"])
+    held_out = F.coalesce(toxicity.held_out(F.col("doc_id")), F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_decontamination(spark, folder):
     documents, benchmark = (_table(spark, folder, n) for n in ("documents", "benchmark"))
     return decontaminate.contaminated(documents, benchmark, keep=["doc_id"]).select(
@@ -76,8 +84,8 @@ def op10_urls(spark, folder):
 
 def queries():
     every = (
-        op1_byte_bpe, op2_near_duplicates, op3_passages, op5_decontamination, op6_sharding,
-        op7_quality, op8_licences, op9_token_counts, op10_urls,
+        op1_byte_bpe, op2_near_duplicates, op3_passages, op4_toxicity, op5_decontamination,
+        op6_sharding, op7_quality, op8_licences, op9_token_counts, op10_urls,
     )
     return {f.__name__: f for f in every}
 

@@ -19,7 +19,7 @@ SPACE = " \t\n\v\f\r"
 #: Rows that costs and rejections are estimated on.
 SAMPLE_ROWS = 1000
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 
 
 class Page:
@@ -74,8 +74,8 @@ def duplicate_lines(page: Page) -> bool:
 
 
 def capitals(page: Page) -> bool:
-    """More than three words in ten are in capitals throughout (two letters or more)."""
-    shout = sum(len(w) > 1 and w.isupper() for w in page.text.split())
+    """More than three words in ten have letters of A-Z, none of a-z, and two bytes or more."""
+    shout = sum(len(w) > 1 and w.isupper() for w in page.words)
     return 10 * shout > 3 * page.n_words
 
 
@@ -85,8 +85,8 @@ def exclamation(page: Page) -> bool:
 
 
 def letters(page: Page) -> bool:
-    """Fewer than seven words in ten have a letter."""
-    found = sum(LETTERS.search(w) is not None for w in page.text.split())
+    """Fewer than seven words in ten have an ASCII letter or a character beyond ASCII."""
+    found = sum(LETTER.search(w) is not None for w in page.words)
     return 10 * found < 7 * page.n_words
 
 
@@ -96,7 +96,7 @@ def common_word(page: Page) -> bool:
 
 
 def variety(page: Page) -> bool:
-    """Fewer than one word in twenty is new, over the first thousand words of each thousand."""
+    """In some thousand of the words, counted from the start, under one in twenty is distinct."""
     return any(
         20 * len(set(part)) < len(part)
         for part in (page.words[i : i + 1000] for i in range(0, page.n_words, 1000))

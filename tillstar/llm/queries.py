@@ -1,4 +1,4 @@
-"""Named queries of this subpackage over the sample tables, and their SQL."""
+"""Named queries of this subpackage over the sample tables."""
 
 from __future__ import annotations
 
@@ -88,7 +88,3 @@ def queries():
         op6_sharding, op7_quality, op8_licences, op9_token_counts, op10_urls,
     )
     return {f.__name__: f for f in every}
-
-
-def oracle_sql():
-    return {}

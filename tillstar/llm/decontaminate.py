@@ -15,7 +15,8 @@ from tillstar.llm.common import (
     TEXT, alnum_words, column, merged, pieces, remote, runs_of,
 )
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: The words of alnum_words in a text as it came, before A-Z are put in lower case.
+WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
 #: Words of a window, and bytes of benchmark text that one pass over the documents searches.
 WINDOW = 10
 BLOCK = 8 << 20

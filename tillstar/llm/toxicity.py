@@ -40,12 +40,13 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return whole, code[inside[: len(code)]], np.cumsum(sizes) - sizes
 
 
-def vectors(model: Model, parts) -> np.ndarray:
-    """A word's vector: that of its bucket and the mean of those of its letter triples."""
+def vectors(model: Model, parts, shown: np.ndarray | float = 1) -> np.ndarray:
+    """A word's vector: that of its bucket, where that is shown, and the mean of those of its
+    letter triples."""
     whole, triples, begins = parts
     count = np.diff(np.append(begins, len(triples)))[:, None]
     letters = np.add.reduceat(model["letters"][triples], begins, axis=0) / count
-    return (model["words"][whole] + letters).astype(np.float32)
+    return (model["words"][whole] * shown + letters).astype(np.float32)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -121,9 +122,11 @@ def window_scores(model: Model, x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def gradients(model: Model, parts, at: np.ndarray, label: np.ndarray) -> Model:
+def gradients(
+    model: Model, parts, at: np.ndarray, label: np.ndarray, shown: np.ndarray | float = 1
+) -> Model:
     """Gradients of the mean cross-entropy of windows."""
-    x = vectors(model, parts)
+    x = vectors(model, parts, shown)
     at = np.ascontiguousarray(at.T)
     kept = {way: [] for way in "fb"}
     states = np.concatenate(
@@ -164,7 +167,7 @@ def gradients(model: Model, parts, at: np.ndarray, label: np.ndarray) -> Model:
     whole, triples, starts = parts
     count = np.diff(np.append(starts, len(triples)))
     for name, rows, values in (
-        ("words", whole, to_x),
+        ("words", whole, to_x * shown),
         ("letters", triples, np.repeat(to_x / count[:, None], count, axis=0)),
     ):
         by_row = np.argsort(rows, kind="stable")
@@ -226,19 +229,24 @@ def train(texts: list[tuple[int, list[list[bytes]]]], seed: int = 4) -> Model |
         easy = draw.permutation(negative)[: 2 * count]
         mixed = draw.permutation(np.concatenate((chosen, easy, hard)))
         rate = RATE * (1 if epoch < EPOCHS - 3 else 0.3)
-        for start in range(0, len(mixed), BATCH):
-            batch = mixed[start : start + BATCH]
+        size = min(BATCH, max(16, len(mixed) // 40))
+        for start in range(0, len(mixed), size):
+            batch = mixed[start : start + size]
             numbers, local = np.unique(at[batch], return_inverse=True)
             local = local.reshape(len(batch), WINDOW)
             numbers = numbers[numbers < len(ids)]  # the last number stands for an empty place
-            grad = gradients(model, subset(parts, numbers), local, label[batch].astype(np.float32))
+            # half of the words show their letters alone, so that new words can be judged by them
+            shown = draw.integers(0, 2, (len(numbers), 1)).astype(np.float32)
+            grad = gradients(
+                model, subset(parts, numbers), local, label[batch].astype(np.float32), shown
+            )
             turn += 1
             for name, g in grad.items():
                 first[name] += 0.1 * (g - first[name])
                 second[name] += 0.01 * (g * g - second[name])
                 step = first[name] / (1 - 0.9**turn)
-                size = np.sqrt(second[name] / (1 - 0.99**turn)) + 1e-6
-                model[name] -= (rate * step / size).astype(np.float32)
+                scale = np.sqrt(second[name] / (1 - 0.99**turn)) + 1e-6
+                model[name] -= (rate * step / scale).astype(np.float32)
     if aside.any():
         scores = window_scores(model, vectors(model, parts), at[aside])
         numbers, first = np.unique(owner[aside], return_index=True)

@@ -30,7 +30,7 @@ def week(day: str) -> str:
 
 
 def money(value: str) -> str:
-    return f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({value} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def ratio(a: str, b: str) -> str:
@@ -221,7 +221,7 @@ FROM e_funnel WHERE transaction_id IS NOT NULL AND item_id IS NOT NULL GROUP BY
 block("e_ad_wide", "e_events", "SELECT day AS date, " + ", ".join(
     f"count(*) FILTER (k % 5 = {i} AND event_type = 'view') AS {p}_impressions, "
     f"count(*) FILTER (k % 5 = {i} AND event_type = 'click') AS {p}_clicks, "
-    f"CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (k % 5 = {i}) AS DOUBLE) AS {p}_cost"
+    f"CAST(sum(CAST(value AS DECIMAL(28,6))) FILTER (k % 5 = {i}) AS DOUBLE) AS {p}_cost"
     for i, p in enumerate(AD_PLATFORMS)) + " FROM e_events GROUP BY day")
 block("e_ad", "e_ad_wide", " UNION ALL ".join(
     f"SELECT date, '{p}' AS ad_platform, {p}_impressions AS impressions, {p}_clicks AS clicks, "
@@ -459,11 +459,11 @@ LEFT JOIN (
     GROUP BY ALL) v ON v.date_key = a.date_key AND v.platform_key = a.platform_key
 LEFT JOIN (
     SELECT date_key, platform_key, count(*) AS transaction_count,
-           CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+           CAST(sum(CAST(revenue AS DECIMAL(28,6))) AS DOUBLE) AS total_revenue,
            sum(quantity) AS item_quantity, CAST(sum(price) AS DOUBLE) AS item_price_total
     FROM (SELECT f.date_key, f.platform_key, t.transaction_id,
                  max(t.transaction_revenue) AS revenue, sum(t.product_quantity) AS quantity,
-                 sum(CAST(t.product_price * t.product_quantity AS DECIMAL(18,2))) AS price
+                 sum(CAST(t.product_price * t.product_quantity AS DECIMAL(28,6))) AS price
           FROM fct_sessions f JOIN e_fct_transactions t
             ON t.session_id = f.session_id AND t.date_key = f.date_key
           GROUP BY ALL)
@@ -472,7 +472,7 @@ block("sourced", "fct_sessions dim_source", """
 SELECT f.session_id, f.date_key, s.source
 FROM fct_sessions f LEFT JOIN dim_source s ON s.source_key = f.source_key""")
 block("sales", "e_fct_transactions sourced", """
-SELECT date_key, source, CAST(sum(CAST(total AS DECIMAL(18,2))) AS DOUBLE)
+SELECT date_key, source, CAST(sum(CAST(total AS DECIMAL(28,6))) AS DOUBLE)
          AS daily_transaction_total, count(transaction_id) AS conversions
 FROM (SELECT DISTINCT f.transaction_id, f.date_key, s.source, f.transaction_total AS total
       FROM e_fct_transactions f LEFT JOIN sourced s ON s.session_id = f.session_id)
@@ -878,9 +878,9 @@ def invariants_sql() -> str:
     lines = {
         "order revenue is the sum of its units":
             "SELECT count(*) FROM o_transactions t LEFT JOIN (SELECT transaction_id, "
-            "sum(CAST(product_price * product_quantity AS DECIMAL(18,2))) AS s FROM o_items "
+            "sum(CAST(product_price * product_quantity AS DECIMAL(28,6))) AS s FROM o_items "
             "GROUP BY ALL) u ON u.transaction_id = t.transaction_id WHERE "
-            "abs(CAST(transaction_revenue AS DECIMAL(18,2)) - coalesce(s, 0)) >= 0.01",
+            "abs(CAST(transaction_revenue AS DECIMAL(28,6)) - coalesce(s, 0)) >= 0.01",
         "order total is revenue plus shipping":
             "SELECT count(*) FROM o_transactions WHERE "
             "abs(transaction_total - (transaction_revenue + transaction_shipping)) >= 0.01",
@@ -938,6 +938,7 @@ SELECT d.*, t.orders FROM dim_date d LEFT JOIN
     "dim_users": ("o_dim_users", "SELECT * FROM o_dim_users"),
     "dim_products": ("products", f"""
 SELECT {key('product_id')} AS product_key, product_id, {key('brand')} AS brand_key,
+       {key('main_category')} AS main_category_key,
        {key('sub_category')} AS sub_category_key, name, gender_target, list_price, unit_cost,
        CASE WHEN list_price > 0 THEN (list_price - unit_cost) / list_price ELSE 0 END
          AS profit_margin, {BUILD_DAY} AS valid_from, CAST(NULL AS DATE) AS valid_to,
@@ -1031,7 +1032,7 @@ FROM o_rpt GROUP BY ALL"""),
 SELECT count(*) AS orders, count(DISTINCT customer_id) AS purchasing_customers,
        round({ratio('CAST(sum(v) AS DOUBLE)', 'count(v)')}, 2) AS avg_order_value,
        round(CAST(sum(v) AS DOUBLE), 2) AS total_revenue
-FROM (SELECT transaction_id, customer_id, sum(CAST(revenue AS DECIMAL(18,2))) AS v
+FROM (SELECT transaction_id, customer_id, sum(CAST(revenue AS DECIMAL(28,6))) AS v
       FROM o_rpt GROUP BY ALL)"""),
     "activity_mix": ("o_activity", """
 SELECT CAST(date_trunc('month', activity_date) AS DATE) AS month, activity_type,
@@ -1130,17 +1131,17 @@ history AS (
     FROM days WHERE day < DATE '1998-01-01'),
 snapshot AS (
     SELECT customer_id, arg_max(tier, day) AS tier FROM days
-    WHERE day >= DATE '1998-01-01' AND day < DATE '2000-01-01' GROUP BY customer_id),
+    WHERE day >= DATE '1998-01-01' GROUP BY customer_id),
 open_rows AS (SELECT * FROM history WHERE valid_to IS NULL)
 SELECT customer_id, tier, valid_from, valid_to, FALSE AS is_current
 FROM history WHERE valid_to IS NOT NULL
 UNION ALL
 SELECT o.customer_id, o.tier, o.valid_from,
-       CASE WHEN s.tier IS DISTINCT FROM o.tier THEN DATE '2000-01-01' END,
+       CASE WHEN s.tier IS DISTINCT FROM o.tier THEN DATE '2002-01-01' END,
        s.tier IS NOT DISTINCT FROM o.tier
 FROM open_rows o LEFT JOIN snapshot s ON s.customer_id = o.customer_id
 UNION ALL
-SELECT s.customer_id, s.tier, DATE '2000-01-01', NULL, TRUE
+SELECT s.customer_id, s.tier, DATE '2002-01-01', NULL, TRUE
 FROM snapshot s LEFT JOIN open_rows o ON o.customer_id = s.customer_id
 WHERE o.customer_id IS NULL OR o.tier <> s.tier"""),
     "lifetime_as_of": ("o_dim_users_as_of", """

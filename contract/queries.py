@@ -33,7 +33,7 @@ BUILD_DAY = dt.date(2024, 2, 1)
 OWN_BRAND = "Brand#1"
 CHANNELS = {"Search": ["google"], "Paid Social": ["meta", "tiktok"], "DSP": ["criteo", "rtbhouse"]}
 SNAPSHOT_DAY = dt.date(1998, 1, 1)
-SNAPSHOT_END = dt.date(2000, 1, 1)
+SNAPSHOT_TAKEN = dt.date(2002, 1, 1)  # after the last order
 
 
 def order_house(spark: SparkSession, folder: str) -> Warehouse:
@@ -268,13 +268,11 @@ def scd2_snapshot(spark, folder):
         F.max_by("o_orderpriority", "o_orderkey").alias("tier")
     )
     history = scd2_from_versions(versions, ["customer_id"], "valid_from")
-    late = orders.where(
-        (F.col("day") >= F.lit(SNAPSHOT_DAY)) & (F.col("day") < F.lit(SNAPSHOT_END))
-    )
+    late = orders.where(F.col("day") >= F.lit(SNAPSHOT_DAY))
     snapshot = late.groupBy("customer_id").agg(
         F.max_by("o_orderpriority", F.struct("day", "o_orderkey")).alias("tier")
     )
-    return scd2_apply(history, snapshot, ["customer_id"], ["tier"], F.lit(SNAPSHOT_END))
+    return scd2_apply(history, snapshot, ["customer_id"], ["tier"], F.lit(SNAPSHOT_TAKEN))
 
 
 def lifetime_as_of(spark, folder):

@@ -110,3 +110,10 @@ def test_best_sellers(spark):
     assert sorted(terms) == ["new a tops mens", "new a tops unisex", "new a tops womens"]
     everything = competitor.best_sellers(items, attributes, "Own")
     assert [r.brand for r in everything.orderBy("rank").collect()] == ["A", "B"]
+
+
+def test_blank_best_seller_category_finds_nothing(spark):
+    blank = spark.createDataFrame(
+        [(1, "Nike", "", 5), (2, "Nike", None, 4)], "rank int, brand string, category string, n int"
+    )
+    assert parsed(spark, blank, ["new nike air shoes mens"]) == [("Nike", "Mens")]

@@ -197,6 +197,49 @@ def test_sequence_of_a_hot_key_equals_plain_window(spark):
     assert rows(got.select(names), "id") == rows(plain.select(names), "id")
 
 
+def test_sequence_of_a_busy_day_equals_plain_window(spark):
+    """Most events fall on one day of one key; the first tie is null on some rows."""
+    events = spark.range(2000).select(
+        F.col("id"),
+        F.when(F.col("id") % 5 > 0, F.lit(1)).otherwise(F.col("id") % 7).alias("k"),
+        F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 11 / 10).cast("int")).alias("day"),
+        F.when(F.col("id") % 9 == 0, "a").otherwise("b").alias("kind"),
+        F.when(F.col("id") % 9 > 0, F.col("id") % 40).alias("order"),
+    )
+    got = sequence_events(events, "k", "day", ["kind", "order", "id"])
+    w = Window.partitionBy("k").orderBy("day", "kind", "order", "id")
+    plain = events.select(
+        "*",
+        F.min("day").over(Window.partitionBy("k")).alias("first_day"),
+        F.row_number().over(w).cast("bigint").alias("sequence"),
+        F.lag("day").over(w).alias("prev_day"),
+    )
+    names = ["id", "k", "day", "kind", "order", "sequence", "prev_day", "first_day"]
+    assert rows(got.select(names), "id") == rows(plain.select(names), "id")
+
+
+def test_last_day_finds_the_open_version(spark):
+    dim = spark.createDataFrame(
+        [(1, D(2024, 1, 1), None, "x")], "k bigint, valid_from date, valid_to date, city string"
+    )
+    fact = spark.createDataFrame([(1, D(9999, 12, 31))], "k bigint, day date")
+    for how in ("left", "inner"):
+        assert as_of_join(fact, dim, "k", "day", how).first().city == "x"
+
+
+def test_sums_keep_fractions_of_a_cent(spark):
+    from tillstar.functions.numbers import money_sum
+    from tillstar.plans import exports
+
+    ads = spark.range(1000).select(
+        F.lit("google").alias("ad_platform"), F.lit(D(2024, 1, 10)).alias("date"),
+        F.lit(0.004).alias("cost"), F.lit(1).alias("clicks"), F.lit(2).alias("impressions"),
+    )
+    assert ads.agg(money_sum(F.col("cost"))).first()[0] == 4.0
+    week = exports.weekly_ad_spend(ads).first()
+    assert (week.weekly_cost, week.weekly_cpc) == (4.0, 0.004)
+
+
 def test_running_totals_include_the_day(spark):
     marks = spark.createDataFrame(
         [(1, D(2024, 1, 1)), (1, D(2024, 1, 5)), (2, D(2024, 1, 1))], "k bigint, day date"

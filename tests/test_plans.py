@@ -79,3 +79,27 @@ def test_no_global_window_over_facts(spark, sf_dir):
     for name in ("rpt_customer_activity", "rpt_transactions", "event_sequence"):
         text = plan(entry.queries()[name](spark, sf_dir))
         assert "SinglePartition" not in text
+
+
+def test_tables_are_read_as_they_are(spark, sf_dir):
+    text = plan(order_house(spark, sf_dir).fct_transactions)
+    assert "REPARTITION" not in text
+
+
+def test_units_are_shuffled_once_per_key(spark, sf_dir, no_broadcast):
+    """Header and purchase times find the units partitioned by order."""
+    units = order_house(spark, sf_dir).sold_units
+    text = plan(units)
+    moved = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)]
+    by_order = [x for x in moved if x.startswith("transaction_id")]
+    # the units, the headers, and the events by order and product, then by order
+    assert len(by_order) == 4 and not any("__spread" in x for x in moved)
+
+
+@pytest.mark.parametrize("name", ["weekly_brand_sales", "average_order_value", "category_profitability"])
+def test_reports_read_only_what_they_show(name, spark, sf_dir, no_broadcast):
+    text = plan(entry.queries()[name](spark, sf_dir))
+    assert "Window" not in text  # no customer versions
+    if name != "average_order_value":
+        assert "orders.parquet" not in text  # no headers either
+    assert not re.search(r"count\(distinct", text)

@@ -148,7 +148,7 @@ def test_signups(house):
 def test_reports(house):
     profit = {
         (r.month, r.product_main_category): r
-        for r in reports.category_profitability(house.rpt_transactions).collect()
+        for r in house.category_profitability.collect()
     }
     clothes = profit[(D(2024, 1, 1), "Clothes")]
     assert (clothes.units_sold, clothes.revenue, clothes.gross_profit) == (2, 20.0, 12.0)
@@ -195,3 +195,31 @@ def test_product_key_does_not_change_between_builds(spark):
     a = Warehouse(spark, sources(spark), built_at=F.lit(D(2024, 4, 1))).dim_products
     b = Warehouse(spark, sources(spark), built_at=F.lit(D(2024, 5, 1))).dim_products
     assert sorted(r.product_key for r in a.collect()) == sorted(r.product_key for r in b.collect())
+
+
+def test_repeated_rows_of_the_sources_repeat_no_unit(spark):
+    """Two headers of one order, two prices of one product, a sub-category under two mains."""
+    src = sources(spark)
+    for name, changes in (
+        ("transactions", {"transaction_coupon": F.lit("A")}),
+        ("product_listprices", {"item_list_price": F.lit(1.0)}),
+        ("product_costs", {"cost_of_item": F.lit(1.0)}),
+        ("productattributes", {"item_id": F.concat(F.lit("9"), "item_id"), "item_main_category": F.lit("Sport")}),
+    ):
+        src[name] = src[name].unionByName(src[name].withColumns(changes))
+    house = Warehouse(spark, src)
+    sold = house.rpt_transactions.collect()
+    assert sorted(r.item_id for r in sold) == [1001, 1002, 1003, 1004]
+    assert {r.product_main_category for r in sold} == {"Clothes", "Shoes"}
+    assert {r.product_list_price for r in sold} == {10.0, 50.0}
+    assert house.fct_transactions.count() == 4
+    [order] = house.average_order_value.collect()
+    assert order.total_revenue == 80.0
+
+
+def test_versions_of_one_day_become_one(spark):
+    src = sources(spark)
+    src["users"] = src["users"].unionByName(src["users"].withColumn("city", F.lit("Aaa")))
+    rows = Warehouse(spark, src).dim_users.collect()
+    assert len(rows) == len({r.user_key for r in rows}) == 4
+    assert "Aaa" not in {r.city for r in rows}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+#: Amounts are summed as decimals of six places, and rounded where they are shown.
+MONEY = "decimal(28,6)"
 
 
 def safe_int(value: Column) -> Column:
@@ -38,7 +39,10 @@ def percent(numerator: Column, denominator: Column) -> Column:
 
 
 def money_sum(value: Column) -> Column:
-    """Sum money as decimals, so the order of addition cannot change the result."""
+    """Sum amounts as decimals, so the order of addition cannot change the result.
+
+    Fractions of a cent count; nothing is rounded to cents before the sum.
+    """
     return F.sum(value.cast(MONEY)).cast("double")
 
 

@@ -5,15 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 256
 
-
-def null_spread(missing: Column, *spread_by: str) -> Column:
-    """Zero for rows with a key, a hash below `NULL_SPREAD` for rows without."""
-    scattered = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_SPREAD)).cast("int")
+def null_spread(missing: Column, *spread_by: str, values: int | None = None) -> Column:
+    """Zero for rows with a key, for rows without one a hash below `values`, by default as
+    many as there are shuffle partitions."""
+    if values is None:
+        values = int(SparkSession.active().conf.get("spark.sql.shuffle.partitions"))
+    scattered = F.pmod(F.xxhash64(*spread_by), F.lit(max(1, values))).cast("int")
     return F.when(missing, scattered).otherwise(0)
 
 
@@ -37,7 +38,7 @@ def left_lookup(
 
     Rows with a null key never match, yet a plain hash shuffle sends them all
     to one task. `spread_by` names columns whose hash scatters those rows over
-    `NULL_SPREAD` values of a second join column that is zero for real keys.
+    the values of a second join column that is zero for real keys.
     In the `null_safe` columns null equals null. Hot real keys are left to
     adaptive skew-join splitting, and the choice of a broadcast to Spark's own
     size check.

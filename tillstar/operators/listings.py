@@ -90,7 +90,8 @@ def category_list(best_sellers: DataFrame) -> DataFrame:
 
     At most as many entries as best sellers were asked for.
     """
-    ranked = best_sellers.where(F.col("category").isNotNull()).groupBy("category").agg(
+    named = F.col("category").isNotNull() & (F.trim("category") != "")
+    ranked = best_sellers.where(named).groupBy("category").agg(
         F.min("rank").alias("rank")
     )
     entry = F.struct((-F.length("category")).alias("size"), "rank", "category")

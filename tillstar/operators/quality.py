@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.functions.numbers import ratio
+from tillstar.functions.numbers import MONEY, ratio
 from tillstar.operators.joins import orphans
 from tillstar.operators.reshape import union_all
 
@@ -289,7 +289,7 @@ def profile(
 ) -> DataFrame:
     """Table profile in one aggregate, with the number of kinds of issue found."""
     today = F.current_date() if today is None else today
-    money = F.col(amount).cast("decimal(18,2)")
+    money = F.col(amount).cast(MONEY)
     one = df.agg(
         F.count("*").alias("total_records"),
         F.countDistinct(user).alias("unique_users"),

@@ -5,7 +5,6 @@ Intervals are half open: `valid_from` <= day < `valid_to`, `valid_to` null while
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,16 +13,16 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.joins import null_spread, zero_of
 
-END_OF_TIME = dt.date(9999, 12, 31)
-
 
 def scd2_from_versions(df: DataFrame, keys: Sequence[str], valid_from: str) -> DataFrame:
     """Add `valid_to` and `is_current` to a table of dated versions.
 
-    A key has at most one version per day, so its window partition is bounded
-    by the days of history however many facts the key has.
+    Versions of a key that start at the same time follow in the order of the other columns;
+    all but the last are valid for no time. The window partition is bounded by the
+    versions of the key however many facts the key has.
     """
-    window = Window.partitionBy(*keys).orderBy(valid_from)
+    others = [c for c in df.columns if c not in (*keys, valid_from)]
+    window = Window.partitionBy(*keys).orderBy(valid_from, *others)
     following = F.lead(valid_from).over(window)
     return df.withColumn("valid_to", following).withColumn(
         "is_current", F.col("valid_to").isNull()
@@ -55,7 +54,7 @@ def as_of_join(
     right = dim.select(
         F.col(key).alias("__key"),
         F.col("valid_from").cast("date").alias("__from"),
-        F.coalesce(F.col("valid_to").cast("date"), F.lit(END_OF_TIME)).alias("__to"),
+        F.col("valid_to").cast("date").alias("__to"),
         *wanted,
     )
     if how == "inner":
@@ -68,7 +67,9 @@ def as_of_join(
             left = left.withColumn("__spread", null_spread(F.col(key).isNull(), spread_by))
             right = right.withColumn("__zero", zero_of("__key"))
             condition = condition & (F.col("__spread") == F.col("__zero"))
-    inside = (F.col(at) >= F.col("__from")) & (F.col(at) < F.col("__to"))
+    inside = (F.col(at) >= F.col("__from")) & (
+        F.col("__to").isNull() | (F.col(at) < F.col("__to"))
+    )
     return left.join(right, condition & inside, how).drop(
         "__key", "__from", "__to", "__spread", "__zero"
     )

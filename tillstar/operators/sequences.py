@@ -4,39 +4,67 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str | Column]) -> DataFrame:
+def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> DataFrame:
     """Add `sequence`, `prev_day` and `first_day` to each event of a key, by day then `ties`.
 
     A window over the whole key would put a hot key's events in one task. Events
-    are numbered within key and day; the counts per day, at most one row per key
-    and day, are summed over the key and joined back. The events are read twice
-    and should be a stored table. Rows without key or day are left out.
+    are numbered within key, day and all ties but the last; the sizes of these groups are
+    summed over the day, those of days over the key, and joined back. So a busy
+    day spreads over its groups, and no window holds more than the groups of a day or
+    the days of a key. The events are read twice and should be a stored table.
+    Rows without key or day are left out.
     """
+    group = [key, day, *ties[:-1]]
+    parts = (
+        df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+        .groupBy(*group)
+        .agg(F.count("*").alias("__n"))
+    )
+    within = Window.partitionBy(key, day).orderBy(*ties[:-1])
+    if len(ties) > 1:
+        within = within.rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(within), F.lit(0)))
+    else:
+        parts = parts.withColumn("__before", F.lit(0))
     across = Window.partitionBy(key).orderBy(day)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     days = (
-        df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
-        .groupBy(key, day)
-        .agg(F.count("*").alias("__n"))
+        parts.groupBy(key, day)
+        .agg(F.sum("__n").alias("__n"))
         .select(
             F.col(key).alias("__key"),
             F.col(day).alias("__day"),
             F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
-            F.lag(day).over(across).alias("__before"),
+            F.lag(day).over(across).alias("__last_day"),
             F.first(day).over(across).alias("first_day"),
         )
     )
-    inside = Window.partitionBy(key, day).orderBy(*ties)
+    if len(ties) > 1:
+        same_day = (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day"))
+        known = parts.join(days, same_day).select(
+            "__key", "__day", *[F.col(t).alias(f"__{t}") for t in ties[:-1]], "__last_day",
+            "first_day", "__before", (F.col("__offset") + F.col("__before")).alias("__offset"),
+        )
+    else:
+        known = days.withColumn("__before", F.lit(0))
+    same = (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day"))
+    for tie in ties[:-1]:
+        same = same & F.col(tie).eqNullSafe(F.col(f"__{tie}"))
+    inside = Window.partitionBy(*group).orderBy(ties[-1])
+    opens = (F.col("__place") == 1) & (F.col("__before") == 0)
     return (
-        df.join(days, (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day")))
+        df.join(known, same)
         .withColumn("__place", F.row_number().over(inside))
         .withColumn("sequence", (F.col("__place") + F.col("__offset")).cast("bigint"))
-        .withColumn("prev_day", F.when(F.col("__place") == 1, F.col("__before")).otherwise(F.col(day)))
-        .drop("__key", "__day", "__offset", "__before", "__place")
+        .withColumn("prev_day", F.when(opens, F.col("__last_day")).otherwise(F.col(day)))
+        .drop(
+            "__key", "__day", "__offset", "__before", "__last_day", "__place",
+            *[f"__{t}" for t in ties[:-1]],
+        )
     )
 
 
@@ -51,7 +79,7 @@ def running_totals(
 
     Both sides hold one row per key and day, so a key's window is bounded by days.
     """
-    zero = [F.lit(None).cast("decimal(28,2)").alias(f"__{t}") for t in totals]
+    zero = [F.lit(None).cast("decimal(38,6)").alias(f"__{t}") for t in totals]
     tagged = marks.select("*", *zero, F.lit(1).alias("__mark"))
     blank = [
         F.col(c) if c in (key, day) else F.lit(None).cast(marks.schema[c].dataType).alias(c)
@@ -59,7 +87,7 @@ def running_totals(
     ]
     fed = amounts.select(
         *blank,
-        *[F.col(t).cast("decimal(28,2)").alias(f"__{t}") for t in totals],
+        *[F.col(t).cast("decimal(38,6)").alias(f"__{t}") for t in totals],
         F.lit(0).alias("__mark"),
     )
     upto = (

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.functions.numbers import MONEY
 from tillstar.operators import quality as q
 from tillstar.operators.joins import left_lookup, orphans
 from tillstar.operators.reshape import union_all
@@ -246,14 +247,13 @@ def source_invariants(frames: Mapping[str, DataFrame]) -> DataFrame:
         return df.agg(broken).select(F.lit(name).alias("invariant"), "violations")
 
     headers, units = frames["transactions"], frames["transactionsanditems"]
-    money = "decimal(18,2)"
     sums = units.groupBy("transaction_id").agg(
-        F.sum((F.col("item_price") * F.col("item_quantity")).cast(money)).alias("unit_sum")
+        F.sum((F.col("item_price") * F.col("item_quantity")).cast(MONEY)).alias("unit_sum")
     )
     summed = left_lookup(headers, sums, "transaction_id", spread_by="session_id")
-    off_sum = F.abs(F.col("transaction_revenue").cast(money) - F.coalesce("unit_sum", F.lit(0)))
+    off_sum = F.abs(F.col("transaction_revenue").cast(MONEY) - F.coalesce("unit_sum", F.lit(0)))
     parts = [
-        count("order revenue is the sum of its units", summed, off_sum >= F.lit(0.01).cast(money)),
+        count("order revenue is the sum of its units", summed, off_sum >= F.lit(0.01).cast(MONEY)),
         count(
             "order total is revenue plus shipping", headers,
             F.abs(

@@ -47,7 +47,10 @@ def date(
 
 
 def users(stg_users: DataFrame) -> DataFrame:
-    """Customer versions with validity intervals; the tier counts only for members."""
+    """Customer versions with validity intervals; the tier counts only for members.
+
+    Of versions that start on one day only the last is kept, so that the key is unique.
+    """
     named = stg_users.where(F.col("customer_id").isNotNull()).select(
         "customer_id", "city",
         F.col("user_gender").alias("gender"),
@@ -59,7 +62,9 @@ def users(stg_users: DataFrame) -> DataFrame:
         F.col("total_revenue").alias("lifetime_value"),
         F.col("valid_from").cast("timestamp").alias("valid_from"),
     )
-    versions = scd2_from_versions(named, ["customer_id"], "valid_from")
+    versions = scd2_from_versions(named, ["customer_id"], "valid_from").where(
+        F.col("valid_to").isNull() | (F.col("valid_to") != F.col("valid_from"))
+    )
     start_day = F.col("valid_from").cast("date")
     return versions.select(conformed_key("customer_id", start_day).alias("user_key"), "*")
 
@@ -77,25 +82,33 @@ def products(
 ) -> DataFrame:
     """Products with price, cost and margin; one open version each, starting at the build.
 
-    The key hashes the product alone, so it does not change from build to build.
+    The key hashes the product alone, so it does not change from build to build. Of
+    several list prices or costs of a product the highest counts.
     """
     start = F.current_timestamp() if valid_from is None else valid_from.cast("timestamp")
     base = attributes.select(
         safe_int(F.col("item_id")).alias("product_id"),
         F.col("item_brand").alias("brand"),
         F.col("item_name").alias("name"),
+        F.col("item_main_category").alias("main_category"),
         F.col("item_sub_category").alias("sub_category"),
         F.col("item_gender").alias("gender_target"),
     )
-    priced = base.join(
-        list_prices.where(F.col("product_id").isNotNull()), "product_id", "left"
-    ).join(costs.where(F.col("product_id").isNotNull()), "product_id", "left")
+
+    def highest(df: DataFrame, amount: str) -> DataFrame:
+        known = df.where(F.col("product_id").isNotNull())
+        return known.groupBy("product_id").agg(F.max(amount).alias(amount))
+
+    priced = base.join(highest(list_prices, "list_price"), "product_id", "left").join(
+        highest(costs, "product_cost"), "product_id", "left"
+    )
     list_price = F.coalesce("list_price", F.lit(0.0))
     unit_cost = F.coalesce("product_cost", F.lit(0.0))
     return priced.select(
         conformed_key("product_id").alias("product_key"),
         "product_id",
         conformed_key("brand").alias("brand_key"),
+        conformed_key("main_category").alias("main_category_key"),
         conformed_key("sub_category").alias("sub_category_key"),
         "name", "gender_target",
         list_price.alias("list_price"),

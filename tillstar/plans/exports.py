@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from tillstar.functions.dates import sunday_week
 from tillstar.functions.keys import date_from_key
 from tillstar.functions.numbers import MONEY, money_sum, percent, ratio
+from tillstar.operators.joins import left_lookup
 
 
 def session_sources(fct_sessions: DataFrame, dim_source: DataFrame) -> DataFrame:
     """Sessions with the name of their source."""
     names = dim_source.select("source_key", "source")
-    return fct_sessions.select("session_id", "date_key", "source_key").join(
-        names, "source_key", "left"
-    )
+    visits = fct_sessions.select("session_id", "date_key", "source_key")
+    return left_lookup(visits, names, "source_key", spread_by="session_id")
 
 
 def daily_sales(fct_transactions: DataFrame, sourced_sessions: DataFrame) -> DataFrame:
@@ -25,7 +25,7 @@ def daily_sales(fct_transactions: DataFrame, sourced_sessions: DataFrame) -> Dat
     )
     origin = sourced_sessions.select("session_id", "source")
     return (
-        orders.join(origin, "session_id", "left")
+        left_lookup(orders, origin, "session_id", spread_by="transaction_id")
         .groupBy("date_key", "source")
         .agg(
             F.sum("total").cast("double").alias("daily_transaction_total"),
@@ -66,11 +66,18 @@ def daily_spend_metrics(
     ).distinct()
 
 
-def weekly_brand_sales(rpt_transactions: DataFrame) -> DataFrame:
+def weekly_brand_sales(units: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Sales per brand and week; units are summed per product and day before they meet the
+    catalog (`marts.product_catalog`)."""
+    daily = units.groupBy("product_id", "date_key").agg(
+        F.sum(F.col("product_revenue").cast(MONEY)).alias("revenue")
+    )
+    brands = catalog.select("product_id", F.col("brand_name").alias("product_brand"))
+    named = left_lookup(daily, brands, "product_id", spread_by="date_key")
     day = date_from_key("date_key")
-    return rpt_transactions.groupBy(
+    return named.groupBy(
         "product_brand", F.year(day).alias("year"), sunday_week(day).alias("week")
-    ).agg(money_sum(F.col("revenue")).alias("total_weekly_sales"))
+    ).agg(F.sum("revenue").cast("double").alias("total_weekly_sales"))
 
 
 def weekly_ad_spend(ad_numbers: DataFrame) -> DataFrame:

@@ -117,24 +117,38 @@ def sold_units(
 ) -> DataFrame:
     """One row per unit sold with its order, purchase time and return.
 
-    Order header, purchase time and return are each one row per key before they
-    join, so a unit is never repeated; and since their keys are known to be
-    distinct, Catalyst drops the joins whose columns nobody reads.
+    Order header, purchase times and return are each grouped to one row per key before
+    they join, so a unit is never repeated; and since their keys are known to be
+    distinct, Catalyst drops the joins whose columns nobody reads. Of headers that
+    repeat an id the largest stays. Units carry an order and an id of their own, so
+    neither join spreads missing keys: header and times both find the units
+    partitioned by order.
     """
     items = stg_items.select(
         "item_id", "transaction_id", "product_id", "date", "product_price", "product_quantity",
         F.round(F.col("product_price") * F.col("product_quantity"), 2).alias("product_revenue"),
     )
-    headers = stg_transactions.select(
-        "transaction_id", "user_cookie_id", "customer_id", "session_id", "transaction_coupon",
+    header = F.struct(
+        "user_cookie_id", "customer_id", "session_id", "transaction_coupon",
         "transaction_revenue", "transaction_shipping", "transaction_total",
         F.lit(True).alias("has_header"),
     )
-    rows = left_lookup(items, headers, "transaction_id", spread_by="item_id")
-    rows = left_lookup(
-        rows, purchase_times(stg_events), ["transaction_id", "product_id"], spread_by="item_id"
+    headers = (
+        stg_transactions.where(F.col("transaction_id").isNotNull())
+        .groupBy("transaction_id")
+        .agg(F.max(header).alias("header"))
+        .select("transaction_id", "header.*")
     )
-    rows = left_lookup(rows, returns_per_item(stg_returns), "item_id", spread_by="product_id")
+    times = (
+        purchase_times(stg_events)
+        .groupBy("transaction_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("product_id", "event_time"))).alias("times"))
+    )
+    rows = left_lookup(items, headers, "transaction_id")
+    rows = left_lookup(rows, times, "transaction_id").withColumn(
+        "event_time", F.try_element_at("times", F.col("product_id"))
+    )
+    rows = left_lookup(rows, returns_per_item(stg_returns), "item_id")
 
     returned = F.coalesce("return_quantity", F.lit(0.0))
     return rows.select(

@@ -16,7 +16,7 @@ from tillstar.operators.scd import as_of_join, current
 from tillstar.operators.sequences import running_totals, sequence_events
 
 
-def _product_attributes(
+def product_catalog(
     dim_products: DataFrame,
     dim_brand: DataFrame,
     dim_sub_category: DataFrame,
@@ -24,15 +24,16 @@ def _product_attributes(
 ) -> DataFrame:
     """Current products with the names of their brand and categories.
 
-    The chain product -> sub -> main is resolved once per product, not per fact row.
+    The chain product -> sub -> main is resolved once per product, not per fact row, and
+    by the product's own main category: a sub-category under two mains repeats no product.
     """
     named = current(dim_products).select(
         "product_id", "name", "gender_target", "list_price", "unit_cost", "brand_key",
-        "sub_category_key",
+        "sub_category_key", "main_category_key",
     )
     named = left_lookup(named, dim_brand.select("brand_key", "brand_name"), "brand_key")
     subs = dim_sub_category.select("sub_category_key", "sub_category_name", "main_category_key")
-    named = left_lookup(named, subs, "sub_category_key")
+    named = left_lookup(named, subs, ["sub_category_key", "main_category_key"])
     mains = dim_main_category.select("main_category_key", "main_category_name")
     return left_lookup(named, mains, "main_category_key")
 
@@ -48,7 +49,7 @@ def transactions(
 ) -> DataFrame:
     """Units sold (`facts.sold_units`) with date, current customer, product, cost, profit
     and refund."""
-    catalog = _product_attributes(dim_products, dim_brand, dim_sub_category, dim_main_category)
+    catalog = product_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
     customers = current(dim_users).select(
         "customer_id",
         F.col("city").alias("user_city"),
@@ -221,7 +222,7 @@ def customer_activity(
     transaction and unit. The events are read twice and should be a stored or
     settled table.
     """
-    catalog = _product_attributes(
+    catalog = product_catalog(
         dim_products, dim_brand, dim_sub_category, dim_main_category
     ).select(
         "product_id",

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import month_start
-from tillstar.functions.numbers import money_sum, ratio
+from tillstar.functions.keys import date_from_key
+from tillstar.functions.numbers import MONEY, money_sum, ratio
+from tillstar.operators.joins import left_lookup
 
 
 def monthly_channel_performance(rpt_channel: DataFrame) -> DataFrame:
@@ -24,20 +26,41 @@ def monthly_channel_performance(rpt_channel: DataFrame) -> DataFrame:
     )
 
 
-def category_profitability(rpt_transactions: DataFrame) -> DataFrame:
-    """Monthly units, revenue, profit and returns per main category."""
-    returned = F.col("return_status").isNotNull()
-    totals = rpt_transactions.groupBy(
-        month_start(F.col("transaction_date")).alias("month"), "product_main_category"
-    ).agg(
-        F.countDistinct("item_id").alias("units_sold"),
-        F.sum("quantity").alias("quantity"),
-        money_sum(F.col("revenue")).alias("revenue"),
-        money_sum(F.col("gross_profit")).alias("gross_profit"),
-        money_sum(F.col("net_revenue")).alias("net_revenue"),
+def category_profitability(units: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Monthly units, revenue, profit and returns per main category.
+
+    Units are summed per product and day before they meet the catalog
+    (`marts.product_catalog`); their ids are unique, so they are counted, not told apart.
+    """
+    refund = F.when(
+        F.col("return_status") == "Refund",
+        F.col("product_price") * F.coalesce("return_quantity", F.lit(0.0)),
+    ).otherwise(F.lit(0.0))
+    revenue, returned = F.col("product_revenue"), F.col("return_status").isNotNull()
+    daily = units.groupBy("product_id", "date_key").agg(
+        F.count("item_id").alias("units_sold"),
+        F.sum("product_quantity").alias("quantity"),
+        F.sum(F.when(revenue.isNotNull(), F.col("product_quantity"))).alias("priced_quantity"),
+        F.sum(revenue.cast(MONEY)).alias("revenue"),
+        F.sum((revenue - refund).cast(MONEY)).alias("net_revenue"),
         F.count_if(returned).alias("returned_units"),
         F.count("*").alias("rows"),
     )
+    products = catalog.select(
+        "product_id", F.col("main_category_name").alias("product_main_category"),
+        F.col("unit_cost").cast(MONEY).alias("unit_cost"),
+    )
+    named = left_lookup(daily, products, "product_id", spread_by="date_key")
+    cost = (F.col("unit_cost") * F.col("priced_quantity")).cast("decimal(38,6)")
+    totals = named.groupBy(
+        month_start(date_from_key("date_key")).alias("month"), "product_main_category"
+    ).agg(
+        *[F.sum(c).alias(c) for c in ("units_sold", "quantity")],
+        F.sum("revenue").cast("double").alias("revenue"),
+        F.sum(F.col("revenue") - cost).cast("double").alias("gross_profit"),
+        F.sum("net_revenue").cast("double").alias("net_revenue"),
+        *[F.sum(c).alias(c) for c in ("returned_units", "rows")],
+    )
     return totals.select(
         "month", "product_main_category", "units_sold", "quantity", "revenue", "gross_profit",
         "net_revenue",
@@ -47,10 +70,10 @@ def category_profitability(rpt_transactions: DataFrame) -> DataFrame:
     )
 
 
-def average_order_value(rpt_transactions: DataFrame) -> DataFrame:
+def average_order_value(units: DataFrame) -> DataFrame:
     """Orders, buyers, mean order value and revenue, from units summed to orders."""
-    orders = rpt_transactions.groupBy("transaction_id", "customer_id").agg(
-        F.sum(F.col("revenue").cast("decimal(18,2)")).alias("order_revenue")
+    orders = units.groupBy("transaction_id", "customer_id").agg(
+        F.sum(F.col("product_revenue").cast(MONEY)).alias("order_revenue")
     )
     buyers = orders.groupBy("customer_id").agg(
         F.count("*").alias("orders"), F.sum("order_revenue").alias("revenue"),

@@ -181,6 +181,12 @@ class Warehouse:
 
     # marts
 
+    @cached_property
+    def product_catalog(self):
+        return marts.product_catalog(
+            self.dim_products, self.dim_brand, self.dim_sub_category, self.dim_main_category
+        )
+
     @cached_property
     def rpt_transactions(self):
         return marts.transactions(
@@ -235,7 +241,7 @@ class Warehouse:
 
     @cached_property
     def weekly_brand_sales(self):
-        return exports.weekly_brand_sales(self.rpt_transactions)
+        return exports.weekly_brand_sales(self.sold_units, self.product_catalog)
 
     @cached_property
     def weekly_ad_spend(self):
@@ -251,11 +257,11 @@ class Warehouse:
 
     @cached_property
     def category_profitability(self):
-        return reports.category_profitability(self.rpt_transactions)
+        return reports.category_profitability(self.sold_units, self.product_catalog)
 
     @cached_property
     def average_order_value(self):
-        return reports.average_order_value(self.rpt_transactions)
+        return reports.average_order_value(self.sold_units)
 
     @cached_property
     def activity_mix(self):

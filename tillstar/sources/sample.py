@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.functions.keys import conformed_key
+from tillstar.functions.numbers import money_sum
 from tillstar.sources.schemas import AD_PLATFORMS, RETAIL_TABLES
 
 GENDERS = ["M", "F", "Non-binary", "Unknown"]
@@ -43,22 +44,8 @@ def pick(values: list[str], index: Column) -> Column:
     return F.element_at(array, (F.pmod(index, F.lit(len(values))) + 1).cast("int"))
 
 
-# Tables that queries compute on, and the column their rows are spread by.
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A sample table.
-
-    A small file is one split, and one task would do all the work up to the
-    first shuffle. Tables of fewer splits than cores are spread by key; larger
-    ones are read as they are.
-    """
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, SPREAD_BY[name])
-    return df
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 class _Sample(Mapping):
@@ -382,11 +369,11 @@ class EventSources(_Sample):
         metrics = []
         for slot, platform in enumerate(AD_PLATFORMS):
             mine = F.pmod("k", F.lit(len(AD_PLATFORMS))) == slot
-            cents = F.when(mine, F.col("value")).cast("decimal(18,2)")
+            cost = F.when(mine, F.col("value"))
             metrics += [
                 F.count_if(mine & (F.col("event_type") == "view")).alias(f"{platform}_impressions"),
                 F.count_if(mine & (F.col("event_type") == "click")).alias(f"{platform}_clicks"),
-                F.sum(cents).cast("double").alias(f"{platform}_cost"),
+                money_sum(cost).alias(f"{platform}_cost"),
             ]
         return self.events.groupBy(F.col("day").alias("date")).agg(*metrics)
 

@@ -66,8 +66,9 @@ def shingles(text: str | None, size: int) -> np.ndarray:
         return np.zeros(0, np.uint64)
     if len(_words) > CACHE:
         _words.clear()
-    for word in set(words) - _words.keys():
-        _words[word] = xxhash.xxh3_64_intdigest(word)
+    for word in words:
+        if word not in _words:
+            _words[word] = xxhash.xxh3_64_intdigest(word)
     hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
     width = min(size, len(words))
     count = len(words) - width + 1

@@ -7,11 +7,8 @@ tables, `e_` blocks the web event shape.
 
 from __future__ import annotations
 
-from tillstar.functions import classify
-from tillstar.operators import listings as lst
-from tillstar.operators import quality as q
-from tillstar.plans import checks
-from tillstar.sources.schemas import AD_PLATFORMS
+from contract import values
+from contract.values import AD_PLATFORMS
 
 BUILD_DAY = "DATE '2024-02-01'"
 
@@ -187,7 +184,7 @@ LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""")
 block("e_stg_sessions", "e_raw_sessions", f"""
 SELECT session_id, min(date) AS start_date, max(date) AS end_date, count(*) AS session_count,
        min(user_cookie_id) AS user_cookie_id, min(customer_id) AS customer_id, min(city) AS city,
-       min({grouped('lower(trim(traffic_source))', classify.TRAFFIC_SOURCES, 'traffic_source')})
+       min({grouped('lower(trim(traffic_source))', values.TRAFFIC_SOURCES, 'traffic_source')})
          AS traffic_source,
        min(traffic_medium) AS traffic_medium, min(device_category) AS device_category
 FROM e_raw_sessions GROUP BY session_id""")
@@ -396,7 +393,7 @@ SELECT row_number() OVER (ORDER BY {column}) AS {name}_key, {column} AS {value},
 FROM e_stg_sessions WHERE {column} IS NOT NULL GROUP BY {column}""")
 block("dim_ad", "e_ad", f"""
 SELECT {key('ad_platform')} AS platform_key, ad_platform AS platform_name,
-       {grouped('lower(ad_platform)', classify.AD_CHANNELS, "'Other'")} AS channel_type,
+       {grouped('lower(ad_platform)', values.AD_CHANNELS, "'Other'")} AS channel_type,
        min(date) AS first_seen, max(date) AS last_seen
 FROM e_ad GROUP BY ad_platform""")
 block("fct_ad", "e_ad", f"""
@@ -503,16 +500,16 @@ FROM (SELECT p.brand, p.sub_category AS category, CAST(sum(i.product_quantity) A
       GROUP BY ALL
       ORDER BY total_items_sold DESC, brand, category LIMIT 100)""")
 dropped = "lower(trim(coalesce(search_term, '')))"
-for word in lst.LEADING_WORDS:
+for word in values.LEADING_WORDS:
     dropped = f"regexp_replace({dropped}, '^{word} +', '')"
 before = "trim(substr(term, 1, CAST(instr(term, lower(found)) AS BIGINT) - 1))"
-for word in lst.LEADING_WORDS:
+for word in values.LEADING_WORDS:
     before = f"regexp_replace({before}, '^{word} +', '')"
-by_length = sorted(lst.KNOWN_BRANDS, key=len, reverse=True)
-child_words = texts(lst.GENDER_WORDS["kids"])
+by_length = sorted(values.KNOWN_BRANDS, key=len, reverse=True)
+child_words = texts(values.GENDER_WORDS["kids"])
 gender_cases = {
     g: f"len(list_filter([{texts(words)}], lambda w: contains(lower(coalesce(search_term, '')), w))) > 0"
-    for g, words in lst.GENDER_WORDS.items()
+    for g, words in values.GENDER_WORDS.items()
 }
 block("parsed", "raw_listings best", f"""
 SELECT id, search_term, title, price, currency, condition, url,
@@ -633,7 +630,7 @@ class Lines:
 
 def injected(text: str) -> str:
     hits = " OR ".join(
-        f"regexp_matches({text}, '{p.replace(chr(39), chr(39) * 2)}')" for p in q.INJECTION_PATTERNS
+        f"regexp_matches({text}, '{p.replace(chr(39), chr(39) * 2)}')" for p in values.INJECTION_PATTERNS
     )
     return f"{text} IS NOT NULL AND trim({text}) <> '' AND ({hits})"
 
@@ -661,8 +658,8 @@ def source_lines() -> list[str]:
         for metric in ("clicks", "cost", "impressions"):
             t.between("adplatform_data", f"{name}_{metric}", "0")
     t.filled("funnelevents", "date", "event_name", "event_time", "session_id")
-    t.values("funnelevents", "device_category", checks.DEVICES, **WARN)
-    t.values("funnelevents", "event_name", checks.EVENTS, **WARN)
+    t.values("funnelevents", "device_category", values.DEVICES, **WARN)
+    t.values("funnelevents", "event_name", values.EVENTS, **WARN)
     for table, column in (("product_costs", "cost_of_item"), ("product_listprices", "item_list_price")):
         t.together(table, "item_id")
         t.filled(table, column, "item_id")
@@ -672,12 +669,12 @@ def source_lines() -> list[str]:
     t.filled("product_returns", "return_date", "transaction_id", "item_id", "product_id")
     t.dated("product_returns", "return_date")
     t.between("product_returns", "return_quantity", "0")
-    t.values("product_returns", "return_status", checks.RETURN_STATUSES, **WARN)
+    t.values("product_returns", "return_status", values.RETURN_STATUSES, **WARN)
     t.keyed("productattributes", "item_id")
     t.filled("sessions", "date", "session_id")
     t.dated("sessions", "date")
-    t.values("sessions", "device_category", checks.DEVICES, **WARN)
-    t.values("sessions", "traffic_medium", checks.TRAFFIC_MEDIUMS, **WARN)
+    t.values("sessions", "device_category", values.DEVICES, **WARN)
+    t.values("sessions", "traffic_medium", values.TRAFFIC_MEDIUMS, **WARN)
     t.together("transactions", "transaction_id")
     t.filled("transactions", "transaction_id", "date", "session_id")
     t.once("transactions", "transaction_id")
@@ -692,7 +689,7 @@ def source_lines() -> list[str]:
     t.together("users", "customer_id", "valid_from")
     t.filled("users", "customer_id", "valid_from")
     t.clean("users", "customer_id", **WARN)
-    t.values("users", "user_gender", checks.USER_GENDERS, **WARN)
+    t.values("users", "user_gender", values.USER_GENDERS, **WARN)
     t.clean("users", "user_gender", **WARN)
     return t.lines
 
@@ -704,9 +701,9 @@ def listing_lines() -> list[str]:
     t.once(table, "id")
     t.filled(table, "id", "title", "url", "transformation_timestamp")
     t.between(table, "price", "0")
-    t.values(table, "currency", checks.CURRENCIES, **WARN)
-    t.values(table, "condition", checks.LISTING_CONDITIONS, **WARN)
-    t.values(table, "gender", checks.LISTING_GENDERS, **WARN)
+    t.values(table, "currency", values.CURRENCIES, **WARN)
+    t.values(table, "condition", values.LISTING_CONDITIONS, **WARN)
+    t.values(table, "gender", values.LISTING_GENDERS, **WARN)
     return t.lines
 
 
@@ -798,8 +795,8 @@ def mart_lines() -> list[str]:
         "activity_timestamp", "customer_state_at_time", "customer_version_key", "change_type",
         "customer_activity_sequence", "customer_tenure_days",
     )
-    t.values("rpt_customer_activity", "activity_type", checks.ACTIVITY_TYPES)
-    t.values("rpt_customer_activity", "customer_state_at_time", checks.CUSTOMER_STATES)
+    t.values("rpt_customer_activity", "activity_type", values.ACTIVITY_TYPES)
+    t.values("rpt_customer_activity", "customer_state_at_time", values.CUSTOMER_STATES)
     t.filled("rpt_daily_channel_performance", "date")
     return t.lines
 
@@ -857,9 +854,9 @@ def gate_sql() -> str:
             f"WHERE p.{parent_column} = c.{column}))"
         )
     for name, sql, column, allowed in (
-        ("users", "o_users", "user_gender", checks.USER_GENDERS),
-        ("sessions", "e_raw_sessions", "device_category", checks.DEVICES),
-        ("product_returns", "o_returns", "return_status", checks.RETURN_STATUSES),
+        ("users", "o_users", "user_gender", values.USER_GENDERS),
+        ("sessions", "e_raw_sessions", "device_category", values.DEVICES),
+        ("product_returns", "o_returns", "return_status", values.RETURN_STATUSES),
     ):
         lines.append(
             f"SELECT 'unexpected_values', '{name}.{column}', (SELECT count(*) FROM {sql} "
@@ -962,10 +959,10 @@ SELECT DISTINCT {key('region', 'country')} AS region_key, region AS region_name,
     "dim_geo": ("dim_geo", "SELECT * FROM dim_geo"),
     "dim_source": ("dim_source", "SELECT * FROM dim_source"),
     "dim_medium": ("dim_medium", f"""
-SELECT *, {grouped('lower(medium)', classify.MEDIUM_CATEGORIES, "'Other'")} AS medium_category
+SELECT *, {grouped('lower(medium)', values.MEDIUM_CATEGORIES, "'Other'")} AS medium_category
 FROM dim_medium"""),
     "dim_devices": ("dim_device", f"""
-SELECT *, {grouped('lower(device_category)', classify.DEVICE_TYPES, "'Other'")} AS device_type,
+SELECT *, {grouped('lower(device_category)', values.DEVICE_TYPES, "'Other'")} AS device_type,
        'Unknown' AS browser, 'Unknown' AS os FROM dim_device"""),
     "dim_ad_platform": ("dim_ad", "SELECT * FROM dim_ad"),
     "ad_channels_custom": ("dim_ad", """
@@ -1085,12 +1082,15 @@ SELECT p_partkey, {title("replace(p_name, ' ', '-') || '''' || lower(p_brand)")}
 FROM part"""),
     "source_names": ("e_raw_sessions", f"""
 SELECT traffic_source, count(*) AS session_rows,
-       {grouped('lower(trim(traffic_source))', classify.TRAFFIC_SOURCES, 'traffic_source')} AS source
+       {grouped('lower(trim(traffic_source))', values.TRAFFIC_SOURCES, 'traffic_source')} AS source
 FROM e_raw_sessions GROUP BY traffic_source"""),
     "agent_rules": ("", f"""
-SELECT page_id, {by_substring('url', classify.BROWSERS, "coalesce(url, 'Unknown')")} AS browser,
-       {by_substring('url', classify.OPERATING_SYSTEMS, "coalesce(url, 'Unknown')")} AS os
-FROM pages"""),
+SELECT page_id, {by_substring('agent', values.BROWSERS, "coalesce(agent, 'Unknown')")} AS browser,
+       {by_substring('agent', values.OPERATING_SYSTEMS, "coalesce(agent, 'Unknown')")} AS os
+FROM (SELECT page_id, CASE WHEN page_id % 53 > 0 THEN
+        {pick(values.AGENT_BROWSERS, 'page_id')} || ' ' ||
+        {pick(values.AGENT_SYSTEMS, 'page_id // 7')} END AS agent
+      FROM pages)"""),
     "unit_explosion": ("o_items", f"""
 SELECT {key('item_id', 'unit_no')} AS unit_id, CAST(transaction_id AS VARCHAR) AS transaction_id,
        CAST(product_id AS VARCHAR) AS product_id, unit_no, product_price AS item_price,
@@ -1290,10 +1290,11 @@ WHERE issue IS NOT NULL"""),
 SELECT CAST(customer_id AS VARCHAR) AS natural_key, 'NO_CURRENT_RECORD' AS issue_type,
        count(*) FILTER (is_current) AS issue_count
 FROM o_dim_users GROUP BY customer_id HAVING count(*) FILTER (is_current) <> 1"""),
-    "check_activity_timeline": ("o_changes o_bought o_dim_users", """
-WITH a AS (SELECT customer_id, activity_type, activity_date - 7 AS day, customer_version_key
-           FROM o_changes UNION ALL
-           SELECT customer_id, activity_type, activity_date - 7, customer_version_key FROM o_bought)
+    "check_activity_timeline": ("o_activity o_dim_users", """
+WITH a AS (SELECT customer_id, activity_type, activity_date - 7 AS day, customer_version_key,
+                  customer_activity_sequence AS place
+           FROM o_activity
+           WHERE NOT (customer_activity_sequence = 1 AND customer_id % 3 = 0))
 SELECT CAST(a.customer_id AS VARCHAR) AS customer_id, CAST(a.day AS VARCHAR) AS activity_date,
        CAST(a.customer_version_key AS VARCHAR) AS customer_version_key,
        'INVALID_SCD_JOIN' AS failure_reason
@@ -1302,7 +1303,7 @@ WHERE a.activity_type = 'transaction'
   AND NOT (a.day >= u.valid_from AND (u.valid_to IS NULL OR a.day < u.valid_to))
 UNION ALL
 SELECT CAST(customer_id AS VARCHAR), 'N/A', 'N/A', 'INVALID_CUSTOMER_SEQUENCE'
-FROM a GROUP BY customer_id HAVING count(*) > 1"""),
+FROM a GROUP BY customer_id HAVING count(*) > 1 AND max(place) <> count(*)"""),
     "source_gate": ("e_ad_wide e_events e_raw_sessions o_returns o_users o_transactions o_items",
                     gate_sql()),
     "source_invariants": ("o_transactions o_items e_ad_wide products e_raw_sessions o_users",

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contract import values
 from tillstar.functions import classify
 from tillstar.functions.dates import (
     is_holiday, is_weekend, month_start, noon, seconds_between, sunday_week, time_of_day,
@@ -24,7 +25,9 @@ from tillstar.operators.sequences import sequence_events
 from tillstar.operators.sessions import page_view_kinds_metrics, session_metrics
 from tillstar.plans import checks, dims, exports, facts, marts, staging
 from tillstar.plans.warehouse import Warehouse, competitor_star
-from tillstar.sources.sample import EventSources, OrderSources, listing_json, raw_listings
+from tillstar.sources.sample import (
+    EventSources, OrderSources, listing_json, pick, raw_listings,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,11 +196,18 @@ def source_names(spark, folder):
 
 
 def agent_rules(spark, folder):
-    """Ordered substring rules over page addresses."""
-    return _table(spark, folder, "pages").select(
+    """Ordered substring rules over the agents of page requests; some name several browsers
+    or systems, some none, and some pages have no agent."""
+    page = F.col("page_id")
+    agent = F.when(
+        page % 53 > 0,
+        F.concat_ws(" ", pick(values.AGENT_BROWSERS, page),
+                    pick(values.AGENT_SYSTEMS, F.floor(page / 7))),
+    )
+    return _table(spark, folder, "pages").select("page_id", agent.alias("agent")).select(
         "page_id",
-        classify.browser(F.col("url")).alias("browser"),
-        classify.operating_system(F.col("url")).alias("os"),
+        classify.browser(F.col("agent")).alias("browser"),
+        classify.operating_system(F.col("agent")).alias("os"),
     )
 
 
@@ -539,12 +549,13 @@ def check_users_timeline(spark, folder):
 
 
 def check_activity_timeline(spark, folder):
-    """Activity with its dates moved back a week, against the customer versions."""
+    """Activity moved back a week and without the first purchase of every third customer,
+    against the customer versions."""
     house = order_house(spark, folder).settle("dim_users", "activity_events")
-    activity = house.activity_events
-    moved = activity.withColumn("activity_date", F.date_sub("activity_date", 7))
-    numbered = moved.withColumn("customer_activity_sequence", F.lit(1))
-    return q.activity_timeline(numbered, house.dim_users)
+    first = (F.col("customer_activity_sequence") == 1) & (F.col("customer_id") % 3 == 0)
+    kept = house.rpt_customer_activity.where(~first)
+    moved = kept.withColumn("activity_date", F.date_sub("activity_date", 7))
+    return q.activity_timeline(moved, house.dim_users)
 
 
 def source_gate(spark, folder):

@@ -179,8 +179,14 @@ def test_full_build(spark, house):
     assert spark.table("unit_marts.rpt_transactions").count() == 4
     assert spark.table("unit_staging.stg_users").count() == 4
     assert spark.table("stg_transactions").count() == 2
-    same = house.rpt_customer_activity.select(built.rpt_customer_activity.columns)
-    assert built.rpt_customer_activity.exceptAll(same).count() == 0
+    stored = built.rpt_customer_activity.drop("year_part")
+    assert stored.exceptAll(house.rpt_customer_activity.select(stored.columns)).count() == 0
+    window = built.channel_performance(D(2024, 1, 1), D(2024, 1, 31))
+    assert window.count() == 1
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    for table in ("fct_sessions", "fct_transactions"):
+        scan = next(x for x in plan.split("FileScan") if f"unit_core.{table}" in x)
+        assert "year_part" in scan.split("PartitionFilters: [")[1].split("]")[0]
     schema = spark.table("unit_core.fct_sessions").schema
     assert schema["page_views"].metadata["comment"] == "Number of page views"
     assert warehouse.STAGING is STAGING

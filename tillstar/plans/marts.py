@@ -239,7 +239,7 @@ def customer_activity(
         F.col("is_weekend").alias("activity_is_weekend"),
     )
     ordered = sequence_events(
-        events, "customer_id", "activity_date", ["activity_type", "transaction_id", "item_id"]
+        events.drop("year_part"), "customer_id", "activity_date", ["activity_type", "transaction_id", "item_id"]
     )
     day = F.col("activity_date")
     timed = ordered.select(
@@ -274,8 +274,13 @@ def daily_channel_performance(
     def dated(df: DataFrame) -> DataFrame:
         if start is None:
             return df
+        by_year = "year_part" in df.columns  # a stored table, whose other years are not read
         df = df.where(F.col("date_key") >= date_key(F.lit(start)))
-        return df if end is None else df.where(F.col("date_key") <= date_key(F.lit(end)))
+        df = df.where(F.col("year_part") >= start.year) if by_year else df
+        if end is None:
+            return df
+        df = df.where(F.col("date_key") <= date_key(F.lit(end)))
+        return df.where(F.col("year_part") <= end.year) if by_year else df
 
     visits = dated(fct_sessions).where(F.col("platform_key").isNotNull())
     registered = current(dim_users).select(

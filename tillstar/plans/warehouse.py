@@ -315,11 +315,13 @@ MARTS = {
     "rpt_customer_activity": "Profile changes and purchases per customer",
     "rpt_daily_channel_performance": "Spend, visits and sales per day and platform",
 }
-# Facts and marts that grow with sales and visits are stored by year.
+# Facts and marts that grow with sales and visits are stored by year, in `year_part`.
 BY_YEAR = {
     "fct_sessions": "date_key",
     "fct_transactions": "date_key",
     "rpt_transactions": "date_key",
+    "activity_events": "activity_date",
+    "rpt_customer_activity": "activity_date",
 }
 
 
@@ -349,10 +351,14 @@ def build(
             df = commented(getattr(house, name), comments.get(name, {}))
             parts: tuple[str, ...] = ()
             if name in BY_YEAR:
-                df = df.withColumn("year_part", F.floor(F.col(BY_YEAR[name]) / 10000).cast("int"))
+                day = F.col(BY_YEAR[name])
+                if BY_YEAR[name] == "date_key":
+                    df = df.withColumn("year_part", F.floor(day / 10000).cast("int"))
+                else:
+                    df = df.withColumn("year_part", F.year(day))
                 parts = ("year_part",)
             stored = write(df, f"{database}.{name}", partition_by=parts, comment=text)
-            house.store(name, stored.drop("year_part"))
+            house.store(name, stored)
     return house
 
 

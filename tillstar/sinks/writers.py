@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
-import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -17,26 +17,29 @@ PRODUCTION = {"staging": "dev_warehouse", "core": "dev_warehouse", "marts": "war
 COMMENT_LIMIT = 1024
 
 
-def target_database(layer: str | None, env: str, base: str) -> str:
+def target_database(
+    layer: str | None, env: str, base: str, production: Mapping[str, str] = PRODUCTION
+) -> str:
     """Database a layer is written to.
 
-    Production sends staging and core to one database and marts to another;
-    other layers keep their own name. Elsewhere it is `<base>_<layer>`. Without
-    a layer it is the base.
+    In production `production` names the databases of layers; other layers keep
+    their own name. Elsewhere it is `<base>_<layer>`. Without a layer it is the base.
     """
     if layer is None:
         return base
     layer = layer.strip()
     if env == "prod":
-        return PRODUCTION.get(layer, layer)
+        return production.get(layer, layer)
     return f"{base}_{layer}"
 
 
-def commented(df: DataFrame, comments: Mapping[str, str]) -> DataFrame:
+def commented(
+    df: DataFrame, comments: Mapping[str, str], limit: int = COMMENT_LIMIT
+) -> DataFrame:
     """Attach column descriptions, cut to the catalog's limit."""
     for name, text in comments.items():
         if name in df.columns:
-            df = df.withMetadata(name, {"comment": text[:COMMENT_LIMIT]})
+            df = df.withMetadata(name, {"comment": text[:limit]})
     return df
 
 
@@ -87,17 +90,33 @@ def write_bucketed(
     return df.sparkSession.table(name)
 
 
+_kept: set[str] = set()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's `spark.checkpoint.dir`.
+    """The session's own folder for tables between steps, which every executor can reach.
 
-    Without that setting only a local session gets a folder of its own.
+    It lies in `spark.checkpoint.dir`, or in the warehouse where that is unset, and is
+    deleted when the driver ends.
     """
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
+    if folder not in _kept:
+        _kept.add(folder)
+        atexit.register(_end, spark, folder)
+    return folder
+
+
+def drop_folders(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _end(spark: SparkSession, folder: str) -> None:
+    if spark.sparkContext._jsc is not None:
+        drop_folders(spark, folder)
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -106,7 +125,7 @@ def settled(df: DataFrame) -> DataFrame:
     The rows are written to the shared folder and read back, so each reader
     scans only its columns and a lost executor never repeats the work before.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

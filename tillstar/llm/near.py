@@ -17,8 +17,9 @@ from tillstar.llm.common import TEXT, Tables, column, pieces, remote, space_word
 COMPONENTS, ERRORS = 64, 1
 #: Chance that a pair just at the similarity is further apart than the signature distance.
 MISS = 1e-5
-#: Rounds that link bucket members to a drawn member before what remains is compared in full.
-ROUNDS = 3
+#: Rounds that link bucket members to a drawn member before what remains is compared in full, and
+#: shingles of each side of a block in which it is.
+ROUNDS, BLOCK = 2, 2_000_000
 #: Words whose hashes a worker remembers; all are forgotten when there are more.
 CACHE = 1_000_000
 
@@ -145,6 +146,83 @@ def _sets(batches, size):
             )
 
 
+def _compared(table: pa.Table, percent: int) -> pa.Table:
+    """Components (a, b) that a pair of an outer and an inner node links, on full sets."""
+    outer = table["outer"].to_numpy(zero_copy_only=False).astype(bool)
+    node, comp = (table[c].to_numpy() for c in ("node", "comp"))
+    sets = table["set"].combine_chunks()
+    begins = sets.offsets.to_numpy().astype(np.int64)
+    shingle_ids, flat = np.unique(sets.values.to_numpy(), return_inverse=True)
+    flat = flat[begins[0] :] if begins[0] else flat
+    begins -= begins[0]
+    sizes = np.diff(begins)
+    inner = np.flatnonzero(~outer)
+    links = set()
+    if len(inner):
+        counts = sizes[inner]
+        start = np.cumsum(counts) - counts
+        place = np.repeat(begins[inner] - start, counts) + np.arange(counts.sum())
+        theirs = flat[place]
+        mark = np.zeros(len(shingle_ids), np.int64)
+        for x in np.flatnonzero(outer).tolist():
+            own = flat[begins[x] : begins[x + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[theirs], start)
+            mark[own] = 0
+            near = 100 * both >= percent * (counts + sizes[x] - both)
+            near &= (comp[inner] != comp[x]) & (node[inner] != node[x])
+            for other in comp[inner[near]].tolist():
+                links.add((min(int(comp[x]), other), max(int(comp[x]), other)))
+    a, b = zip(*sorted(links), strict=True) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def linked_in_families(
+    sets: DataFrame, labels: DataFrame, families: DataFrame, percent: int, block: int = BLOCK
+) -> DataFrame:
+    """Links (a, b) between components of one family, which is compared in full.
+
+    Outer nodes are those outside a family's largest component; each is compared with every
+    node of another component. Both sides are cut into blocks of about `block` shingles, and
+    every pair of blocks is a task of its own that gives links alone, so neither a large
+    family nor its pairs meet in one place.
+    """
+    members = sets.join(labels, "node").join(
+        families.withColumnRenamed("comp", "family"), "node"
+    )
+    weight = F.size("set").cast("long")
+    by_comp = members.groupBy("family", "comp").agg(
+        F.count(F.lit(1)).alias("nodes"), F.sum(weight).alias("weight")
+    )
+    plan = (
+        by_comp.groupBy("family")
+        .agg(
+            F.max(F.struct("nodes", "comp")).alias("most"),
+            F.max_by("weight", F.struct("nodes", "comp")).alias("inside"),
+            F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("comps"),
+        )
+        .where("comps > 1")
+        .select(
+            "family", F.col("most.comp").alias("major"),
+            F.ceil((F.col("weight") - F.col("inside")) / block).cast("int").alias("rows"),
+            F.ceil(F.col("weight") / block).cast("int").alias("columns"),
+        )
+    )
+    placed = members.join(plan, "family")
+    row = F.pmod(F.xxhash64("node"), F.col("rows")).cast("int")
+    column_ = F.pmod(F.xxhash64("node"), F.col("columns")).cast("int")
+    outer = placed.where("comp <> major").select(
+        "family", row.alias("row"), F.explode(F.sequence(F.lit(0), F.col("columns") - 1)).alias("column"),
+        F.lit(True).alias("outer"), "node", "comp", "set",
+    )
+    inner = placed.select(
+        "family", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"),
+        column_.alias("column"), F.lit(False).alias("outer"), "node", "comp", "set",
+    )
+    blocks = outer.unionByName(inner).groupBy("family", "row", "column")
+    return blocks.applyInArrow(remote(_compared, percent), "a long, b long").distinct()
+
+
 def _close(a: str, b: str, percent: int, most: int) -> Column:
     """Whether two members can be similar: by the bits in which their sketches differ, and by
     their sizes without `own`, the shingles that no other candidate has."""
@@ -209,8 +287,10 @@ def near_duplicates(
     3. Nodes that meet no node of like size and sketch are alone. The others' sets are written,
        and the shingles that only one of them has are counted: they bound its similarity to any.
     4. In each round every member of a bucket is compared with one drawn member, unless they are
-       connected already; the last round compares all that is not connected yet. Every
-       link is confirmed on the full sets, so that no bucket gives all its pairs.
+       connected already. Nodes that were compared form families, linked or not. The nodes
+       outside a family's largest component are compared with the whole family, in blocks
+       that give links alone; members of a bucket that are of different families are
+       compared last. Every link is confirmed on the full sets, and no bucket gives all its pairs.
 
     A text without words, null or empty, has no set and is linked with nothing: its
     component_id is its id. With fewer words than a shingle has, the whole text is one. Null ids
@@ -284,12 +364,23 @@ def near_duplicates(
     )
     alike = tables.write("alike", alike)
     labels = tables.write("labels", alike.select("node", F.col("node").alias("comp")))
+    families = labels
     for number in range(ROUNDS + 1):
-        bucket = (
-            alike.join(labels, "node")
-            .select("node", "comp", "size", "own", "sketch", F.explode("keys").alias("key"))
+        last = number == ROUNDS
+        bucket = alike.join(labels, "node")
+        if last:
+            links = tables.write(
+                "families", linked_in_families(sets, labels, families, percent)
+            )
+            labels = components(tables, labels, links, "families")
+            bucket = alike.join(labels, "node").join(
+                families.withColumnRenamed("comp", "family"), "node"
+            )
+        bucket = bucket.select(
+            "node", "comp", *["family"] * last, "size", "own", "sketch",
+            F.explode("keys").alias("key"),
         )
-        if number < ROUNDS:
+        if not last:
             # few drawn nodes at first, as most will be linked to them; then others in each bucket
             salt = F.pmod("key", F.lit(4)) if number == 0 else F.col("key")
             draw = F.xxhash64("node", salt, F.lit(number))
@@ -300,7 +391,7 @@ def near_duplicates(
             apart = F.col("x.comp") != F.col("y.comp")
         else:
             x, y = bucket.alias("x"), bucket.alias("y")
-            apart = F.col("x.comp") < F.col("y.comp")
+            apart = (F.col("x.comp") < F.col("y.comp")) & (F.col("x.family") != F.col("y.family"))
         met = (F.col("x.key") == F.col("y.key")) & apart & _close("x", "y", percent, most_bits)
         pairs = (
             x.join(y, met)
@@ -322,6 +413,16 @@ def near_duplicates(
         )
         links = tables.write(f"links{number}", linked)
         labels = components(tables, labels, links, f"round{number}")
+        if not last:
+            met_nodes = pairs.select(F.col("left").alias("a"), F.col("right").alias("b")).join(
+                families.select(F.col("node").alias("a"), F.col("comp").alias("fa")), "a"
+            ).join(families.select(F.col("node").alias("b"), F.col("comp").alias("fb")), "b")
+            joined = met_nodes.select(
+                F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")
+            ).where("a <> b").distinct()
+            families = components(
+                tables, families, tables.write(f"met{number}", joined), f"family{number}"
+            )
     grouped = nodes.join(labels, "node", "left").select(
         "digest", F.coalesce("comp", "node").alias("comp"), "first"
     )

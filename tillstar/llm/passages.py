@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.llm.common import TEXT, alnum_words, column, pieces, remote
+from tillstar.llm.common import TEXT, Tables, alnum_words, column, pieces, remote
 
 #: A unit ends with its line, or with a sentence in it; the white space after it belongs to it.
 END = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
@@ -112,12 +112,14 @@ def repeated_spans(
     ]
     where = [T.StructField(n, T.IntegerType()) for n in ("start", "end", "words")]
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "at")
-    first = (
+    # written, so that the join below has a shuffle on both sides and its hot digests can be split
+    first = Tables(df.sparkSession, "passages").write(
+        "first",
         source.mapInArrow(remote(_units, False), T.StructType(key))
         .groupBy("digest")
         .agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("times"))
         .where("times > 1")
-        .select("digest", "first")
+        .select("digest", "first"),
     )
     found = source.mapInArrow(remote(_units, True), T.StructType(key + where))
     repeated = (

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.llm import bpe, decontaminate, near, passages, toxicity
-from tillstar.llm.common import scratch
+from tillstar.sinks.writers import shared_folder
 
 #: The columns of documents; n_chars stays that of the text as it came.
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -60,7 +60,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each writes its table, which the next one reads."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{scratch(spark)}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (name, stage) in enumerate(STAGES, 1):
         path = f"{base}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)

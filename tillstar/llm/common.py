@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
 import importlib
 import sys
 import uuid
@@ -16,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillstar.sinks.writers import drop_folders, shared_folder
+
 ROOT = str(Path(__file__).resolve().parents[2])
 TEXT = "__llm_text"
 #: Bytes of text that a task works on at once; a longer text is a piece of its own.
@@ -129,28 +130,6 @@ def column(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def scratch(spark: SparkSession) -> str:
-    """Folder all executors share: `spark.checkpoint.dir`, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
-
-
-def drop(spark: SparkSession, *paths: str) -> None:
-    """Delete written tables."""
-    for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def _end(spark: SparkSession, path: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        drop(spark, path)
-
-
-_swept: set[str] = set()
-
-
 class Tables:
     """Tables that one operator writes to the shared folder, so that no later step repeats
     the work before it and a lost executor costs only its own tasks.
@@ -161,11 +140,7 @@ class Tables:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.paths: dict[str, str] = {}
-        top = scratch(spark)
-        self.base = f"{top}/{name}-{uuid.uuid4().hex}"
-        if top not in _swept:
-            _swept.add(top)
-            atexit.register(_end, spark, top)
+        self.base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.base}/{name}"
@@ -178,4 +153,4 @@ class Tables:
         return (reader.schema(schema) if schema is not None else reader).parquet(self.paths[name])
 
     def drop(self, *names: str) -> None:
-        drop(self.spark, *[self.paths.pop(n) for n in names])
+        drop_folders(self.spark, *[self.paths.pop(n) for n in names])

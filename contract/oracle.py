@@ -1242,6 +1242,39 @@ FROM (SELECT count(*) AS total_records, count(DISTINCT customer_id) AS unique_us
              count(*) FILTER (transaction_total <= 0) AS non_positive_amounts,
              count(*) FILTER (date > DATE '2001-01-01') AS future_days
       FROM o_transactions)"""),
+    "product_updates": ("", f"""
+SELECT p_partkey AS product_id, greatest(
+    CASE WHEN p_partkey % 11 > 0 THEN {BUILD_DAY} + CAST(p_partkey % 5 AS INTEGER) END,
+    CASE WHEN p_partkey % 11 > 0 AND p_partkey % 2 = 0
+         THEN {BUILD_DAY} + CAST(p_partkey % 7 AS INTEGER) END,
+    CASE WHEN p_partkey % 11 > 0 AND p_partkey % 3 > 0
+         THEN {BUILD_DAY} + CAST(p_partkey % 13 AS INTEGER) END) AS updated_on
+FROM part"""),
+    "staged_validation": ("o_transactions", """
+WITH counts AS (
+    SELECT count(*) AS total_records, count(DISTINCT customer_id) AS unique_users,
+           count(DISTINCT transaction_id) AS unique_keys,
+           count(*) - count(customer_id) AS null_users,
+           count(*) - count(transaction_id) AS null_keys,
+           count(*) - count(transaction_total) AS null_amounts,
+           count(*) FILTER (transaction_total <= 0) AS non_positive_amounts
+    FROM o_transactions),
+related AS (
+    SELECT count(*) AS total_parent_records, count(DISTINCT transaction_id) AS unique_parent_keys,
+           count(*) - count(transaction_id) AS null_parent_keys, count(*) AS total_child_records,
+           count(DISTINCT transaction_id) AS unique_child_keys,
+           count(*) - count(transaction_id) AS null_child_keys,
+           CAST(0 AS BIGINT) AS orphaned_records
+    FROM o_transactions)
+SELECT 'profile' AS step, name AS subject, value AS number
+FROM (UNPIVOT counts ON COLUMNS(*) INTO NAME name VALUE value)
+UNION ALL SELECT 'relationship', name, value
+FROM (UNPIVOT related ON COLUMNS(*) INTO NAME name VALUE value)
+UNION ALL SELECT 'null_comparison', 'customer_id', count(raw_customer) - count(customer_id)
+FROM o_transactions
+UNION ALL SELECT 'columns', unnest([
+    'date', 'user_cookie_id', 'customer_id', 'session_id', 'transaction_id', 'transaction_coupon',
+    'transaction_revenue', 'transaction_shipping', 'transaction_total']), CAST(1 AS BIGINT)"""),
     "relationship_counts": ("", """
 SELECT (SELECT count(*) FROM orders) AS total_parent_records,
        (SELECT count(DISTINCT o_custkey) FROM orders) AS unique_parent_keys,

@@ -499,6 +499,32 @@ def table_profile(spark, folder):
     return q.profile(staged, today=F.lit(dt.date(2001, 1, 1)))
 
 
+def staged_validation(spark, folder):
+    """What is looked at before a release, over all orders."""
+    src = OrderSources(spark, folder).transactions
+    return checks.validation_report(src, staging.transactions(src))
+
+
+def product_updates(spark, folder):
+    """Products with the latest update of their attributes, prices and costs, of which the
+    sources carry different ones or none."""
+    house = order_house(spark, folder)
+
+    def stamped(df, key, days):
+        number = F.col(key).cast("bigint")
+        moment = F.date_add(F.lit(BUILD_DAY), F.pmod(number, F.lit(days)).cast("int"))
+        return df.withColumn("updated_at", F.when(number % 11 > 0, moment).cast("timestamp"))
+
+    rows = dims.products(
+        stamped(house.stg_product_attributes, "item_id", 5),
+        stamped(house.stg_product_list_prices, "product_id", 7).where("product_id % 2 = 0"),
+        stamped(house.stg_product_costs, "product_id", 13).withColumn(
+            "updated_at", F.when(F.col("product_id") % 3 > 0, F.col("updated_at"))
+        ),
+    )
+    return rows.select("product_id", F.col("updated_at").cast("date").alias("updated_on"))
+
+
 def relationship_counts(spark, folder):
     parent = _table(spark, folder, "orders").select(F.col("o_custkey").alias("customer"))
     child = _table(spark, folder, "customer").select(F.col("c_custkey").alias("customer"))
@@ -605,7 +631,8 @@ def queries() -> dict[str, Query]:
         check_mart_rules, check_critical_rules, check_competitor_rules, check_null_rows,
         check_duplicate_lines, check_duplicate_days, check_orphan_sessions,
         check_accepted_values, check_numeric_range, check_text_pattern, check_injection,
-        source_freshness, null_comparison, table_profile, relationship_counts, row_counts,
+        source_freshness, null_comparison, table_profile, staged_validation, product_updates,
+        relationship_counts, row_counts,
         missing_activity_types, check_scd_integrity, check_scd_timeline, check_users_timeline,
         check_activity_timeline, source_gate, source_invariants,
     ):

@@ -229,3 +229,19 @@ def test_versions_of_one_day_become_one(spark):
     rows = Warehouse(spark, src).dim_users.collect()
     assert len(rows) == len({r.user_key for r in rows}) == 4
     assert "Aaa" not in {r.city for r in rows}
+
+
+def test_audit_columns(spark):
+    """Loaded tables carry their time; what is built from them stays the same."""
+    moment = F.lit(dt.datetime(2024, 4, 1, 12))
+    plain = Warehouse(spark, sources(spark), built_at=F.lit(D(2024, 4, 1)))
+    dated = Warehouse(spark, sources(spark), built_at=F.lit(D(2024, 4, 1)), loaded_at=moment)
+    for name in STAGING:
+        row = getattr(dated, name).first()
+        assert (row.updated_at, row.loaded_on) == (dt.datetime(2024, 4, 1, 12), D(2024, 4, 1)), name
+    assert {r.updated_at for r in dated.dim_products.collect()} == {dt.datetime(2024, 4, 1, 12)}
+    assert dated.rpt_customer_activity.where("mart_updated_at IS NULL").count() == 0
+    for name in ("dim_users", "fct_sessions", "fct_transactions", "rpt_transactions",
+                 "daily_spend_metrics", "weekly_signups"):
+        one, two = getattr(plain, name), getattr(dated, name)
+        assert one.columns == two.columns and one.exceptAll(two).count() == 0, name

@@ -336,6 +336,40 @@ STAGED_TRANSACTION_COLUMNS = [
 ]
 
 
+def validation_report(
+    transactions_src: DataFrame, stg_transactions: DataFrame
+) -> DataFrame:
+    """The findings of `validate_before_release` as rows of step, subject and number.
+
+    Numbers are the counts of the profile and of the relationship, what staging adds to the
+    nulls of a column, and 1 for an expected column that is there, else 0.
+    """
+    steps = validate_before_release(transactions_src, stg_transactions)
+    counts = [
+        "total_records", "unique_users", "unique_keys", "null_users", "null_keys", "null_amounts",
+        "non_positive_amounts",
+    ]
+
+    def listed(step: str, columns: list[str]) -> DataFrame:
+        long = steps[step].select(*[F.col(c).cast("bigint").alias(c) for c in columns]).unpivot(
+            [], columns, "subject", "number"
+        )
+        return long.select(F.lit(step).alias("step"), "subject", "number")
+
+    def pairs(step: str, number: Column) -> DataFrame:
+        return steps[step].select(
+            F.lit(step).alias("step"), F.col("column_name").alias("subject"),
+            number.cast("bigint").alias("number"),
+        )
+
+    return union_all([
+        listed("profile", counts),
+        pairs("null_comparison", F.col("null_difference")),
+        listed("relationship", steps["relationship"].columns),
+        pairs("columns", F.col("status") == "ok"),
+    ])
+
+
 def validate_before_release(
     transactions_src: DataFrame, stg_transactions: DataFrame
 ) -> dict[str, DataFrame]:

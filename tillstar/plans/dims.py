@@ -83,11 +83,13 @@ def products(
     """Products with price, cost and margin; one open version each, starting at the build.
 
     The key hashes the product alone, so it does not change from build to build. Of
-    several list prices or costs of a product the highest counts.
+    several list prices or costs of a product the highest counts. If the attributes have an
+    `updated_at`, a product has the latest of its attributes, price and cost.
     """
     start = F.current_timestamp() if valid_from is None else valid_from.cast("timestamp")
+    audit = ["updated_at"] if "updated_at" in attributes.columns else []
     base = attributes.select(
-        safe_int(F.col("item_id")).alias("product_id"),
+        safe_int(F.col("item_id")).alias("product_id"), *audit,
         F.col("item_brand").alias("brand"),
         F.col("item_name").alias("name"),
         F.col("item_main_category").alias("main_category"),
@@ -97,7 +99,8 @@ def products(
 
     def highest(df: DataFrame, amount: str) -> DataFrame:
         known = df.where(F.col("product_id").isNotNull())
-        return known.groupBy("product_id").agg(F.max(amount).alias(amount))
+        stamps = [F.max(c).alias(f"{amount}_{c}") for c in audit]
+        return known.groupBy("product_id").agg(F.max(amount).alias(amount), *stamps)
 
     priced = base.join(highest(list_prices, "list_price"), "product_id", "left").join(
         highest(costs, "product_cost"), "product_id", "left"
@@ -117,6 +120,7 @@ def products(
         start.alias("valid_from"),
         F.lit(None).cast("timestamp").alias("valid_to"),
         F.lit(True).alias("is_current"),
+        *[F.greatest(c, f"list_price_{c}", f"product_cost_{c}").alias(c) for c in audit],
     )
 
 

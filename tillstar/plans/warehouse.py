@@ -17,8 +17,10 @@ class Warehouse:
     """Lazy DataFrames of every table, built from the source frames on demand.
 
     `calendar` bounds the date dimension; `built_at` fixes the build time, which
-    otherwise is the time a query runs. A table set by `store` replaces its
-    lazy form in everything built later.
+    otherwise is the time a query runs. With `loaded_at` the staging tables carry
+    `updated_at` and `loaded_on`, the products the latest `updated_at` of their sources, and
+    the activity mart `mart_updated_at`. A table set by `store` replaces its lazy form in
+    everything built later.
     """
 
     def __init__(
@@ -27,11 +29,16 @@ class Warehouse:
         sources: Mapping[str, DataFrame],
         calendar: tuple[dt.date, dt.date] = (dims.CALENDAR_START, dims.CALENDAR_END),
         built_at: Column | None = None,
+        loaded_at: Column | None = None,
     ):
         self.spark = spark
         self.src = sources
         self.calendar = calendar
         self.built_at = built_at
+        self.loaded_at = loaded_at
+
+    def _stamped(self, df: DataFrame) -> DataFrame:
+        return df if self.loaded_at is None else staging.audited(df, self.loaded_at)
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         self.__dict__[name] = df
@@ -49,47 +56,47 @@ class Warehouse:
 
     @cached_property
     def stg_ad_platform(self):
-        return staging.ad_platform(self.src["adplatform_data"])
+        return self._stamped(staging.ad_platform(self.src["adplatform_data"]))
 
     @cached_property
     def stg_ad_platform_unpivoted(self):
-        return staging.ad_platform_unpivoted(self.stg_ad_platform)
+        return self._stamped(staging.ad_platform_unpivoted(self.stg_ad_platform))
 
     @cached_property
     def stg_funnel_events(self):
-        return staging.funnel_events(self.src["funnelevents"])
+        return self._stamped(staging.funnel_events(self.src["funnelevents"]))
 
     @cached_property
     def stg_product_attributes(self):
-        return staging.product_attributes(self.src["productattributes"])
+        return self._stamped(staging.product_attributes(self.src["productattributes"]))
 
     @cached_property
     def stg_product_costs(self):
-        return staging.product_costs(self.src["product_costs"])
+        return self._stamped(staging.product_costs(self.src["product_costs"]))
 
     @cached_property
     def stg_product_list_prices(self):
-        return staging.product_list_prices(self.src["product_listprices"])
+        return self._stamped(staging.product_list_prices(self.src["product_listprices"]))
 
     @cached_property
     def stg_product_returns(self):
-        return staging.product_returns(self.src["product_returns"])
+        return self._stamped(staging.product_returns(self.src["product_returns"]))
 
     @cached_property
     def stg_sessions(self):
-        return staging.sessions(self.src["sessions"])
+        return self._stamped(staging.sessions(self.src["sessions"]))
 
     @cached_property
     def stg_transactions(self):
-        return staging.transactions(self.src["transactions"])
+        return self._stamped(staging.transactions(self.src["transactions"]))
 
     @cached_property
     def stg_transactions_and_items(self):
-        return staging.transactions_and_items(self.src["transactionsanditems"])
+        return self._stamped(staging.transactions_and_items(self.src["transactionsanditems"]))
 
     @cached_property
     def stg_users(self):
-        return staging.users(self.src["users"], self.src["transactions"])
+        return self._stamped(staging.users(self.src["users"], self.src["transactions"]))
 
     # dimensions
 
@@ -212,7 +219,10 @@ class Warehouse:
 
     @cached_property
     def rpt_customer_activity(self):
-        return self.customer_activity(self.activity_events)
+        rows = self.customer_activity(self.activity_events)
+        if self.loaded_at is None:
+            return rows
+        return rows.withColumn("mart_updated_at", self.loaded_at.cast("timestamp"))
 
     @cached_property
     def rpt_customer_activity_as_of(self):

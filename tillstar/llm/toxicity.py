@@ -186,9 +186,11 @@ def subset(parts, numbers: np.ndarray):
     return whole[numbers], triples[at], starts
 
 
-def train(texts: list[tuple[int, list[list[bytes]]]], seed: int = 4) -> Model | None:
+def train(texts: list[tuple[int, list[bytes]]], seed: int = 4) -> Model | None:
     """A model from (label, windows) of labelled texts; None unless both labels occur.
 
+    The words of a window are parted by spaces.
+
     A toxic text has a toxic window somewhere. The first epochs take all windows of toxic texts
     for toxic; the others take the window of the highest score, and those above one half. Each
     epoch adds windows of clean texts, some drawn and some of the highest scores. One text in
@@ -201,9 +203,10 @@ def train(texts: list[tuple[int, list[list[bytes]]]], seed: int = 4) -> Model |
     rows, owner = [], []
     for number, (_, windows) in enumerate(texts):
         for words in windows:
-            rows.append([ids.setdefault(w, len(ids)) for w in words])
+            found = [ids.setdefault(w, len(ids)) for w in words.split()]
+            rows.append(np.array(found, np.int32))
             owner.append(number)
-    at = np.full((len(rows), WINDOW), len(ids), np.int64)
+    at = np.full((len(rows), WINDOW), len(ids), np.int32)
     for row, words in zip(at, rows, strict=True):
         row[: len(words)] = words
     owner = np.array(owner)
@@ -320,7 +323,9 @@ def fit(
     found = rows.select("label", TEXT).mapInArrow(
         remote(_windows, PER_TEXT), "label int, windows array<binary>"
     )
-    texts = [(r["label"], [bytes(w).split() for w in r["windows"]]) for r in found.collect()]
+    table = found.toArrow()
+    texts = list(zip(table["label"].to_pylist(), table["windows"].to_pylist(), strict=True))
+    del table
     texts.sort()  # the order of arrival must not matter
     return train(texts)
 
@@ -336,22 +341,20 @@ def scores(texts, shared):
     for text in texts:
         words = alnum_words(text)
         numbers.append(np.fromiter(
-            (ids.setdefault(w, len(ids)) for w in words), np.int64, len(words)
+            (ids.setdefault(w, len(ids)) for w in words), np.int32, len(words)
         ))
         counts.append(len(words))
     if ids and model is not None:
         x = vectors(model, features(list(ids)))
-        flat = np.concatenate([*numbers, np.full(WINDOW, len(ids))])
+        flat = np.concatenate([*numbers, np.full(WINDOW, len(ids), np.int32)])
         offset = np.cumsum(counts) - counts
         begin = [np.arange(s.start, s.stop, s.step) for s in map(starts, counts)]
         owner = np.repeat(np.arange(len(texts)), [len(b) for b in begin])
         begin = np.concatenate(begin)
         end = np.repeat(counts, [len(starts(c)) for c in counts])
-        place = begin[:, None] + np.arange(WINDOW)
-        at = np.where(
-            place < end[:, None], flat[np.minimum(offset[owner][:, None] + place, len(flat) - 1)],
-            len(ids),
-        )
+        place = (offset[owner] + begin)[:, None] + np.arange(WINDOW)
+        at = flat[np.minimum(place, len(flat) - 1, out=place)]
+        at[np.arange(WINDOW) >= (end - begin)[:, None]] = len(ids)
         found = window_scores(model, x, at)
         full, first = np.unique(owner, return_index=True)
         results[full] = np.maximum.reduceat(found, first)

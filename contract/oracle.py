@@ -1072,7 +1072,7 @@ FROM events GROUP BY user_id"""),
     "safe_casts": ("o_transactions", f"""
 SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, customer_id AS digits_only,
        CAST(NULL AS BIGINT) AS not_a_number,
-       {ratio('transaction_total', 'transaction_shipping')} AS by_zero,
+       {ratio('transaction_total', 'transaction_id % 3')} AS by_zero,
        round({ratio('transaction_revenue', 'transaction_total')} * 100, 2) AS share
 FROM o_transactions"""),
     "text_functions": ("", f"""
@@ -1175,6 +1175,23 @@ JOIN comp_category c ON c.category = e.category"""),
 SELECT CAST({key('url', 'search_term')} AS VARCHAR) AS id, search_term, title, price, currency,
        CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS brand, condition, url
 FROM raw_listings"""),
+    "listing_csv_round_trip": ("raw_listings", """
+SELECT id, search_term, 'a "b", ' || title || chr(10) || 'c' AS title, price, currency
+FROM raw_listings"""),
+    "listing_json_round_trip": ("raw_listings", f"""
+SELECT CAST({key('url', 'search_term')} AS VARCHAR) AS id, search_term, title, price, currency,
+       CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS brand, condition, url
+FROM raw_listings"""),
+    "landing_round_trip": ("enriched", """
+SELECT kind, currency, gender, count(*) AS rows, count(DISTINCT id) AS ids, max(title) AS last_title
+FROM enriched, (SELECT unnest(['parquet', 'csv']) AS kind) GROUP BY ALL"""),
+    "sources_round_trip": ("o_users o_items o_returns", """
+SELECT unnest(['productattributes', 'product_costs', 'product_listprices']) AS table_name,
+       count(*) AS row_count, count(DISTINCT p_partkey) AS distinct_keys FROM part
+UNION ALL SELECT 'users', count(*), count(DISTINCT customer_id) FROM o_users
+UNION ALL SELECT 'transactions', count(*), count(DISTINCT o_orderkey) FROM orders
+UNION ALL SELECT 'transactionsanditems', count(*), count(DISTINCT item_id) FROM o_items
+UNION ALL SELECT 'product_returns', count(*), count(DISTINCT item_id) FROM o_returns"""),
     "listing_foreign_currency": (
         "raw_listings",
         "SELECT id, currency, currency IS DISTINCT FROM 'GBP' AS is_foreign_currency "

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,16 @@ from tillstar.functions.text import capitalize_words, part, title_case
 from tillstar.operators import listings, quality as q
 from tillstar.operators.joins import left_lookup, orphans
 from tillstar.operators.numbering import dense_key
-from tillstar.operators.reshape import explode_units
+from tillstar.operators.reshape import explode_units, union_all
 from tillstar.operators.scd import as_of_join, current, scd2_apply, scd2_from_versions
 from tillstar.operators.sequences import sequence_events
 from tillstar.operators.sessions import page_view_kinds_metrics, session_metrics
 from tillstar.plans import checks, dims, exports, facts, marts, staging
 from tillstar.plans.warehouse import Warehouse, competitor_star
+from tillstar.sinks.writers import export_csv, export_parquet, shared_folder, write_all
+from tillstar.sources.readers import (
+    read_competitor_seed, read_listing_json, read_raw_listings, read_source,
+)
 from tillstar.sources.sample import (
     EventSources, OrderSources, listing_json, pick, raw_listings,
 )
@@ -171,7 +176,9 @@ def safe_casts(spark, folder):
         "transaction_id",
         digits_only_int(F.col("customer_id")).alias("digits_only"),
         safe_int(F.col("user_cookie_id")).alias("not_a_number"),
-        ratio(F.col("transaction_total"), F.col("transaction_shipping")).alias("by_zero"),
+        ratio(
+            F.col("transaction_total"), F.pmod(F.col("transaction_id").cast("bigint"), F.lit(3))
+        ).alias("by_zero"),
         percent(F.col("transaction_revenue"), F.col("transaction_total")).alias("share"),
     )
 
@@ -357,6 +364,59 @@ def listing_flatten(spark, folder):
     return listings.flatten_listings(listing_json(spark, folder))
 
 
+def _fresh(spark) -> str:
+    return f"{shared_folder(spark)}/round-trip-{uuid.uuid4().hex}"
+
+
+def sources_round_trip(spark, folder):
+    """Rows and distinct keys of declared tables, written and read again."""
+    keys = {
+        "productattributes": "item_id", "product_costs": "item_id", "users": "customer_id",
+        "product_listprices": "item_id", "transactions": "transaction_id",
+        "transactionsanditems": "item_id", "product_returns": "item_id",
+    }
+    frames, path = OrderSources(spark, folder), _fresh(spark)
+    write_all({n: frames[n] for n in keys}, path)
+    return union_all([
+        read_source(spark, path, n)
+        .agg(F.count("*").alias("row_count"), F.countDistinct(key).alias("distinct_keys"))
+        .select(F.lit(n).alias("table_name"), "row_count", "distinct_keys")
+        for n, key in keys.items()
+    ])
+
+
+def listing_csv_round_trip(spark, folder):
+    """Raw listings exported as CSV and read by the declared reader; titles hold quotes, commas
+    and line breaks."""
+    rough = raw_listings(spark, folder).withColumn(
+        "title", F.concat(F.lit('a "b", '), "title", F.lit("\nc"))
+    )
+    path = export_csv(rough, _fresh(spark), "listings", BUILD_DAY)
+    return read_raw_listings(spark, path).select("id", "search_term", "title", "price", "currency")
+
+
+def listing_json_round_trip(spark, folder):
+    """Search results as lines of JSON, read as text and flattened."""
+    path = _fresh(spark)
+    listing_json(spark, folder).write.text(path)
+    return listings.flatten_listings(read_listing_json(spark, path))
+
+
+def landing_round_trip(spark, folder):
+    """Enriched listings exported by day and read as the landing table."""
+    landed = _star(spark, folder)["competitor_listings"]
+    path = _fresh(spark)
+    export_parquet(landed, path, "competitor_listings", BUILD_DAY)
+    seed = export_csv(landed, path, "competitor_listings", BUILD_DAY)
+    one = spark.read.schema(landed.schema).parquet(f"{path}/competitor_listings_{BUILD_DAY}.parquet")
+    two = read_competitor_seed(spark, seed)
+    both = one.withColumn("kind", F.lit("parquet")).unionByName(two.withColumn("kind", F.lit("csv")))
+    return both.groupBy("kind", "currency", "gender").agg(
+        F.count("*").alias("rows"), F.countDistinct("id").alias("ids"),
+        F.max("title").alias("last_title"),
+    )
+
+
 def listing_foreign_currency(spark, folder):
     flagged = listings.foreign_currency(raw_listings(spark, folder))
     return flagged.select("id", "currency", "is_foreign_currency")
@@ -626,7 +686,8 @@ def queries() -> dict[str, Query]:
         session_page_view_kinds, customer_totals, as_of_left_join, as_of_inner_join,
         current_version_join, scd2_snapshot, lifetime_as_of, profile_changes, event_sequence,
         dense_keys, purchase_times, returns_per_item, daily_sales_by_source,
-        daily_sessions_by_source, listing_flatten, listing_foreign_currency,
+        daily_sessions_by_source, sources_round_trip, listing_csv_round_trip,
+        listing_json_round_trip, landing_round_trip, listing_flatten, listing_foreign_currency,
         listing_attributes, check_source_rules, check_listing_rules, check_core_rules,
         check_mart_rules, check_critical_rules, check_competitor_rules, check_null_rows,
         check_duplicate_lines, check_duplicate_days, check_orphan_sessions,

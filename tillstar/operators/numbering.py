@@ -8,32 +8,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Letters of the two levels of groups that rows are numbered in.
+SHORT, LONG = 2, 16
+
+
 def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     """Number distinct rows 1, 2, 3, ... in the order of `order_by`.
 
     Numbering under one global window would run in a single task. Rows are
-    grouped by the leading columns and the first letters of the last one, which
-    sort like the full order; only the group sizes are summed globally.
+    grouped by the leading columns and the first SHORT letters of the last one, these
+    groups by its first LONG letters; both sort like the full order. Rows are numbered in the
+    small groups. The sizes of small groups are summed within their large group, and
+    only those of the large groups globally.
     """
     *leading, last = order_by
-    group = [F.col(c) for c in leading] + [F.substring(F.col(last).cast("string"), 1, 2)]
     if dict(df.dtypes)[last] != "string":
         raise ValueError("the last ordering column must be text")
-    labels = [f"__g{i}" for i in range(len(group))]
-    grouped = df.select("*", *[g.alias(label) for g, label in zip(group, labels)])
-
-    before = Window.orderBy(*labels).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = grouped.groupBy(*labels).agg(F.count("*").alias("__size"))
-    offsets = sizes.select(
-        *[F.col(label).alias(f"{label}_o") for label in labels],
-        F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"),
+    large = [f"__g{i}" for i in range(len(leading) + 1)]
+    text = F.col(last).cast("string")
+    values = [F.col(c) for c in leading] + [F.substring(text, 1, SHORT)]
+    grouped = df.select(
+        "*", *[v.alias(g) for v, g in zip(values, large)],
+        F.substring(text, 1, LONG).alias("__small"),
+    )
+    before = (Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*large).orderBy("__small").rowsBetween(*before)
+    sizes = (
+        grouped.groupBy(*large, "__small")
+        .agg(F.count("*").alias("__size"))
+        .withColumn("__inside", F.coalesce(F.sum("__size").over(within), F.lit(0)))
+    )
+    across = Window.orderBy(*large).rowsBetween(*before)
+    totals = (
+        sizes.groupBy(*large)
+        .agg(F.sum("__size").alias("__size"))
+        .select(*large, F.coalesce(F.sum("__size").over(across), F.lit(0)).alias("__outside"))
+    )
+
+    def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({c: f"{c}_o" for c in on})
+        match: Column = F.col(on[0]).eqNullSafe(F.col(f"{on[0]}_o"))
+        for c in on[1:]:
+            match = match & F.col(c).eqNullSafe(F.col(f"{c}_o"))
+        return left.join(right, match).drop(*[f"{c}_o" for c in on])
+
+    offsets = joined(sizes.drop("__size"), totals, large).select(
+        *large, "__small", (F.col("__inside") + F.col("__outside")).alias("__offset")
     )
-    match: Column = F.lit(True)
-    for i, label in enumerate(labels):
-        equal = F.col(label).eqNullSafe(F.col(f"{label}_o"))
-        match = equal if i == 0 else match & equal
-    inside = Window.partitionBy(*labels).orderBy(*order_by)
-    numbered = grouped.join(offsets, match).withColumn(
+    inside = Window.partitionBy(*large, "__small").orderBy(*order_by)
+    numbered = joined(grouped, offsets, [*large, "__small"]).withColumn(
         name, (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
     )
     return numbered.select(name, *df.columns)

@@ -167,8 +167,11 @@ def core_rules() -> list[q.Rule]:
     ]
 
 
-def mart_rules() -> list[q.Rule]:
-    """Checks on the marts; the sales mart's key checks are critical."""
+def mart_rules(audited: bool = False) -> list[q.Rule]:
+    """Checks on the marts; the sales mart's key checks are critical.
+
+    With `audited` the activity mart must also say when it was built.
+    """
     sales, activity = "rpt_transactions", "rpt_customer_activity"
     return [
         *_keyed(sales, "item_id", **CRITICAL),
@@ -186,6 +189,7 @@ def mart_rules() -> list[q.Rule]:
             activity, "customer_id", "activity_type", "activity_date", "activity_timestamp",
             "customer_state_at_time", "customer_version_key", "change_type",
             "customer_activity_sequence", "customer_tenure_days",
+            *["mart_updated_at"] * audited,
         ),
         q.accepted_values(activity, "activity_type", ACTIVITY_TYPES),
         q.accepted_values(activity, "customer_state_at_time", CUSTOMER_STATES),

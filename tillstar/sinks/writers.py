@@ -144,9 +144,15 @@ def write_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     return counts
 
 
+def _write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header that the declared readers read back as it was, blanks included."""
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
+
+
 def export_csv(df: DataFrame, folder: str, name: str, run_date: dt.date) -> str:
     path = f"{folder}/{name}_{run_date.isoformat()}.csv"
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    _write_csv(df, path)
     return path
 
 
@@ -158,5 +164,5 @@ def export_parquet(df: DataFrame, folder: str, name: str, run_date: dt.date) ->
 
 def load_csv(spark: SparkSession, df: DataFrame, folder: str, table: str) -> DataFrame:
     """Write enriched listings as CSV and refill the landing table from the same rows."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+    _write_csv(df, folder)
     return write_table(read_competitor_seed(spark, folder), table)

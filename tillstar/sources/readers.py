@@ -21,26 +21,36 @@ def read_catalog_sources(spark: SparkSession, database: str) -> dict[str, DataFr
     return {name: spark.table(f"{database}.{name}") for name in schemas.RETAIL_TABLES}
 
 
-def _csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    # Listing titles may hold line breaks inside quotes.
+def read_landing(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing table of enriched competitor listings, stored like the declared tables."""
+    return read_source(spark, folder, "competitor_listings")
+
+
+def _csv(spark: SparkSession, path: str, schema, line_breaks: bool) -> DataFrame:
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
         .option("escape", '"')
         .csv(path)
     )
 
 
-def read_competitor_seed(spark: SparkSession, path: str) -> DataFrame:
-    """Enriched competitor listings from CSV, columns typed as the landing table."""
-    return _csv(spark, path, schemas.SOURCES["competitor_listings"])
+def read_competitor_seed(
+    spark: SparkSession, path: str, line_breaks: bool = True
+) -> DataFrame:
+    """Enriched competitor listings from CSV, columns typed as the landing table.
+
+    Titles may hold line breaks inside quotes, for which a file must be read by one task;
+    files known to have none are split with `line_breaks=False`.
+    """
+    return _csv(spark, path, schemas.SOURCES["competitor_listings"], line_breaks)
 
 
-def read_raw_listings(spark: SparkSession, path: str) -> DataFrame:
-    """Competitor listings before enrichment."""
-    return _csv(spark, path, schemas.RAW_LISTINGS)
+def read_raw_listings(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
+    """Competitor listings before enrichment; `line_breaks` as in `read_competitor_seed`."""
+    return _csv(spark, path, schemas.RAW_LISTINGS, line_breaks)
 
 
 def read_listing_json(spark: SparkSession, path: str) -> DataFrame:

@@ -103,3 +103,31 @@ def test_reports_read_only_what_they_show(name, spark, sf_dir, no_broadcast):
     if name != "average_order_value":
         assert "orders.parquet" not in text  # no headers either
     assert not re.search(r"count\(distinct", text)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["rpt_customer_activity", "rpt_customer_activity_as_of", "daily_spend_metrics",
+     "rpt_daily_channel_performance", "check_activity_timeline", "competitor_fct_items"],
+)
+def test_plans_hold_behind_settled_tables(name, spark, sf_dir, no_broadcast, monkeypatch):
+    """The whole plan, with tables between steps left lazy."""
+    monkeypatch.setattr("tillstar.plans.warehouse.settled", lambda df: df)
+    text = plan(entry.queries()[name](spark, sf_dir))
+    assert not re.search(r"CartesianProduct|NestedLoop|EvalPython|InPandas", text)
+    # only the numbering of sources and places sums group sizes in one task
+    if name.startswith("rpt_customer"):
+        assert "SinglePartition" not in text
+
+
+def test_hot_day_of_a_customer_uses_many_tasks(spark):
+    """A third of all events on one day of one customer is numbered in groups of its own."""
+    from tillstar.operators.sequences import sequence_events
+
+    events = spark.range(3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"),
+        F.lit("2024-01-01").cast("date").alias("day"), (F.col("id") % 300).alias("order"),
+    )
+    text = plan(sequence_events(events, "k", "day", ["order", "id"]))
+    numbering = [x for x in text.splitlines() if "row_number()" in x]
+    assert numbering and all("order" in x.split("windowspecdefinition(")[1] for x in numbering)

@@ -35,8 +35,7 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the passages that benchmark items have too."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.contaminated(docs, benchmark, keep=COLUMNS).select(*COLUMNS, "spans")
-    return decontaminate.remove_spans(found)
+    return decontaminate.contaminated(docs, benchmark, keep=COLUMNS, clean=True).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

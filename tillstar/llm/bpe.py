@@ -6,12 +6,13 @@ import base64
 import hashlib
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tillstar.llm.common import annotate, remote
+from tillstar.llm.common import annotate, memory, remote
 
 #: A worker remembers the pre-tokens it has met; beyond so many they become the old ones, and the
 #: old ones before them that weren't met again are forgotten.
@@ -26,10 +27,11 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: the lowest-ranked pair first, of equal ones the leftmost.
 
     Symbols are a linked list by start position (`after`, `before`). The queue of pairs has a
-    bucket for each rank, whose positions are linked by `chain`, and two levels of bitmaps over
-    the buckets: bit h of `top` says that `low[h]` has a bit, bit b of `low[h]` that bucket
-    256 * h + b has positions. Find-first-set on both gives the smallest rank. `now[i]` is the
-    present rank of the pair that starts at i; a queued position of another rank is stale.
+    bucket for each rank, a linked list (position, rest) of positions, and two levels of
+    bitmaps over the buckets: bit h of `top` says that `low[h]` has a bit, bit b of `low[h]`
+    that bucket 256 * h + b has positions. Find-first-set on both gives the smallest rank.
+    `now[i]` is the present rank of the pair that starts at i; a queued position of another
+    rank is stale and skipped.
     """
     whole = ranks.get(piece)
     if whole is not None:
@@ -38,37 +40,35 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     after, before = list(range(1, size + 2)), list(range(-1, size))
     now = [get(piece[i : i + 2]) for i in range(size - 1)]
     now.append(None)
-    top, low, head, chain = 0, {}, {}, []
-
-    def push(rank: int, position: int) -> None:
-        nonlocal top
-        if rank in head:
-            chain.append((position, head[rank]))
-        else:
-            chain.append((position, -1))
+    top, low, bucket = 0, {}, {}
+    for i, rank in enumerate(now):
+        if rank is None:
+            continue
+        rest = bucket.get(rank)
+        bucket[rank] = i, rest
+        if rest is None:
             high = rank >> 8
             top |= 1 << high
             low[high] = low.get(high, 0) | 1 << (rank & 255)
-        head[rank] = len(chain) - 1
-
-    for i, rank in enumerate(now):
-        if rank is not None:
-            push(rank, i)
     while top:
         high = (top & -top).bit_length() - 1
         bits = low[high]
-        rank = high << 8 | (bits & -bits).bit_length() - 1
-        low[high] = bits = bits & (bits - 1)
+        first = bits & -bits
+        rank = high << 8 | first.bit_length() - 1
+        bits ^= first
+        low[high] = bits
         if not bits:
             top &= top - 1
-        at = head.pop(rank)
-        i, at = chain[at]
-        positions = [i]
-        while at >= 0:
-            i, at = chain[at]
-            positions.append(i)
-        if len(positions) > 1:
+        node = bucket.pop(rank)
+        if node[1] is None:
+            positions = [node[0]]
+        else:
+            positions = []
+            while node is not None:
+                positions.append(node[0])
+                node = node[1]
             positions.sort()
+        fresh, lower = [], False
         for done, i in enumerate(positions, 1):
             if now[i] != rank:
                 continue
@@ -76,24 +76,28 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
             k = after[j]
             after[i], now[j] = k, None
             before[k] = i
-            lowest = rank + 1
             now[i] = new = get(piece[i : after[k]]) if k < size else None
             if new is not None:
-                push(new, i)
-                lowest = new
+                fresh.append((new, i))
+                lower = new <= rank
             p = before[i]
             if p >= 0:
                 new = get(piece[p:k])
                 if new != now[p]:
                     now[p] = new
                     if new is not None:
-                        push(new, p)
-                        if new < lowest:
-                            lowest = new
-            if lowest <= rank:  # it goes before the rest of this rank
-                for i in positions[done:]:
-                    push(rank, i)
+                        fresh.append((new, p))
+                        lower = lower or new <= rank
+            if lower:  # a new pair goes before the rest of this rank
+                fresh += [(rank, i) for i in positions[done:]]
                 break
+        for new, i in fresh:
+            rest = bucket.get(new)
+            bucket[new] = i, rest
+            if rest is None:
+                high = new >> 8
+                top |= 1 << high
+                low[high] = low.get(high, 0) | 1 << (new & 255)
     out, i = [], 0
     while i < size:
         out.append(ranks[piece[i : after[i]]])
@@ -134,7 +138,7 @@ class Encoder:
         return b"".join(map(self.words.__getitem__, array("I", ids)))
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[str, Encoder] = memory(__name__)
 
 
 def encoder(shared, pattern: str) -> Encoder:
@@ -148,18 +152,20 @@ def encoder(shared, pattern: str) -> Encoder:
 
 def codes(texts, shared, pattern, with_ids):
     coder = encoder(shared, pattern)
-    counts, sums, backs, arrays = [], [], [], []
+    counts, sums, backs, packed = [], [], [], []
     for text in texts:
         ids = coder.encode(text or "")
         counts.append(len(ids) // 4)
         sums.append(hashlib.sha256(ids).hexdigest())
         backs.append(hashlib.sha256(coder.decode(ids)).hexdigest())
         if with_ids:
-            arrays.append(array("I", ids))
+            packed.append(ids)
     made = [pa.array(counts, pa.int64()), pa.array(sums), pa.array(backs)]
     made = [m.cast(pa.string()) if m.type == pa.null() else m for m in made]
     if with_ids:
-        made.append(pa.array([list(a) for a in arrays], pa.list_(pa.int32())))
+        offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        values = np.frombuffer(b"".join(packed), np.int32)
+        made.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
     return made
 
 

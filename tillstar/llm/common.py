@@ -20,7 +20,7 @@ from tillstar.sinks.writers import drop_folders, shared_folder
 ROOT = str(Path(__file__).resolve().parents[2])
 TEXT = "__llm_text"
 #: Bytes of text that a task works on at once; a longer text is a piece of its own.
-PIECE = 8 << 20
+PIECE = 4 << 20
 
 _UPPER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 #: A-Z become a-z; ASCII bytes that are neither letters nor digits become spaces.
@@ -78,29 +78,51 @@ def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def remote(function, *args):
+#: What workers remember between tasks, by operator. A worker serves many operators in turn and
+#: remembers for one at a time.
+_memories: dict[str, list[dict]] = {}
+
+
+def memory(operator: str) -> dict:
+    """A dictionary that lasts until the worker turns to another operator."""
+    found: dict = {}
+    _memories.setdefault(operator, []).append(found)
+    return found
+
+
+def _turn_to(operator: str) -> None:
+    for name, kept in _memories.items():
+        if name != operator:
+            for one in kept:
+                one.clear()
+
+
+def remote(function, *args, operator: str | None = None):
     """A task function that imports `function` by name.
 
     It also looks where the driver has this package, for sessions that don't ship it.
     """
     module, name, root = function.__module__, function.__name__, ROOT
+    operator = operator or module
 
     def run(batches):
         if root not in sys.path:
             sys.path.append(root)
+        importlib.import_module("tillstar.llm.common")._turn_to(operator)
         return getattr(importlib.import_module(module), name)(batches, *args)
 
     return run
 
 
 def annotated(
-    batches: Iterable[pa.RecordBatch], module: str, name: str, fields: Sequence[str], *args
+    batches: Iterable[pa.RecordBatch], text: str, module: str, name: str, fields: Sequence[str],
+    *args,
 ) -> Iterator[pa.RecordBatch]:
     """Carried columns and what `module.name(texts, *args)` gives for each piece of a batch."""
     function = getattr(importlib.import_module(module), name)
     for batch in batches:
-        for piece in pieces(batch, TEXT):
-            made = function(piece.column(TEXT).to_pylist(), *args)
+        for piece in pieces(batch, text):
+            made = function(piece.column(text).to_pylist(), *args)
             kept = [c for c in piece.schema.names if c != TEXT]
             yield pa.RecordBatch.from_arrays(
                 [piece.column(c) for c in kept] + list(made), kept + list(fields)
@@ -118,11 +140,17 @@ def annotate(
     added = T.StructType.fromDDL(fields)
     new = {f.name.lower() for f in added}
     carried = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
-    source = df.select(*[column(c) for c in carried], column(text).cast("string").alias(TEXT))
+    # a text that is carried is not sent twice
+    twice = text in carried and df.schema[text].dataType == T.StringType()
+    extra = [] if twice else [column(text).cast("string").alias(TEXT)]
+    source = df.select(*[column(c) for c in carried], *extra)
     schema = T.StructType([source.schema[c] for c in carried] + list(added))
-    return source.mapInArrow(
-        remote(annotated, function.__module__, function.__name__, added.names, *args), schema
+    module = function.__module__
+    work = remote(
+        annotated, text if twice else TEXT, module, function.__name__, added.names, *args,
+        operator=module,
     )
+    return source.mapInArrow(work, schema)
 
 
 def column(name: str):

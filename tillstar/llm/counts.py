@@ -11,7 +11,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from tillstar.llm.bpe import share_file
-from tillstar.llm.common import annotate
+from tillstar.llm.common import annotate, memory
 
 #: Pre-tokens whose counts a worker remembers; all are forgotten when there are more.
 CACHE = 1_000_000
@@ -141,7 +141,7 @@ class Counter:
         return [a + b for a, b in zip(totals, extra, strict=True)]
 
 
-_counters: dict[str, Counter] = {}
+_counters: dict[str, Counter] = memory(__name__)
 
 
 def tallies(texts, shared, limit):

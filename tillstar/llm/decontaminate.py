@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.llm.common import (
-    TEXT, alnum_words, column, merged, pieces, remote, runs_of,
+    TEXT, alnum_words, column, memory, merged, pieces, remote, runs_of,
 )
 
 #: The words of alnum_words in a text as it came, before A-Z are put in lower case.
@@ -161,11 +162,14 @@ def occurrences(
     return out
 
 
-_phrases: dict[str, Phrases] = {}
+_phrases: dict[str, Phrases] = memory(__name__)
 
 
-def _shard(batches, shared, window):
-    """n_words, spans and items of each text; adds to those that an earlier block found."""
+def _shard(batches, shared, window, clean=False):
+    """n_words, spans and items of each text; adds to those that an earlier block found.
+
+    With `clean` the texts come back without the spans.
+    """
     key, items = shared.value
     if key not in _phrases:
         _phrases.clear()
@@ -192,13 +196,17 @@ def _shard(batches, shared, window):
                     {"start": int(s), "end": int(e)} for s, e in zip(starts, ends, strict=True)
                 ])
                 items.append(sorted(both))
-            names = [n for n in rows if not n.startswith("__llm_") or n == TEXT]
+            names = [n for n in rows if not n.startswith("__llm_")]
+            texts = piece.column(TEXT)
+            if clean:
+                texts = pa.array(cut(texts.to_pylist(), spans), pa.string())
             yield pa.RecordBatch.from_arrays(
                 [piece.column(n) for n in names] + [
+                    texts,
                     pa.array([len(w) for w in words], pa.int64()),
                     pa.array(spans, pairs), pa.array(items, pa.list_(pa.string())),
                 ],
-                [*names, "__llm_words", "__llm_spans", "__llm_items"],
+                [*names, TEXT, "__llm_words", "__llm_spans", "__llm_items"],
             )
 
 
@@ -228,6 +236,7 @@ def contaminated(
     item_text: str = "text",
     window: int = WINDOW,
     block: int = BLOCK,
+    clean: bool = False,
 ) -> DataFrame:
     r"""Find all windows of benchmark items in every whole text.
 
@@ -241,10 +250,12 @@ def contaminated(
     takes no part; items that repeat an id are one item. Repeated rows are searched each
     alone; with an empty table on either side nothing is hit. The benchmark is sent to the tasks
     in blocks of `block` bytes, each searched by a further pass in the same stage. Input columns
-    named like a new one give way to it.
+    named like a new one give way to it. With `clean` a kept text comes back without its
+    spans, as `remove_spans` makes it.
     """
     new = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "spans"]
-    carried = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    wanted = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    carried = [c for c in wanted if c != text]
     found = df.select(*[column(c) for c in carried], column(text).cast("string").alias(TEXT))
     base = found.schema
     span = "array<struct<start: long, end: long>>"
@@ -253,14 +264,18 @@ def contaminated(
     )
     schema = T.StructType([*base, *added])
     spark = df.sparkSession
-    for items in blocks(benchmark, item, item_text, block):
-        key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
-        shared = spark.sparkContext.broadcast((key, items))
-        found = found.mapInArrow(remote(_shard, shared, window), schema)
+    waiting = None
+    for items in chain(blocks(benchmark, item, item_text, block), [None]):
+        if waiting is not None:
+            last = clean and items is None
+            found = found.mapInArrow(remote(_shard, waiting, window, last), schema)
+        if items is not None:
+            key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
+            waiting = spark.sparkContext.broadcast((key, items))
     items = F.col("__llm_items")
     hits = F.aggregate("__llm_spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
     return found.select(
-        *[column(c) for c in carried],
+        *[F.col(TEXT).alias(c) if c == text else column(c) for c in wanted],
         F.col("__llm_words").alias("n_words"),
         hits.alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillstar.llm.common import alnum_words, annotate, runs_of
+from tillstar.llm.common import alnum_words, annotate, memory, runs_of
 
 #: Phrases of the base and their labels (fixed values of the contract).
 BASE = {
@@ -192,7 +192,7 @@ def chains(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int
     return [(c[0], c[1], c[3]) for c in out]
 
 
-_scanners: dict[str, Scanner] = {}
+_scanners: dict[str, Scanner] = memory(__name__)
 
 
 def found(texts, templates, base, with_spans):

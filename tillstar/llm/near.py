@@ -20,8 +20,6 @@ MISS = 1e-5
 #: Rounds that link bucket members to a drawn member before what remains is compared in full, and
 #: shingles of each side of a block in which it is.
 ROUNDS, BLOCK = 2, 2_000_000
-#: Words whose hashes a worker remembers; all are forgotten when there are more.
-CACHE = 1_000_000
 
 _draw = np.random.default_rng(64)
 _MULTIPLY = _draw.integers(0, 1 << 32, COMPONENTS, np.uint32) | np.uint32(1)
@@ -54,9 +52,6 @@ def chunks(similarity: float) -> list[np.ndarray]:
     return np.array_split(np.arange(COMPONENTS), min(COMPONENTS, most // (ERRORS + 1) + 1))
 
 
-_words: dict[bytes, int] = {}
-
-
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text.
 
@@ -65,12 +60,7 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     words = space_words(text)
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_words) > CACHE:
-        _words.clear()
-    for word in words:
-        if word not in _words:
-            _words[word] = xxhash.xxh3_64_intdigest(word)
-    hashes = np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(size, len(words))
     count = len(words) - width + 1
     total = np.full(count, width, np.uint64)
@@ -178,7 +168,7 @@ def _compared(table: pa.Table, percent: int) -> pa.Table:
 
 
 def linked_in_families(
-    sets: DataFrame, labels: DataFrame, families: DataFrame, percent: int, block: int = BLOCK
+    tables: Tables, sets: DataFrame, labels: DataFrame, families: DataFrame, percent: int, block: int = BLOCK
 ) -> DataFrame:
     """Links (a, b) between components of one family, which is compared in full.
 
@@ -194,7 +184,9 @@ def linked_in_families(
     by_comp = members.groupBy("family", "comp").agg(
         F.count(F.lit(1)).alias("nodes"), F.sum(weight).alias("weight")
     )
-    plan = (
+    # written, so that a large family's members can be split in the join with it
+    plan = tables.write(
+        "plan",
         by_comp.groupBy("family")
         .agg(
             F.max(F.struct("nodes", "comp")).alias("most"),
@@ -206,7 +198,7 @@ def linked_in_families(
             "family", F.col("most.comp").alias("major"),
             F.ceil((F.col("weight") - F.col("inside")) / block).cast("int").alias("rows"),
             F.ceil(F.col("weight") / block).cast("int").alias("columns"),
-        )
+        ),
     )
     placed = members.join(plan, "family")
     row = F.pmod(F.xxhash64("node"), F.col("rows")).cast("int")
@@ -370,7 +362,7 @@ def near_duplicates(
         bucket = alike.join(labels, "node")
         if last:
             links = tables.write(
-                "families", linked_in_families(sets, labels, families, percent)
+                "families", linked_in_families(tables, sets, labels, families, percent)
             )
             labels = components(tables, labels, links, "families")
             bucket = alike.join(labels, "node").join(

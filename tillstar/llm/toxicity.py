@@ -19,7 +19,7 @@ BUCKETS = 1 << 13
 #: The training sample: labelled texts of each class at most, and windows of each text at most.
 POSITIVE, NEGATIVE, PER_TEXT = 2000, 4000, 40
 EPOCHS, BATCH, RATE, CALIBRATE = 10, 512, 0.01, 4
-#: Windows that are scored at once.
+#: Words whose vectors are made, and windows that are scored, at once.
 AT_ONCE = 4096
 
 Model = dict[str, np.ndarray]
@@ -44,9 +44,15 @@ def vectors(model: Model, parts, shown: np.ndarray | float = 1) -> np.ndarray:
     """A word's vector: that of its bucket, where that is shown, and the mean of those of its
     letter triples."""
     whole, triples, begins = parts
-    count = np.diff(np.append(begins, len(triples)))[:, None]
-    letters = np.add.reduceat(model["letters"][triples], begins, axis=0) / count
-    return (model["words"][whole] * shown + letters).astype(np.float32)
+    ends = np.append(begins, len(triples))
+    letters = np.empty((len(whole), WIDE), np.float32)
+    for at in range(0, len(whole), AT_ONCE):
+        edge = ends[at : at + AT_ONCE + 1]
+        some = model["letters"][triples[edge[0] : edge[-1]]]
+        letters[at : at + AT_ONCE] = np.add.reduceat(some, edge[:-1] - edge[0], axis=0)
+    letters /= np.diff(ends)[:, None]
+    letters += model["words"][whole] * shown
+    return letters
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from tillstar.llm.common import TEXT, Tables, alnum_words, column, pieces, remote
 
-#: A unit ends with its line, or with a sentence in it; the white space after it belongs to it.
-END = re.compile(r"(?:[.!?]+(?=\s)|\n)\s*")
+#: A unit ends with its line, or with a sentence in it, closing quotes, brackets and other marks
+#: included; the white space after it belongs to it.
+END = re.compile(r"(?:[.!?]+[^\w\s]*(?=\s)|\n)\s*")
 #: Words that a run of repeated units must have to be removed.
 LEAST = 10
 

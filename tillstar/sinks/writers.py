@@ -6,6 +6,7 @@ import atexit
 import datetime as dt
 import uuid
 from collections.abc import Mapping, Sequence
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +105,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
     if folder not in _kept:
         _kept.add(folder)
-        atexit.register(_end, spark, folder)
+        atexit.register(_end, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
     return folder
 
 
@@ -114,9 +115,11 @@ def drop_folders(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def _end(spark: SparkSession, folder: str) -> None:
-    if spark.sparkContext._jsc is not None:
-        drop_folders(spark, folder)
+def _end(jvm, configuration, folder: str) -> None:
+    """Also after the session was stopped; a driver that was killed leaves its folder."""
+    with suppress(Exception):
+        where = jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(configuration).delete(where, True)
 
 
 def settled(df: DataFrame) -> DataFrame:

@@ -200,3 +200,9 @@ def test_matching_statistics_match_brute_force():
 
 def test_empty_licence_table(docs):
     assert licences.licences(docs([])).count() == 0
+
+
+def test_chain_outlives_many_wrong_matches():
+    wrong = [(11, 14, 100 * k, 100 * k + 3) for k in range(1, 20)]
+    made = licences.chains(sorted([(0, 10, 0, 10), *wrong, (11, 20, 11, 20), (21, 30, 21, 30)]))
+    assert (0, 30, 28) in made and len(made) == 20

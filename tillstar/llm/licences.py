@@ -176,19 +176,27 @@ class Scanner:
 def chains(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
     """Matches (start, end, template start, template end) joined in order of both texts.
 
-    A match continues a chain if it begins at the chain's end or at most GAP words after it, in
-    both texts. Gives (start, end, template words covered).
+    Matches come in order of start. One continues a chain if it begins at the chain's end or at
+    most GAP words after it, in both texts; of several, the one that covers most, then the latest.
+    Gives (start, end, template words covered).
     """
-    out: list[list[int]] = []  # start, end, template end, covered
+    out: list[list[int]] = []  # start, end, template end, covered, number
+    ending: dict[int, list[list[int]]] = {}  # chains by template end
     for start, end, low, high in matches:
         best = None
-        for chain in reversed(out[-8:]):
-            if 0 <= start - chain[1] <= GAP and 0 <= low - chain[2] <= GAP:
-                best = chain if best is None or chain[3] > best[3] else best
+        for at in range(low - GAP, low + 1):
+            if at in ending:
+                ending[at] = [c for c in ending[at] if start - c[1] <= GAP]
+                for chain in ending[at]:
+                    if chain[1] <= start and (best is None or chain[3:] > best[3:]):
+                        best = chain
         if best is not None:
+            ending[best[2]] = [c for c in ending[best[2]] if c is not best]
             best[1], best[2], best[3] = end, high, best[3] + high - low
         else:
-            out.append([start, end, high, high - low])
+            best = [start, end, high, high - low, len(out)]
+            out.append(best)
+        ending.setdefault(high, []).append(best)
     return [(c[0], c[1], c[3]) for c in out]
 
 

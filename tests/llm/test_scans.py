@@ -206,3 +206,35 @@ def test_chain_outlives_many_wrong_matches():
     wrong = [(11, 14, 100 * k, 100 * k + 3) for k in range(1, 20)]
     made = licences.chains(sorted([(0, 10, 0, 10), *wrong, (11, 20, 11, 20), (21, 30, 21, 30)]))
     assert (0, 30, 28) in made and len(made) == 20
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Licensed under CC BY-SA 3.0", "cc-by-sa"), ("Licensed under CC BY 3.0.", "cc-by"),
+    ("Creative Commons Attribution-ShareAlike 3.0", "cc-by-sa"), ("CC BY-NC-SA 4.0", "cc-by-nc-sa"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa"),
+    ("https://creativecommons.org/licenses/by-nd/2.0/", "cc-by-nd"), ("CC0 1.0 Universal", "cc0"),
+    ("subject to the Mozilla Public License, Version 1.1", "mpl"), ("nothing of this kind", ""),
+])
+def test_versions_and_variants(docs, text, labels):
+    row = licence_rows(docs, [(1, f"See here: {text} and so on")])[1]
+    assert (row.labels, row.base_labels) == (labels, "")
+
+
+def test_every_template_gives_its_label_alone():
+    scanner = licences.Scanner(licences.TEMPLATES, licences.BASE)
+    assert {"boost", "cc0", "epl", "lgpl", "unlicense", "zlib"} <= set(licences.TEMPLATES)
+    for label, texts in licences.TEMPLATES.items():
+        for text in texts:
+            spans = licences.labelled(scanner.scan(alnum_words(f"before {text} after"))[1])
+            assert {s[2] for s in spans} == {label}, text[:80]
+
+
+def test_parts_of_texts_give_labels(docs):
+    parts = []
+    for label in ("apache", "mit", "mpl", "isc", "zlib", "unlicense"):
+        words = max(licences.TEMPLATES[label], key=len).split()
+        some = words[len(words) // 3 :][:60]
+        parts.append((label, " ".join(some[:25] + ["edited"] + some[26:])))
+    rows = licence_rows(docs, [(k, text) for k, (_, text) in enumerate(parts)])
+    for k, (label, text) in enumerate(parts):
+        assert label in rows[k].labels.split(","), text

@@ -172,3 +172,30 @@ def test_cut_keeps_the_first_and_original_offsets(docs):
     spans = passages.repeated_spans(docs(pairs), least=5).where("id = 2").first().spans
     assert [pairs[0][1][s.start : s.end] for s in spans] == ["It has a second sentence too. "]
     assert spans[0].kept_id == 1
+
+
+CHINESE = "本網站的全部內容均受著作權法保護，未經書面許可不得轉載或複製。讀者如有任何疑問，請於上班時間聯絡編輯部，我們將盡快回覆您的來信與建議！"
+
+
+def test_repeated_chinese_passage_goes(docs):
+    own = ["今天的天氣很好。", "他說：「我們明天見。」", "這是另外一段文字？"]
+    pairs = [(1, own[0] + CHINESE + own[1]), (2, "短句。" + CHINESE), (3, own[2] + CHINESE + "完"), (4, own[0])]
+    cut = {r.doc_id: r.text for r in passages.without_repeats(docs(pairs)).collect()}
+    assert cut == {1: pairs[0][1], 2: "短句。", 3: own[2] + "完", 4: own[0]}
+
+
+def test_sentences_end_at_marks_of_other_scripts():
+    text = "他說：「明天見。」今天很好！？「是的」嗎｡ हम घर गए। ठीक है॥ كيف حالك؟ نعم۔ end"
+    parts = [text[a:b].strip() for a, b, *_ in passages.units(text)]
+    assert parts == [
+        "他說：「明天見。」", "今天很好！？", "「是的」嗎｡", "हम घर गए।", "ठीक है॥", "كيف حالك؟", "نعم۔", "end",
+    ]
+
+
+def test_letters_of_unspaced_scripts_alone_count(docs):
+    thai = "สงวนลิขสิทธิ์ตามกฎหมายห้ามนำเนื้อหาส่วนใดส่วนหนึ่งไปเผยแพร่ต่อโดยไม่ได้รับอนุญาต"
+    few = "Unauthorised reproduction redistribution retransmission prohibited worldwide"
+    assert passages.unspaced(few) == 0 < 50 <= passages.unspaced(thai)
+    pairs = [(k, f"{k}.\n{line}\nEnd {k}.") for k, line in enumerate([few, few, thai, thai])]
+    cut = {r.doc_id: r.text for r in passages.without_repeats(docs(pairs)).collect()}
+    assert cut == {**dict(pairs[:3]), 3: "3.\nEnd 3."}

@@ -12,11 +12,33 @@ from pyspark.sql import types as T
 
 from tillstar.llm.common import TEXT, Tables, alnum_words, column, pieces, remote
 
+#: Marks that end a sentence without white space after them: ideographic, full and half width,
+#: Arabic, Indic, Armenian, Ethiopic, Burmese, Khmer, Tibetan, Mongolian and doubled ones.
+MARKS = (
+    "\u3002\uff01\uff0e\uff1f\uff61\u061f\u06d4\u0964\u0965\u0589\u1362\u1367\u1368\u104b"
+    "\u17d4\u17d5\u0f0d\u0f0e\u1803\u1809\u203c\u2047\u2048\u2049"
+)
+#: Closing quotes and brackets that belong to the sentence before them.
+CLOSING = "\"')\\]}\u00bb\u201d\u2019\u203a\u3009\u300b\u300d\u300f\u3011\u3015\uff09\uff3d\uff63"
 #: A unit ends with its line, or with a sentence in it, closing quotes, brackets and other marks
 #: included; the white space after it belongs to it.
-END = re.compile(r"(?:[.!?]+[^\w\s]*(?=\s)|\n)\s*")
-#: Words that a run of repeated units must have to be removed.
-LEAST = 10
+END = re.compile(
+    rf"(?:[.!?]+[^\w\s]*(?=\s)|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*|[\n\u2028\u2029])\s*"
+)
+#: Words that a run of repeated units must have to be removed, or else letters of scripts that put
+#: no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Tai, kana, Han, Yi, Javanese.
+LEAST, LETTERS = 10, 50
+UNSPACED = re.compile(
+    "[\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u0f40-\u0fbc\u1000-\u103f\u1050-\u108f"
+    "\u1780-\u17d3\u1950-\u19c9\u1a20-\u1a7c\u1b05-\u1b4c\u3005-\u3007\u3041-\u3096\u309d-\u309f"
+    "\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+    "\ua000-\ua48c\ua984-\ua9c0\uaa60-\uaadd\uf900-\ufaff\uff66-\uff9f\U00020000-\U000323af]+"
+)
+
+
+def unspaced(text: str) -> int:
+    """Letters of a text in scripts without spaces between words."""
+    return 0 if text.isascii() else len(text) - len(UNSPACED.sub("", text))
 
 
 def units(text: str | None):
@@ -40,7 +62,7 @@ def _units(batches, places):
     """One row for each unit; without `places`, its digest, text and number alone."""
     for batch in batches:
         for piece in pieces(batch, TEXT):
-            rows, number, starts, ends, sizes, digests = [], [], [], [], [], []
+            rows, number, starts, ends, sizes, letters, digests = [], [], [], [], [], [], []
             for row, text in enumerate(piece.column(TEXT).to_pylist()):
                 for at, (start, end, words, digest) in enumerate(units(text)):
                     rows.append(row)
@@ -50,6 +72,7 @@ def _units(batches, places):
                         starts.append(start)
                         ends.append(end)
                         sizes.append(words)
+                        letters.append(unspaced(text[start:end]))
             take = pa.array(rows, pa.int64())
             made = [
                 pa.array(digests, pa.binary()),
@@ -58,13 +81,14 @@ def _units(batches, places):
             ]
             names = ["digest", "id", "hash", "at"]
             if places:
-                made += [pa.array(x, pa.int32()) for x in (starts, ends, sizes)]
-                names += ["start", "end", "words"]
+                made += [pa.array(x, pa.int32()) for x in (starts, ends, sizes, letters)]
+                names += ["start", "end", "words", "letters"]
             yield pa.RecordBatch.from_arrays(made, names)
 
 
-def _spans(batches, least):
+def _spans(batches, least, letters):
     """Runs of repeated units that follow each other, from all repeated units of a text."""
+    names = ("start", "end", "words", "kept_id")
     for batch in batches:
         made = []
         for repeated in batch.column("units").to_pylist():
@@ -74,12 +98,16 @@ def _spans(batches, least):
                 if last is not None and unit["at"] == last + 1:
                     runs[-1]["end"] = unit["end"]
                     runs[-1]["words"] += unit["words"]
+                    runs[-1]["letters"] += unit["letters"]
                 else:
-                    runs.append({k: unit[k] for k in ("start", "end", "words", "kept_id")})
+                    runs.append({k: unit[k] for k in (*names, "letters")})
                 last = unit["at"]
-            made.append([r for r in runs if r["words"] >= least])
+            made.append([
+                {k: r[k] for k in names} for r in runs
+                if r["words"] >= least or r["letters"] >= letters
+            ])
         kind = batch.column("units").type.value_type
-        fields = [kind.field(n) for n in ("start", "end", "words", "kept_id")]
+        fields = [kind.field(n) for n in names]
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), batch.column("hash"),
              pa.array(made, pa.list_(pa.struct(fields)))],
@@ -88,15 +116,17 @@ def _spans(batches, least):
 
 
 def repeated_spans(
-    df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST
+    df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST,
+    letters: int = LETTERS,
 ) -> DataFrame:
     """Passages of each text that stand in an earlier one, or earlier in itself.
 
     Units of all texts are grouped by digest; the first in the order of id, hash of the text
     and place is kept, all others are repeated. Repeated units that follow each other in a text
-    form a span if they have `least` words together. Gives one row a text that has spans: id,
-    hash (of the text) and spans (start, end in code points, words, kept_id: where the span's
-    first unit is kept).
+    form a span if they have `least` words together, or `letters` letters of scripts without
+    spaces between words (of which a whole sentence counts as one word). Gives one row a text
+    that has spans: id, hash (of the text) and spans (start, end in code points, words, kept_id:
+    where the span's first unit is kept).
 
     A null or empty text has no units. Null ids rank after all others and are told apart by
     their texts. Rows that repeat both id and text are one text: they get the same spans and
@@ -111,7 +141,8 @@ def repeated_spans(
         T.StructField("digest", T.BinaryType()), T.StructField("id", kind),
         T.StructField("hash", T.LongType()), T.StructField("at", T.IntegerType()),
     ]
-    where = [T.StructField(n, T.IntegerType()) for n in ("start", "end", "words")]
+    sizes = ("start", "end", "words", "letters")
+    where = [T.StructField(n, T.IntegerType()) for n in sizes]
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash", "at")
     # written, so that the join below has a shuffle on both sides and its hot digests can be split
     first = Tables(df.sparkSession, "passages").write(
@@ -129,13 +160,13 @@ def repeated_spans(
         .groupBy("id", "hash")
         .agg(
             F.collect_set(
-                F.struct("at", "start", "end", "words", F.col("first.id").alias("kept_id"))
+                F.struct("at", *sizes, F.col("first.id").alias("kept_id"))
             ).alias("units")
         )
     )
-    span = T.StructType([*where, T.StructField("kept_id", kind)])
+    span = T.StructType([*where[:-1], T.StructField("kept_id", kind)])
     schema = T.StructType([key[1], key[2], T.StructField("spans", T.ArrayType(span))])
-    return repeated.mapInArrow(remote(_spans, least), schema).where(F.size("spans") > 0)
+    return repeated.mapInArrow(remote(_spans, least, letters), schema).where(F.size("spans") > 0)
 
 
 def _without(batches, text):
@@ -155,14 +186,15 @@ def _without(batches, text):
 
 
 def without_repeats(
-    df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST
+    df: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST,
+    letters: int = LETTERS,
 ) -> DataFrame:
     """The table with every repeated span cut out of its texts; each row stays.
 
     Nulls, ties, repeated rows and empty tables as in `repeated_spans`; a text that is
     removed whole becomes empty.
     """
-    spans = repeated_spans(df, id, text, least).select(
+    spans = repeated_spans(df, id, text, least, letters).select(
         F.col("id").alias("__llm_id"), F.col("hash").alias("__llm_hash"),
         F.col("spans").alias("__llm_spans"),
     )

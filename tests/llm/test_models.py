@@ -93,6 +93,34 @@ def test_no_labels_and_no_rows(spark, docs):
     assert toxicity.toxicity(docs([]), None).count() == 0
 
 
+def sampled(monkeypatch, *args, **more):
+    """The (label, windows) that fit() hands to train()."""
+    seen = []
+    monkeypatch.setattr(toxicity, "train", seen.extend)
+    toxicity.fit(*args, **more)
+    return seen
+
+
+def test_sampled_texts_keep_all_windows(spark, docs, monkeypatch):
+    learned = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    sizes = dict(zip(learned, [1500, 4, 3000, 50, 20, 700, 9, 2000]))
+    table = docs([(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in sizes.items()])
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(sizes)], "doc_id long, toxic int")
+    want = {f"w{i}x0".encode(): len(toxicity.starts(n)) for i, n in sizes.items()}
+
+    def got(**more):
+        return {w[0].split()[0]: len(w) for _, w in sampled(monkeypatch, table, labels, **more)}
+
+    assert got() == want
+    some = got(windows=150)  # 50 for toxic texts and 100 for clean ones: whole texts alone
+    assert some and some.items() < want.items() and sum(some.values()) <= 150
+
+
+def test_early_windows_are_of_all_texts():
+    assert toxicity.turns(np.array([3, 3, 1, 3, 1, 2])).tolist() == [0, 1, 0, 2, 1, 0]
+    assert toxicity.turns(np.zeros(0, int)).tolist() == []
+
+
 def test_held_out_is_the_checksum():
     assert toxicity.parting(np.array([0.0, 1, 2, 9, 10]), np.array([0, 0, 0, 1, 1])) == 5.5
     assert toxicity.parting(np.array([1.0, 2]), np.array([1, 1])) == 0.0

@@ -8,16 +8,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillstar.llm.common import TEXT, alnum_words, annotate, column, remote
+from tillstar.llm.common import TEXT, Tables, alnum_words, annotate, column, remote
 
 #: Words of a window and from one window to the next; widths of word vectors, of the hidden state
 #: of each direction and of the attention; hash buckets of words and of letter triples.
 WINDOW, STRIDE = 32, 24
 WIDE, HIDDEN, ATTEND = 16, 8, 8
 BUCKETS = 1 << 13
-#: The training sample: labelled texts of each class at most, and windows of each text at most.
-POSITIVE, NEGATIVE, PER_TEXT = 2000, 4000, 40
+#: The training sample: labelled texts of each class at most, and windows of all its whole texts.
+POSITIVE, NEGATIVE, WINDOWS = 2000, 4000, 240_000
 EPOCHS, BATCH, RATE, CALIBRATE = 10, 512, 0.01, 4
 #: Words whose vectors are made, and windows that are scored, at once.
 AT_ONCE = 4096
@@ -197,8 +198,8 @@ def train(texts: list[tuple[int, list[bytes]]], seed: int = 4) -> Model | None:
 
     The words of a window are parted by spaces.
 
-    A toxic text has a toxic window somewhere. The first epochs take all windows of toxic texts
-    for toxic; the others take the window of the highest score, and those above one half. Each
+    A toxic text has a toxic window somewhere. The first epochs take windows of toxic texts for
+    toxic, as many of each text as they can; the others take the window of the highest score, and those above one half. Each
     epoch adds windows of clean texts, some drawn and some of the highest scores. One text in
     CALIBRATE is left out; these texts then move the bias so that a score of one half parts them
     best.
@@ -234,7 +235,10 @@ def train(texts: list[tuple[int, list[bytes]]], seed: int = 4) -> Model | None:
             chosen = order[top | (scores[order] > 0.5)]
             hard = negative[np.argsort(-scores[negative], kind="stable")[: POSITIVE]]
         count = min(len(chosen), POSITIVE)
-        chosen = draw.permutation(chosen)[:count]
+        chosen = draw.permutation(chosen)
+        if epoch < 2:  # a first window of each text, then a second one, ...
+            chosen = chosen[np.argsort(turns(owner[chosen]), kind="stable")]
+        chosen = chosen[:count]
         easy = draw.permutation(negative)[: 2 * count]
         mixed = draw.permutation(np.concatenate((chosen, easy, hard)))
         rate = RATE * (1 if epoch < EPOCHS - 3 else 0.3)
@@ -264,6 +268,15 @@ def train(texts: list[tuple[int, list[bytes]]], seed: int = 4) -> Model | None:
     return model
 
 
+def turns(owner: np.ndarray) -> np.ndarray:
+    """How many before each have the same owner."""
+    order = np.argsort(owner, kind="stable")
+    _, first, count = np.unique(owner[order], return_index=True, return_counts=True)
+    out = np.empty(len(owner), np.int64)
+    out[order] = np.arange(len(owner)) - np.repeat(first, count)
+    return out
+
+
 def parting(values: np.ndarray, label: np.ndarray) -> float:
     """The middle of the widest gap between values that parts the labels with fewest errors;
     0 unless both labels occur."""
@@ -283,21 +296,41 @@ def starts(count: int) -> range:
     return range(0, max(1, count - WINDOW + STRIDE), STRIDE) if count else range(0)
 
 
+#: What a text of the sample is known by, and its label.
+KEY = ["id", "hash", "order", "label"]
+
+
 def _windows(batches, most):
-    """Label and windows of each text, of long texts `most` of them at even distances."""
+    """Key, number of windows and windows of each text; a text of more than `most` has none."""
     for batch in batches:
-        made = []
+        sizes, made = [], []
         for text in batch.column(TEXT).to_pylist():
             words = alnum_words(text)
-            begin = list(starts(len(words)))
-            if len(begin) > most:
-                begin = [begin[i * len(begin) // most] for i in range(most)]
-            made.append([b" ".join(words[s : s + WINDOW]) for s in begin])
+            begin = starts(len(words))
+            sizes.append(len(begin))
+            made.append(
+                [b" ".join(words[s : s + WINDOW]) for s in begin] if len(begin) <= most else []
+            )
         yield pa.RecordBatch.from_arrays(
-            [batch.column("label"), pa.array(made, pa.list_(pa.binary()))], ["label", "windows"]
+            [
+                *(batch.column(n) for n in KEY), pa.array(sizes, pa.int64()),
+                pa.array(made, pa.list_(pa.binary())),
+            ],
+            [*KEY, "size", "windows"],
         )
 
 
+def fitting(texts: list, most: int) -> list:
+    """Of texts with a size, taken in turn, those that have `most` windows together; one that would
+    go beyond it is left out whole."""
+    total, out = 0, []
+    for one in texts:
+        if total + one.size <= most:
+            total += one.size
+            out.append(one)
+    return out
+
+
 def fit(
     df: DataFrame,
     labels: DataFrame,
@@ -306,11 +339,14 @@ def fit(
     label: str = "toxic",
     positive: int = POSITIVE,
     negative: int = NEGATIVE,
+    windows: int = WINDOWS,
 ) -> Model | None:
     """Train on a sample of the labelled texts outside the held-out fifth.
 
     Of each class the texts with the smallest hashes of the id, `positive` and `negative` at most,
-    are taken. An id with both labels counts as toxic; null labels and ids take no part.
+    are taken, with all their windows: a third of `windows` for toxic texts and the rest for clean
+    ones bounds them, and a text that doesn't fit any more is left out whole. An id with both labels
+    counts as toxic; null labels and ids take no part.
     """
     known = (
         labels.select(column(id).alias("id"), column(label).cast("int").alias("label"))
@@ -323,15 +359,32 @@ def fit(
     sample = known.where("label = 1").orderBy(*order).limit(positive).unionByName(
         known.where("label = 0").orderBy(*order).limit(negative)
     )
-    source = df.select(column(id).alias("id"), column(text).cast("string").alias(TEXT))
+    source = df.select(
+        column(id).alias("id"), column(text).cast("string").alias(TEXT),
+    ).withColumn("hash", F.xxhash64(TEXT))
     # at most positive + negative rows
-    rows = source.join(F.broadcast(sample), "id").select("id", "label", TEXT)
-    found = rows.select("label", TEXT).mapInArrow(
-        remote(_windows, PER_TEXT), "label int, windows array<binary>"
+    rows = source.join(F.broadcast(sample), "id").select(
+        "id", "hash", order[0].alias("order"), "label", TEXT
     )
-    table = found.toArrow()
+    bounds = {1: windows // 3, 0: windows - windows // 3}
+    kind = rows.select(*KEY).schema
+    for name, type in (("size", T.LongType()), ("windows", T.ArrayType(T.BinaryType()))):
+        kind = kind.add(name, type)
+    tables = Tables(df.sparkSession, "toxicity")
+    found = tables.write("sample", rows.mapInArrow(remote(_windows, max(bounds.values())), kind))
+    # sizes first, so that windows of texts beyond the bound don't come to the driver
+    sizes = sorted(found.select("order", "hash", "label", "size").collect())
+    chosen = [
+        row for label, most in bounds.items()
+        for row in fitting([r for r in sizes if r.label == label], most)
+    ]
+    if len(chosen) < len(sizes):
+        taken = df.sparkSession.createDataFrame(chosen, "order long, hash long, label int, size long")
+        found = found.join(F.broadcast(taken.distinct()), ["order", "hash", "label", "size"])
+    table = found.select("label", "windows").toArrow()
     texts = list(zip(table["label"].to_pylist(), table["windows"].to_pylist(), strict=True))
     del table
+    tables.drop("sample")
     texts.sort()  # the order of arrival must not matter
     return train(texts)
 

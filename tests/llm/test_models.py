@@ -116,6 +116,17 @@ def test_sampled_texts_keep_all_windows(spark, docs, monkeypatch):
     assert some and some.items() < want.items() and sum(some.values()) <= 150
 
 
+def test_sample_is_of_texts_that_are_there_once(spark, docs, monkeypatch):
+    learned = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 5]
+    labels = spark.createDataFrame([(i, i % 2) for i in learned], "doc_id long, toxic int")
+    pairs = [(i, f"text w{i}") for i in learned[::100]]
+    table = docs(pairs + pairs[:1] * 300 + [(pairs[1][0], "another one"), (pairs[2][0], None)])
+    found = sampled(monkeypatch, table, labels, positive=40, negative=40)
+    want = [(i % 2, [t.encode()]) for i, t in [*pairs, (pairs[1][0], "another one")]]
+    assert sorted(found) == sorted(want)
+    assert len(sampled(monkeypatch, table, labels, positive=3, negative=2)) == 5
+
+
 def test_early_windows_are_of_all_texts():
     assert toxicity.turns(np.array([3, 3, 1, 3, 1, 2])).tolist() == [0, 1, 0, 2, 1, 0]
     assert toxicity.turns(np.zeros(0, int)).tolist() == []

@@ -343,10 +343,11 @@ def fit(
 ) -> Model | None:
     """Train on a sample of the labelled texts outside the held-out fifth.
 
-    Of each class the texts with the smallest hashes of the id, `positive` and `negative` at most,
-    are taken, with all their windows: a third of `windows` for toxic texts and the rest for clean
-    ones bounds them, and a text that doesn't fit any more is left out whole. An id with both labels
-    counts as toxic; null labels and ids take no part.
+    Of each class the labelled texts of `df` with the smallest hashes of id and text, `positive` and
+    `negative` at most, are taken, with all their windows: a third of `windows` for toxic texts and
+    the rest for clean ones bounds them, and a text that doesn't fit any more is left out whole. An
+    id with both labels counts as toxic; null labels and ids take no part, nor do labels without a
+    text. Rows that repeat both id and text are one text.
     """
     known = (
         labels.select(column(id).alias("id"), column(label).cast("int").alias("label"))
@@ -355,16 +356,21 @@ def fit(
         .groupBy("id")
         .agg(F.max("label").alias("label"))
     )
-    order = (F.xxhash64(F.col("id").cast("string")), "id")
-    sample = known.where("label = 1").orderBy(*order).limit(positive).unionByName(
-        known.where("label = 0").orderBy(*order).limit(negative)
-    )
     source = df.select(
         column(id).alias("id"), column(text).cast("string").alias(TEXT),
     ).withColumn("hash", F.xxhash64(TEXT))
+    there = (
+        source.where(F.col(TEXT).isNotNull()).select("id", "hash").distinct().join(known, "id")
+        .withColumn("order", F.xxhash64(F.col("id").cast("string"), "hash"))
+    )
+    sample = there.where("label = 1").orderBy("order", "id", "hash").limit(positive).unionByName(
+        there.where("label = 0").orderBy("order", "id", "hash").limit(negative)
+    )
     # at most positive + negative rows
-    rows = source.join(F.broadcast(sample), "id").select(
-        "id", "hash", order[0].alias("order"), "label", TEXT
+    rows = (
+        source.join(F.broadcast(sample), ["id", "hash"])
+        .groupBy(*KEY)
+        .agg(F.first(TEXT).alias(TEXT))
     )
     bounds = {1: windows // 3, 0: windows - windows // 3}
     kind = rows.select(*KEY).schema

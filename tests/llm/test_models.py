@@ -50,6 +50,13 @@ def test_windows_reach_every_word():
         assert len(begin) == 1 or begin[-2] + toxicity.WINDOW < n
 
 
+def test_windows_hold_short_passages_whole():
+    for n in (17, 40, 100, 321):
+        begin = toxicity.starts(n)
+        for at in range(n - 16):
+            assert any(b <= at and at + 17 <= b + toxicity.WINDOW for b in begin), (n, at)
+
+
 def labelled(spark, docs):
     """Texts of common words, some with one of two bad words somewhere."""
     draw = np.random.default_rng(0)

@@ -14,7 +14,7 @@ from tillstar.llm.common import TEXT, Tables, alnum_words, annotate, column, rem
 
 #: Words of a window and from one window to the next; widths of word vectors, of the hidden state
 #: of each direction and of the attention; hash buckets of words and of letter triples.
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WIDE, HIDDEN, ATTEND = 16, 8, 8
 BUCKETS = 1 << 13
 #: The training sample: labelled texts of each class at most, and windows of all its whole texts.

@@ -160,6 +160,15 @@ def test_reports(house):
     assert reports.top_customers(house.dim_users, 1).first().customer_id == 7
 
 
+def test_repeated_unit_counts_once_in_category_profitability(house):
+    key = lambda r: (r.month, r.product_main_category)
+    units, catalog = house.sold_units, house.product_catalog
+    once = {key(r): r for r in house.category_profitability.collect()}
+    twice = reports.category_profitability(units.unionAll(units), catalog).collect()
+    assert {key(r): r.units_sold for r in twice} == {k: r.units_sold for k, r in once.items()}
+    assert all(r.quantity == 2 * once[key(r)].quantity for r in twice)
+
+
 def test_checks_pass_on_a_sound_build(house):
     frames = {n: getattr(house, n) for n in (*CORE, *MARTS)}
     report = q.check_report(frames, checks.core_rules() + checks.mart_rules()).collect()

@@ -29,36 +29,39 @@ def monthly_channel_performance(rpt_channel: DataFrame) -> DataFrame:
 def category_profitability(units: DataFrame, catalog: DataFrame) -> DataFrame:
     """Monthly units, revenue, profit and returns per main category.
 
-    Units are summed per product and day before they meet the catalog
-    (`marts.product_catalog`); their ids are unique, so they are counted, not told apart.
+    `catalog` is `marts.product_catalog`. A unit counts once in a month and category, however
+    often its row is repeated: rows are summed per unit first, so no distinct count is planned.
     """
     refund = F.when(
         F.col("return_status") == "Refund",
         F.col("product_price") * F.coalesce("return_quantity", F.lit(0.0)),
     ).otherwise(F.lit(0.0))
     revenue, returned = F.col("product_revenue"), F.col("return_status").isNotNull()
-    daily = units.groupBy("product_id", "date_key").agg(
-        F.count("item_id").alias("units_sold"),
-        F.sum("product_quantity").alias("quantity"),
-        F.sum(F.when(revenue.isNotNull(), F.col("product_quantity"))).alias("priced_quantity"),
-        F.sum(revenue.cast(MONEY)).alias("revenue"),
-        F.sum((revenue - refund).cast(MONEY)).alias("net_revenue"),
-        F.count_if(returned).alias("returned_units"),
-        F.count("*").alias("rows"),
-    )
     products = catalog.select(
         "product_id", F.col("main_category_name").alias("product_main_category"),
         F.col("unit_cost").cast(MONEY).alias("unit_cost"),
     )
-    named = left_lookup(daily, products, "product_id", spread_by="date_key")
-    cost = (F.col("unit_cost") * F.col("priced_quantity")).cast("decimal(38,6)")
-    totals = named.groupBy(
-        month_start(date_from_key("date_key")).alias("month"), "product_main_category"
+    sold = units.select(
+        "item_id", "product_id", "date_key", "product_quantity",
+        revenue.cast(MONEY).alias("revenue"), (revenue - refund).cast(MONEY).alias("net_revenue"),
+        returned.alias("returned"),
+    )
+    named = left_lookup(sold, products, "product_id", spread_by="date_key")
+    cost = (F.col("unit_cost") * F.col("product_quantity")).cast("decimal(38,6)")
+    each = named.groupBy(
+        month_start(date_from_key("date_key")).alias("month"), "product_main_category", "item_id"
     ).agg(
-        *[F.sum(c).alias(c) for c in ("units_sold", "quantity")],
-        F.sum("revenue").cast("double").alias("revenue"),
-        F.sum(F.col("revenue") - cost).cast("double").alias("gross_profit"),
-        F.sum("net_revenue").cast("double").alias("net_revenue"),
+        F.sum("product_quantity").alias("quantity"),
+        F.sum("revenue").alias("revenue"),
+        F.sum(F.col("revenue") - cost).alias("gross_profit"),
+        F.sum("net_revenue").alias("net_revenue"),
+        F.count_if("returned").alias("returned_units"),
+        F.count("*").alias("rows"),
+    )
+    totals = each.groupBy("month", "product_main_category").agg(
+        F.count("item_id").alias("units_sold"),
+        F.sum("quantity").alias("quantity"),
+        *[F.sum(c).cast("double").alias(c) for c in ("revenue", "gross_profit", "net_revenue")],
         *[F.sum(c).alias(c) for c in ("returned_units", "rows")],
     )
     return totals.select(

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    bpe, counts, decontaminate, licences, near, passages, quality, sharding, toxicity,
-    urls,
+    bpe, counts, decontaminate, licences, near, pages, passages, quality, sharding,
+    toxicity, urls,
 )
 
 SHARDS = 40
@@ -82,9 +82,14 @@ def op10_urls(spark, folder):
     return urls.judged_urls(_table(spark, folder, "pages"), keep=["page_id"])
 
 
+def op13_main_text(spark, folder):
+    return pages.main_text(_table(spark, folder, "pages"), keep=["page_id", "url"])
+
+
 def queries():
     every = (
         op1_byte_bpe, op2_near_duplicates, op3_passages, op4_toxicity, op5_decontamination,
         op6_sharding, op7_quality, op8_licences, op9_token_counts, op10_urls,
+        op13_main_text,
     )
     return {f.__name__: f for f in every}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tillstar.llm import (
     bpe, counts, decontaminate, licences, near, pages, passages, quality, sharding,
-    toxicity, urls,
+    spelling, toxicity, urls,
 )
 
 SHARDS = 40
@@ -82,6 +82,11 @@ def op10_urls(spark, folder):
     return urls.judged_urls(_table(spark, folder, "pages"), keep=["page_id"])
 
 
+def op11_spelling(spark, folder):
+    counts = spelling.word_counts(_table(spark, folder, "documents"), least=7, damage=31)
+    return spelling.variants(counts, least=2, ratio=10)
+
+
 def op13_main_text(spark, folder):
     return pages.main_text(_table(spark, folder, "pages"), keep=["page_id", "url"])
 
@@ -90,6 +95,6 @@ def queries():
     every = (
         op1_byte_bpe, op2_near_duplicates, op3_passages, op4_toxicity, op5_decontamination,
         op6_sharding, op7_quality, op8_licences, op9_token_counts, op10_urls,
-        op13_main_text,
+        op11_spelling, op13_main_text,
     )
     return {f.__name__: f for f in every}

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from compare import differences, duck
 from conftest import ODD
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import __spark_entry__ as entry
@@ -94,7 +95,8 @@ def test_odd_documents_match_sql(name, spark, docs, tmp_path):
     folder = str(tmp_path)
     pairs = [(i, t) for i, t in ODD if t is None or "\x00" not in t]
     pairs = [p for p in pairs if p[0] is not None]  # SQL's least id of a group is never null
-    docs(pairs).write.parquet(f"{folder}/documents.parquet")
+    odd = docs(pairs).withColumn("lang", F.when(F.col("doc_id") > 5, "en"))
+    odd.write.parquet(f"{folder}/documents.parquet")
     benchmark(spark, [(1, "a b c d"), (2, "word"), (3, None)]).write.parquet(f"{folder}/benchmark.parquet")
     import duckdb
 

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    bpe, counts, decontaminate, licences, near, pages, passages, quality, sharding,
-    spelling, toxicity, urls,
+    bpe, collocations, counts, decontaminate, licences, near, pages, passages, quality,
+    sharding, spelling, toxicity, urls,
 )
 
 SHARDS = 40
@@ -87,6 +87,11 @@ def op11_spelling(spark, folder):
     return spelling.variants(counts, least=2, ratio=10)
 
 
+def op12_collocations(spark, folder):
+    documents = _table(spark, folder, "documents")
+    return collocations.collocations(documents, longest=4, least=30, most=2000)
+
+
 def op13_main_text(spark, folder):
     return pages.main_text(_table(spark, folder, "pages"), keep=["page_id", "url"])
 
@@ -95,6 +100,6 @@ def queries():
     every = (
         op1_byte_bpe, op2_near_duplicates, op3_passages, op4_toxicity, op5_decontamination,
         op6_sharding, op7_quality, op8_licences, op9_token_counts, op10_urls,
-        op11_spelling, op13_main_text,
+        op11_spelling, op12_collocations, op13_main_text,
     )
     return {f.__name__: f for f in every}

@@ -140,9 +140,57 @@ FROM failed
 """
 
 
+COLLOCATIONS = rf"""
+WITH docs AS (SELECT coalesce(lang, 'und') AS lang, {LOWERED} AS t FROM documents),
+parts AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs
+),
+pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM parts),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, k, phrase, count(*) AS a
+  FROM (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM pieces, (VALUES (1), (2), (3), (4)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i)
+  ) GROUP BY lang, k, phrase HAVING count(*) >= 30
+),
+candidates AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM grams WHERE k > 1
+),
+cuts AS (
+  SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS head,
+         array_to_string(w[j + 1:k], ' ') AS tail
+  FROM candidates, unnest(range(1, k)) AS t(j)
+),
+scores AS (
+  SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r,
+         CAST(CAST(c.a AS HUGEINT) * 2000000 // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts c
+  JOIN grams x ON x.lang = c.lang AND x.phrase = c.head
+  JOIN grams y ON y.lang = c.lang AND y.phrase = c.tail
+),
+lowest AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM scores
+),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM candidates, (VALUES (2), (3)) AS s(m), unnest(range(1, k - m + 2)) AS t(i)
+  WHERE m < k GROUP BY ALL
+),
+best AS (
+  SELECT o.lang, o.phrase, o.a, l, r, score,
+         row_number() OVER (PARTITION BY o.lang ORDER BY score DESC, o.a DESC, o.phrase) AS rank
+  FROM lowest o LEFT JOIN inner_parts p ON p.lang = o.lang AND p.phrase = o.phrase
+  WHERE place = 1 AND (longer IS NULL OR 100 * longer < 80 * o.a)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_near_duplicates": NEAR_DUPLICATES,
         "op5_decontamination": DECONTAMINATION,
         "op7_quality": QUALITY,
+        "op12_collocations": COLLOCATIONS,
     }

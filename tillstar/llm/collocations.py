@@ -8,6 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,21 +25,54 @@ TILE, DENSE = 512, 8
 #: Blocks whose distinct pairs fill one group of the merge, about 60 MB at the most.
 TOGETHER = 3
 
-CHUNK = "chunk string, lang string, seq binary, words array<binary>, counts array<int>, n long"
+#: What is sent between tasks is packed: numbers by the planes of their bytes, words by line.
+CHUNK = "chunk string, lang string, seq binary, words binary, counts binary, n long"
 #: Rows of blocks (seq) and of what they send to a group of the merge (bucket).
+_SENT = [
+    ("chunk", pa.string()), ("lang", pa.string()), ("seq", pa.binary()), ("bucket", pa.int32()),
+    ("start", pa.int32()), ("words", pa.binary()), ("lefts", pa.binary()),
+    ("rights", pa.binary()), ("counts", pa.binary()),
+]
 SENT = (
-    "chunk string, lang string, seq binary, bucket int, at binary, words array<binary>, "
-    "lefts binary, rights binary, counts binary"
+    "chunk string, lang string, seq binary, bucket int, start int, words binary, lefts binary, "
+    "rights binary, counts binary"
 )
 #: Rows of what a group found, and of what it tells a block (chunk).
+_MERGED = [
+    ("chunk", pa.string()), ("bucket", pa.int32()), ("at", pa.binary()), ("places", pa.binary()),
+    ("totals", pa.binary()), ("lang", pa.string()), ("found", pa.list_(pa.int64())),
+    ("times", pa.list_(pa.int64())), ("words", pa.list_(pa.binary())),
+    ("lefts", pa.list_(pa.int64())), ("rights", pa.list_(pa.int64())),
+]
 MERGED = (
-    "chunk string, at binary, ids binary, totals binary, lang string, found array<bigint>, "
-    "times array<bigint>, words array<binary>, lefts array<bigint>, rights array<bigint>"
+    "chunk string, bucket int, at binary, places binary, totals binary, lang string, "
+    "found array<bigint>, times array<bigint>, words array<binary>, lefts array<bigint>, "
+    "rights array<bigint>"
 )
 
 
-def _packed(values, kind) -> bytes:
-    return np.asarray(values, kind).tobytes()
+def _packed(values: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers, not negative, by the planes of their bytes; of rising ones the steps."""
+    values = np.ascontiguousarray(values, np.int64)
+    if rising:
+        values = np.diff(values, prepend=0)
+    planes = values.view(np.uint8).reshape(-1, 8).T
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _unpacked(data: bytes, rising: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1)
+    values = np.ascontiguousarray(planes.T).view(np.int64).ravel()
+    return np.cumsum(values) if rising else values
+
+
+def _packed_words(words: list[bytes]) -> bytes:
+    """Words of which none holds a line break."""
+    return zstandard.compress(b"\n".join(words), 1)
+
+
+def _unpacked_words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b"\n")
 
 
 def _record(schema: list[tuple[str, pa.DataType]], rows: list[dict]) -> pa.Table:
@@ -47,32 +81,23 @@ def _record(schema: list[tuple[str, pa.DataType]], rows: list[dict]) -> pa.Table
     )
 
 
-_SENT = [
-    ("chunk", pa.string()), ("lang", pa.string()), ("seq", pa.binary()), ("bucket", pa.int32()),
-    ("at", pa.binary()), ("words", pa.list_(pa.binary())), ("lefts", pa.binary()),
-    ("rights", pa.binary()), ("counts", pa.binary()),
-]
-_MERGED = [
-    ("chunk", pa.string()), ("at", pa.binary()), ("ids", pa.binary()), ("totals", pa.binary()),
-    ("lang", pa.string()), ("found", pa.list_(pa.int64())), ("times", pa.list_(pa.int64())),
-    ("words", pa.list_(pa.binary())), ("lefts", pa.list_(pa.int64())),
-    ("rights", pa.list_(pa.int64())),
-]
-
-
 def _blocks(batches, most):
-    """Blocks of the corpus by language: words as numbers within the block, -1 between pieces."""
+    """Blocks of the corpus by language: words as numbers within the block from 1, 0 after pieces."""
     open_blocks: dict[str, tuple[dict, array]] = {}
 
     def closed(lang):
         numbers, seq = open_blocks.pop(lang)
-        places = np.frombuffer(seq, np.int32)
-        counts = np.bincount(places[places >= 0], minlength=len(numbers))
+        # numbers follow the words in order, so that like words are stored next to each other
+        words = sorted(numbers)
+        moved = np.zeros(len(words) + 1, np.int64)  # the last is that of -1
+        moved[[numbers[w] for w in words]] = np.arange(1, len(words) + 1)
+        seq = moved[np.frombuffer(seq, np.int32)]
+        counts = np.bincount(seq, minlength=len(words) + 1)[1:]
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([uuid.uuid4().hex]), pa.array([lang]), pa.array([seq.tobytes()]),
-                pa.array([list(numbers)], pa.list_(pa.binary())),
-                pa.array([counts], pa.list_(pa.int32())), pa.array([int(counts.sum())]),
+                pa.array([uuid.uuid4().hex]), pa.array([lang]), pa.array([_packed(seq)]),
+                pa.array([_packed_words(words)], pa.binary()), pa.array([_packed(counts)]),
+                pa.array([int(counts.sum())]),
             ],
             ["chunk", "lang", "seq", "words", "counts", "n"],
         )
@@ -101,54 +126,58 @@ def _blocks(batches, most):
                     yield closed(lang)
                 elif held >= 4 * most:  # very many languages
                     held = 0
-                    for other in list(open_blocks):
+                    for other in [k for k, (_, seq) in open_blocks.items() if seq]:
                         yield closed(other)
     for lang in list(open_blocks):
-        yield closed(lang)
+        if open_blocks[lang][1]:
+            yield closed(lang)
 
 
 def _sent_words(batches, buckets):
     """The words of each block, dealt out to the groups of the merge."""
     for batch in batches:
         for row in batch.to_pylist():
-            dealt = np.fromiter(
-                (crc32(w) % buckets for w in row["words"]), np.int64, len(row["words"])
-            )
+            words = _unpacked_words(row["words"])
+            counts = _unpacked(row["counts"])
+            dealt = np.fromiter((crc32(w) % buckets for w in words), np.int64, len(words))
             order = np.argsort(dealt, kind="stable")
             edges = np.searchsorted(dealt[order], np.arange(buckets + 1))
-            counts = np.array(row["counts"], np.int64)
             rows = []
-            for bucket in range(buckets):
-                at = order[edges[bucket] : edges[bucket + 1]]
-                if len(at):
-                    rows.append({
-                        "chunk": row["chunk"], "lang": row["lang"], "bucket": bucket,
-                        "at": _packed(at, np.int32), "words": [row["words"][k] for k in at],
-                        "counts": _packed(counts[at], np.int64),
-                    })
+            for bucket in np.flatnonzero(np.diff(edges)):
+                own = order[edges[bucket] : edges[bucket + 1]]
+                rows.append({
+                    "chunk": row["chunk"], "lang": row["lang"], "bucket": bucket,
+                    "words": _packed_words([words[k] for k in own]),
+                    "lefts": _packed(own, True), "counts": _packed(counts[own]),
+                })
             yield from _record(_SENT, rows).to_batches()
 
 
-def _ranked(bucket: int, totals: np.ndarray, least: int) -> np.ndarray:
-    """Ids of what occurs `least` times, the most frequent of the group first; else -1."""
-    ids = np.full(len(totals), -1, np.int64)
+def _ranked(totals: np.ndarray, least: int) -> np.ndarray:
+    """Numbers for what occurs `least` times, the most frequent of the group first; else -1."""
+    ranks = np.full(len(totals), -1, np.int64)
     often = np.flatnonzero(totals >= least)
     often = often[np.argsort(-totals[often], kind="stable")]
-    ids[often] = (bucket << 40) + np.arange(len(often))
-    return ids
+    ranks[often] = np.arange(len(often))
+    return ranks
+
+
+def _identified(bucket: int, ranks):
+    """Ids of what a group found; no other group has them."""
+    return (bucket << 40) + ranks
 
 
-def _told(chunks, places, owners, ids, totals) -> list[dict]:
-    """What each block learns of its entries: numbers in the block, ids and totals."""
+def _told(bucket, chunks, places, owners, ranks, totals) -> list[dict]:
+    """What each block learns of its entries: their numbers there, ranks in the group, totals."""
     rows, start = [], 0
     for chunk, at in zip(chunks, places, strict=True):
         own = owners[start : start + len(at)]
         start += len(at)
-        kept = ids[own] >= 0
+        kept = ranks[own] >= 0
         if kept.any():
             rows.append({
-                "chunk": chunk, "at": at[kept].tobytes(), "ids": ids[own][kept].tobytes(),
-                "totals": totals[own][kept].tobytes(),
+                "chunk": chunk, "bucket": bucket, "at": _packed(at[kept], True),
+                "places": _packed(ranks[own][kept]), "totals": _packed(totals[own][kept]),
             })
     return rows
 
@@ -158,24 +187,25 @@ def _merge_words(least):
         bucket = key[0].as_py()
         numbers: dict[tuple[str, bytes], int] = {}
         owners, counts, places, chunks = [], [], [], []
-        for row in table.select(["chunk", "lang", "at", "words", "counts"]).to_pylist():
-            lang = row["lang"]
-            owners += [numbers.setdefault((lang, w), len(numbers)) for w in row["words"]]
-            counts.append(np.frombuffer(row["counts"], np.int64))
-            places.append(np.frombuffer(row["at"], np.int32))
+        for row in table.select(["chunk", "lang", "words", "lefts", "counts"]).to_pylist():
+            lang, words = row["lang"], _unpacked_words(row["words"])
+            own = [numbers.setdefault((lang, w), len(numbers)) for w in words]
+            owners.append(np.array(own, np.int64))
+            counts.append(_unpacked(row["counts"]))
+            places.append(_unpacked(row["lefts"], True))
             chunks.append(row["chunk"])
-        owners = np.array(owners, np.int64)
+        owners = np.concatenate(owners)
         totals = np.zeros(len(numbers), np.int64)
         np.add.at(totals, owners, np.concatenate(counts))
-        ids = _ranked(bucket, totals, least)
-        rows = _told(chunks, places, owners, ids, totals)
+        ranks = _ranked(totals, least)
+        rows = _told(bucket, chunks, places, owners, ranks, totals)
         by_lang: dict[str, list[int]] = {}
         entries = list(numbers)
-        for k in np.flatnonzero(ids >= 0):
+        for k in np.flatnonzero(ranks >= 0):
             by_lang.setdefault(entries[k][0], []).append(k)
         for lang, own in by_lang.items():
             rows.append({
-                "lang": lang, "found": ids[own], "times": totals[own],
+                "lang": lang, "found": _identified(bucket, ranks[own]), "times": totals[own],
                 "words": [entries[k][1] for k in own],
             })
         return _record(_MERGED, rows)
@@ -187,11 +217,13 @@ def _merge_pairs(least):
     def merge(key, table):
         bucket = key[0].as_py()
 
-        def joined(name):
-            return [np.frombuffer(x, np.int64) for x in table.column(name).to_pylist()]
-
-        places = [np.frombuffer(x, np.int32) for x in table.column("at").to_pylist()]
-        lefts, rights, counts = (np.concatenate(joined(n)) for n in ("lefts", "rights", "counts"))
+        sent = [
+            (r["start"], _unpacked(r["lefts"], True), _unpacked(r["rights"]), _unpacked(r["counts"]))
+            for r in table.select(["start", "lefts", "rights", "counts"]).to_pylist()
+        ]
+        places = [start + np.arange(len(left)) for start, left, _, _ in sent]
+        lefts, rights, counts = (np.concatenate([x[k] for x in sent]) for k in (1, 2, 3))
+        del sent
         order = np.lexsort((rights, lefts))
         lefts, rights = lefts[order], rights[order]
         first = np.ones(len(order), bool)
@@ -200,13 +232,14 @@ def _merge_pairs(least):
         totals = np.add.reduceat(counts[order], starts)
         owners = np.empty(len(order), np.int64)
         owners[order] = np.cumsum(first) - 1
-        ids = _ranked(bucket, totals, least)
-        rows = _told(table.column("chunk").to_pylist(), places, owners, ids, totals)
-        own = ids >= 0
+        ranks = _ranked(totals, least)
+        chunks = table.column("chunk").to_pylist()
+        rows = _told(bucket, chunks, places, owners, ranks, totals)
+        own = ranks >= 0
         if own.any():
             rows.append({
-                "found": ids[own], "times": totals[own], "lefts": lefts[starts][own],
-                "rights": rights[starts][own],
+                "found": _identified(bucket, ranks[own]), "times": totals[own],
+                "lefts": lefts[starts][own], "rights": rights[starts][own],
             })
         return _record(_MERGED, rows)
 
@@ -257,39 +290,44 @@ def _pairs(buckets, keep):
 
     def pair(blocks, told):
         rows = []
+        known = [
+            (_unpacked(r["at"], True), _identified(r["bucket"], _unpacked(r["places"])), _unpacked(r["totals"]))
+            for r in told.select(["bucket", "at", "places", "totals"]).to_pylist()
+        ]
+        if not known:
+            return _record(_SENT, rows)
+        at, ids, totals = (np.concatenate(x) for x in zip(*known, strict=True))
+        order = np.argsort(-totals, kind="stable")
+        ids = ids[order]
         for block in blocks.to_pylist():
-            seq = np.frombuffer(block["seq"], np.int32)
-            at, ids, totals = (
-                np.concatenate([np.frombuffer(x, k) for x in told.column(c).to_pylist()] or [np.zeros(0, k)])
-                for c, k in (("at", np.int32), ("ids", np.int64), ("totals", np.int64))
-            )
-            order = np.argsort(-totals, kind="stable")
-            ids = ids[order]
-            rank = np.full(max(int(seq.max(initial=-1)), int(at.max(initial=-1))) + 2, -1, np.int64)
-            rank[at[order]] = np.arange(len(order))  # the last entry stands for -1
+            seq = _unpacked(block["seq"])
+            rank = np.full(max(int(seq.max(initial=0)), int(at.max()) + 1) + 1, -1, np.int64)
+            rank[at[order] + 1] = np.arange(len(order))  # places of a block count from 1
             now = rank[seq]
             both = np.flatnonzero((now[:-1] >= 0) & (now[1:] >= 0))
             if not len(both):
                 continue
             code, count, which = counted(now[both], now[both + 1], len(ids))
-            if keep:
-                new = np.full(len(seq), -1, np.int32)
-                new[both] = which
-                rows.append({"chunk": block["chunk"], "lang": block["lang"], "seq": new.tobytes()})
             left, right = (ids[x] for x in divmod(code, len(ids)))
             mixed = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)
             mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
             dealt = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(dealt, kind="stable")
-            edges = np.searchsorted(dealt[order], np.arange(buckets + 1))
-            for bucket in range(buckets):
-                own = order[edges[bucket] : edges[bucket + 1]]
-                if len(own):
-                    rows.append({
-                        "chunk": block["chunk"], "bucket": bucket, "at": _packed(own, np.int32),
-                        "lefts": left[own].tobytes(), "rights": right[own].tobytes(),
-                        "counts": _packed(count[own], np.int64),
-                    })
+            sent = np.lexsort((right, left, dealt))
+            edges = np.searchsorted(dealt[sent], np.arange(buckets + 1))
+            if keep:
+                # a pair's number in the block is its place among those sent
+                number = np.empty(len(sent), np.int64)
+                number[sent] = np.arange(1, len(sent) + 1)
+                new = np.zeros(len(seq), np.int64)
+                new[both] = number[which]
+                rows.append({"chunk": block["chunk"], "lang": block["lang"], "seq": _packed(new)})
+            for bucket in np.flatnonzero(np.diff(edges)):
+                own = sent[edges[bucket] : edges[bucket + 1]]
+                rows.append({
+                    "chunk": block["chunk"], "bucket": bucket, "start": edges[bucket],
+                    "lefts": _packed(left[own], True), "rights": _packed(right[own]),
+                    "counts": _packed(count[own]),
+                })
         return _record(_SENT, rows)
 
     return pair
@@ -348,7 +386,7 @@ def candidates(
     ]
     seqs = blocks.select("chunk", "lang", "seq")
     for size in range(2, longest + 1):
-        told = merged.where("chunk IS NOT NULL").select("chunk", "at", "ids", "totals")
+        told = merged.where("chunk IS NOT NULL").select("chunk", "bucket", "at", "places", "totals")
         sent = (
             seqs.groupBy("chunk")
             .cogroup(told.groupBy("chunk"))

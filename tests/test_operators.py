@@ -1,6 +1,7 @@
 """Operators on small frames with hand-computed results."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -278,3 +279,66 @@ def test_orphans_count_rows_per_key(spark):
     child = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "k string")
     parent = spark.createDataFrame([("a",)], "k string")
     assert rows(orphans(child, "k", parent, "k"), "key") == [("b", 2)]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("months, until", [(1, None), (12, None), (5, D(2023, 5, 5)), (12, D(1999, 1, 1))])
+def test_as_of_join_equals_the_interval_join(spark, how, months, until):
+    draw = random.Random(months)
+    day = lambda: D(2021, 1, 1) + dt.timedelta(draw.randrange(1500))
+    versions, facts = [], [(i, draw.choice([1, 2, 3, 4, None]), draw.choice([day(), day(), day(), None])) for i in range(400)]
+    facts += [(900, 1, D(1900, 1, 1)), (901, 1, D(9999, 12, 31)), (902, 3, D(9999, 12, 31))]
+    for k in (1, 2, 3, 5, None):
+        starts = sorted({day() for _ in range(12)})
+        ends = [*starts[1:], None if k != 3 else starts[-1] + dt.timedelta(3)]
+        versions += [(k, a, b, f"{k}-{a}") for a, b in zip(starts, ends)]
+    versions += [(1, D(2022, 1, 1), D(2022, 1, 1), "empty"), (2, None, D(2022, 1, 1), "undated")]
+    dim = spark.createDataFrame(versions, "k bigint, valid_from date, valid_to date, v string")
+    fact = spark.createDataFrame(facts, "id bigint, k bigint, day date")
+    joined = as_of_join(
+        fact, dim, "k", "day", how, "id", months, None if until is None else F.lit(until)
+    )
+    expected = []
+    for i, k, d in facts:
+        hits = [
+            v for vk, a, b, v in versions
+            if k is not None and vk == k and d is not None and a is not None
+            and a <= d and (b is None or d < b)
+        ]
+        expected += [(i, v) for v in hits or ([None] if how == "left" else [])]
+    assert joined.columns == ["id", "k", "day", "v"]
+    got = [tuple(r) for r in joined.select("id", "v").collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_a_key_with_very_many_versions_and_facts_is_many_tasks(spark):
+    """100,000 versions of one customer, a new one every day, and a third of all facts."""
+    start = D(1750, 1, 1)
+    dim = spark.range(100_000).select(
+        F.lit(0).cast("long").alias("k"),
+        F.date_add(F.lit(start), F.col("id").cast("int")).alias("valid_from"),
+        F.date_add(F.lit(start), F.col("id").cast("int") + 1).alias("valid_to"),
+        F.col("id").alias("v"),
+    )
+    fact = spark.range(90_000).select(
+        "id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+        F.date_add(F.lit(start), (F.col("id") % 100_000).cast("int")).alias("day"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = as_of_join(fact, dim, "k", "day", months=1).where("k = 0")
+        per_task = joined.groupBy(F.spark_partition_id().alias("task")).agg(
+            F.count("*").alias("n"), F.count_if(F.col("v") == F.col("id")).alias("right")
+        ).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in per_task) == sum(r.right for r in per_task) == 30_000
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert len(per_task) == tasks and max(r.n for r in per_task) < 2 * 30_000 / tasks

@@ -34,6 +34,12 @@ def current(df: DataFrame) -> DataFrame:
     return df.where(F.col("is_current"))
 
 
+def slot_of(day: Column, months: int) -> Column:
+    """Number of the stretch of so many months that a day lies in."""
+    number = F.year(day) * 12 + F.month(day) - 1
+    return F.floor(number / F.lit(months)).cast("int")
+
+
 def as_of_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -41,21 +47,37 @@ def as_of_join(
     at: str,
     how: str = "left",
     spread_by: str | None = None,
+    months: int = 12,
+    until: Column | None = None,
 ) -> DataFrame:
     """Join each fact row to the dimension version valid on its day.
 
     `dim` holds `key`, `valid_from`, `valid_to` and the columns wanted; these
-    three are dropped from the result. The key is an equality, so Spark hashes
-    or merges on it and tests the interval on the few versions of the key. The
-    bounds become plain days once per version, since the test runs once per
-    fact and version. `spread_by` scatters facts without a key, as in `left_lookup`.
+    three are dropped from the result. Time is cut into slots of `months`; each version is
+    laid into the slots it covers, and a fact looks for its version in the slot of its day: the
+    join is on key and slot, the interval is tested last. So a fact tests the versions of its slot
+    alone, and a key with very many versions or facts is as many tasks as it has slots. Open
+    versions reach to the slot of `until` (default: today), which also takes all later days: the
+    result doesn't depend on it. `spread_by` scatters facts without a key, as in `left_lookup`.
     """
     wanted = [c for c in dim.columns if c not in (key, "valid_from", "valid_to")]
-    right = dim.select(
-        F.col(key).alias("__key"),
-        F.col("valid_from").cast("date").alias("__from"),
-        F.col("valid_to").cast("date").alias("__to"),
-        *wanted,
+    end = slot_of(F.current_date() if until is None else until.cast("date"), months)
+
+    def slot(day: Column) -> Column:
+        return F.least(slot_of(day, months), end)
+
+    first, after = F.col("__from"), F.col("__to")
+    last = F.when(after.isNull(), end).otherwise(slot(F.date_sub(after, 1)))
+    right = (
+        dim.select(
+            F.col(key).alias("__key"),
+            F.col("valid_from").cast("date").alias("__from"),
+            F.col("valid_to").cast("date").alias("__to"),
+            *wanted,
+        )
+        # a version that ends when it begins holds on no day
+        .where(F.col("__key").isNotNull() & (after.isNull() | (first < after)))
+        .withColumn("__covered", F.explode(F.sequence(slot(first), last)))
     )
     if how == "inner":
         left = fact.where(F.col(key).isNotNull())
@@ -67,11 +89,11 @@ def as_of_join(
             left = left.withColumn("__spread", null_spread(F.col(key).isNull(), spread_by))
             right = right.withColumn("__zero", zero_of("__key"))
             condition = condition & (F.col("__spread") == F.col("__zero"))
-    inside = (F.col(at) >= F.col("__from")) & (
-        F.col("__to").isNull() | (F.col(at) < F.col("__to"))
-    )
+    left = left.withColumn("__slot", slot(F.col(at).cast("date")))
+    condition = condition & (F.col("__slot") == F.col("__covered"))
+    inside = (F.col(at) >= first) & (after.isNull() | (F.col(at) < after))
     return left.join(right, condition & inside, how).drop(
-        "__key", "__from", "__to", "__spread", "__zero"
+        "__key", "__from", "__to", "__spread", "__zero", "__slot", "__covered"
     )
 
 

@@ -1,6 +1,8 @@
 """Near-duplicates and passages against brute force."""
 
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -117,6 +119,80 @@ def test_components_of_long_chains(spark):
     assert {r.node: r.comp for r in found} == {n: 0 if n < 100 else n for n in range(200)}
 
 
+def plain_units(text):
+    """(start, end, words) of the units with words, found letter by letter."""
+    out, start, i = [], 0, 0
+
+    def solid(c):
+        return not c.isspace() and not c.isalnum() and c != "_" and not re.match(r"\w", c)
+
+    def after(i):
+        while i < len(text) and text[i].isspace():
+            i += 1
+        return i
+
+    def closed(end):
+        nonlocal start
+        words = [w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low(text[start:end]))]
+        if words:
+            out.append((start, end, words))
+        start = end
+
+    def low(part):
+        return part.translate({c: c + 32 for c in range(65, 91)})
+
+    while i < len(text):
+        if text[i] in "\n\u2028\u2029":
+            i = after(i)
+            closed(i)
+        elif solid(text[i]):
+            stop = i
+            while stop < len(text) and solid(text[stop]):
+                stop += 1
+            spaced = after(stop) > stop
+            while i < stop:
+                if text[i] in ".!?" and spaced:
+                    i = after(stop)
+                    closed(i)
+                elif text[i] in passages.MARKS:
+                    i += 1
+                    while i < stop and (text[i] in passages.MARKS or text[i] in ".!?"):
+                        i += 1
+                    while i < stop and text[i] in passages.CLOSING.replace("\\", ""):
+                        i += 1
+                    if i == stop:
+                        i = after(i)
+                    closed(i)
+                else:
+                    i += 1
+        else:
+            i += 1
+    closed(len(text))
+    return [(a, b, len(words), b" ".join(words)) for a, b, words in out]
+
+
+def test_units_are_those_found_letter_by_letter():
+    draw = random.Random(4)
+    letters = list("ab_ .!?\n\t\"')-,9Z") + list("。！」　।—é\u2028")
+    for _ in range(20_000):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(16)))
+        expected = [x[:3] for x in plain_units(text)]
+        assert [u[:3] for u in passages.units(text)] == expected, text
+
+
+def test_runs_of_marks_take_time_in_proportion(docs):
+    runs = [".", "!?", ".x", "。", ".。", "-", " ", "\n", '."', " \n", "\u0964 "]
+    for run in runs:
+        text = run * (200_000 // len(run))
+        began = time.time()
+        list(passages.units(text + "x"))
+        assert time.time() - began < 3, run
+    line = "Contents " + "." * 20_000 + "12"
+    text = (line + "\n") * 250  # 5 MB
+    cut = {r.doc_id: r.text for r in passages.without_repeats(docs([(1, text), (2, "own")])).collect()}
+    assert cut == {1: line + "\n", 2: "own"}
+
+
 def expected_spans(pairs, least):
     ranked = sorted(
         {(i is None, i or 0, t): (i, t) for i, t in pairs if t}.values(),
@@ -124,11 +200,11 @@ def expected_spans(pairs, least):
     )
     first, out = {}, {}
     for i, t in ranked:
-        for at, (_, _, _, digest) in enumerate(passages.units(t)):
+        for at, (_, _, _, digest) in enumerate(plain_units(t)):
             first.setdefault(digest, (i, t, at))
     for i, t in ranked:
         runs, last = [], None
-        for at, (start, end, words, digest) in enumerate(passages.units(t)):
+        for at, (start, end, words, digest) in enumerate(plain_units(t)):
             if first[digest] != (i, t, at):
                 if last == at - 1 and runs:
                     runs[-1][1], runs[-1][2] = end, runs[-1][2] + words

@@ -20,11 +20,12 @@ MARKS = (
 )
 #: Closing quotes and brackets that belong to the sentence before them.
 CLOSING = "\"')\\]}\u00bb\u201d\u2019\u203a\u3009\u300b\u300d\u300f\u3011\u3015\uff09\uff3d\uff63"
-#: A unit ends with its line, or with a sentence in it, closing quotes, brackets and other marks
-#: included; the white space after it belongs to it.
-END = re.compile(
-    rf"(?:[.!?]+[^\w\s]*(?=\s)|[{MARKS}][{MARKS}.!?]*[{CLOSING}]*|[\n\u2028\u2029])\s*"
-)
+#: What may end a unit: a run of punctuation, taken whole so that no text makes it be read again,
+#: or the end of a line. The white space after it belongs to the unit.
+BREAK = re.compile(r"[^\w\s]++|[\n\u2028\u2029]\s*+")
+SPACES = re.compile(r"\s*+")
+MARK, OTHER = re.compile(f"[.!?{MARKS}]"), re.compile(f"[{MARKS}]")
+CLOSED = re.compile(f"[{MARKS}][{MARKS}.!?]*+[{CLOSING}]*+")
 #: Words that a run of repeated units must have to be removed, or else letters of scripts that put
 #: no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Tai, kana, Han, Yi, Javanese.
 LEAST, LETTERS = 10, 50
@@ -41,6 +42,32 @@ def unspaced(text: str) -> int:
     return 0 if text.isascii() else len(text) - len(UNSPACED.sub("", text))
 
 
+def ends(text: str):
+    """Where units of a text end: with their line, or with a sentence in it.
+
+    A sentence ends with `.`, `!` or `?` if only punctuation stands between them and white space,
+    or with one of MARKS, whatever follows; closing quotes and brackets belong to it.
+    """
+    for found in BREAK.finditer(text):
+        at, stop = found.span()
+        if text[at].isspace():
+            yield stop
+            continue
+        over = SPACES.match(text, stop).end()
+        at = MARK.search(text, at, stop)
+        while at is not None:
+            if text[at.start()] in ".!?":
+                if over > stop:
+                    yield over
+                    break
+                # followed by a letter: only the other marks may still end a sentence
+                at = OTHER.search(text, at.end(), stop)
+            else:
+                end = CLOSED.match(text, at.start(), stop).end()
+                yield over if end == stop else end
+                at = MARK.search(text, end, stop)
+
+
 def units(text: str | None):
     """(start, end, words, digest) of the units of a text that have words.
 
@@ -50,7 +77,7 @@ def units(text: str | None):
     if not text:
         return
     start = 0
-    for end in [*(m.end() for m in END.finditer(text)), len(text)]:
+    for end in [*ends(text), len(text)]:
         if end > start:
             words = alnum_words(text[start:end])
             if words:

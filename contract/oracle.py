@@ -1184,7 +1184,7 @@ SELECT CAST({key('url', 'search_term')} AS VARCHAR) AS id, search_term, title, p
 FROM raw_listings"""),
     "landing_round_trip": ("enriched", """
 SELECT kind, currency, gender, count(*) AS rows, count(DISTINCT id) AS ids, max(title) AS last_title
-FROM enriched, (SELECT unnest(['parquet', 'csv']) AS kind) GROUP BY ALL"""),
+FROM enriched, (SELECT unnest(['parquet', 'csv', 'landing']) AS kind) GROUP BY ALL"""),
     "sources_round_trip": ("o_users o_items o_returns", """
 SELECT unnest(['productattributes', 'product_costs', 'product_listprices']) AS table_name,
        count(*) AS row_count, count(DISTINCT p_partkey) AS distinct_keys FROM part

@@ -28,7 +28,7 @@ from tillstar.plans import checks, dims, exports, facts, marts, staging
 from tillstar.plans.warehouse import Warehouse, competitor_star
 from tillstar.sinks.writers import export_csv, export_parquet, shared_folder, write_all
 from tillstar.sources.readers import (
-    read_competitor_seed, read_listing_json, read_raw_listings, read_source,
+    read_competitor_seed, read_landing, read_listing_json, read_raw_listings, read_source,
 )
 from tillstar.sources.sample import (
     EventSources, OrderSources, listing_json, pick, raw_listings,
@@ -403,15 +403,17 @@ def listing_json_round_trip(spark, folder):
 
 
 def landing_round_trip(spark, folder):
-    """Enriched listings exported by day and read as the landing table."""
+    """Enriched listings exported by day and stored as the landing table, all read back."""
     landed = _star(spark, folder)["competitor_listings"]
     path = _fresh(spark)
     export_parquet(landed, path, "competitor_listings", BUILD_DAY)
     seed = export_csv(landed, path, "competitor_listings", BUILD_DAY)
     one = spark.read.schema(landed.schema).parquet(f"{path}/competitor_listings_{BUILD_DAY}.parquet")
     two = read_competitor_seed(spark, seed)
-    both = one.withColumn("kind", F.lit("parquet")).unionByName(two.withColumn("kind", F.lit("csv")))
-    return both.groupBy("kind", "currency", "gender").agg(
+    write_all({"competitor_listings": landed}, path)
+    read = {"parquet": one, "csv": two, "landing": read_landing(spark, path)}
+    every = union_all([df.withColumn("kind", F.lit(kind)) for kind, df in read.items()])
+    return every.groupBy("kind", "currency", "gender").agg(
         F.count("*").alias("rows"), F.countDistinct("id").alias("ids"),
         F.max("title").alias("last_title"),
     )

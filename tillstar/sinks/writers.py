@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
 import datetime as dt
-import uuid
 from collections.abc import Mapping, Sequence
-from contextlib import suppress
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.sinks.scratch import drop_folders, settled, shared_folder
 from tillstar.sources.readers import read_competitor_seed
 
+__all__ = [
+    "as_view", "commented", "drop_folders", "export_csv", "export_parquet", "load_csv", "settled",
+    "shared_folder", "target_database", "write_all", "write_bucketed", "write_table",
+]
+
 # Databases of the production target by layer.
 PRODUCTION = {"staging": "dev_warehouse", "core": "dev_warehouse", "marts": "warehouse"}
 COMMENT_LIMIT = 1024
@@ -91,48 +94,6 @@ def write_bucketed(
     return df.sparkSession.table(name)
 
 
-_kept: set[str] = set()
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's own folder for tables between steps, which every executor can reach.
-
-    It lies in `spark.checkpoint.dir`, or in the warehouse where that is unset, and is
-    deleted when the driver ends.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
-    folder = f"{base.rstrip('/')}/scratch-{spark.sparkContext.applicationId}"
-    if folder not in _kept:
-        _kept.add(folder)
-        atexit.register(_end, spark._jvm, spark._jsc.hadoopConfiguration(), folder)
-    return folder
-
-
-def drop_folders(spark: SparkSession, *paths: str) -> None:
-    for path in paths:
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def _end(jvm, configuration, folder: str) -> None:
-    """Also after the session was stopped; a driver that was killed leaves its folder."""
-    with suppress(Exception):
-        where = jvm.org.apache.hadoop.fs.Path(folder)
-        where.getFileSystem(configuration).delete(where, True)
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """Compute a table once for several readers.
-
-    The rows are written to the shared folder and read back, so each reader
-    scans only its columns and a lost executor never repeats the work before.
-    """
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def write_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace `folder/<name>` with each frame and return its row count.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillstar.sources import schemas
+from tillstar.sources.records import read_records
 
 
 def read_source(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -27,11 +28,12 @@ def read_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _csv(spark: SparkSession, path: str, schema, line_breaks: bool) -> DataFrame:
+    if line_breaks:
+        return read_records(spark, path, schema)
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("multiLine", line_breaks)
         .option("escape", '"')
         .csv(path)
     )
@@ -42,8 +44,8 @@ def read_competitor_seed(
 ) -> DataFrame:
     """Enriched competitor listings from CSV, columns typed as the landing table.
 
-    Titles may hold line breaks inside quotes, for which a file must be read by one task;
-    files known to have none are split with `line_breaks=False`.
+    Titles may hold line breaks inside quotes, which takes a pass over the files to tell where
+    records begin; `line_breaks=False` spares it for files known to have none.
     """
     return _csv(spark, path, schemas.SOURCES["competitor_listings"], line_breaks)
 

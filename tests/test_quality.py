@@ -86,6 +86,37 @@ def test_report_counts_rows_and_sets_status(frames):
     assert q.check_report(frames, rules, ["critical"]).count() == 2
 
 
+def test_rules_are_counted_in_one_pass(spark, frames, tmp_path):
+    stored = {}
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    rules = [
+        *q.not_null("t", "id", "kind", where="n > 0"), q.accepted_range("t", "n", 0, 10),
+        q.unique("t", "id"), q.unique("t", "kind"), q.unique("p", "kind"),
+        q.unique_combination("t", "id", "kind"), q.unique_combination("t", "kind"),
+        q.relationship("t", "kind", "p", "kind"), q.relationship("p", "kind", "t", "kind"),
+        q.relationship("t", "kind", "p", "kind", where="id is not null"),
+        q.relationship("t", "n", "t", "id"),
+    ]
+    report = q.check_report(stored, rules)
+    got = sorted((r.table_name, r.check_name, r.violations) for r in report.collect())
+
+    def alone(rule):
+        found = q.violations(frames, rule)
+        weight = getattr(rule, "weight", None)
+        return sum(r[weight] for r in found.collect()) if weight else found.count()
+
+    assert got == sorted((r.table, r.name, alone(r)) for r in rules)
+    assert sum(n for *_, n in got) > 10
+    plan = str(report._jdf.queryExecution().executedPlan()).split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert q.check_report({k: v.limit(0) for k, v in frames.items()}, rules).agg(
+        F.sum("violations")
+    ).first()[0] == 0
+
+
 def test_freshness(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "at timestamp_ntz")
 

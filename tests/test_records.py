@@ -59,7 +59,7 @@ def test_lines_of_other_systems_and_short_rows(spark, tmp_path):
     (tmp_path / "x.csv").write_bytes(text.encode())
     got = rows(readers.read_raw_listings(spark, str(tmp_path)))
     assert got == [
-        ("1", "s", "a\r\nb", "2", None, None, None, None, "u"), ("2", "short", *[None] * 7),
+        ("1", "s", "a\r\nb", 2.0, None, None, None, None, "u"), ("2", "short", *[None] * 7),
     ]
 
 

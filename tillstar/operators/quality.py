@@ -45,11 +45,21 @@ class RowRule:
     tags: tuple[str, ...] = ()
 
 
+@dataclass(frozen=True)
+class Keys:
+    """The keys of a table's rows that a check compares, as text; null where a row has none."""
+
+    table: str
+    key: Column
+
+
 @dataclass(frozen=True)
 class TableRule:
     """A check over whole tables; `offenders` gives one row per failure.
 
-    `weight` names a column counting how many rows a failure stands for.
+    `weight` names a column counting how many rows a failure stands for. A check that compares
+    keys names them: of `keys` alone it counts those found more than once, with `parents` the rows
+    whose key is not among those. Such checks are counted together, see `check_report`.
     """
 
     table: str
@@ -59,6 +69,8 @@ class TableRule:
     tags: tuple[str, ...] = ()
     weight: str | None = None
     needs: tuple[str, ...] = field(default=())
+    keys: Keys | None = None
+    parents: Keys | None = None
 
 
 def _and_where(bad: Column, where: str | None) -> Column:
@@ -137,7 +149,7 @@ def unique(table: str, column: str, **kw) -> TableRule:
     return TableRule(
         table, f"unique_{column}",
         lambda frames: duplicates(frames[table].where(F.col(column).isNotNull()), column),
-        needs=(table,), **kw,
+        needs=(table,), keys=Keys(table, F.col(column).cast("string")), **kw,
     )
 
 
@@ -145,7 +157,9 @@ def unique_combination(table: str, *columns: str, **kw) -> TableRule:
     """Column combinations found more than once; null counts as a value."""
     return TableRule(
         table, f"unique_combination_{'_'.join(columns)}",
-        lambda frames: duplicates(frames[table], *columns), needs=(table,), **kw,
+        lambda frames: duplicates(frames[table], *columns), needs=(table,),
+        # a null is left out of the text, so it equals itself alone
+        keys=Keys(table, F.to_json(F.struct(*columns))), **kw,
     )
 
 
@@ -153,6 +167,7 @@ def relationship(
     table: str, column: str, parent: str, parent_column: str, where: str | None = None, **kw
 ) -> TableRule:
     """Non-null child keys without a parent row."""
+    key = F.col(column).cast("string")
 
     def find(frames: Mapping[str, DataFrame]) -> DataFrame:
         child = frames[table] if where is None else frames[table].where(where)
@@ -160,7 +175,9 @@ def relationship(
 
     return TableRule(
         table, f"relationship_{column}_to_{parent}_{parent_column}", find, weight="child_rows",
-        needs=(table, parent), **kw,
+        needs=(table, parent),
+        keys=Keys(table, key if where is None else F.when(F.expr(where), key)),
+        parents=Keys(parent, F.col(parent_column).cast("string")), **kw,
     )
 
 
@@ -174,17 +191,63 @@ def violations(frames: Mapping[str, DataFrame], rule: Rule) -> DataFrame:
     return rule.offenders(frames)
 
 
-def _row_rule_counts(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """Violations of each rule on one table, all counted in one scan."""
-    counts = df.agg(*[F.count_if(r.bad).alias(f"c{i}") for i, r in enumerate(rules)])
-    cells = []
-    for i, rule in enumerate(rules):
-        cells += [F.lit(rule.name), F.lit(rule.severity), F.lit(",".join(rule.tags)),
-                  F.col(f"c{i}").cast("bigint")]
-    listed = counts.select(
-        F.stack(F.lit(len(rules)), *cells).alias("check_name", "severity", "tags", "violations")
+def _counted_together(
+    frames: Mapping[str, DataFrame], rules: Sequence[RowRule | TableRule]
+) -> DataFrame:
+    """Violations of rules on rows and keys, from one scan of each table and one shuffle.
+
+    Every row gives an entry for each rule that it breaks and each key that a rule compares:
+    the rule, the key and the side it stands on. Entries are counted by rule and key, first
+    where the row is, so a common key crosses the shuffle once a task.
+    """
+    entries: dict[str, list[Column]] = {}
+
+    def entry(table: str, when: Column, rule: int, key: Column, parent: bool) -> None:
+        row = F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(parent).alias("parent"))
+        entries.setdefault(table, []).append(F.when(when, row))
+
+    for number, rule in enumerate(rules):
+        if isinstance(rule, RowRule):
+            entry(rule.table, rule.bad, number, F.lit(""), False)
+            continue
+        for side, parent in ((rule.keys, False), (rule.parents, True)):
+            if side is not None:
+                entry(side.table, side.key.isNotNull(), number, side.key, parent)
+    tagged = [
+        frames[table].select(F.explode(F.array_compact(F.array(*own))).alias("e")).select("e.*")
+        for table, own in entries.items()
+    ]
+    by_key = union_all(tagged).groupBy("rule", "key").agg(
+        F.count_if(~F.col("parent")).alias("rows"), F.max("parent").alias("known")
+    )
+    # every rule has a row, also without an entry
+    every = SparkSession.active().range(len(rules)).select(
+        F.col("id").cast("int").alias("rule"), F.lit("").alias("key"),
+        F.lit(0).cast("bigint").alias("rows"), F.lit(True).alias("known"),
+    )
+    kinds = F.array(*[
+        F.lit("row" if isinstance(r, RowRule) else "key" if r.parents is None else "child")
+        for r in rules
+    ])
+    kind = kinds[F.col("rule")]
+    broken = (
+        F.when(kind == "row", F.col("rows"))
+        .when(kind == "key", (F.col("rows") > 1).cast("bigint"))
+        .when(~F.col("known"), F.col("rows"))
+        .otherwise(0)
+    )
+    counts = by_key.unionByName(every).groupBy("rule").agg(F.sum(broken).alias("violations"))
+
+    def of(texts) -> Column:
+        return F.array(*[F.lit(t) for t in texts])[F.col("rule")]
+
+    return counts.select(
+        of(r.table for r in rules).alias("table_name"),
+        of(r.name for r in rules).alias("check_name"),
+        of(r.severity for r in rules).alias("severity"),
+        of(",".join(r.tags) for r in rules).alias("tags"),
+        "violations",
     )
-    return listed.select(F.lit(rules[0].table).alias("table_name"), "*")
 
 
 def _table_rule_count(frames: Mapping[str, DataFrame], rule: TableRule) -> DataFrame:
@@ -206,18 +269,16 @@ def check_report(
 ) -> DataFrame:
     """One row per rule: table, check, severity, tags, violations and status.
 
-    `tags` keeps only the rules that carry one of them.
+    All rules on rows and keys are counted in one pass over each table; a table rule of its own
+    kind is counted alone. `tags` keeps only the rules that carry one of them.
     """
     if tags is not None:
         rules = [r for r in rules if set(tags) & set(r.tags)]
-    by_table: dict[str, list[RowRule]] = {}
-    parts = []
-    for rule in rules:
-        if isinstance(rule, RowRule):
-            by_table.setdefault(rule.table, []).append(rule)
-        else:
-            parts.append(_table_rule_count(frames, rule))
-    parts += [_row_rule_counts(frames[t], group) for t, group in by_table.items()]
+    together = [r for r in rules if isinstance(r, RowRule) or r.keys is not None]
+    parts = [_counted_together(frames, together)] if together else []
+    parts += [
+        _table_rule_count(frames, r) for r in rules if isinstance(r, TableRule) and r.keys is None
+    ]
     status = F.when(F.col("violations") == 0, "pass").otherwise(F.col("severity"))
     return union_all(parts).withColumn("status", status)
 

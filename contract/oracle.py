@@ -1152,6 +1152,14 @@ SELECT event_id, user_id, CAST(ts AS DATE) AS day,
        row_number() OVER w AS sequence, lag(CAST(ts AS DATE)) OVER w AS prev_day,
        min(CAST(ts AS DATE)) OVER (PARTITION BY user_id) AS first_day
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY CAST(ts AS DATE), event_id)"""),
+    "profile_change_counts": ("o_changes", """
+SELECT customer_id, activity_date, change_type,
+       CAST(count(*) OVER (PARTITION BY customer_id ORDER BY activity_date) AS BIGINT)
+         AS sequence_check
+FROM o_changes"""),
+    "ordered_ad_numbers": ("e_ad", """
+SELECT row_number() OVER (ORDER BY date, ad_platform) AS position, date, ad_platform, clicks, cost
+FROM e_ad"""),
     "dense_keys": ("", """
 SELECT row_number() OVER (ORDER BY p_type, p_name) AS name_no, p_type, p_name
 FROM (SELECT DISTINCT p_type, p_name FROM part)"""),

@@ -22,11 +22,13 @@ from tillstar.operators.joins import left_lookup, orphans
 from tillstar.operators.numbering import dense_key
 from tillstar.operators.reshape import explode_units, union_all
 from tillstar.operators.scd import as_of_join, current, scd2_apply, scd2_from_versions
-from tillstar.operators.sequences import sequence_events
+from tillstar.operators.sequences import running_counts, sequence_events
 from tillstar.operators.sessions import page_view_kinds_metrics, session_metrics
 from tillstar.plans import checks, dims, exports, facts, marts, staging
 from tillstar.plans.warehouse import Warehouse, competitor_star
-from tillstar.sinks.writers import export_csv, export_parquet, shared_folder, write_all
+from tillstar.sinks.writers import (
+    export_csv, export_parquet, read_ordered, shared_folder, write_all, write_ordered,
+)
 from tillstar.sources.readers import (
     read_competitor_seed, read_landing, read_listing_json, read_raw_listings, read_source,
 )
@@ -313,6 +315,24 @@ def event_sequence(spark, folder):
     return sequence_events(events, "user_id", "day", ["event_id"])
 
 
+def profile_change_counts(spark, folder):
+    """Changes of each customer's profile with the number of them so far."""
+    changes = marts.profile_changes(order_house(spark, folder).dim_users).select(
+        "customer_id", "activity_date", "change_type"
+    )
+    return running_counts(changes, "customer_id", "activity_date", "sequence_check")
+
+
+def ordered_ad_numbers(spark, folder):
+    """Ad numbers written by day and platform and read back in the order of the files."""
+    numbers = event_house(spark, folder).stg_ad_platform_unpivoted.select(
+        "date", "ad_platform", "clicks", "cost"
+    )
+    path = _fresh(spark)
+    write_ordered(numbers, path, ["date", "ad_platform"])
+    return read_ordered(spark, path, "position")
+
+
 def dense_keys(spark, folder):
     """Products numbered by type and name, names in full."""
     named = _table(spark, folder, "part").select("p_type", "p_name").distinct()
@@ -687,7 +707,7 @@ def queries() -> dict[str, Query]:
         text_functions, source_names, agent_rules, unit_explosion, session_measures,
         session_page_view_kinds, customer_totals, as_of_left_join, as_of_inner_join,
         current_version_join, scd2_snapshot, lifetime_as_of, profile_changes, event_sequence,
-        dense_keys, purchase_times, returns_per_item, daily_sales_by_source,
+        profile_change_counts, ordered_ad_numbers, dense_keys, purchase_times, returns_per_item, daily_sales_by_source,
         daily_sessions_by_source, sources_round_trip, listing_csv_round_trip,
         listing_json_round_trip, landing_round_trip, listing_flatten, listing_foreign_currency,
         listing_attributes, check_source_rules, check_listing_rules, check_core_rules,

@@ -11,7 +11,7 @@ from tillstar.operators.joins import left_lookup, orphans
 from tillstar.operators.numbering import dense_key
 from tillstar.operators.reshape import explode_units
 from tillstar.operators.scd import as_of_join, current, scd2_apply, scd2_from_versions
-from tillstar.operators.sequences import running_totals, sequence_events
+from tillstar.operators.sequences import running_counts, running_totals, sequence_events
 from tillstar.operators.sessions import page_view_kinds_metrics, session_metrics
 from tillstar.plans import staging
 
@@ -342,3 +342,44 @@ def test_a_key_with_very_many_versions_and_facts_is_many_tasks(spark):
     assert sum(r.n for r in per_task) == sum(r.right for r in per_task) == 30_000
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert len(per_task) == tasks and max(r.n for r in per_task) < 2 * 30_000 / tasks
+
+
+def test_dense_key_reads_its_input_once(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") % 1700).cast("string").alias("v")).distinct()
+    numbered = dense_key(df, "n", ["v"])
+    text = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in text  # what is stored is read, the input isn't
+    plain = df.select(F.row_number().over(Window.orderBy("v")).cast("bigint").alias("n"), "v")
+    assert rows(numbered, "n") == rows(plain, "n")
+    assert numbered.columns == ["n", "v"] and dense_key(df.limit(0), "n", ["v"]).count() == 0
+    whole = dense_key(spark.range(100).select((100 - F.col("id")).alias("k")), "n", ["k"])
+    assert [(r.n, r.k) for r in whole.orderBy("n").collect()] == [(i, i) for i in range(1, 101)]
+
+
+def test_large_lines_are_exploded_in_blocks(spark):
+    lines = [(f"l{k}", q) for k, q in enumerate([0, 1, 7, 8, 9, 16, 17, 100, None, -3])]
+    df = spark.createDataFrame(lines, "line string, qty bigint")
+    whole = rows(explode_units(df, "qty", "unit_id", ["line"]), "line", "unit_no")
+    parts = rows(explode_units(df, "qty", "unit_id", ["line"], block=8), "line", "unit_no")
+    assert whole == parts and len(whole) == 158 and len({r[-1] for r in whole}) == 158
+    one = spark.createDataFrame([("big", 10_000_000)], "line string, qty bigint").coalesce(1)
+    units = explode_units(one, "qty", "unit_id", ["line"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = units.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r.n for r in tasks) == 10_000_000
+    assert len(tasks) > 3 and max(r.n for r in tasks) < 5_000_000
+
+
+def test_running_counts_equal_the_window(spark):
+    events = spark.range(2000).select(
+        "id", F.when(F.col("id") % 3 > 0, 1).when(F.col("id") % 7 > 0, F.col("id") % 11).alias("k"),
+        F.when(F.col("id") % 50 > 0, F.date_add(F.lit(D(2024, 1, 1)), (F.col("id") % 40).cast("int"))).alias("day"),
+    )
+    w = Window.partitionBy("k").orderBy("day")
+    plain = events.where("k is not null").withColumn("n", F.count("*").over(w))
+    got = running_counts(events, "k", "day", "n")
+    assert got.columns == ["id", "k", "day", "n"]
+    assert rows(got, "id") == rows(plain, "id")

@@ -120,3 +120,22 @@ def test_catalog_sources(spark):
         df.write.mode("overwrite").saveAsTable(f"unit_src.{name}")
     assert readers.read_catalog_sources(spark, "unit_src")["users"].count() == 5
     spark.sql("DROP DATABASE unit_src CASCADE")
+
+
+def test_ordered_files_hold_rows_in_order(spark, folder):
+    """Also where one value holds half of the rows, which then fill several files."""
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 5).otherwise(F.col("id") % 100).alias("v"), F.col("id").alias("w")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_ordered(df, f"{folder}/ordered", [F.desc("v")])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = writers.read_ordered(spark, f"{folder}/ordered", "n")
+    got = [tuple(r) for r in read.orderBy("n").collect()]
+    assert [r[0] for r in got] == list(range(1, 40_001))
+    assert [r[1] for r in got] == sorted((r[1] for r in got), reverse=True)
+    assert sorted(r[1:] for r in got) == sorted(tuple(r) for r in df.collect())
+    files = spark.read.parquet(f"{folder}/ordered").where("v = 5").select("_metadata.file_name")
+    assert files.distinct().count() > 1

@@ -1,4 +1,4 @@
-"""Dense integer keys over a deduplicated domain."""
+"""Rows in a total order over many tasks: dense integer keys and ordered output."""
 
 from __future__ import annotations
 
@@ -7,56 +7,38 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.sinks.scratch import settled
 
-#: Letters of the two levels of groups that rows are numbered in.
-SHORT, LONG = 2, 16
+
+def in_order(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
+    """Rows sorted over all partitions: bounds are sampled, each task sorts the rows between two.
+
+    Rows that tie are told apart by a hash of all columns, so a value that holds much of the data
+    is spread over several partitions, which then follow each other.
+    """
+    tie = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns])
+    return df.repartitionByRange(*order_by, tie).sortWithinPartitions(*order_by, tie)
+
+
+def offsets(sizes: DataFrame, part: str, size: str, name: str) -> DataFrame:
+    """Rows before each part. One task adds up as many numbers as there are parts."""
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(part, F.coalesce(F.sum(size).over(before), F.lit(0)).alias(name))
 
 
 def dense_key(df: DataFrame, name: str, order_by: Sequence[str]) -> DataFrame:
     """Number distinct rows 1, 2, 3, ... in the order of `order_by`.
 
-    Numbering under one global window would run in a single task. Rows are
-    grouped by the leading columns and the first SHORT letters of the last one, these
-    groups by its first LONG letters; both sort like the full order. Rows are numbered in the
-    small groups. The sizes of small groups are summed within their large group, and
-    only those of the large groups globally.
+    The input is read once: its rows are sorted by range and stored with their partition and their
+    place in it; the sizes of the partitions, summed up, are the offsets of the places. Numbering
+    under one global window would run in a single task.
     """
-    *leading, last = order_by
-    if dict(df.dtypes)[last] != "string":
-        raise ValueError("the last ordering column must be text")
-    large = [f"__g{i}" for i in range(len(leading) + 1)]
-    text = F.col(last).cast("string")
-    values = [F.col(c) for c in leading] + [F.substring(text, 1, SHORT)]
-    grouped = df.select(
-        "*", *[v.alias(g) for v, g in zip(values, large)],
-        F.substring(text, 1, LONG).alias("__small"),
-    )
-    before = (Window.unboundedPreceding, -1)
-    within = Window.partitionBy(*large).orderBy("__small").rowsBetween(*before)
-    sizes = (
-        grouped.groupBy(*large, "__small")
-        .agg(F.count("*").alias("__size"))
-        .withColumn("__inside", F.coalesce(F.sum("__size").over(within), F.lit(0)))
-    )
-    across = Window.orderBy(*large).rowsBetween(*before)
-    totals = (
-        sizes.groupBy(*large)
-        .agg(F.sum("__size").alias("__size"))
-        .select(*large, F.coalesce(F.sum("__size").over(across), F.lit(0)).alias("__outside"))
-    )
-
-    def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        right = right.withColumnsRenamed({c: f"{c}_o" for c in on})
-        match: Column = F.col(on[0]).eqNullSafe(F.col(f"{on[0]}_o"))
-        for c in on[1:]:
-            match = match & F.col(c).eqNullSafe(F.col(f"{c}_o"))
-        return left.join(right, match).drop(*[f"{c}_o" for c in on])
-
-    offsets = joined(sizes.drop("__size"), totals, large).select(
-        *large, "__small", (F.col("__inside") + F.col("__outside")).alias("__offset")
-    )
-    inside = Window.partitionBy(*large, "__small").orderBy(*order_by)
-    numbered = joined(grouped, offsets, [*large, "__small"]).withColumn(
-        name, (F.row_number().over(inside) + F.col("__offset")).cast("bigint")
-    )
-    return numbered.select(name, *df.columns)
+    place = F.monotonically_increasing_id()  # partition in the upper bits, place in the lower 33
+    stored = settled(in_order(df, order_by).withColumn("__at", place))
+    parted = stored.withColumn("__part", F.shiftright("__at", 33))
+    sizes = parted.groupBy("__part").agg(F.count("*").alias("__size"))
+    # one row a partition
+    starts = F.broadcast(offsets(sizes, "__part", "__size", "__start"))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    number = (within + F.col("__start") + 1).cast("bigint").alias(name)
+    return parted.join(starts, "__part").select(number, *df.columns)

@@ -33,17 +33,40 @@ def any_positive(*columns: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c) > 0 for c in columns])
 
 
-def explode_units(df: DataFrame, quantity: str, key_name: str, key_from: Sequence[str]) -> DataFrame:
+#: Units of a line that are made in one go, and lines beyond it in blocks of as many.
+BLOCK = 100_000
+
+
+def explode_units(
+    df: DataFrame, quantity: str, key_name: str, key_from: Sequence[str], block: int = BLOCK
+) -> DataFrame:
     """One row per unit of a line, each with its own key; lines without units vanish.
 
-    The rows are made where the line is, so the blow-up needs no shuffle.
+    The units of a line are made where it is, so the blow-up needs no shuffle. A line of more than
+    `block` units is first cut into blocks, which are dealt out over the tasks.
     """
-    units = F.sequence(F.lit(1).cast("bigint"), F.col(quantity))
+    many = F.col(quantity).cast("bigint")
+    size = F.lit(block).cast("bigint")
+    plain = df.where((many > 0) & (many <= size)).select(
+        "*", F.lit(0).cast("bigint").alias("__first"), many.alias("__last")
+    )
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{quantity}` - 1) div {block}"))
+    cut = (
+        df.where(many > size)
+        .select("*", F.explode(blocks).alias("__block"))
+        .repartition(*key_from, "__block")
+        .select(
+            *df.columns, (F.col("__block") * size).alias("__first"),
+            F.least((F.col("__block") + 1) * size, many).alias("__last"),
+        )
+    )
+    units = F.sequence(F.col("__first") + 1, F.col("__last"))
     return (
-        df.where(F.col(quantity) > 0)
+        plain.unionByName(cut)
         .withColumn("unit_no", F.explode(units))
         .withColumn(quantity, F.lit(1).cast("bigint"))
         .withColumn(key_name, conformed_key(*key_from, "unit_no"))
+        .drop("__first", "__last")
     )
 
 

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Stands for a missing day: the first that there is.
+FIRST_DAY = "0001-01-01"
+
+
 def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> DataFrame:
     """Add `sequence`, `prev_day` and `first_day` to each event of a key, by day then `ties`.
 
@@ -68,6 +72,27 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
     )
 
 
+def running_counts(df: DataFrame, key: str, day: str, name: str) -> DataFrame:
+    """Add to each row the number of the key's rows up to and on its day.
+
+    Rows are counted by key and day where they are; the running sum holds one row per key and
+    day, and its result is joined back on both, so a key that owns much of the data is spread over
+    its days, and a day of it by Spark's skew join. Rows without a key are left out; those
+    without a day count as before all days.
+    """
+    rows = df.where(F.col(key).isNotNull()).withColumn(
+        "__on", F.coalesce(F.col(day).cast("date"), F.lit(FIRST_DAY).cast("date"))
+    )
+    upto = Window.partitionBy("__key").orderBy("__day")
+    sums = (
+        rows.groupBy(F.col(key).alias("__key"), F.col("__on").alias("__day"))
+        .agg(F.count("*").alias("__n"))
+        .select("__key", "__day", F.sum("__n").over(upto).alias(name))
+    )
+    same = (F.col(key) == F.col("__key")) & (F.col("__on") == F.col("__day"))
+    return rows.join(sums, same).drop("__key", "__day", "__on")
+
+
 def running_totals(
     marks: DataFrame,
     amounts: DataFrame,

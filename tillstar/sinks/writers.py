@@ -5,15 +5,17 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.operators.numbering import in_order, offsets
 from tillstar.sinks.scratch import drop_folders, settled, shared_folder
 from tillstar.sources.readers import read_competitor_seed
 
 __all__ = [
-    "as_view", "commented", "drop_folders", "export_csv", "export_parquet", "load_csv", "settled",
-    "shared_folder", "target_database", "write_all", "write_bucketed", "write_table",
+    "as_view", "commented", "drop_folders", "export_csv", "export_parquet", "load_csv", "read_ordered",
+    "settled", "shared_folder", "target_database", "write_all", "write_bucketed", "write_ordered",
+    "write_table",
 ]
 
 # Databases of the production target by layer.
@@ -114,6 +116,27 @@ def _write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header=True, escape='"', **kept).csv(path)
 
 
+def write_ordered(df: DataFrame, path: str, order_by: Sequence[str | Column]) -> None:
+    """Parquet files whose rows are sorted, from the first row of the first to the last of the last."""
+    in_order(df, order_by).write.mode("overwrite").parquet(path)
+
+
+def read_ordered(spark: SparkSession, path: str, position: str) -> DataFrame:
+    """Rows of `write_ordered` with their position from 1, in the order of files and rows."""
+    read = spark.read.parquet(path)
+    columns = read.columns
+    name = F.col("_metadata.file_name")
+    parts = [F.regexp_extract(name, p, 1).cast("bigint") for p in (r"^part-(\d+)", r"-c(\d+)")]
+    placed = read.select(
+        "*", F.struct(*[p.alias(f"p{k}") for k, p in enumerate(parts)]).alias("__file"),
+        F.col("_metadata.row_index").alias("__row"),
+    )
+    sizes = placed.groupBy("__file").agg(F.count("*").alias("__size"))
+    starts = offsets(sizes, "__file", "__size", "__start")
+    number = (F.col("__row") + F.col("__start") + 1).cast("bigint").alias(position)
+    return placed.join(starts, "__file").select(number, *columns)
+
+
 def export_csv(df: DataFrame, folder: str, name: str, run_date: dt.date) -> str:
     path = f"{folder}/{name}_{run_date.isoformat()}.csv"
     _write_csv(df, path)

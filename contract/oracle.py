@@ -1193,6 +1193,24 @@ FROM raw_listings"""),
     "landing_round_trip": ("enriched", """
 SELECT kind, currency, gender, count(*) AS rows, count(DISTINCT id) AS ids, max(title) AS last_title
 FROM enriched, (SELECT unnest(['parquet', 'csv', 'landing']) AS kind) GROUP BY ALL"""),
+    "stored_schema_drift": ("", """
+SELECT table_name, column_name, data_type, test_result, (SELECT count(*) FROM part) AS row_count
+FROM (VALUES ('product_costs', 'item_id', 'string', 'all_okay'),
+             ('product_costs', 'cost_of_item', 'float', 'wrong_dt'),
+             ('product_listprices', 'item_id', 'string', 'no_dt'),
+             ('product_listprices', 'item_list_price', 'double', 'all_okay'),
+             ('product_listprices', 'note', 'string', 'column_missing'),
+             ('unknown_prices', 'item_id', 'string', 'table_missing'),
+             ('unknown_prices', 'item_list_price', 'double', 'table_missing'))
+  AS t(table_name, column_name, data_type, test_result)"""),
+    "catalog_read_back": ("enriched", """
+SELECT 'core' AS layer, 'dim_brand' AS object_name, 'EXTERNAL' AS kind,
+       'Rows of dim_brand' AS comment, 'Key of dim_brand' AS key_comment,
+       count(DISTINCT p_brand) AS row_count FROM part
+UNION ALL SELECT 'marts', 'dim_products', 'EXTERNAL', 'Rows of dim_products',
+       'Key of dim_products', count(*) FROM part
+UNION ALL SELECT 'staging', 'stg_product_attributes', 'TEMPORARY', NULL, NULL, count(*) FROM part
+UNION ALL SELECT 'landing', 'competitor_listings', 'EXTERNAL', NULL, NULL, count(*) FROM enriched"""),
     "sources_round_trip": ("o_users o_items o_returns", """
 SELECT unnest(['productattributes', 'product_costs', 'product_listprices']) AS table_name,
        count(*) AS row_count, count(DISTINCT p_partkey) AS distinct_keys FROM part

@@ -27,11 +27,13 @@ from tillstar.operators.sessions import page_view_kinds_metrics, session_metrics
 from tillstar.plans import checks, dims, exports, facts, marts, staging
 from tillstar.plans.warehouse import Warehouse, competitor_star
 from tillstar.sinks.writers import (
-    export_csv, export_parquet, read_ordered, shared_folder, write_all, write_ordered,
+    as_view, commented, export_csv, export_parquet, load_csv, read_ordered, shared_folder,
+    target_database, write_all, write_ordered, write_table,
 )
 from tillstar.sources.readers import (
     read_competitor_seed, read_landing, read_listing_json, read_raw_listings, read_source,
 )
+from tillstar.sources.schemas import SOURCES
 from tillstar.sources.sample import (
     EventSources, OrderSources, listing_json, pick, raw_listings,
 )
@@ -439,6 +441,63 @@ def landing_round_trip(spark, folder):
     )
 
 
+def stored_schema_drift(spark, folder):
+    """Columns of stored copies against declared types: a changed type, a new column, a column
+    declared without a type, and a table that isn't declared; with the rows of each copy."""
+    frames, path = OrderSources(spark, folder), _fresh(spark)
+    prices = frames["product_listprices"]
+    copies = {
+        "product_costs": frames["product_costs"].withColumn(
+            "cost_of_item", F.col("cost_of_item").cast("float")
+        ),
+        "product_listprices": prices.withColumn("note", F.lit("new")),
+        "unknown_prices": prices,
+    }
+    counts = write_all(copies, path)
+    declared = {
+        name: {f.name: f.dataType.simpleString() for f in SOURCES[name]}
+        for name in ("product_costs", "product_listprices")
+    }
+    declared["product_listprices"]["item_id"] = None
+    found = q.schema_drift(
+        spark, {n: spark.read.parquet(f"{path}/{n}").schema for n in copies}, declared
+    )
+    sizes = F.create_map(*[F.lit(x) for pair in counts.items() for x in pair])
+    return found.withColumn("row_count", sizes[F.col("table_name")].cast("bigint"))
+
+
+def catalog_read_back(spark, folder):
+    """Tables, a view and loaded listings as the catalog has them after two refreshes: layer,
+    kind, comments of table and key, and rows."""
+    house, base, path = order_house(spark, folder), f"base_{uuid.uuid4().hex[:8]}", _fresh(spark)
+    parts = []
+
+    def told(layer, name, full, key):
+        about = {r.col_name: r for r in spark.sql(f"DESCRIBE EXTENDED {full}").collect()}
+        listed = next(t for t in spark.catalog.listTables(full.rpartition(".")[0] or None) if t.name == full.rpartition(".")[2])
+        comment = about["Comment"].data_type if "Comment" in about else None
+        parts.append(spark.table(full).agg(F.count("*").alias("row_count")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("object_name"),
+            F.lit(listed.tableType).alias("kind"), F.lit(comment).alias("comment"),
+            F.lit(about[key].comment).alias("key_comment"), "row_count",
+        ))
+
+    for layer, name, key in (("core", "dim_brand", "brand_key"), ("marts", "dim_products", "product_id")):
+        full = f"{target_database(layer, 'ci', base)}.{name}"
+        df = commented(getattr(house, name), {key: f"Key of {name}"})
+        for part in (df.where(F.col(key).isNull()), df):
+            write_table(part, full, comment=f"Rows of {name}", path=f"{path}/{name}")
+        told(layer, name, full, key)
+    view = f"{base}_attributes"
+    as_view(house.stg_product_attributes, view)
+    told("staging", "stg_product_attributes", view, "item_id")
+    listed = f"{target_database(None, 'ci', base)}.competitor_listings"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {base}")
+    load_csv(spark, _star(spark, folder)["competitor_listings"], f"{path}/csv", listed)
+    told("landing", "competitor_listings", listed, "id")
+    return union_all(parts)
+
+
 def listing_foreign_currency(spark, folder):
     flagged = listings.foreign_currency(raw_listings(spark, folder))
     return flagged.select("id", "currency", "is_foreign_currency")
@@ -709,7 +768,7 @@ def queries() -> dict[str, Query]:
         current_version_join, scd2_snapshot, lifetime_as_of, profile_changes, event_sequence,
         profile_change_counts, ordered_ad_numbers, dense_keys, purchase_times, returns_per_item, daily_sales_by_source,
         daily_sessions_by_source, sources_round_trip, listing_csv_round_trip,
-        listing_json_round_trip, landing_round_trip, listing_flatten, listing_foreign_currency,
+        listing_json_round_trip, landing_round_trip, stored_schema_drift, catalog_read_back, listing_flatten, listing_foreign_currency,
         listing_attributes, check_source_rules, check_listing_rules, check_core_rules,
         check_mart_rules, check_critical_rules, check_competitor_rules, check_null_rows,
         check_duplicate_lines, check_duplicate_days, check_orphan_sessions,

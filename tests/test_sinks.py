@@ -139,3 +139,38 @@ def test_ordered_files_hold_rows_in_order(spark, folder):
     assert sorted(r[1:] for r in got) == sorted(tuple(r) for r in df.collect())
     files = spark.read.parquet(f"{folder}/ordered").where("v = 5").select("_metadata.file_name")
     assert files.distinct().count() > 1
+
+
+def failing(df):
+    return df.withColumn("id", F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("half-way")).cast("bigint")))
+
+
+def test_a_failed_refresh_leaves_the_old_rows(spark, folder):
+    old = spark.range(3).select("id", (F.col("id") % 2).alias("part"))
+    new = spark.range(9).select("id", (F.col("id") % 4).alias("part"))
+    for parts in ([], ["part"]):
+        for path in (None, f"{folder}/kept{len(parts)}"):
+            name = f"unit_swap.t{len(parts)}"
+            writers.write_table(old, name, parts, path=path)
+            with pytest.raises(Exception, match="half-way"):
+                writers.write_table(failing(new), name, parts, path=path)
+            assert spark.table(name).count() == 3
+            # a table may be made from what it held; its columns may change
+            more = spark.table(name).unionByName(new).withColumn("third", F.lit("x"))
+            stored = writers.write_table(more, name, parts, comment="c", path=path)
+            assert stored.count() == 12 and set(stored.columns) == {"id", "part", "third"}
+            assert stored.where("part = 3").count() == 2
+            spark.catalog.refreshTable(name)
+            assert spark.table(name).count() == 12
+            location = writers._location(spark, name)
+            spark.sql(f"DROP TABLE {name}")
+            assert spark.read.parquet(location).count() == 12  # the data is the folder's
+    assert not [t.name for t in spark.catalog.listTables("unit_swap")]
+    spark.sql("DROP DATABASE unit_swap CASCADE")
+
+    writers.write_all({"t": old}, folder)
+    with pytest.raises(Exception, match="half-way"):
+        writers.write_all({"t": failing(new)}, folder)
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    more = spark.read.parquet(f"{folder}/t").unionByName(new)
+    assert writers.write_all({"t": more}, folder) == {"t": 12}

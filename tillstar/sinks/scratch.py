@@ -37,6 +37,15 @@ def drop_folders(spark: SparkSession, *paths: str) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Give a finished folder the place of another."""
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, path))
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"{fresh} could not take the place of {path}")
+
+
 def _end(jvm, configuration, folder: str) -> None:
     """Also after the session was stopped; a driver that was killed leaves its folder."""
     with suppress(Exception):

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.operators.numbering import in_order, offsets
-from tillstar.sinks.scratch import drop_folders, settled, shared_folder
+from tillstar.sinks.scratch import drop_folders, replace_folder, settled, shared_folder
 from tillstar.sources.readers import read_competitor_seed
 
 __all__ = [
@@ -63,6 +64,18 @@ def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Folder of a stored table, None where there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE EXTENDED {_quoted(name)}").where("col_name = 'Location'")
+    return rows.first().data_type
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -70,20 +83,39 @@ def write_table(
     comment: str | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Full refresh of a stored table; returns the stored table."""
+    """Full refresh of a stored table; returns the stored table.
+
+    The rows are written beside the old ones, to a folder of this refresh under `path` (default:
+    a folder of the table's name in its database); the catalog then drops the old table and gives
+    its name to the new one, which moves no data. A refresh that fails before leaves the old
+    table as it was, and `df` may read it. Folders of earlier refreshes go after the swap.
+    """
     spark = df.sparkSession
-    database = name.rpartition(".")[0]
+    database, _, table = name.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    writer = _laid_out(df, partition_by).write.mode("overwrite").format("parquet")
+    if path is None:
+        home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+        path = f"{home.rstrip('/')}/{table}-refreshed"
+    fresh = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    coming = f"{name}__refresh_{uuid.uuid4().hex}"
+    writer = _laid_out(df, partition_by).write.format("parquet").option("path", fresh)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    if comment is not None:
-        text = comment[:COMMENT_LIMIT].replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+    try:
+        writer.saveAsTable(coming)
+        if comment is not None:
+            text = comment[:COMMENT_LIMIT].replace("\\", "\\\\").replace("'", "\\'")
+            spark.sql(f"COMMENT ON TABLE {_quoted(coming)} IS '{text}'")
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(coming)}")
+        drop_folders(spark, fresh)
+        raise
+    old = _location(spark, name)
+    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"ALTER TABLE {_quoted(coming)} RENAME TO {_quoted(name)}")
+    if old is not None and old.rstrip("/").rpartition("/")[0].endswith(path.rstrip("/")):
+        drop_folders(spark, old)
     return spark.table(name)
 
 
@@ -99,14 +131,17 @@ def write_bucketed(
 def write_all(frames: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
     """Replace `folder/<name>` with each frame and return its row count.
 
-    Rows are counted while they are written, not by a second pass.
+    Rows are counted while they are written, not by a second pass. They are written beside the
+    old ones, which go once all of them are there: a load that fails leaves the old rows.
     """
     counts = {}
     for name, df in frames.items():
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").parquet(f"{folder}/{name}")
+        fresh = f"{folder}/_{name}-{uuid.uuid4().hex}"
+        counted.write.parquet(fresh)
         counts[name] = seen.get["rows"]
+        replace_folder(df.sparkSession, fresh, f"{folder}/{name}")
     return counts
 
 

@@ -70,7 +70,7 @@ SETTLED = {
     "monthly_channel_performance": CHANNEL,
     "daily_spend_metrics": CHANNEL,
     "rpt_customer_activity": ("dim_users", "activity_events"),
-    "activity_mix": ("dim_users", "activity_events"),
+    "activity_mix": ("dim_users",),
     "rpt_customer_activity_as_of": ("dim_users", "activity_events_as_of"),
 }
 

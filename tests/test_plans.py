@@ -131,3 +131,26 @@ def test_hot_day_of_a_customer_uses_many_tasks(spark):
     text = plan(sequence_events(events, "k", "day", ["order", "id"]))
     numbering = [x for x in text.splitlines() if "row_number()" in x]
     assert numbering and all("order" in x.split("windowspecdefinition(")[1] for x in numbering)
+
+
+def test_events_are_shuffled_once_for_their_sequence(spark, no_broadcast, tmp_path):
+    """The join with the group offsets leaves them as the window wants them, nulls included."""
+    from tillstar.operators.sequences import sequence_events
+
+    path = f"{tmp_path}/events"
+    spark.range(500).select(
+        F.col("id"), (F.col("id") % 9).alias("k"), F.lit("2024-01-01").cast("date").alias("day"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 30).alias("order"), F.lit("x").alias("load"),
+    ).write.parquet(path)
+    text = plan(sequence_events(spark.read.parquet(path), "k", "day", ["order", "id"]))
+    window = text[text.index("row_number()"):]
+    first = window.index("Exchange")
+    assert "SortMergeJoin" in window[:first]  # no shuffle between the window and the join
+    shuffles = [x for x in text.split("Exchange")[1:] if "load#" in x.split("FileScan")[0]]
+    assert len(shuffles) <= 1
+
+
+def test_activity_mix_needs_neither_order_nor_catalog(spark, sf_dir, no_broadcast):
+    text = plan(order_house(spark, sf_dir).activity_mix)
+    assert "row_number()" not in text and "Expand" not in text
+    assert "p_name" not in text

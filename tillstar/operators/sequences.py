@@ -22,14 +22,17 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
     the days of a key. The events are read twice and should be a stored table.
     Rows without key or day are left out.
     """
-    group = [key, day, *ties[:-1]]
-    parts = (
-        df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
-        .groupBy(*group)
-        .agg(F.count("*").alias("__n"))
+    early = ties[:-1]
+    # text in place of the ties that groups are made of, as null equals itself only in a null-safe
+    # join, after which the window would need another shuffle
+    marks = {f"__{t}": F.coalesce(F.col(t).cast("string"), F.lit("\0")) for t in early}
+    group = [key, day, *marks]
+    marked = df.where(F.col(key).isNotNull() & F.col(day).isNotNull()).withColumns(marks)
+    parts = marked.groupBy(*group).agg(
+        F.count("*").alias("__n"), *[F.first(t).alias(f"{t}__value") for t in early]
     )
-    within = Window.partitionBy(key, day).orderBy(*ties[:-1])
-    if len(ties) > 1:
+    within = Window.partitionBy(key, day).orderBy(*[f"{t}__value" for t in early])
+    if early:
         within = within.rowsBetween(Window.unboundedPreceding, -1)
         parts = parts.withColumn("__before", F.coalesce(F.sum("__n").over(within), F.lit(0)))
     else:
@@ -40,34 +43,28 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
         parts.groupBy(key, day)
         .agg(F.sum("__n").alias("__n"))
         .select(
-            F.col(key).alias("__key"),
-            F.col(day).alias("__day"),
+            key, day,
             F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
             F.lag(day).over(across).alias("__last_day"),
             F.first(day).over(across).alias("first_day"),
         )
     )
-    if len(ties) > 1:
-        same_day = (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day"))
-        known = parts.join(days, same_day).select(
-            "__key", "__day", *[F.col(t).alias(f"__{t}") for t in ties[:-1]], "__last_day",
-            "first_day", "__before", (F.col("__offset") + F.col("__before")).alias("__offset"),
+    if early:
+        known = parts.join(days, [key, day]).select(
+            *group, "__last_day", "first_day", "__before",
+            (F.col("__offset") + F.col("__before")).alias("__offset"),
         )
     else:
         known = days.withColumn("__before", F.lit(0))
-    same = (F.col(key) == F.col("__key")) & (F.col(day) == F.col("__day"))
-    for tie in ties[:-1]:
-        same = same & F.col(tie).eqNullSafe(F.col(f"__{tie}"))
     inside = Window.partitionBy(*group).orderBy(ties[-1])
     opens = (F.col("__place") == 1) & (F.col("__before") == 0)
     return (
-        df.join(known, same)
+        marked.join(known, group)
         .withColumn("__place", F.row_number().over(inside))
-        .withColumn("sequence", (F.col("__place") + F.col("__offset")).cast("bigint"))
-        .withColumn("prev_day", F.when(opens, F.col("__last_day")).otherwise(F.col(day)))
-        .drop(
-            "__key", "__day", "__offset", "__before", "__last_day", "__place",
-            *[f"__{t}" for t in ties[:-1]],
+        .select(
+            *df.columns, "first_day",
+            (F.col("__place") + F.col("__offset")).cast("bigint").alias("sequence"),
+            F.when(opens, F.col("__last_day")).otherwise(F.col(day)).alias("prev_day"),
         )
     )
 

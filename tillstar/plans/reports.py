@@ -91,9 +91,14 @@ def average_order_value(units: DataFrame) -> DataFrame:
     )
 
 
-def activity_mix(rpt_activity: DataFrame) -> DataFrame:
-    """Monthly events and customers by kind of activity and customer state."""
-    return rpt_activity.groupBy(
+def activity_mix(events: DataFrame) -> DataFrame:
+    """Monthly events and customers by kind of activity and customer state.
+
+    It takes the events (`marts.activity_events`), as neither their order nor the catalog plays a
+    part. Customers are first told apart where their events are.
+    """
+    known = events.where(F.col("customer_id").isNotNull() & F.col("activity_date").isNotNull())
+    return known.groupBy(
         month_start(F.col("activity_date")).alias("month"), "activity_type",
         "customer_state_at_time",
     ).agg(F.count("*").alias("events"), F.countDistinct("customer_id").alias("customers"))

@@ -275,7 +275,7 @@ class Warehouse:
 
     @cached_property
     def activity_mix(self):
-        return reports.activity_mix(self.rpt_customer_activity)
+        return reports.activity_mix(self.activity_events)
 
     @cached_property
     def top_customers(self):

@@ -240,3 +240,55 @@ def test_parts_of_texts_give_labels(docs):
     rows = licence_rows(docs, [(k, text) for k, (_, text) in enumerate(parts)])
     for k, (label, text) in enumerate(parts):
         assert label in rows[k].labels.split(","), text
+
+
+HEADERS = [
+    ("lgpl", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Lesser General Public License as published by the Free Software Foundation, either "
+     "version 3 of the License, or (at your option) any later version."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+     "version 2.1 of the License, or (at your option) any later version. This library is distributed "
+     "in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+     "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public "
+     "License for more details."),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Affero General Public License as published by the Free Software Foundation, either "
+     "version 3 of the License, or (at your option) any later version. This program is distributed in "
+     "the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+     "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License "
+     "for more details."),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU General Public License as published by the Free Software Foundation, either version 3 "
+     "of the License, or (at your option) any later version."),
+    ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU General Public License as published by the Free Software Foundation; either version 2 "
+     "of the License, or (at your option) any later version."),
+    ("apache", "Licensed under the Apache Software License 2.0"), ("apache", "Apache-2.0"),
+    ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
+     "file except in compliance with the License."),
+    ("gpl", "SPDX-License-Identifier: GPL-3.0-or-later"), ("gpl", "GPL-2.0-only"),
+    ("lgpl", "LGPL-2.1-or-later"), ("agpl", "AGPL-3.0-only"), ("gpl", "GNU GPL v3"),
+    ("bsd", "Released under the 3-clause New BSD License"),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are "
+     "permitted provided that the following conditions are met:"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
+     "and associated documentation files (the \"Software\"), to deal in the Software without "
+     "restriction"),
+    ("mit", "The MIT License (MIT)"),
+    *[(f"cc-{kind}", f"Licensed under CC {kind.upper()} {v}") for v in ("2.0", "3.0", "4.0")
+      for kind in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd")],
+    ("", "This work is licensed under a CC license"), ("", "Licensed under CC"),
+]
+
+
+@pytest.mark.parametrize("label, text", HEADERS)
+def test_headers_give_their_label_and_no_wrong_one(label, text):
+    # the words of the base phrase stand in the names of its kin
+    kin = {"gpl"} if label in ("lgpl", "agpl") and "general public" in text.lower() else set()
+    for around in ("{}", "# Some file of ours.\n# {}\n# It does things by itself.\nimport os"):
+        made = licences.found([around.format(text)], licences.TEMPLATES, licences.BASE, True)
+        labels = set(filter(None, made[5].to_pylist()[0].split(",")))
+        assert labels == ({label} if label else set()) | kin
+        spans = {s["label"] for s in made[7].to_pylist()[0]}
+        assert spans == ({label} if label else set())

@@ -32,7 +32,8 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under "
         "the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF "
         "ANY KIND, either express or implied.",
-        "SPDX-License-Identifier: Apache-2.0",
+        "SPDX-License-Identifier: Apache-2.0", "Apache-2.0", "Apache Software License",
+        "Apache License 2.0", "under the Apache License",
     ],
     "artistic": ["the Artistic License", "Artistic License 2.0"],
     "bsd": [
@@ -41,6 +42,7 @@ TEMPLATES = {
         "This software is provided by the copyright holders and contributors \"as is\" and any "
         "express or implied warranties",
         "Released under the BSD License", "under the BSD License",
+        *[f"{kind} BSD License" for kind in ("New", "Modified", "Simplified", "Revised")],
         *[f"BSD {n}{mark}Clause" for n in (2, 3, 4) for mark in " -"],
         "SPDX-License-Identifier: BSD-2-Clause", "SPDX-License-Identifier: BSD-3-Clause",
     ],
@@ -89,7 +91,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: LGPL-2.1", "SPDX-License-Identifier: LGPL-3.0",
     ],
     "mit": [
-        "Released under the MIT License",
+        "Released under the MIT License", "under the MIT License", "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
         "software and associated documentation files (the \"Software\"), to deal in the Software "
         "without restriction",
@@ -108,7 +110,7 @@ TEMPLATES = {
         "SPDX-License-Identifier: MIT",
     ],
     "mpl": [
-        "Mozilla Public License", "mozilla.org/MPL", "SPDX-License-Identifier: MPL-2.0",
+        "MPL-2.0", "MPL-1.1", "Mozilla Public License", "mozilla.org/MPL", "SPDX-License-Identifier: MPL-2.0",
         "If a copy of the MPL was not distributed with this file, You can obtain one at",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     ],
@@ -145,6 +147,17 @@ for _parts in ("by", "by-sa", "by-nc", "by-nd", "by-nc-sa", "by-nc-nd"):
         _own.append(f"Creative Commons {_name}")
         for _v, _kind in VERSIONS.items():
             _own += [f"Creative Commons {_name} {_v} {_kind}", f"{_name} {_v} {_kind}"]
+for _kind, _versions in {"gpl": ("1.0", "2.0", "3.0"), "lgpl": ("2.0", "2.1", "3.0"), "agpl": ("3.0",)}.items():
+    for _v in _versions:
+        TEMPLATES[_kind] += [f"{_kind}-{_v}{_tail}" for _tail in ("", "-only", "-or-later")]
+    for _v in sorted({v[0] for v in _versions}):
+        TEMPLATES[_kind] += [f"GNU {_kind} v{_v}", f"GNU {_kind} version {_v}", f"{_kind} version {_v}"]
+#: Words that tell licences of like texts apart: a template that has one must find it, and a
+#: text that has one of the rarer ones isn't one of a template without it.
+TELLING = "by attribution library".split()
+RARE = (
+    "lesser affero sa sharealike nc noncommercial nd noderivatives noderivs lgpl agpl".split()
+)
 for _file in sorted(resources.files(__package__).joinpath("licence_texts").iterdir(), key=str):
     if _file.name.endswith(".txt"):  # label--version.txt
         TEMPLATES.setdefault(_file.name.split("--")[0], []).append(_file.read_text("utf-8"))
@@ -260,6 +273,8 @@ class Scanner:
         every = [(label, text) for label in sorted(templates) for text in templates[label]]
         long = [COVER * len(alnum_words(text)) >= LONG for _, text in every]
         self.base = {tuple(numbered(phrase)): label for phrase, label in base.items()}
+        self.rare = {numbered(word)[0] for word in RARE}
+        self.telling = self.rare | {numbered(word)[0] for word in TELLING}
         # notices have an automaton of their own: a longer match in a text must not hide theirs
         self.groups = []
         for kind in (False, True):
@@ -306,8 +321,15 @@ class Scanner:
                     span = (at - length, at, stop - length, stop)
                     hits.setdefault(number, set()).add(span)
             for number, some in sorted(hits.items()):
-                for start, end, covered in chains(sorted(some)):
-                    share = covered / len(sequences[number])
+                for start, end, covered, low, high in placed_chains(sorted(some)):
+                    sequence = sequences[number]
+                    share = covered / len(sequence)
+                    if share < COVER or not long:
+                        here = set(known[start:end].tolist())
+                        there = set(sequence[low:high]) if long else set(sequence)
+                        wanted = self.rare if long else self.telling
+                        if not (here & self.rare <= there and there & wanted <= here):
+                            share, covered = 0.0, 0  # another licence of a like text
                     spans.append((start, end, labels[number], share, covered))
         return sorted(places), spans
 
@@ -348,13 +370,20 @@ def labelled(spans: list[tuple[int, int, str, float, int]]) -> list[tuple]:
 
 
 def chains(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, template words covered) of the chains of matches."""
+    return [chain[:3] for chain in placed_chains(matches)]
+
+
+def placed_chains(
+    matches: list[tuple[int, int, int, int]],
+) -> list[tuple[int, int, int, int, int]]:
     """Matches (start, end, template start, template end) joined in order of both texts.
 
     Matches come in order of start. One continues a chain if it begins at the chain's end or at
     most GAP words after it, in both texts; of several, the one that covers most, then the latest.
-    Gives (start, end, template words covered).
+    Gives (start, end, template words covered, template start, template end).
     """
-    out: list[list[int]] = []  # start, end, template end, covered, number
+    out: list[list[int]] = []  # start, end, template end, covered, number, template start
     ending: dict[int, list[list[int]]] = {}  # chains by template end
     for start, end, low, high in matches:
         best = None
@@ -362,16 +391,16 @@ def chains(matches: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int
             if at in ending:
                 ending[at] = [c for c in ending[at] if start - c[1] <= GAP]
                 for chain in ending[at]:
-                    if chain[1] <= start and (best is None or chain[3:] > best[3:]):
+                    if chain[1] <= start and (best is None or chain[3:5] > best[3:5]):
                         best = chain
         if best is not None:
             ending[best[2]] = [c for c in ending[best[2]] if c is not best]
             best[1], best[2], best[3] = end, high, best[3] + high - low
         else:
-            best = [start, end, high, high - low, len(out)]
+            best = [start, end, high, high - low, len(out), low]
             out.append(best)
         ending.setdefault(high, []).append(best)
-    return [(c[0], c[1], c[3]) for c in out]
+    return [(c[0], c[1], c[3], c[5], c[2]) for c in out]
 
 
 _scanners: dict[str, Scanner] = memory(__name__)

@@ -13,7 +13,8 @@ from pyspark.sql import types as T
 
 from tillstar.llm.common import TEXT, Tables, column, pieces, remote, space_words
 
-#: Components of a signature of 8 bits each, and chunk errors that are enumerated.
+#: Components of a signature of 16 bits each, and chunk errors that are enumerated: a key holds three
+#: components or more, so at least 48 bits, and nodes share one by chance only among many millions.
 COMPONENTS, ERRORS = 64, 1
 #: Chance that a pair just at the similarity is further apart than the signature distance.
 MISS = 1e-5
@@ -70,13 +71,13 @@ def shingles(text: str | None, size: int) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """8 bits of the least value of each of COMPONENTS hash functions."""
+    """16 bits of the least value of each of COMPONENTS hash functions."""
     low = (found >> np.uint64(32)).astype(np.uint32)
     least = np.empty(COMPONENTS, np.uint32)
     for i in range(0, COMPONENTS, 8):
         values = low[None, :] * _MULTIPLY[i : i + 8, None] + _ADD[i : i + 8, None]
         least[i : i + 8] = values.min(1)
-    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8)
+    return ((least * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
 def _signed(batches, size):
@@ -95,7 +96,7 @@ def _signed(batches, size):
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()))
                 sign = signature(found)
                 signs.append(sign.tobytes())
-                bits = np.packbits(sign[:64] & 1)
+                bits = np.packbits((sign[:64] & 1).astype(np.uint8))
                 sketches.append(int.from_bytes(bits.tobytes(), "big", signed=True))
             kept = [n for n in piece.schema.names if n != TEXT]
             yield pa.RecordBatch.from_arrays(
@@ -111,7 +112,7 @@ def _keyed(batches, similarity):
     chunk number, the choice and the other components, hashed to 64 bits."""
     parts = chunks(similarity)
     for batch in batches:
-        signs = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint8)
+        signs = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint16)
         terms = signs.reshape(-1, COMPONENTS).astype(np.uint64) * _KEY[None, :]
         keys = []
         for number, part in enumerate(parts):

@@ -293,3 +293,22 @@ def test_schema_of_every_source(spark):
     )
     assert {r.test_result for r in drift.collect()} == {"all_okay"}
     assert isinstance(SOURCES["users"]["valid_from"].dataType, T.DateType)
+
+
+def test_profiles_count_distinct_values_without_expanding_rows(spark):
+    df = spark.createDataFrame(
+        [("a", 1.0, 1), ("a", -0.0, 2), (None, 0.0, 2), ("b", None, None)], "k string, v double, n int"
+    )
+    profile = q.null_profile(df, ["k", "v", "n"], "t")
+    rows = {r.column_name: (r.total_records, r.non_null_records, r.unique_values) for r in profile.collect()}
+    assert rows == {"k": (4, 3, 2), "v": (4, 3, 2), "n": (4, 3, 2)}
+    none = q.null_profile(df.limit(0), ["k", "v"], "t").collect()
+    assert {(r.total_records, r.null_records, r.unique_values) for r in none} == {(0, 0, 0)}
+    sales = df.select(
+        F.col("k").alias("transaction_id"), F.col("n").alias("customer_id"),
+        F.current_date().alias("date"), F.col("v").alias("transaction_total"),
+    )
+    for made in (profile, q.profile(sales), q.compare_nulls(df, df, ["k", "v"])):
+        assert "Expand" not in made._jdf.queryExecution().executedPlan().toString()
+    r = q.profile(sales).first()
+    assert (r.total_records, r.unique_users, r.unique_keys, r.distinct_days, r.null_users) == (4, 2, 2, 1, 1)

@@ -298,18 +298,40 @@ def freshness(
     )
 
 
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows, filled rows and distinct values of several columns, a row for each column.
+
+    Every row gives its value of each column, counted by column and value where the row is; so
+    a common value crosses the shuffle once a task, and no row is carried once for each column.
+    """
+    kinds = dict(df.dtypes)
+
+    def text(name: str) -> Column:
+        # one zero
+        value = F.col(name) + 0.0 if kinds[name] in ("double", "float") else F.col(name)
+        return value.cast("string")
+
+    cells = [F.struct(F.lit(c).alias("column_name"), text(c).alias("value")) for c in columns]
+    counted = (
+        df.select(F.explode(F.array(*cells)).alias("cell"))
+        .groupBy("cell.column_name", "cell.value")
+        .agg(F.count("*").alias("n"))
+    )
+    # every column has a row, also of an empty table
+    names = F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name")
+    every = df.sparkSession.range(1).select(
+        names, F.lit(None).cast("string").alias("value"), F.lit(0).cast("bigint").alias("n")
+    )
+    return counted.unionByName(every).groupBy("column_name").agg(
+        F.sum("n").alias("total"),
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
+        F.count("value").alias("unique"),
+    )
+
+
 def null_profile(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """Rows, nulls and distinct values of several columns."""
-    aggs = []
-    for c in columns:
-        aggs += [F.count(c).alias(f"{c}__n"), F.countDistinct(c).alias(f"{c}__d")]
-    one = df.agg(F.count("*").alias("total"), *aggs)
-    cells = []
-    for c in columns:
-        cells += [F.lit(c), F.col(f"{c}__n"), F.col(f"{c}__d")]
-    listed = one.select(
-        "total", F.stack(F.lit(len(columns)), *cells).alias("column_name", "filled", "unique")
-    )
+    listed = value_counts(df, columns)
     empty = F.col("total") - F.col("filled")
     return listed.select(
         F.lit(label).alias("table_name"),
@@ -348,16 +370,13 @@ def profile(
     amount: str = "transaction_total",
     today: Column | None = None,
 ) -> DataFrame:
-    """Table profile in one aggregate, with the number of kinds of issue found."""
+    """Table profile in one row, with the number of kinds of issue found."""
     today = F.current_date() if today is None else today
     money = F.col(amount).cast(MONEY)
     one = df.agg(
         F.count("*").alias("total_records"),
-        F.countDistinct(user).alias("unique_users"),
-        F.countDistinct(key).alias("unique_keys"),
         F.min(day).alias("earliest_day"),
         F.max(day).alias("latest_day"),
-        F.countDistinct(day).alias("distinct_days"),
         F.sum(money).cast("double").alias("total_amount"),
         ratio(F.sum(money), F.count(amount)).alias("avg_amount"),
         F.min(amount).alias("min_amount"),
@@ -369,8 +388,20 @@ def profile(
         F.count_if(F.col(day) > today).alias("future_days"),
     )
     issues = ["null_users", "null_keys", "null_amounts", "non_positive_amounts", "future_days"]
+    distinct = {user: "unique_users", key: "unique_keys", day: "distinct_days"}
+    found = value_counts(df, list(distinct)).agg(*[
+        F.max(F.when(F.col("column_name") == c, F.col("unique"))).alias(n)
+        for c, n in distinct.items()
+    ])
+    # two rows, each with nulls for what the other one has
+    both = one.unionByName(found, allowMissingColumns=True)
+    order = [
+        "total_records", "unique_users", "unique_keys", "earliest_day", "latest_day",
+        "distinct_days", *[c for c in one.columns if c not in ("total_records", "earliest_day", "latest_day")],
+    ]
+    merged = both.agg(*[F.max(c).alias(c) for c in order])
     kinds = reduce(lambda a, b: a + b, [(F.col(c) > 0).cast("int") for c in issues])
-    return one.withColumn("issue_kinds", kinds)
+    return merged.withColumn("issue_kinds", kinds)
 
 
 def expected_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -187,10 +187,41 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN sizes USING (lang) W
 """
 
 
+#: The sample pages mark their main text: it is the article, which holds headings, paragraphs, bold
+#: text and line breaks, and references to two characters, some of them cut short.
+MAIN_TEXT = r"""
+WITH articles AS (
+  SELECT page_id, url, row_number() OVER () AS rid,
+         regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS html
+  FROM pages
+),
+parts AS (
+  SELECT rid, generate_subscripts(parts, 1) AS place, unnest(parts) AS part
+  FROM (SELECT rid, string_split_regex(html, '</?(?:p|h1)>') AS parts FROM articles)
+),
+blocks AS (
+  SELECT rid, place, trim(regexp_replace(
+           regexp_replace(
+             regexp_replace(replace(regexp_replace(part, '</?b>', '', 'g'), '<br>', ' '),
+                            '&quot;?', '"', 'g'),
+             '&amp;?', '&', 'g'),
+           '[ \t\n\r\f\v]+', ' ', 'g')) AS block
+  FROM parts
+),
+texts AS (
+  SELECT rid, string_agg(block, chr(10) ORDER BY place) AS text
+  FROM blocks WHERE block <> '' GROUP BY rid
+)
+SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n_chars
+FROM articles LEFT JOIN texts USING (rid)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_near_duplicates": NEAR_DUPLICATES,
         "op5_decontamination": DECONTAMINATION,
         "op7_quality": QUALITY,
         "op12_collocations": COLLOCATIONS,
+        "op13_main_text": MAIN_TEXT,
     }

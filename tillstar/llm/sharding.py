@@ -9,8 +9,6 @@ from tillstar.llm.common import Tables, column
 
 #: Bytes of the records of one bucket, which a task shuffles in memory.
 BUCKET = 32 << 20
-#: Buckets up to which their offsets (16 bytes each) are broadcast.
-MOST_OFFSETS = 1_000_000
 
 
 def shuffled_shards(
@@ -56,19 +54,19 @@ def shuffled_shards(
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("offset"))
     )
-    if buckets <= MOST_OFFSETS:
-        offsets = F.broadcast(offsets)
+    # one row a bucket on either side, on one partitioning
     drawn = (
         scattered.select(bucket, F.struct("place", "record").alias("item"))
         .repartition("bucket")
         .groupBy("bucket")
         .agg(F.sort_array(F.collect_list("item")).alias("items"))
+        .join(offsets, "bucket")
         # a known order of buckets, so that a repeated task draws the same order again
         .sortWithinPartitions("bucket")
-        .select("bucket", F.posexplode(F.shuffle("items", F.lit(seed))).alias("at", "item"))
+        .select("offset", F.posexplode(F.shuffle("items", F.lit(seed))).alias("at", "item"))
     )
     number = F.col("offset") + F.col("at")
-    return drawn.join(offsets, "bucket").select(
+    return drawn.select(
         *[F.col("item.record")[c].alias(c) for c in names],
         (number % shards).cast("int").alias("shard"),
         F.floor(number / shards).cast("long").alias("slot"),

@@ -174,3 +174,26 @@ def test_a_failed_refresh_leaves_the_old_rows(spark, folder):
     assert spark.read.parquet(f"{folder}/t").count() == 3
     more = spark.read.parquet(f"{folder}/t").unionByName(new)
     assert writers.write_all({"t": more}, folder) == {"t": 12}
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    """The warehouse is taken where it is shared or the session is local; else it is refused."""
+    from types import SimpleNamespace
+
+    from tillstar.sinks import scratch
+
+    def session(master, warehouse, checkpoint=None):
+        settings = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": checkpoint}
+        context = SimpleNamespace(master=master, applicationId="unit")
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default=None: settings[key]), sparkContext=context,
+            _jvm=None, _jsc=SimpleNamespace(hadoopConfiguration=lambda: None),
+        )
+
+    for alone in ("/data/wh", "file:/data/wh", "wh"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch.shared_folder(session("spark://h:7077", alone))
+        assert scratch.shared_folder(session("local[2]", alone)) == f"{alone}/scratch-unit"
+        shared = session("spark://h:7077", alone, "hdfs://n/c/")
+        assert scratch.shared_folder(shared) == "hdfs://n/c/scratch-unit"
+    assert scratch.shared_folder(session("yarn", "hdfs://n/wh")) == "hdfs://n/wh/scratch-unit"

@@ -64,12 +64,33 @@ def test_blocks_give_the_same_as_one(spark, docs):
     key = lambda r: (str(r.doc_id), str(r.text))
     one, two = sorted(whole.collect(), key=key), sorted(parts.collect(), key=key)
     assert one == two and len(one) == len(pairs + ODD)
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # all blocks in one pass
+    passes = decontaminate.contaminated(table, tests, window=4, block=60, sent=1500)
+    assert sorted(passes.collect(), key=key) == one
+    cleaned = decontaminate.contaminated(table, tests, window=4, block=60, sent=1500, clean=True)
+    texts = {(str(r.doc_id), str(r.text)) for r in decontaminate.remove_spans(whole).collect()}
+    assert {(str(r.doc_id), str(r.text)) for r in cleaned.collect()} == texts
     named = [(str(i), t) for i, t in items if i is not None]
     for r in one:
         hit, found = brute(alnum_words(r.text), named, 4)
         assert (r.n_hit, r.items, r.contaminated) == (len(hit), found, bool(hit))
 
 
+def test_blocks_are_cut_by_tasks_and_sent_in_bounded_lists(spark):
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(30))) for i in range(40)]
+    tests = benchmark(spark, items + items)  # repeated rows count once
+    packed = decontaminate.blocks(tests, "item_id", "text", 4, 400)
+    made = [decontaminate._loaded(r.key, bytes(r.phrases)) for r in packed.collect()]
+    assert len(made) > 10 and sum(len(p.size) for p in made) == 40 * 27
+    assert sorted(n for p in made for n in p.names) == sorted(str(i) for i, _ in items)
+    most = 3 * max(len(r.phrases) for r in packed.collect())
+    lists = list(decontaminate.rounds(packed, most))
+    assert 1 < len(lists) < len(made)
+    assert all(sum(len(payload) for _, payload in one) <= most for one in lists)
+    assert list(decontaminate.rounds(packed.limit(0), most)) == [[]]
+
+
 def test_spans_are_cut_out(spark, docs):
     items = [(1, "the secret answer is forty two and nothing else at all")]
     text = "Before: The SECRET answer -- is forty-two, and nothing else AT ALL! After."

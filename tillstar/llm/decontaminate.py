@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,35 +14,70 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.llm.common import (
-    TEXT, alnum_words, column, memory, merged, pieces, remote, runs_of,
+    TEXT, Tables, alnum_words, column, memory, merged, pieces, remote, runs_of,
 )
 
 #: The words of alnum_words in a text as it came, before A-Z are put in lower case.
 WORD = re.compile(r"[0-9A-Za-z\u0080-\U0010FFFF]+")
-#: Words of a window, and bytes of benchmark text that one pass over the documents searches.
+#: Words of a window, and bytes of benchmark text whose phrases are searched at once.
 WINDOW = 10
 BLOCK = 8 << 20
+#: Bytes of phrases that are broadcast for one pass over the documents, and of texts that a task
+#: holds to search them for several blocks.
+SENT = 64 << 20
+HELD = 32 << 20
 #: Every so many places of a shard's text keep their place in the suffix order.
 SAMPLED = 8
 
 
 class Phrases:
-    """Distinct windows of benchmark items as rows of word ids, and the items of each."""
+    """Distinct windows of benchmark items as places in the items' word ids, and their owners.
+
+    A window is `size` ids from `start`; `owners` are numbers in `names`, those of window k
+    end at `ends[k]`. Pickled it holds four bytes a word, and each word's letters once.
+    """
 
     def __init__(self, items: list[tuple[str, str | None]], window: int):
+        self.window = window
         self.ids: dict[bytes, int] = {}
-        of: dict[tuple[int, ...], set[str]] = {}
+        self.names = sorted({item for item, _ in items})
+        number = {name: k for k, name in enumerate(self.names)}
+        of: dict[tuple[int, ...], tuple[int, set[int]]] = {}
+        sequence: list[int] = []
         for item, text in items:
             words = [self.ids.setdefault(w, len(self.ids) + 1) for w in alnum_words(text)]
             for at in range(max(1, len(words) - window + 1) if words else 0):
-                of.setdefault(tuple(words[at : at + window]), set()).add(item)
-        rows = sorted(of, key=lambda row: (len(row), row))
-        self.items = [sorted(of[row]) for row in rows]
-        self.size = np.array([len(row) for row in rows], np.int64)
-        self.shortest = min(map(len, rows), default=0)
-        self.words = np.zeros((len(rows), window), np.int64)
-        for row, words in zip(self.words, rows, strict=True):
-            row[: len(words)] = words
+                row = tuple(words[at : at + window])
+                of.setdefault(row, (len(sequence) + at, set()))[1].add(number[item])
+            sequence += words
+        self.sequence = np.array(sequence, np.int32)
+        self.start = np.array([start for start, _ in of.values()], np.int64)
+        self.size = np.array([len(row) for row in of], np.int64)
+        self.owners = np.array([k for _, own in of.values() for k in sorted(own)], np.int32)
+        self.ends = np.cumsum([len(own) for _, own in of.values()], dtype=np.int64)
+
+    def __getstate__(self):
+        return {**self.__dict__, "ids": b" ".join(self.ids)}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.ids = {word: k for k, word in enumerate(state["ids"].split(), 1)}
+
+    @property
+    def shortest(self) -> int:
+        return int(self.size.min(initial=self.window))
+
+    def words(self) -> np.ndarray:
+        """Windows as rows of word ids, zeros after their end."""
+        places = self.start[:, None] + np.arange(self.window)
+        inside = np.arange(self.window) < self.size[:, None]
+        return np.where(inside, self.sequence[np.where(inside, places, 0)], 0)
+
+    def items(self, windows: np.ndarray) -> set[str]:
+        """Items that own any of the windows."""
+        begins = np.concatenate(([0], self.ends))
+        own = [self.owners[begins[w] : begins[w + 1]] for w in windows.tolist()]
+        return {self.names[k] for k in np.unique(np.concatenate(own)).tolist()} if own else set()
 
 
 class WaveletMatrix:
@@ -145,7 +181,7 @@ def occurrences(
     text = np.concatenate(parts).astype(np.int64)
     begins = np.concatenate(([0], np.flatnonzero(text == 0)[:-1] + 1))
     index = FmIndex(text, len(phrases.ids))
-    low, high = index.search(phrases.words, phrases.size)
+    low, high = index.search(phrases.words(), phrases.size)
     count = high - low
     which = np.repeat(np.arange(len(count)), count)
     offset = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
@@ -157,74 +193,134 @@ def occurrences(
     order = np.argsort(text_of, kind="stable")
     for group in np.split(order, np.flatnonzero(np.diff(text_of[order])) + 1) if len(order) else []:
         spans = merged(starts[group], starts[group] + phrases.size[which[group]])
-        items = {i for w in np.unique(which[group]).tolist() for i in phrases.items[w]}
-        out[int(text_of[group[0]])] = (*spans, sorted(items))
+        out[int(text_of[group[0]])] = (*spans, sorted(phrases.items(np.unique(which[group]))))
     return out
 
 
 _phrases: dict[str, Phrases] = memory(__name__)
 
 
-def _shard(batches, shared, window, clean=False):
-    """n_words, spans and items of each text; adds to those that an earlier block found.
+def _packed(batches, window, size):
+    """Blocks of items with at most `size` bytes of text each, or one item, as pickled phrases."""
+    waiting, total = [], 0
 
-    With `clean` the texts come back without the spans.
-    """
-    key, items = shared.value
+    def block():
+        payload = pickle.dumps(Phrases(waiting, window), protocol=5)
+        key = hashlib.sha256(payload).hexdigest()
+        return pa.RecordBatch.from_pydict({"key": [key], "phrases": [payload]})
+
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("item", "text")), strict=True)
+        for item, text in rows:
+            bytes_ = len(text.encode())
+            if waiting and total + bytes_ > size:
+                yield block()
+                waiting, total = [], 0
+            waiting.append((item, text))
+            total += bytes_
+    if waiting:
+        yield block()
+
+
+def blocks(benchmark: DataFrame, item: str, text: str, window: int, size: int) -> DataFrame:
+    """(key, phrases): the distinct items of a benchmark, cut into windows by Spark's tasks."""
+    rows = benchmark.select(
+        column(item).cast("string").alias("item"), column(text).cast("string").alias("text")
+    ).where("item IS NOT NULL AND text <> ''").distinct()
+    return rows.mapInArrow(remote(_packed, window, size), "key string, phrases binary")
+
+
+def rounds(packed: DataFrame, most: int) -> Iterator[list[tuple[str, bytes]]]:
+    """The blocks in lists of at most `most` bytes, or one block, read one list after the other."""
+    waiting, total = [], 0
+    for row in packed.toLocalIterator():
+        if waiting and total + len(row["phrases"]) > most:
+            yield waiting
+            waiting, total = [], 0
+        waiting.append((row["key"], bytes(row["phrases"])))
+        total += len(row["phrases"])
+    yield waiting
+
+
+def _loaded(key: str, payload: bytes) -> Phrases:
+    """Phrases of a block; a worker remembers the last one."""
     if key not in _phrases:
         _phrases.clear()
-        _phrases[key] = Phrases(items, window)
-    phrases = _phrases[key]
-    pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        _phrases[key] = pickle.loads(payload)
+    return _phrases[key]
+
+
+def _shards(batches, most):
+    """Lists of pieces with at most `most` bytes of text together, or one piece."""
+    waiting, total = [], 0
     for batch in batches:
         for piece in pieces(batch, TEXT):
-            words = [alnum_words(t) for t in piece.column(TEXT).to_pylist()]
-            found = occurrences(words, phrases)
-            rows, names = piece.schema.names, []
-            earlier = "__llm_spans" in rows
-            old_spans = piece.column("__llm_spans").to_pylist() if earlier else []
-            old_items = piece.column("__llm_items").to_pylist() if earlier else []
-            spans, items = [], []
-            for number in range(len(words)):
-                starts, ends, new = found.get(number, (np.zeros(0, int), np.zeros(0, int), []))
-                if earlier and old_spans[number]:
-                    starts = np.concatenate((starts, [s["start"] for s in old_spans[number]]))
-                    ends = np.concatenate((ends, [s["end"] for s in old_spans[number]]))
-                    starts, ends = merged(starts, ends)
-                both = {*new, *(old_items[number] if earlier else [])}
-                spans.append([
-                    {"start": int(s), "end": int(e)} for s, e in zip(starts, ends, strict=True)
-                ])
-                items.append(sorted(both))
-            names = [n for n in rows if not n.startswith("__llm_")]
-            texts = piece.column(TEXT)
-            if clean:
-                texts = pa.array(cut(texts.to_pylist(), spans), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(n) for n in names] + [
-                    texts,
-                    pa.array([len(w) for w in words], pa.int64()),
-                    pa.array(spans, pairs), pa.array(items, pa.list_(pa.string())),
-                ],
-                [*names, TEXT, "__llm_words", "__llm_spans", "__llm_items"],
-            )
-
-
-def blocks(benchmark: DataFrame, item: str, text: str, size: int):
-    """Lists of (item, text) with at most `size` bytes of text each, or one item; read
-    one after the other, so that the driver holds one block."""
-    rows = benchmark.select(
-        column(item).cast("string").alias("item"), column(text).cast("string").alias("text")
-    ).where(F.col("item").isNotNull())
-    block, total = [], 0
-    for row in rows.toLocalIterator():
-        bytes_ = len((row["text"] or "").encode())
-        if block and total + bytes_ > size:
-            yield block
-            block, total = [], 0
-        block.append((row["item"], row["text"]))
-        total += bytes_
-    yield block
+            bytes_ = piece.column(TEXT).nbytes
+            if waiting and total + bytes_ > most:
+                yield waiting
+                waiting, total = [], 0
+            waiting.append(piece)
+            total += bytes_
+    if waiting:
+        yield waiting
+
+
+def _searched(batches, shared, clean):
+    """n_words, spans and items of each text; adds to those that an earlier round found.
+
+    Every block is searched in the index of each piece; with several blocks more pieces are
+    held, so that a block is loaded once for all of them. With `clean` the texts come back
+    without the spans.
+    """
+    packed = shared.value
+    for shard in _shards(batches, HELD if len(packed) > 1 else 0):
+        texts = [[alnum_words(t) for t in piece.column(TEXT).to_pylist()] for piece in shard]
+        found = [_earlier(piece) for piece in shard]
+        for key, payload in packed:
+            phrases = _loaded(key, payload)
+            for words, known in zip(texts, found, strict=True):
+                for number, (starts, ends, items) in occurrences(words, phrases).items():
+                    if number in known:
+                        old = known[number]
+                        starts, ends = merged(
+                            np.concatenate((old[0], starts)), np.concatenate((old[1], ends))
+                        )
+                        items = sorted({*old[2], *items})
+                    known[number] = starts, ends, items
+        for piece, words, known in zip(shard, texts, found, strict=True):
+            yield _annotated(piece, words, known, clean)
+
+
+def _earlier(piece):
+    """By row: spans and items that an earlier round found."""
+    if "__llm_spans" not in piece.schema.names:
+        return {}
+    rows = zip(*(piece.column(c).to_pylist() for c in ("__llm_spans", "__llm_items")), strict=True)
+    return {
+        number: (np.array([s["start"] for s in spans]), np.array([s["end"] for s in spans]), items)
+        for number, (spans, items) in enumerate(rows) if spans
+    }
+
+
+def _annotated(piece, words, known, clean):
+    nothing = (np.zeros(0, int), np.zeros(0, int), [])
+    spans, items = [], []
+    for number in range(len(words)):
+        starts, ends, own = known.get(number, nothing)
+        spans.append([{"start": int(s), "end": int(e)} for s, e in zip(starts, ends, strict=True)])
+        items.append(own)
+    names = [n for n in piece.schema.names if not n.startswith("__llm_")]
+    texts = piece.column(TEXT)
+    if clean:
+        texts = pa.array(cut(texts.to_pylist(), spans), pa.string())
+    pairs = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    return pa.RecordBatch.from_arrays(
+        [piece.column(n) for n in names] + [
+            texts, pa.array([len(w) for w in words], pa.int64()),
+            pa.array(spans, pairs), pa.array(items, pa.list_(pa.string())),
+        ],
+        [*names, TEXT, "__llm_words", "__llm_spans", "__llm_items"],
+    )
 
 
 def contaminated(
@@ -236,6 +332,7 @@ def contaminated(
     item_text: str = "text",
     window: int = WINDOW,
     block: int = BLOCK,
+    sent: int = SENT,
     clean: bool = False,
 ) -> DataFrame:
     r"""Find all windows of benchmark items in every whole text.
@@ -248,9 +345,11 @@ def contaminated(
 
     A null or empty text has no words and no hits; an item without words or with a null id
     takes no part; items that repeat an id are one item. Repeated rows are searched each
-    alone; with an empty table on either side nothing is hit. The benchmark is sent to the tasks
-    in blocks of `block` bytes, each searched by a further pass in the same stage. Input columns
-    named like a new one give way to it. With `clean` a kept text comes back without its
+    alone; with an empty table on either side nothing is hit. Tasks cut the benchmark into blocks
+    of `block` bytes of text; those of at most `sent` bytes together are broadcast and searched one
+    after the other in one pass over the documents. A larger benchmark takes several passes, each
+    written to the shared folder before the next list of blocks is sent. Input columns named like a
+    new one give way to it. With `clean` a kept text comes back without its
     spans, as `remove_spans` makes it.
     """
     new = ["n_words", "n_hit", "n_items", "items", "items_sha256", "contaminated", "spans"]
@@ -263,15 +362,18 @@ def contaminated(
         f"__llm_words long, __llm_spans {span}, __llm_items array<string>"
     )
     schema = T.StructType([*base, *added])
-    spark = df.sparkSession
-    waiting = None
-    for items in chain(blocks(benchmark, item, item_text, block), [None]):
+    spark, waiting = df.sparkSession, None
+    tables = Tables(spark, "decontaminate")
+    packed = blocks(benchmark, item, item_text, window, block)
+    for number, some in enumerate(rounds(packed, sent)):
         if waiting is not None:
-            last = clean and items is None
-            found = found.mapInArrow(remote(_shard, waiting, window, last), schema)
-        if items is not None:
-            key = hashlib.sha256(repr((items, window)).encode()).hexdigest()
-            waiting = spark.sparkContext.broadcast((key, items))
+            searched = found.mapInArrow(remote(_searched, waiting, False), schema)
+            found = tables.write(f"round{number}", searched)
+            waiting.unpersist()
+            if number > 1:
+                tables.drop(f"round{number - 1}")
+        waiting = spark.sparkContext.broadcast(some)
+    found = found.mapInArrow(remote(_searched, waiting, clean), schema)
     items = F.col("__llm_items")
     hits = F.aggregate("__llm_spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
     return found.select(

@@ -2,6 +2,7 @@
 
 import collections
 import math
+import time
 import zlib
 
 import numpy as np
@@ -296,6 +297,25 @@ def test_models_tell_kinds_apart(spark):
     assert right >= 0.9 * len(rows)
 
 
+@pytest.mark.parametrize("order", [1, 4, 70])
+def test_grams_are_those_of_the_whole_url(spark, order):
+    texts = ["", "x", "é🎉\n" * 50, *["ab" * n + "c" * (n % 2) for n in (29, 30, 31, 32, 61, 62, 63, 64)]]
+    seen = spark.createDataFrame([(t,) for t in texts], "url string")
+    rows = collections.Counter((r.url, r.gram) for r in urls._grams(seen, order).collect())
+    want = collections.Counter()
+    for t in texts:
+        padded = urls.START * order + t + urls.END
+        want.update((t, padded[i : i + order + 1]) for i in range(len(t) + 1))
+    assert rows == want
+
+
+def test_long_urls_take_time_in_proportion(spark):
+    values = [*URLS, "https://x.org/" + "a.b/" * 250_000, "x" * 1_000_000, "://" * 300_000, "é?#" * 200_000]
+    began = time.time()
+    rows = urls.judged_urls(pages(spark, values)).collect()
+    assert len(rows) == len(values) and time.time() - began < 60
+
+
 def test_no_pages(spark):
     assert urls.judged_urls(pages(spark, [])).count() == 0
     only = urls.judged_urls(pages(spark, ["https://x.org/a", None])).collect()

@@ -21,6 +21,8 @@ RULES = [
 ORDER = 4
 UNSEEN = 1 / 256
 START, END = "\u0002", "\u0003"
+#: Characters of a URL that are cut into grams at once.
+PIECE = 64
 #: Log-likelihoods are summed as whole numbers of 1 / SCALE, so that the order can't matter;
 #: thresholds are whole numbers of 1 / STEPS, between -REACH and REACH.
 SCALE, STEPS, REACH = 1_000_000, 1000, 20_000
@@ -53,13 +55,23 @@ def best_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _grams(order: int) -> Column:
-    """Each character of `url`, and its end, with the `order` characters before it."""
+def _grams(seen: DataFrame, order: int) -> DataFrame:
+    """Each character of `url`, and its end, with the `order` characters before it.
+
+    A place in a string is found by counting from its start, so URLs are cut into pieces of
+    PIECE characters first, each followed by the `order` characters after it.
+    """
     padded = F.concat(F.lit(START * order), F.col("url"), F.lit(END))
-    return F.transform(
-        F.sequence(F.lit(1), F.length("url") + 1),
-        lambda at: F.substring(padded, at, F.lit(order + 1)),
-    )
+    found = F.regexp_extract_all(padded, F.lit(f"(?s).{{1,{max(PIECE, order)}}}"), F.lit(0))
+    later = F.slice(found, 2, F.size(found))
+    ahead = F.coalesce(F.substring(F.element_at("pair", 2), 1, order), F.lit(""))
+    pairs = seen.withColumn("pair", F.explode(F.zip_with(found, later, lambda a, b: F.array(a, b))))
+    pieces = pairs.withColumn("piece", F.concat(F.element_at("pair", 1), ahead)).drop("pair")
+    places = F.when(F.length("piece") > order, F.sequence(F.lit(1), F.length("piece") - order))
+    return pieces.withColumn(
+        "gram",
+        F.explode(F.transform(places, lambda at: F.substring("piece", at, F.lit(order + 1)))),
+    ).drop("piece")
 
 
 #: The three models: without the URLs of fold 0, without those of fold 1, and with all.
@@ -133,7 +145,7 @@ def url_scores(df: DataFrame, url: str = "url", rules=RULES, order: int = ORDER)
         F.pmod(F.xxhash64("url"), F.lit(2)).cast("int").alias("fold"),
     )
     seen = tables.write("seen", seen)
-    each = seen.select("id", "kind", "fold", F.explode(_grams(order)).alias("gram"))
+    each = _grams(seen, order).select("id", "kind", "fold", "gram")
     grams = tables.write(
         "grams",
         each.groupBy("gram").agg(*[

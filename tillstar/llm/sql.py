@@ -216,12 +216,82 @@ SELECT page_id, url, coalesce(text, '') AS text, CAST(length(coalesce(text, ''))
 FROM articles LEFT JOIN texts USING (rid)
 """
 
+#: CRC-32 is taken byte by byte, by its usual table; a word's links end at its root.
+SPELLING = f"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+             CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))
+),
+runs AS (
+  SELECT id, run, count(*) AS n FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+                     '{UPPER}', '{LOWER}') AS run
+    FROM documents)
+  GROUP BY id, run
+),
+bytes AS (
+  SELECT run, n, hex(id || ':' || run) AS h FROM runs WHERE length(run) >= 7
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(1, length(h), 2), lambda i:
+             CAST('0x' || h[i:i + 1] AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM bytes, crc_table
+),
+spelled AS (
+  SELECT n, CASE WHEN h % 31 <> 0 THEN run
+    ELSE substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2)
+    END AS word
+  FROM hashed
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+),
+holes AS (
+  SELECT word, i, substr(word, 1, CAST(i - 1 AS INT)) || substr(word, CAST(i + 1 AS INT)) AS hole
+  FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+),
+near AS (
+  SELECT a.word, b.word AS other FROM holes a JOIN holes b USING (i, hole) WHERE a.word <> b.word
+  UNION
+  SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.hole
+  UNION
+  SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.hole
+),
+best AS (
+  SELECT near.word, count(*) AS n_near, max(o.n) AS form_n,
+         arg_min(other, struct_pack(n := -o.n, w := other)) AS form
+  FROM near JOIN words o ON o.word = near.other GROUP BY near.word
+),
+forms AS (
+  SELECT w.word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN form_n >= 10 * n THEN form END AS form,
+         CASE WHEN form_n >= 10 * n THEN form_n END AS form_n
+  FROM words w LEFT JOIN best USING (word)
+),
+follow AS (
+  SELECT word, word AS place FROM forms
+  UNION ALL
+  SELECT follow.word, forms.form FROM follow JOIN forms ON forms.word = place
+  WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.form, e.word AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN follow ON follow.word = f.word
+JOIN forms e ON e.word = place AND e.form IS NULL
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_near_duplicates": NEAR_DUPLICATES,
         "op5_decontamination": DECONTAMINATION,
         "op7_quality": QUALITY,
+        "op11_spelling": SPELLING,
         "op12_collocations": COLLOCATIONS,
         "op13_main_text": MAIN_TEXT,
     }

@@ -715,6 +715,16 @@ def check_users_timeline(spark, folder):
     return q.scd_timeline(order_house(spark, folder).dim_users, "customer_id")
 
 
+def check_users_timeline_gaps(spark, folder):
+    """The customer dimension of which some customers lack past versions of odd months, and
+    others the current one."""
+    customer = F.col("customer_id")
+    past = (customer % 5 == 0) & ~F.col("is_current") & (F.month("valid_from") % 2 == 1)
+    now = (customer % 7 == 0) & F.col("is_current")
+    dim = order_house(spark, folder).dim_users
+    return q.scd_timeline(dim.where(~(past | now)), "customer_id")
+
+
 def check_activity_timeline(spark, folder):
     """Activity moved back a week and without the first purchase of every third customer,
     against the customer versions."""
@@ -776,6 +786,7 @@ def queries() -> dict[str, Query]:
         source_freshness, null_comparison, table_profile, staged_validation, product_updates,
         relationship_counts, row_counts,
         missing_activity_types, check_scd_integrity, check_scd_timeline, check_users_timeline,
+        check_users_timeline_gaps,
         check_activity_timeline, source_gate, source_invariants,
     ):
         found[query.__name__] = query

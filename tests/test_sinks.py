@@ -2,12 +2,15 @@
 
 import datetime as dt
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from contract import queries
 from retail import sources
 from tillstar.sinks import writers
+from tillstar.sinks.writers import scratch, settled, shared_folder
 from tillstar.sources import readers, schemas
 
 
@@ -197,3 +200,27 @@ def test_a_cluster_needs_a_shared_scratch_folder():
         shared = session("spark://h:7077", alone, "hdfs://n/c/")
         assert scratch.shared_folder(shared) == "hdfs://n/c/scratch-unit"
     assert scratch.shared_folder(session("yarn", "hdfs://n/wh")) == "hdfs://n/wh/scratch-unit"
+
+
+def test_a_block_owns_its_tables(spark, sf_dir):
+    """Ten queries in one session leave no folder behind."""
+    base = Path(shared_folder(spark).removeprefix("file:"))
+    kept = {p.name for p in base.iterdir()} if base.exists() else set()
+    catalog = queries.queries()
+    names = ["dense_keys", "dim_geo", "dim_source", "competitor_fct_items", "best_sellers"]
+    seen = []
+    for name in names * 2:
+        with scratch(spark) as folder:
+            assert catalog[name](spark, sf_dir).count() >= 0
+            with scratch(spark) as inner:
+                assert shared_folder(spark) == inner != folder
+            assert shared_folder(spark) == folder
+            seen.append(Path(folder.removeprefix("file:")))
+            written = list(seen[-1].iterdir()) if seen[-1].exists() else []
+            assert name == "best_sellers" or written, name
+    with pytest.raises(ZeroDivisionError), scratch(spark) as folder:
+        settled(spark.range(3))
+        seen.append(Path(folder.removeprefix("file:")))
+        raise ZeroDivisionError
+    assert not any(p.exists() for p in seen)
+    assert ({p.name for p in base.iterdir()} if base.exists() else set()) == kept

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from contextlib import suppress
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _kept: set[str] = set()
+_owned: ContextVar[str | None] = ContextVar("owned", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -16,8 +19,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     It lies in `spark.checkpoint.dir`, or in the warehouse where that is unset, and is
     deleted when the driver ends. On a cluster the warehouse must then be shared storage:
-    a folder of the driver's machine is refused.
+    a folder of the driver's machine is refused. Inside `scratch` it is that block's folder.
     """
+    owned = _owned.get()
+    if owned is not None:
+        return owned
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir")
@@ -31,6 +37,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A block that owns the tables which its steps write between them.
+
+    They lie in a folder of the block, deleted when it ends, also by an error: results must be
+    written or collected inside. Blocks may be nested; those of other threads are apart. A
+    session that runs many queries thus holds the tables of those at work alone.
+    """
+    folder = f"{shared_folder(spark)}/block-{uuid.uuid4().hex}"
+    before = _owned.set(folder)
+    try:
+        yield folder
+    finally:
+        _owned.reset(before)
+        drop_folders(spark, folder)
+
+
 def drop_folders(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -43,6 +43,62 @@ def test_gradients_match_differences():
         assert math.isclose(g[place], (up - down) / 2e-2, rel_tol=0.1, abs_tol=1e-4), name
 
 
+def plain_score(model, text):
+    """The network's equations word by word, in doubles: the highest score of the windows."""
+    size = toxicity.HIDDEN
+    m = {name: value.astype(np.float64) for name, value in model.items()}
+
+    def logistic(v):
+        return 1 / (1 + np.exp(-v))
+
+    def vector(word):
+        spaced = b" " + word + b" "
+        triples = [int.from_bytes(spaced[i : i + 3], "big") for i in range(len(word))]
+        buckets = [(t * 0x9E3779B1 >> 7) % toxicity.BUCKETS for t in triples]
+        mean = sum(m["letters"][b] for b in buckets) / len(buckets)
+        return m["words"][zlib.crc32(word) % toxicity.BUCKETS] + mean
+
+    def states(words, way):
+        h, made = np.zeros(size), []
+        for x in words if way == "f" else words[::-1]:
+            into, back = x @ m[f"in_{way}"] + m[f"bias_{way}"], h @ m[f"own_{way}"]
+            update, reset = logistic(into[:size] + back[:size]), logistic((into + back)[size : 2 * size])
+            fresh = np.tanh(into[2 * size :] + reset * back[2 * size :])
+            h = (1 - update) * fresh + update * h
+            made.append(h)
+        return made if way == "f" else made[::-1]
+
+    def window(words):
+        both = [np.concatenate(pair) for pair in zip(states(words, "f"), states(words, "b"), strict=True)]
+        asked = np.exp([np.tanh(s @ m["attend"]) @ m["ask"] for s in both])
+        mean = sum(a * s for a, s in zip(asked, both, strict=True)) / asked.sum()
+        return float(logistic(mean @ m["out"] + m["bias"][0]))
+
+    words = [vector(w) for w in alnum_words(text)]
+    found, at = [], 0
+    while words:
+        found.append(window(words[at : at + toxicity.WINDOW]))
+        if at + toxicity.WINDOW >= len(words):
+            break
+        at += toxicity.STRIDE
+    return max(found, default=0.0)
+
+
+def test_scores_match_the_plain_network(spark, docs):
+    draw = np.random.default_rng(5)
+    model = toxicity.new_model(5)
+    for value in model.values():  # far from the start, so that gates and attention tell words apart
+        value += draw.standard_normal(value.shape).astype(np.float32) * 0.4
+    names = ["ab", "É", "x", "longer9", "日本", "the", "Fool", "vile"] + [f"w{i}" for i in range(40)]
+    pairs = [(i, " ".join(draw.choice(names, n))) for i, n in enumerate((1, 2, 16, 31, 32, 33, 47, 48, 49, 64, 65, 300))]
+    made = toxicity.toxicity(docs(pairs + ODD), model).collect()
+    assert len(made) == len(pairs + ODD)
+    found = {round(r.score, 3) for r in made}
+    for r in made:
+        assert math.isclose(r.score, plain_score(model, r.text), abs_tol=1e-4), r.text
+    assert len(found) > 10
+
+
 def test_windows_reach_every_word():
     for n in range(1, 200):
         begin = list(toxicity.starts(n))

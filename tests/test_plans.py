@@ -154,3 +154,22 @@ def test_activity_mix_needs_neither_order_nor_catalog(spark, sf_dir, no_broadcas
     text = plan(order_house(spark, sf_dir).activity_mix)
     assert "row_number()" not in text and "Expand" not in text
     assert "p_name" not in text
+
+
+def shuffled(text):
+    """Keys of the shuffles of a plan, from its result downwards."""
+    return re.findall(r"Exchange hashpartitioning\((\w+?)#", text)
+
+
+def test_units_meet_their_return_while_narrow(spark, sf_dir, no_broadcast):
+    """The shuffle by unit carries neither header nor times."""
+    keys = shuffled(plan(order_house(spark, sf_dir).sold_units))
+    assert keys[0] == "transaction_id" and keys.index("item_id") > 0
+
+
+def test_labels_are_computed_after_the_last_shuffle(spark, sf_dir, no_broadcast):
+    text = plan(order_house(spark, sf_dir).fct_transactions)
+    below = text[text.index("Exchange"):]
+    assert "pricing_type" in text
+    for name in ("pricing_type", "product_revenue", "return_rate_pct", "sold_on"):
+        assert name not in below

@@ -44,7 +44,7 @@ def as_of_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
-    at: str,
+    at: str | Column,
     how: str = "left",
     spread_by: str | None = None,
     months: int = 12,
@@ -58,7 +58,8 @@ def as_of_join(
     join is on key and slot, the interval is tested last. So a fact tests the versions of its slot
     alone, and a key with very many versions or facts is as many tasks as it has slots. Open
     versions reach to the slot of `until` (default: today), which also takes all later days: the
-    result doesn't depend on it. `spread_by` scatters facts without a key, as in `left_lookup`.
+    result doesn't depend on it. `at` may be an expression, which is computed on either side of
+    the shuffle and not carried through it. `spread_by` scatters facts without a key, as in `left_lookup`.
     """
     wanted = [c for c in dim.columns if c not in (key, "valid_from", "valid_to")]
     end = slot_of(F.current_date() if until is None else until.cast("date"), months)
@@ -89,9 +90,10 @@ def as_of_join(
             left = left.withColumn("__spread", null_spread(F.col(key).isNull(), spread_by))
             right = right.withColumn("__zero", zero_of("__key"))
             condition = condition & (F.col("__spread") == F.col("__zero"))
-    left = left.withColumn("__slot", slot(F.col(at).cast("date")))
+    at = F.col(at) if isinstance(at, str) else at
+    left = left.withColumn("__slot", slot(at.cast("date")))
     condition = condition & (F.col("__slot") == F.col("__covered"))
-    inside = (F.col(at) >= first) & (after.isNull() | (F.col(at) < after))
+    inside = (at >= first) & (after.isNull() | (at < after))
     return left.join(right, condition & inside, how).drop(
         "__key", "__from", "__to", "__spread", "__zero", "__slot", "__covered"
     )

@@ -109,24 +109,25 @@ def purchase_times(stg_events: DataFrame) -> DataFrame:
     )
 
 
-def sold_units(
+def unit_rows(
     stg_items: DataFrame,
     stg_transactions: DataFrame,
     stg_returns: DataFrame,
     stg_events: DataFrame,
 ) -> DataFrame:
-    """One row per unit sold with its order, purchase time and return.
+    """One row per unit sold with its order, purchase time and return, nothing derived yet.
 
     Order header, purchase times and return are each grouped to one row per key before
     they join, so a unit is never repeated; and since their keys are known to be
     distinct, Catalyst drops the joins whose columns nobody reads. Of headers that
     repeat an id the largest stays. Units carry an order and an id of their own, so
     neither join spreads missing keys: header and times both find the units
-    partitioned by order.
+    partitioned by order. The return comes first, while units are narrow; the units of an
+    order then stay side by side, so the columns of its header pack well in a later shuffle.
     """
     items = stg_items.select(
-        "item_id", "transaction_id", "product_id", "date", "product_price", "product_quantity",
-        F.round(F.col("product_price") * F.col("product_quantity"), 2).alias("product_revenue"),
+        "item_id", "transaction_id", "product_id", date_key("date").alias("date_key"),
+        "product_price", "product_quantity",
     )
     header = F.struct(
         "user_cookie_id", "customer_id", "session_id", "transaction_coupon",
@@ -144,23 +145,29 @@ def sold_units(
         .groupBy("transaction_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("product_id", "event_time"))).alias("times"))
     )
-    rows = left_lookup(items, headers, "transaction_id")
-    rows = left_lookup(rows, times, "transaction_id").withColumn(
-        "event_time", F.try_element_at("times", F.col("product_id"))
-    )
-    rows = left_lookup(rows, returns_per_item(stg_returns), "item_id")
+    rows = left_lookup(items, returns_per_item(stg_returns), "item_id")
+    rows = left_lookup(rows, headers, "transaction_id")
+    rows = left_lookup(rows, times, "transaction_id")
+    moment = F.try_element_at("times", F.col("product_id"))
+    # the time of day alone, as the day would fill later shuffles
+    return rows.withColumn(
+        "purchase_time", F.when(F.col("has_header"), time_of_day(moment))
+    ).drop("times", "has_header")
+
+
+def described(rows: DataFrame) -> DataFrame:
+    """Units (`unit_rows`) with the amounts and labels that follow from their columns.
 
+    Apply it after the joins, so that no shuffle carries what can be computed.
+    """
+    revenue = F.round(F.col("product_price") * F.col("product_quantity"), 2)
     returned = F.coalesce("return_quantity", F.lit(0.0))
     return rows.select(
-        "item_id",
-        date_key("date").alias("date_key"),
+        "item_id", "date_key",
         "customer_id", "user_cookie_id", "product_id", "transaction_id",
-        F.when(F.col("has_header"), time_of_day(F.col("event_time"))).alias("purchase_time"),
-        "session_id", "product_price", "product_quantity", "product_revenue",
+        "purchase_time", "session_id", "product_price", "product_quantity", revenue.alias("product_revenue"),
         "transaction_revenue", "transaction_shipping", "transaction_total", "transaction_coupon",
-        percent(F.col("product_revenue"), F.col("transaction_total")).alias(
-            "product_contribution_pct"
-        ),
+        percent(revenue, F.col("transaction_total")).alias("product_contribution_pct"),
         F.when(F.col("transaction_coupon").isNotNull(), "Discount")
         .otherwise("Full Price")
         .alias("pricing_type"),
@@ -173,13 +180,15 @@ def sold_units(
         F.when(F.col("product_quantity") > 0, percent(returned, F.col("product_quantity")))
         .otherwise(0.0)
         .alias("return_rate_pct"),
+        *[c for c in rows.columns if c == "plus_status"],
     )
 
 
-def transactions(units: DataFrame, dim_users: DataFrame) -> DataFrame:
-    """Units sold (`sold_units`) with the membership of the customer on the day of sale."""
+def transactions(rows: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """Units sold (`unit_rows`), described, with the membership of the customer on the day of sale."""
     members = dim_users.select("customer_id", "valid_from", "valid_to", "plus_status")
-    dated = units.withColumn("sold_on", date_from_key("date_key"))
-    rows = as_of_join(dated, members, "customer_id", "sold_on", spread_by="item_id")
+    joined = as_of_join(
+        rows, members, "customer_id", date_from_key("date_key"), spread_by="item_id"
+    )
     member = F.when(F.col("plus_status"), F.col("plus_status").cast("string"))
-    return rows.withColumn("plus_status", member).drop("sold_on")
+    return described(joined.withColumn("plus_status", member))

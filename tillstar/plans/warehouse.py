@@ -172,19 +172,23 @@ class Warehouse:
             self.dim_geo, self.dim_devices, self.dim_ad_platform,
         )
 
+    @cached_property
+    def unit_rows(self):
+        return facts.unit_rows(
+            self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
+            self.stg_funnel_events,
+        )
+
     @cached_property
     def sold_units(self):
         """What the marts need of `fct_transactions`: all but the membership."""
         if "fct_transactions" in self.__dict__:
             return self.fct_transactions.drop("plus_status")
-        return facts.sold_units(
-            self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
-            self.stg_funnel_events,
-        )
+        return facts.described(self.unit_rows)
 
     @cached_property
     def fct_transactions(self):
-        return facts.transactions(self.sold_units, self.dim_users)
+        return facts.transactions(self.unit_rows, self.dim_users)
 
     # marts
 

@@ -173,3 +173,9 @@ def test_labels_are_computed_after_the_last_shuffle(spark, sf_dir, no_broadcast)
     assert "pricing_type" in text
     for name in ("pricing_type", "product_revenue", "return_rate_pct", "sold_on"):
         assert name not in below
+
+
+def test_sales_meet_the_calendar_last(spark, sf_dir, no_broadcast):
+    text = plan(order_house(spark, sf_dir).rpt_transactions)
+    keys = list(dict.fromkeys(shuffled(text)))
+    assert keys[:3] == ["date_key", "product_id", "customer_id"]

@@ -47,7 +47,7 @@ def transactions(
     dim_sub_category: DataFrame,
     dim_main_category: DataFrame,
 ) -> DataFrame:
-    """Units sold (`facts.sold_units`) with date, current customer, product, cost, profit
+    """Units sold (`facts.described`) with date, current customer, product, cost, profit
     and refund."""
     catalog = product_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
     customers = current(dim_users).select(
@@ -62,9 +62,11 @@ def transactions(
     calendar = dim_date.select(
         "date_key", "date", "year", "month", "day_of_week", "quarter", "is_weekend", "is_holiday"
     )
-    rows = left_lookup(units, calendar, "date_key", spread_by="item_id")
+    # customers first, while the units of an order are side by side and their header packs well;
+    # the calendar last, as it needs no shuffle and its columns would be carried through the others
+    rows = left_lookup(units, customers, "customer_id", spread_by="item_id")
     rows = left_lookup(rows, catalog, "product_id", spread_by="item_id")
-    rows = left_lookup(rows, customers, "customer_id", spread_by="item_id")
+    rows = left_lookup(rows, calendar, "date_key", spread_by="item_id")
 
     cost = F.col("unit_cost") * F.col("product_quantity")
     refund = F.when(

@@ -179,3 +179,25 @@ def test_sales_meet_the_calendar_last(spark, sf_dir, no_broadcast):
     text = plan(order_house(spark, sf_dir).rpt_transactions)
     keys = list(dict.fromkeys(shuffled(text)))
     assert keys[:3] == ["date_key", "product_id", "customer_id"]
+
+
+def test_activity_shows_its_days_after_the_catalog(spark, sf_dir, no_broadcast):
+    text = plan(order_house(spark, sf_dir).rpt_customer_activity)
+    keys = list(dict.fromkeys(shuffled(text)))
+    assert keys[:2] == ["activity_date", "product_id"]
+    below = text[text.index("Exchange hashpartitioning(product_id"):].split("FileScan")[0]
+    assert "activity_timestamp" not in below and "activity_is_weekend" not in below
+
+
+def test_days_of_a_sequence_are_counted_from_the_events(spark, no_broadcast, tmp_path):
+    from tillstar.operators.sequences import sequence_events
+
+    path = f"{tmp_path}/events"
+    spark.range(500).select(
+        F.col("id"), (F.col("id") % 9).alias("k"), F.lit("2024-01-01").cast("date").alias("day"),
+        (F.col("id") % 30).alias("order"),
+    ).write.parquet(path)
+    text = plan(sequence_events(spark.read.parquet(path), "k", "day", ["order", "id"]))
+    by_group = re.findall(r"Exchange hashpartitioning\(k#\w+, day#\w+, __order#", text)
+    # the events, the sizes of their groups, and the offsets on their way back
+    assert len(by_group) == 3

@@ -39,9 +39,11 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
         parts = parts.withColumn("__before", F.lit(0))
     across = Window.partitionBy(key).orderBy(day)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    # counted from the events, where they are: the groups of a day may be as many as its events,
+    # so that their sums would be a shuffle by group more
     days = (
-        parts.groupBy(key, day)
-        .agg(F.sum("__n").alias("__n"))
+        marked.groupBy(key, day)
+        .agg(F.count("*").alias("__n"))
         .select(
             key, day,
             F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"),
@@ -50,14 +52,15 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
         )
     )
     if early:
+        opening = F.when(F.col("__before") == 0, F.col("__last_day")).otherwise(F.col(day))
         known = parts.join(days, [key, day]).select(
-            *group, "__last_day", "first_day", "__before",
+            *group, opening.alias("__last_day"), "first_day",
             (F.col("__offset") + F.col("__before")).alias("__offset"),
         )
     else:
-        known = days.withColumn("__before", F.lit(0))
+        known = days.select(key, day, "__last_day", "first_day", "__offset")
     inside = Window.partitionBy(*group).orderBy(ties[-1])
-    opens = (F.col("__place") == 1) & (F.col("__before") == 0)
+    opens = F.col("__place") == 1
     return (
         marked.join(known, group)
         .withColumn("__place", F.row_number().over(inside))

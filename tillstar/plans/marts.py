@@ -243,17 +243,20 @@ def customer_activity(
     ordered = sequence_events(
         events.drop("year_part"), "customer_id", "activity_date", ["activity_type", "transaction_id", "item_id"]
     )
+    # what needs no shuffle comes after the one by product, so that it isn't carried through it
+    rows = left_lookup(ordered, catalog, "product_id", spread_by="sequence")
+    rows = left_lookup(rows, calendar, "activity_date")
     day = F.col("activity_date")
-    timed = ordered.select(
-        "*",
+    return rows.select(
+        *events.drop("year_part").columns,
         noon(day).alias("activity_timestamp"),
         F.col("sequence").alias("customer_activity_sequence"),
         F.col("prev_day").alias("prev_activity_date"),
         F.date_diff(day, F.col("prev_day")).alias("days_since_last_activity"),
         F.date_diff(day, F.col("first_day")).alias("customer_tenure_days"),
-    ).drop("sequence", "prev_day", "first_day")
-    rows = left_lookup(timed, calendar, "activity_date")
-    return left_lookup(rows, catalog, "product_id", spread_by="customer_activity_sequence")
+        *[c for c in calendar.columns if c != "activity_date"],
+        *[c for c in catalog.columns if c != "product_id"],
+    )
 
 
 def daily_channel_performance(

@@ -178,7 +178,12 @@ def test_labels_are_computed_after_the_last_shuffle(spark, sf_dir, no_broadcast)
 def test_sales_meet_the_calendar_last(spark, sf_dir, no_broadcast):
     text = plan(order_house(spark, sf_dir).rpt_transactions)
     keys = list(dict.fromkeys(shuffled(text)))
-    assert keys[:3] == ["date_key", "product_id", "customer_id"]
+    assert keys[:3] == ["date_key", "product_id", "transaction_id"]
+    # customers meet the orders, not their units
+    by_customer = [x for x in text.split("\n") if "Exchange hashpartitioning(customer_id" in x]
+    assert by_customer
+    below = text[text.index("Exchange hashpartitioning(customer_id"):]
+    assert "l_shipdate" not in below.split("FileScan")[0]
 
 
 def test_activity_shows_its_days_after_the_catalog(spark, sf_dir, no_broadcast):
@@ -201,3 +206,10 @@ def test_days_of_a_sequence_are_counted_from_the_events(spark, no_broadcast, tmp
     by_group = re.findall(r"Exchange hashpartitioning\(k#\w+, day#\w+, __order#", text)
     # the events, the sizes of their groups, and the offsets on their way back
     assert len(by_group) == 3
+
+
+def test_settled_tables_are_packed(spark):
+    from tillstar.sinks.scratch import settled
+
+    [file] = settled(spark.range(10).repartition(1)).inputFiles()
+    assert ".zstd." in file

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,9 +116,13 @@ def unit_rows(
     stg_transactions: DataFrame,
     stg_returns: DataFrame,
     stg_events: DataFrame,
+    customers: DataFrame | None = None,
 ) -> DataFrame:
     """One row per unit sold with its order, purchase time and return, nothing derived yet.
 
+    With `customers`, orders meet their customer before the units meet the order, so that the
+    units needn't be shuffled by customer; its columns are added.
+
     Order header, purchase times and return are each grouped to one row per key before
     they join, so a unit is never repeated; and since their keys are known to be
     distinct, Catalyst drops the joins whose columns nobody reads. Of headers that
@@ -140,6 +146,8 @@ def unit_rows(
         .agg(F.max(header).alias("header"))
         .select("transaction_id", "header.*")
     )
+    if customers is not None:
+        headers = left_lookup(headers, customers, "customer_id", spread_by="transaction_id")
     times = (
         purchase_times(stg_events)
         .groupBy("transaction_id")
@@ -155,8 +163,9 @@ def unit_rows(
     ).drop("times", "has_header")
 
 
-def described(rows: DataFrame) -> DataFrame:
-    """Units (`unit_rows`) with the amounts and labels that follow from their columns.
+def described(rows: DataFrame, added: Sequence[str] = ()) -> DataFrame:
+    """Units (`unit_rows`) with the amounts and labels that follow from their columns, and
+    the `added` columns at the end.
 
     Apply it after the joins, so that no shuffle carries what can be computed.
     """
@@ -180,7 +189,7 @@ def described(rows: DataFrame) -> DataFrame:
         F.when(F.col("product_quantity") > 0, percent(returned, F.col("product_quantity")))
         .otherwise(0.0)
         .alias("return_rate_pct"),
-        *[c for c in rows.columns if c == "plus_status"],
+        *added,
     )
 
 
@@ -191,4 +200,4 @@ def transactions(rows: DataFrame, dim_users: DataFrame) -> DataFrame:
         rows, members, "customer_id", date_from_key("date_key"), spread_by="item_id"
     )
     member = F.when(F.col("plus_status"), F.col("plus_status").cast("string"))
-    return described(joined.withColumn("plus_status", member))
+    return described(joined.withColumn("plus_status", member), ["plus_status"])

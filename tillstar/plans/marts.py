@@ -38,6 +38,19 @@ def product_catalog(
     return left_lookup(named, mains, "main_category_key")
 
 
+def customers_now(dim_users: DataFrame) -> DataFrame:
+    """Current customers with the columns that the sales mart shows."""
+    return current(dim_users).select(
+        "customer_id",
+        F.col("city").alias("user_city"),
+        F.col("gender").alias("user_gender"),
+        F.col("registration_date").alias("user_registration_date"),
+        F.col("lifetime_orders").alias("user_lifetime_orders"),
+        F.col("lifetime_value").alias("user_lifetime_value"),
+        F.col("plus_status").alias("user_plus_status"),
+    )
+
+
 def transactions(
     units: DataFrame,
     dim_date: DataFrame,
@@ -48,23 +61,20 @@ def transactions(
     dim_main_category: DataFrame,
 ) -> DataFrame:
     """Units sold (`facts.described`) with date, current customer, product, cost, profit
-    and refund."""
+    and refund.
+
+    Units that carry the columns of `customers_now` already don't look their customer up.
+    """
     catalog = product_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
-    customers = current(dim_users).select(
-        "customer_id",
-        F.col("city").alias("user_city"),
-        F.col("gender").alias("user_gender"),
-        F.col("registration_date").alias("user_registration_date"),
-        F.col("lifetime_orders").alias("user_lifetime_orders"),
-        F.col("lifetime_value").alias("user_lifetime_value"),
-        F.col("plus_status").alias("user_plus_status"),
-    )
+    customers = customers_now(dim_users)
     calendar = dim_date.select(
         "date_key", "date", "year", "month", "day_of_week", "quarter", "is_weekend", "is_holiday"
     )
     # customers first, while the units of an order are side by side and their header packs well;
     # the calendar last, as it needs no shuffle and its columns would be carried through the others
-    rows = left_lookup(units, customers, "customer_id", spread_by="item_id")
+    rows = units
+    if "user_city" not in units.columns:
+        rows = left_lookup(units, customers, "customer_id", spread_by="item_id")
     rows = left_lookup(rows, catalog, "product_id", spread_by="item_id")
     rows = left_lookup(rows, calendar, "date_key", spread_by="item_id")
 

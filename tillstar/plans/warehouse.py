@@ -200,8 +200,16 @@ class Warehouse:
 
     @cached_property
     def rpt_transactions(self):
+        units = self.sold_units
+        if "fct_transactions" not in self.__dict__:
+            customers = marts.customers_now(self.dim_users)
+            rows = facts.unit_rows(
+                self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
+                self.stg_funnel_events, customers,
+            )
+            units = facts.described(rows, [c for c in customers.columns if c != "customer_id"])
         return marts.transactions(
-            self.sold_units, self.dim_date, self.dim_users, self.dim_products, self.dim_brand,
+            units, self.dim_date, self.dim_users, self.dim_products, self.dim_brand,
             self.dim_sub_category, self.dim_main_category,
         )
 

@@ -1,0 +1,85 @@
+"""Keys of numbered texts, many at once."""
+
+from __future__ import annotations
+
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+
+#: Texts digested in one go: enough for numpy, few enough for the processor's cache.
+ROWS = 16_384
+#: A text of one MD5 block: with its number of up to 19 digits, the end mark and the length.
+SHORT = 64 - 19 - 9
+TENS = 10 ** np.arange(19)
+SINES = (2**32 * np.abs(np.sin(np.arange(1, 65)))).astype(np.int64).tolist()
+SHIFTS = ((7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21))
+START = (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)
+
+
+def _digest_starts(blocks: np.ndarray) -> np.ndarray:
+    """First 8 bytes of the MD5 of texts given as one padded block of 64 bytes each (RFC 1321)."""
+    words = np.ascontiguousarray(blocks.view("<u4").T)
+    a, b, c, d = (np.full(len(blocks), x, np.uint32) for x in START)
+    for i in range(64):
+        if i < 16:
+            mixed, word = d ^ (b & (c ^ d)), i
+        elif i < 32:
+            mixed, word = c ^ (d & (b ^ c)), 5 * i + 1
+        elif i < 48:
+            mixed, word = b ^ c ^ d, 3 * i + 5
+        else:
+            mixed, word = c ^ (b | ~d), 7 * i
+        mixed += a
+        mixed += words[word % 16]
+        mixed += SINES[i]
+        shift = SHIFTS[i // 16][i % 4]
+        turned = mixed << shift
+        mixed >>= 32 - shift
+        turned |= mixed
+        turned += b
+        a, b, c, d = d, turned, b, c
+    starts = np.empty((len(blocks), 2), "<u4")
+    starts[:, 0], starts[:, 1] = a + START[0], b + START[1]
+    return starts.view(">u8").ravel()
+
+
+def numbered_keys(stems: list[bytes], first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """`conformed_key` of each stem followed by each of its numbers, `count` from `first` (not
+    negative) on, in this order."""
+    length = np.array([len(s) for s in stems], np.int64)
+    begins = np.cumsum(count) - count
+    keys = np.empty(int(count.sum()), np.uint64)
+    for k in np.flatnonzero(length > SHORT).tolist():
+        numbers = range(int(first[k]), int(first[k] + count[k]))
+        made = [md5(b"%s%d" % (stems[k], n), usedforsecurity=False).digest()[:8] for n in numbers]
+        keys[begins[k] : begins[k] + count[k]] = np.frombuffer(b"".join(made), ">u8")
+    short = np.flatnonzero(length <= SHORT)
+    padded = np.array([stems[k] for k in short.tolist()], "S64").view(np.uint8).reshape(-1, 64)
+    upto = np.cumsum(count[short])
+    for low in range(0, int(upto[-1]) if len(upto) else 0, ROWS):
+        unit = np.arange(low, min(low + ROWS, int(upto[-1])))
+        line = np.searchsorted(upto, unit, side="right")
+        of = short[line]
+        place = unit - (upto[line] - count[of])
+        number = first[of] + place
+        digits = np.maximum(np.searchsorted(TENS, number, side="right"), 1)
+        blocks = padded[line]
+        flat = blocks.reshape(-1)
+        end = np.arange(len(unit)) * 64 + length[of] + digits
+        for k in range(int(digits.max())):
+            has = np.flatnonzero(digits > k)
+            flat[end[has] - 1 - k] = number[has] // TENS[k] % 10 + 48
+        flat[end] = 0x80
+        blocks.view("<u8")[:, 7] = (length[of] + digits) * 8
+        keys[begins[of] + place] = _digest_starts(blocks)
+    return (keys >> np.uint64(4)).view(np.int64)
+
+
+def listed_keys(stems: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:
+    """Keys of each stem's numbers after `first` up to `last`, as a list for each stem."""
+    before = first.to_numpy()
+    count = last.to_numpy() - before
+    keys = numbered_keys(stems.cast(pa.binary()).to_pylist(), before + 1, count)
+    ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))

@@ -13,7 +13,8 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _joined(values: tuple[Column | str, ...]) -> Column:
+def key_text(*values: Column | str) -> Column:
+    """The text whose digest is the key."""
     parts = [F.coalesce(_column(v).cast("string"), F.lit(NULL_TOKEN)) for v in values]
     return F.concat_ws(SEPARATOR, *parts)
 
@@ -25,12 +26,12 @@ def conformed_key(*values: Column | str) -> Column:
     parent's key without a lookup join. Nulls get their own token. Give dates,
     integers and strings; a double has no single text form across engines.
     """
-    return F.conv(F.substring(F.md5(_joined(values)), 1, 15), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(key_text(*values)), 1, 15), 16, 10).cast("bigint")
 
 
 def change_signature(*values: Column | str) -> Column:
     """Digest of the tracked attributes of one version."""
-    return F.md5(_joined(values))
+    return F.md5(key_text(*values))
 
 
 def date_key(day: Column | str) -> Column:

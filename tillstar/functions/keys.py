@@ -14,7 +14,7 @@ def _column(value: Column | str) -> Column:
 
 
 def key_text(*values: Column | str) -> Column:
-    """The text whose digest is the key."""
+    """The text whose digest is the key; that of leading fields may stand for them as one field."""
     parts = [F.coalesce(_column(v).cast("string"), F.lit(NULL_TOKEN)) for v in values]
     return F.concat_ws(SEPARATOR, *parts)
 
@@ -26,7 +26,9 @@ def conformed_key(*values: Column | str) -> Column:
     parent's key without a lookup join. Nulls get their own token. Give dates,
     integers and strings; a double has no single text form across engines.
     """
-    return F.conv(F.substring(F.md5(key_text(*values)), 1, 15), 16, 10).cast("bigint")
+    # cut as bytes: Spark would count the characters of the whole text first
+    digits = F.substring(F.md5(key_text(*values)).cast("binary"), 1, 15).cast("string")
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def change_signature(*values: Column | str) -> Column:

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from pathlib import Path
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.keys import key_text
+from tillstar.functions.keys import conformed_key, key_text
 
 
 def unpivot_metrics(
@@ -36,23 +33,8 @@ def any_positive(*columns: str) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c) > 0 for c in columns])
 
 
-#: Units of a line that are made in one go, and lines beyond it in blocks of as many; a task holds
-#: the keys of one Arrow batch of lines at a time.
-BLOCK = 1_000
-
-
-def _unit_keys(stem: Column, first: Column, last: Column) -> Column:
-    """Lists of keys; tasks also look where the driver has this package, if it isn't shipped."""
-    root = str(Path(__file__).resolve().parents[2])
-
-    def keys(stems: pa.Array, first: pa.Array, last: pa.Array) -> pa.Array:
-        if root not in sys.path:
-            sys.path.append(root)
-        from tillstar.functions.digests import listed_keys
-
-        return listed_keys(stems, first, last)
-
-    return F.arrow_udf(keys, "array<bigint>")(stem, first, last)
+#: Units of a line that are made in one go, and lines beyond it in blocks of as many.
+BLOCK = 100_000
 
 
 def explode_units(
@@ -61,9 +43,7 @@ def explode_units(
     """One row per unit of a line, each with its own key; lines without units vanish.
 
     The units of a line are made where it is, so the blow-up needs no shuffle. A line of more than
-    `block` units is first cut into blocks, which are dealt out over the tasks. The key is the
-    `conformed_key` of `key_from` and the unit's number; those of many lines are made at once, for
-    one by one they are nearly all the work.
+    `block` units is first cut into blocks, which are dealt out over the tasks.
     """
     many = F.col(quantity).cast("bigint")
     size = F.lit(block).cast("bigint")
@@ -80,15 +60,14 @@ def explode_units(
             F.least((F.col("__block") + 1) * size, many).alias("__last"),
         )
     )
-    stem = key_text(*key_from, F.lit(""))
-    keys = _unit_keys(stem, F.col("__first"), F.col("__last"))
+    units = F.sequence(F.col("__first") + 1, F.col("__last"))
     return (
         plain.unionByName(cut)
-        .select("*", F.posexplode(keys).alias("__at", "__key"))
-        .withColumn("unit_no", F.col("__first") + F.col("__at") + 1)
+        .withColumn("__line", key_text(*key_from))  # once a line, not for each of its units
+        .withColumn("unit_no", F.explode(units))
         .withColumn(quantity, F.lit(1).cast("bigint"))
-        .withColumn(key_name, F.col("__key"))
-        .drop("__first", "__last", "__at", "__key")
+        .withColumn(key_name, conformed_key("__line", "unit_no"))
+        .drop("__first", "__last", "__line")
     )
 
 

@@ -3,14 +3,16 @@
 import random
 import re
 import time
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ODD
 from pyspark.sql import functions as F
 
 from tillstar.llm import near, passages
-from tillstar.llm.common import space_words
+from tillstar.llm.common import PIECE, space_words
 
 
 def shingle_set(text, size):
@@ -275,3 +277,73 @@ def test_letters_of_unspaced_scripts_alone_count(docs):
     pairs = [(k, f"{k}.\n{line}\nEnd {k}.") for k, line in enumerate([few, few, thai, thai])]
     cut = {r.doc_id: r.text for r in passages.without_repeats(docs(pairs)).collect()}
     assert cut == {**dict(pairs[:3]), 3: "3.\nEnd 3."}
+
+
+def plain_runs(units, least, letters):
+    """Runs of units that follow each other, by a plain loop over one text."""
+    runs, last = [], None
+    for at, start, end, words, signs, kept in sorted(units, key=lambda u: u[0]):
+        if runs and at == last + 1:
+            runs[-1] = (runs[-1][0], end, runs[-1][2] + words, runs[-1][3], runs[-1][4] + signs)
+        else:
+            runs.append((start, end, words, kept, signs))
+        last = at
+    return [r[:4] for r in runs if r[2] >= least or r[4] >= letters]
+
+
+def batch_of_units(texts):
+    """What `_spans` gets: lists of (at, start, end, words, letters, kept_id) by text."""
+    names = ["at", "start", "end", "words", "letters"]
+    unit = pa.struct([*((n, pa.int32()) for n in names), ("kept_id", pa.string())])
+    lists = [[dict(zip([*names, "kept_id"], u, strict=True)) for u in text] for text in texts]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([f"t{k}" for k in range(len(texts))]), pa.array(range(len(texts)), pa.int64()),
+         pa.array(lists, pa.list_(unit))],
+        ["id", "hash", "units"],
+    )
+
+
+def test_spans_of_many_units_take_little_memory():
+    draw = random.Random(3)
+    texts = []
+    for _ in range(3000):
+        places = [at for at in range(100) if draw.random() < 0.6]
+        draw.shuffle(places)
+        texts.append([
+            (at, 40 * at, 40 * at + 39, draw.randrange(1, 9), draw.randrange(3) * 20, draw.choice([None, "a", f"k{at}"]))
+            for at in places
+        ])
+    texts[7], texts[2999] = [], texts[2999][:1]
+    texts[11] = [(at, at, at + 1, 1, 0, "long") for at in range(100_000)]  # more than are done at once
+    batch = batch_of_units(texts)
+    whole = pa.Table.from_batches([batch])
+    expected = [plain_runs(t, 10, 50) for t in texts]
+    tracemalloc.start()
+    made = list(passages._spans([batch.slice(0, 0), batch], 10, 50))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20, peak
+    got = pa.Table.from_batches(made)
+    assert got.column("id").equals(whole.column("id")) and got.column("hash").equals(whole.column("hash"))
+    assert [[tuple(s.values()) for s in t] for t in got.column("spans").to_pylist()] == expected
+    assert len(expected[11]) == 1 and any(len(t) > 2 for t in expected)
+    # a part of a batch gives its own rows
+    half = pa.Table.from_batches(passages._spans([batch.slice(1500, 900)], 10, 50))
+    assert [[tuple(s.values()) for s in t] for t in half.column("spans").to_pylist()] == expected[1500:2400]
+
+
+def test_texts_are_cut_by_the_piece():
+    texts = ["ab" * (PIECE // 4), None, "", "cd" * (PIECE // 3), "é" * PIECE, "end"]
+    spans = [[{"start": 2, "end": PIECE // 4}], None, [], [{"start": 0, "end": 4}], [{"start": 1, "end": PIECE}], None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(6)), pa.array(texts), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+        ["doc_id", "text", "__llm_spans"],
+    )
+    made = list(passages._without([batch], "text"))
+    assert [b.num_rows for b in made] == [3, 1, 1, 1]
+    whole = pa.Table.from_batches(made)
+    assert whole.column_names == ["doc_id", "text"]
+    assert whole.column("doc_id").to_pylist() == list(range(6))
+    assert whole.column("text").to_pylist() == [
+        "ab" + texts[0][PIECE // 4 :], None, "", texts[3][4:], "é", "end",
+    ]

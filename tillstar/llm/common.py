@@ -65,12 +65,11 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts[first], reach[np.concatenate((first[1:], [True]))]
 
 
-def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most PIECE bytes of text, or one row."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+def parts(batch: pa.RecordBatch, sizes: Sequence[int], most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose rows have sizes of at most `most` together, or one row."""
     start, total = 0, 0
-    for row, size in enumerate(sizes.tolist()):
-        if row > start and total + size > PIECE:
+    for row, size in enumerate(sizes):
+        if row > start and total + size > most:
             yield batch.slice(start, row - start)
             start, total = row, 0
         total += size
@@ -78,6 +77,12 @@ def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def pieces(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most PIECE bytes of text, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    yield from parts(batch, sizes.tolist(), PIECE)
+
+
 #: What workers remember between tasks, by operator. A worker serves many operators in turn and
 #: remembers for one at a time.
 _memories: dict[str, list[dict]] = {}

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.llm.common import TEXT, Tables, alnum_words, column, pieces, remote
+from tillstar.llm.common import TEXT, Tables, alnum_words, column, parts, pieces, remote
 
 #: Marks that end a sentence without white space after them: ideographic, full and half width,
 #: Arabic, Indic, Armenian, Ethiopic, Burmese, Khmer, Tibetan, Mongolian and doubled ones.
@@ -29,6 +30,8 @@ CLOSED = re.compile(f"[{MARKS}][{MARKS}.!?]*+[{CLOSING}]*+")
 #: Words that a run of repeated units must have to be removed, or else letters of scripts that put
 #: no spaces between words: Thai, Lao, Tibetan, Burmese, Khmer, Tai, kana, Han, Yi, Javanese.
 LEAST, LETTERS = 10, 50
+#: Repeated units that a task makes spans of at once; a text of more is done on its own.
+UNITS = 1 << 16
 UNSPACED = re.compile(
     "[\u0e01-\u0e3a\u0e40-\u0e4e\u0e81-\u0ece\u0edc-\u0edf\u0f40-\u0fbc\u1000-\u103f\u1050-\u108f"
     "\u1780-\u17d3\u1950-\u19c9\u1a20-\u1a7c\u1b05-\u1b4c\u3005-\u3007\u3041-\u3096\u309d-\u309f"
@@ -115,31 +118,41 @@ def _units(batches, places):
 
 def _spans(batches, least, letters):
     """Runs of repeated units that follow each other, from all repeated units of a text."""
-    names = ("start", "end", "words", "kept_id")
     for batch in batches:
-        made = []
-        for repeated in batch.column("units").to_pylist():
-            runs: list[dict] = []
-            last = None
-            for unit in sorted(repeated, key=lambda u: u["at"]):
-                if last is not None and unit["at"] == last + 1:
-                    runs[-1]["end"] = unit["end"]
-                    runs[-1]["words"] += unit["words"]
-                    runs[-1]["letters"] += unit["letters"]
-                else:
-                    runs.append({k: unit[k] for k in (*names, "letters")})
-                last = unit["at"]
-            made.append([
-                {k: r[k] for k in names} for r in runs
-                if r["words"] >= least or r["letters"] >= letters
-            ])
-        kind = batch.column("units").type.value_type
-        fields = [kind.field(n) for n in names]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), batch.column("hash"),
-             pa.array(made, pa.list_(pa.struct(fields)))],
-            ["id", "hash", "spans"],
-        )
+        sizes = np.diff(batch.column("units").offsets.to_numpy())
+        for piece in parts(batch, sizes.tolist(), UNITS):
+            lists = piece.column("units")
+            offsets = lists.offsets.to_numpy()
+            units = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+            row = np.repeat(np.arange(len(lists)), np.diff(offsets))
+            at = units.field("at").to_numpy()
+            order = np.lexsort((at, row))  # units in their texts' order; rows stay in place
+            at = at[order]
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(at)) - 1
+            words, signs = (
+                np.add.reduceat(units.field(n).to_numpy()[order], first, dtype=np.int64)
+                for n in ("words", "letters")
+            )
+            long = (words >= least) | (signs >= letters)
+            first, last, words = first[long], last[long], words[long]
+            made = [
+                units.field("start").take(pa.array(order[first])),
+                units.field("end").take(pa.array(order[last])),
+                pa.array(words, pa.int32()),
+                units.field("kept_id").take(pa.array(order[first])),
+            ]
+            kind = lists.type.value_type
+            fields = [kind.field(n) for n in ("start", "end", "words", "kept_id")]
+            bounds = np.searchsorted(row[first], np.arange(len(lists) + 1))
+            spans = pa.ListArray.from_arrays(
+                pa.array(bounds, pa.int32()), pa.StructArray.from_arrays(made, fields=fields)
+            )
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("id"), piece.column("hash"), spans], ["id", "hash", "spans"]
+            )
 
 
 def repeated_spans(
@@ -199,17 +212,18 @@ def repeated_spans(
 def _without(batches, text):
     for batch in batches:
         names = batch.schema.names
-        texts, made = batch.column(names.index(text)).to_pylist(), []
-        for whole, spans in zip(texts, batch.column("__llm_spans").to_pylist(), strict=True):
-            last, parts = 0, []
-            for span in sorted(spans or (), key=lambda s: s["start"]):
-                parts.append(whole[last : span["start"]])
-                last = span["end"]
-            made.append("".join([*parts, whole[last:]]) if parts else whole)
         kept = [n for n in names if n != "__llm_spans"]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(made, pa.string()) if n == text else batch.column(n) for n in kept], kept
-        )
+        for piece in pieces(batch, text):
+            texts, made = piece.column(names.index(text)).to_pylist(), []
+            for whole, spans in zip(texts, piece.column("__llm_spans").to_pylist(), strict=True):
+                last, uncut = 0, []
+                for span in sorted(spans or (), key=lambda s: s["start"]):
+                    uncut.append(whole[last : span["start"]])
+                    last = span["end"]
+                made.append("".join([*uncut, whole[last:]]) if uncut else whole)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made, pa.string()) if n == text else piece.column(n) for n in kept], kept
+            )
 
 
 def without_repeats(

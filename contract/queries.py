@@ -69,9 +69,9 @@ SETTLED = {
     "rpt_daily_channel_performance": CHANNEL,
     "monthly_channel_performance": CHANNEL,
     "daily_spend_metrics": CHANNEL,
-    "rpt_customer_activity": ("dim_users", "activity_events"),
+    "rpt_customer_activity": ("dim_users", "listed_events"),
     "activity_mix": ("dim_users",),
-    "rpt_customer_activity_as_of": ("dim_users", "activity_events_as_of"),
+    "rpt_customer_activity_as_of": ("dim_users", "dim_users_as_of", "listed_events_as_of"),
 }
 
 
@@ -728,7 +728,7 @@ def check_users_timeline_gaps(spark, folder):
 def check_activity_timeline(spark, folder):
     """Activity moved back a week and without the first purchase of every third customer,
     against the customer versions."""
-    house = order_house(spark, folder).settle("dim_users", "activity_events")
+    house = order_house(spark, folder).settle("dim_users", "listed_events")
     first = (F.col("customer_activity_sequence") == 1) & (F.col("customer_id") % 3 == 0)
     kept = house.rpt_customer_activity.where(~first)
     moved = kept.withColumn("activity_date", F.date_sub("activity_date", 7))

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.operators.scd import slot_of
 
 #: Stands for a missing day: the first that there is.
 FIRST_DAY = "0001-01-01"
 
 
-def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> DataFrame:
+def group_marks(ties: Sequence[str]) -> dict[str, Column]:
+    """Text in place of the ties that groups are made of, as null equals itself only in a null-safe
+    join, after which a window would need another shuffle."""
+    return {f"__{t}": F.coalesce(F.col(t).cast("string"), F.lit("\0")) for t in ties[:-1]}
+
+
+def sequence_events(
+    df: DataFrame, key: str, day: str, ties: Sequence[str], months: int | None = None
+) -> DataFrame:
     """Add `sequence`, `prev_day` and `first_day` to each event of a key, by day then `ties`.
 
     A window over the whole key would put a hot key's events in one task. Events
@@ -21,13 +30,20 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
     day spreads over its groups, and no window holds more than the groups of a day or
     the days of a key. The events are read twice and should be a stored table.
     Rows without key or day are left out.
+
+    With `months` the groups are summed over stretches of so many months instead of days, and
+    the stretches over the key, which moves less where a day has few events: a window holds the
+    groups of a stretch, or the stretches of a key. Events stored by key, day and `group_marks`,
+    which they bring along, aren't shuffled themselves.
     """
     early = ties[:-1]
-    # text in place of the ties that groups are made of, as null equals itself only in a null-safe
-    # join, after which the window would need another shuffle
-    marks = {f"__{t}": F.coalesce(F.col(t).cast("string"), F.lit("\0")) for t in early}
+    marks = group_marks(ties)
     group = [key, day, *marks]
-    marked = df.where(F.col(key).isNotNull() & F.col(day).isNotNull()).withColumns(marks)
+    marked = df.where(F.col(key).isNotNull() & F.col(day).isNotNull())
+    if not set(marks) <= set(df.columns):
+        marked = marked.withColumns(marks)
+    if months is not None and early:
+        return _numbered(df, marked, _known_by_stretch(marked, key, day, early, months), group, day, ties)
     parts = marked.groupBy(*group).agg(
         F.count("*").alias("__n"), *[F.first(t).alias(f"{t}__value") for t in early]
     )
@@ -59,6 +75,55 @@ def sequence_events(df: DataFrame, key: str, day: str, ties: Sequence[str]) -> D
         )
     else:
         known = days.select(key, day, "__last_day", "first_day", "__offset")
+    return _numbered(df, marked, known, group, day, ties)
+
+
+def _known_by_stretch(
+    marked: DataFrame, key: str, day: str, early: Sequence[str], months: int
+) -> DataFrame:
+    """Offset, day before and first day of the key for each group, by stretches of `months`."""
+    names = [f"{t}__value" for t in early]
+    parts = (
+        marked.groupBy(key, day, *[f"__{t}" for t in early])
+        .agg(F.count("*").alias("__n"), *[F.first(t).alias(n) for t, n in zip(early, names)])
+        .select(key, day, slot_of(F.col(day), months).alias("__stretch"), "__n", *names)
+        # said here, so that both readers below want the same rows and share one shuffle
+        .where(F.col("__stretch").isNotNull())
+    )
+    within = Window.partitionBy(key, "__stretch").orderBy(day, *names)
+    before = within.rowsBetween(Window.unboundedPreceding, -1)
+    sized = parts.withColumns({
+        "__before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
+        "__last_day": F.lag(day).over(within),
+        "__opened": F.first(day).over(within),
+        "__last": F.lead(day).over(within).isNull(),
+    })
+    # the last group of a stretch tells its size, first and last day
+    across = Window.partitionBy("__key").orderBy("__of")
+    stretches = sized.where("__last").select(
+        F.col(key).alias("__key"), F.col("__stretch").alias("__of"),
+        (F.col("__before") + F.col("__n")).alias("__size"), F.col(day).alias("__closed"), "__opened",
+    )
+    offsets = stretches.select(
+        "__key", "__of",
+        F.coalesce(
+            F.sum("__size").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("__offset"),
+        F.lag("__closed").over(across).alias("__day_before"),
+        F.first("__opened").over(across).alias("first_day"),
+    )
+    same = (F.col(key) == F.col("__key")) & (F.col("__stretch") == F.col("__of"))
+    return sized.drop("__opened").join(offsets, same).select(
+        key, day,
+        *[F.coalesce(F.col(n).cast("string"), F.lit("\0")).alias(f"__{t}") for t, n in zip(early, names)],
+        F.coalesce("__last_day", "__day_before").alias("__last_day"), "first_day",
+        (F.col("__offset") + F.col("__before")).alias("__offset"),
+    )
+
+
+def _numbered(
+    df: DataFrame, marked: DataFrame, known: DataFrame, group: Sequence[str], day: str, ties: Sequence[str]
+) -> DataFrame:
     inside = Window.partitionBy(*group).orderBy(ties[-1])
     opens = F.col("__place") == 1
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.functions.dates import time_of_day
@@ -111,17 +111,26 @@ def purchase_times(stg_events: DataFrame) -> DataFrame:
     )
 
 
+HEADER = [
+    "user_cookie_id", "customer_id", "session_id", "transaction_coupon", "transaction_revenue",
+    "transaction_shipping", "transaction_total",
+]
+
+
 def unit_rows(
     stg_items: DataFrame,
     stg_transactions: DataFrame,
     stg_returns: DataFrame,
     stg_events: DataFrame,
     customers: DataFrame | None = None,
+    header_to: str = HEADER[-1],
 ) -> DataFrame:
     """One row per unit sold with its order, purchase time and return, nothing derived yet.
 
     With `customers`, orders meet their customer before the units meet the order, so that the
-    units needn't be shuffled by customer; its columns are added.
+    units needn't be shuffled by customer; its columns are added. Columns of the header after
+    `header_to` are left out; as headers are compared from the first column on, that
+    doesn't change which values the others have.
 
     Order header, purchase times and return are each grouped to one row per key before
     they join, so a unit is never repeated; and since their keys are known to be
@@ -136,9 +145,7 @@ def unit_rows(
         "product_price", "product_quantity",
     )
     header = F.struct(
-        "user_cookie_id", "customer_id", "session_id", "transaction_coupon",
-        "transaction_revenue", "transaction_shipping", "transaction_total",
-        F.lit(True).alias("has_header"),
+        *HEADER[: HEADER.index(header_to) + 1], F.lit(True).alias("has_header")
     )
     headers = (
         stg_transactions.where(F.col("transaction_id").isNotNull())
@@ -163,20 +170,23 @@ def unit_rows(
     ).drop("times", "has_header")
 
 
+def revenue() -> Column:
+    return F.round(F.col("product_price") * F.col("product_quantity"), 2)
+
+
 def described(rows: DataFrame, added: Sequence[str] = ()) -> DataFrame:
     """Units (`unit_rows`) with the amounts and labels that follow from their columns, and
     the `added` columns at the end.
 
     Apply it after the joins, so that no shuffle carries what can be computed.
     """
-    revenue = F.round(F.col("product_price") * F.col("product_quantity"), 2)
     returned = F.coalesce("return_quantity", F.lit(0.0))
     return rows.select(
         "item_id", "date_key",
         "customer_id", "user_cookie_id", "product_id", "transaction_id",
-        "purchase_time", "session_id", "product_price", "product_quantity", revenue.alias("product_revenue"),
+        "purchase_time", "session_id", "product_price", "product_quantity", revenue().alias("product_revenue"),
         "transaction_revenue", "transaction_shipping", "transaction_total", "transaction_coupon",
-        percent(revenue, F.col("transaction_total")).alias("product_contribution_pct"),
+        percent(revenue(), F.col("transaction_total")).alias("product_contribution_pct"),
         F.when(F.col("transaction_coupon").isNotNull(), "Discount")
         .otherwise("Full Price")
         .alias("pricing_type"),

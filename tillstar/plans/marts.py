@@ -13,7 +13,7 @@ from tillstar.functions.keys import date_from_key, date_key
 from tillstar.functions.numbers import MONEY, ratio
 from tillstar.operators.joins import left_lookup
 from tillstar.operators.scd import as_of_join, current
-from tillstar.operators.sequences import running_totals, sequence_events
+from tillstar.operators.sequences import group_marks, running_totals, sequence_events
 
 
 def product_catalog(
@@ -184,8 +184,41 @@ def profile_changes(dim_users: DataFrame) -> DataFrame:
     )
 
 
-def purchase_activity(units: DataFrame, dim_users: DataFrame) -> DataFrame:
-    """Units bought by known customers with the customer version of that day."""
+#: What the activity mart shows of a product.
+LISTED = {"brand_name": "product_brand", "main_category_name": "product_category", "list_price": "product_list_price"}
+#: Order of a customer's events of a day.
+TIES = ["activity_type", "transaction_id", "item_id"]
+#: Months whose groups of events are counted together.
+STRETCH = 12
+
+
+def listed(
+    units: DataFrame,
+    dim_products: DataFrame,
+    dim_brand: DataFrame,
+    dim_sub_category: DataFrame,
+    dim_main_category: DataFrame,
+) -> DataFrame:
+    """Units bought by known customers with what the activity mart shows of their product.
+
+    While units are narrow they move to their product at less cost than with their customer.
+    """
+    catalog = _listed_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
+    known = units.where(F.col("customer_id").isNotNull())
+    return left_lookup(known, catalog, "product_id", spread_by="item_id")
+
+
+def _listed_catalog(*dimensions: DataFrame) -> DataFrame:
+    return product_catalog(*dimensions).select(
+        "product_id", *[F.col(c).alias(n) for c, n in LISTED.items()]
+    )
+
+
+def purchase_activity(
+    units: DataFrame, dim_users: DataFrame, until: Column | None = None
+) -> DataFrame:
+    """Units bought by known customers with the customer version of that day, and the columns
+    of `listed` where they have them. `until` as in `as_of_join`."""
     versions = dim_users.select(
         "customer_id", "valid_from", "valid_to",
         F.col("city").alias("customer_city"),
@@ -196,8 +229,9 @@ def purchase_activity(units: DataFrame, dim_users: DataFrame) -> DataFrame:
     sold = units.select(
         "customer_id", date_from_key("date_key").alias("activity_date"),
         "item_id", "transaction_id", "product_id", "product_revenue", "product_quantity",
+        *[c for c in units.columns if c in LISTED.values()],
     )
-    return as_of_join(sold, versions, "customer_id", "activity_date", "inner").select(
+    return as_of_join(sold, versions, "customer_id", "activity_date", "inner", until=until).select(
         "*",
         F.lit("transaction").alias("activity_type"),
         F.lit(None).cast("string").alias("prev_city"),
@@ -211,13 +245,23 @@ def purchase_activity(units: DataFrame, dim_users: DataFrame) -> DataFrame:
     )
 
 
-def activity_events(units: DataFrame, dim_users: DataFrame) -> DataFrame:
+def activity_events(
+    units: DataFrame, dim_users: DataFrame, until: Column | None = None
+) -> DataFrame:
     """Profile changes and purchases of all customers.
 
     Apply `lifetime_as_of` to `dim_users` first to see lifetime totals as they
     stood at each version instead of the all-time totals.
     """
-    return profile_changes(dim_users).unionByName(purchase_activity(units, dim_users))
+    return profile_changes(dim_users).unionByName(
+        purchase_activity(units, dim_users, until), allowMissingColumns=True
+    )
+
+
+def by_group(events: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Events with the marks of their group, and the columns that groups are stored by."""
+    marks = group_marks(TIES)
+    return events.withColumns(marks), ["customer_id", "activity_date", *marks]
 
 
 def customer_activity(
@@ -232,16 +276,13 @@ def customer_activity(
 
     All events of a day carry noon as time, so ties are broken by kind,
     transaction and unit. The events are read twice and should be a stored or
-    settled table.
+    settled table. Those of `listed` units don't look their product up; those stored `by_group`
+    aren't shuffled.
     """
-    catalog = product_catalog(
-        dim_products, dim_brand, dim_sub_category, dim_main_category
-    ).select(
-        "product_id",
-        F.col("brand_name").alias("product_brand"),
-        F.col("main_category_name").alias("product_category"),
-        F.col("list_price").alias("product_list_price"),
-    )
+    kept = [
+        c for c in events.columns
+        if c != "year_part" and c not in LISTED.values() and c not in group_marks(TIES)
+    ]
     calendar = dim_date.select(
         F.col("date").alias("activity_date"),
         F.col("year").alias("activity_year"),
@@ -250,22 +291,24 @@ def customer_activity(
         F.col("day_of_week").alias("activity_day_of_week"),
         F.col("is_weekend").alias("activity_is_weekend"),
     )
-    ordered = sequence_events(
-        events.drop("year_part"), "customer_id", "activity_date", ["activity_type", "transaction_id", "item_id"]
+    rows = sequence_events(
+        events.drop("year_part"), "customer_id", "activity_date", TIES, months=STRETCH
     )
     # what needs no shuffle comes after the one by product, so that it isn't carried through it
-    rows = left_lookup(ordered, catalog, "product_id", spread_by="sequence")
+    if not set(LISTED.values()) <= set(events.columns):
+        catalog = _listed_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
+        rows = left_lookup(rows, catalog, "product_id", spread_by="sequence")
     rows = left_lookup(rows, calendar, "activity_date")
     day = F.col("activity_date")
     return rows.select(
-        *events.drop("year_part").columns,
+        *kept,
         noon(day).alias("activity_timestamp"),
         F.col("sequence").alias("customer_activity_sequence"),
         F.col("prev_day").alias("prev_activity_date"),
         F.date_diff(day, F.col("prev_day")).alias("days_since_last_activity"),
         F.date_diff(day, F.col("first_day")).alias("customer_tenure_days"),
         *[c for c in calendar.columns if c != "activity_date"],
-        *[c for c in catalog.columns if c != "product_id"],
+        *LISTED.values(),
     )
 
 

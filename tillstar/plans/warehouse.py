@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.plans import competitor, dims, exports, facts, marts, reports, staging
-from tillstar.sinks.writers import as_view, commented, settled, target_database, write_table
+from tillstar.sinks.writers import (
+    as_view, commented, settled, settled_by, target_database, write_table,
+)
 
 
 class Warehouse:
@@ -36,6 +38,8 @@ class Warehouse:
         self.calendar = calendar
         self.built_at = built_at
         self.loaded_at = loaded_at
+        # the day on which the last version of a customer starts, known once they are settled
+        self.last_version: Column | None = None
 
     def _stamped(self, df: DataFrame) -> DataFrame:
         return df if self.loaded_at is None else staging.audited(df, self.loaded_at)
@@ -49,7 +53,15 @@ class Warehouse:
     def settle(self, *names: str) -> Warehouse:
         """Compute tables that several others read just once, in the order given."""
         for name in names:
-            self.store(name, settled(getattr(self, name)))
+            table = getattr(self, name)
+            if name in KEYED:
+                table, keys = KEYED[name](table)
+                self.store(name, settled_by(table, *keys))
+            else:
+                self.store(name, settled(table))
+            if name == "dim_users":
+                latest = self.dim_users.agg(F.max("valid_from").cast("date")).first()[0]
+                self.last_version = None if latest is None else F.lit(latest)
         return self
 
     # staging
@@ -220,8 +232,39 @@ class Warehouse:
     @cached_property
     def activity_events_as_of(self):
         """Activity with lifetime totals as they stood at each version."""
-        dated = marts.lifetime_as_of(self.dim_users, self.stg_transactions)
-        return marts.activity_events(self.sold_units, dated)
+        return marts.activity_events(self.sold_units, self.dim_users_as_of)
+
+    @cached_property
+    def dim_users_as_of(self):
+        return marts.lifetime_as_of(self.dim_users, self.stg_transactions)
+
+    @cached_property
+    def listed_units(self):
+        """What the activity mart needs of units and their product."""
+        if "fct_transactions" in self.__dict__:
+            units = self.sold_units
+        else:
+            rows = facts.unit_rows(
+                self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
+                self.stg_funnel_events, header_to="customer_id",
+            )
+            units = rows.withColumn("product_revenue", facts.revenue())
+        return marts.listed(
+            units.select(
+                "item_id", "transaction_id", "product_id", "customer_id", "date_key",
+                "product_revenue", "product_quantity",
+            ),
+            self.dim_products, self.dim_brand, self.dim_sub_category, self.dim_main_category,
+        )
+
+    @cached_property
+    def listed_events(self):
+        """`activity_events` with the products that the activity mart shows."""
+        return marts.activity_events(self.listed_units, self.dim_users, self.last_version)
+
+    @cached_property
+    def listed_events_as_of(self):
+        return marts.activity_events(self.listed_units, self.dim_users_as_of, self.last_version)
 
     def customer_activity(self, events: DataFrame) -> DataFrame:
         return marts.customer_activity(
@@ -231,14 +274,16 @@ class Warehouse:
 
     @cached_property
     def rpt_customer_activity(self):
-        rows = self.customer_activity(self.activity_events)
+        events = self.__dict__.get("listed_events")
+        rows = self.customer_activity(self.activity_events if events is None else events)
         if self.loaded_at is None:
             return rows
         return rows.withColumn("mart_updated_at", self.loaded_at.cast("timestamp"))
 
     @cached_property
     def rpt_customer_activity_as_of(self):
-        return self.customer_activity(self.activity_events_as_of)
+        events = self.__dict__.get("listed_events_as_of")
+        return self.customer_activity(self.activity_events_as_of if events is None else events)
 
     def channel_performance(
         self, start: dt.date | None = None, end: dt.date | None = None
@@ -298,6 +343,17 @@ class Warehouse:
         return reports.session_engagement(self.fct_sessions, self.dim_date)
 
 
+def _by_customer(versions: DataFrame) -> tuple[DataFrame, list[str]]:
+    return versions, ["customer_id"]
+
+
+# Settled tables whose rows are stored by the columns that the next step wants them by.
+KEYED = {
+    "dim_users": _by_customer,
+    "dim_users_as_of": _by_customer,
+    "listed_events": marts.by_group,
+    "listed_events_as_of": marts.by_group,
+}
 # Tables of each layer in the order they are built, with their descriptions.
 STAGING = {
     "stg_ad_platform": "Ad numbers per day, one column per platform and metric",

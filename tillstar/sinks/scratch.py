@@ -76,13 +76,45 @@ def _end(jvm, configuration, folder: str) -> None:
         where.getFileSystem(configuration).delete(where, True)
 
 
+@contextmanager
+def _dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffles of the statements inside go when each ends, not when the driver collects garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """Compute a table once for several readers.
 
     The rows are written to the shared folder and read back, so each reader
     scans only its columns and a lost executor never repeats the work before. They are packed
-    by zstd, which takes less room than Spark's default.
+    by zstd, which takes less room than Spark's default; the shuffles that made them are dropped.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    with _dropping_shuffles(spark):
+        df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def settled_by(df: DataFrame, *keys: str) -> DataFrame:
+    """`settled`, with rows of equal keys in one bucket, of as many as there are shuffle partitions.
+
+    Joins and groups by these keys then need no shuffle, and wide rows take less than half the
+    room that they take in one: columns are packed apart. A key that owns much of the data
+    stays one task. The catalog knows the table only while it is written.
     """
-    path = f"{shared_folder(df.sparkSession)}/settled-{uuid.uuid4().hex}"
-    df.write.parquet(path, compression="zstd")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    name = f"settled_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").option("compression", "zstd")
+    with _dropping_shuffles(spark):
+        writer.bucketBy(buckets, *keys).option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE `{name}`")
+    return table

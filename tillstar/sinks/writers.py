@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.numbering import in_order, offsets
 from tillstar.sinks.scratch import (
-    drop_folders, replace_folder, scratch, settled, shared_folder,
+    drop_folders, replace_folder, scratch, settled, settled_by, shared_folder,
 )
 from tillstar.sources.readers import read_competitor_seed
 
 __all__ = [
     "as_view", "commented", "drop_folders", "export_csv", "export_parquet", "load_csv", "read_ordered",
-    "scratch", "settled", "shared_folder", "target_database", "write_all", "write_bucketed", "write_ordered",
+    "scratch", "settled", "settled_by", "shared_folder", "target_database", "write_all", "write_bucketed", "write_ordered",
     "write_table",
 ]
 

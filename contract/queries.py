@@ -69,6 +69,7 @@ SETTLED = {
     "rpt_daily_channel_performance": CHANNEL,
     "monthly_channel_performance": CHANNEL,
     "daily_spend_metrics": CHANNEL,
+    "fct_transactions": ("dim_users",),
     "rpt_customer_activity": ("dim_users", "listed_events"),
     "activity_mix": ("dim_users",),
     "rpt_customer_activity_as_of": ("dim_users", "dim_users_as_of", "listed_events_as_of"),

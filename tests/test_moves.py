@@ -80,6 +80,38 @@ def test_settled_tables_leave_no_shuffle(spark):
         assert not [t for t in spark.catalog.listTables() if t.name.startswith("settled_")]
 
 
+def test_units_meet_no_customer(spark, sf_dir, no_broadcast):
+    """Orders take the days of their units to the customer; the units stay with their order."""
+    text = plan(order_house(spark, sf_dir).fct_transactions)
+    by_customer = [part for keys, part in shuffles(text) if keys[0] == "customer_id"]
+    assert by_customer and not any("product_price" in part for part in by_customer)
+
+
+def test_purchase_times_take_one_shuffle(spark, sf_dir, no_broadcast):
+    """The events move by order, never by order and product."""
+    keys = [keys for keys, _ in shuffles(plan(order_house(spark, sf_dir).sold_units))]
+    assert ["transaction_id"] in keys and not any(len(k) > 1 and k[0] == "transaction_id" for k in keys)
+
+
+def test_membership_of_an_order_shipped_over_time(spark):
+    """A customer who joins between two units of an order is a member on the second day alone."""
+    src = sources(spark)
+    unit = src["transactionsanditems"].where("item_id = 1001")
+    late = unit.select(*[
+        {"item_id": F.lit("1005"), "date": F.lit(D(2024, 2, 2))}.get(c, F.col(c)).alias(c)
+        for c in unit.columns
+    ])
+    src["transactionsanditems"] = src["transactionsanditems"].unionByName(late).unionByName(late)
+    for settle in ((), ("dim_users",)):
+        with scratch(spark):
+            rows = Warehouse(spark, src).settle(*settle).fct_transactions.collect()
+            members = sorted((r.item_id, r.plus_status) for r in rows)
+            assert members == [
+                (1001, None), (1002, None), (1003, None), (1004, None),
+                (1005, "true"), (1005, "true"),
+            ]
+
+
 def test_shorter_headers_choose_the_same_row(spark):
     """Of repeated headers the largest counts, however many of its columns are kept."""
     src = sources(spark)

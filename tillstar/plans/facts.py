@@ -155,8 +155,11 @@ def unit_rows(
     )
     if customers is not None:
         headers = left_lookup(headers, customers, "customer_id", spread_by="transaction_id")
+    # only orders with a header show times; meeting their ids leaves the events by order, so that
+    # neither of the two groupings needs a shuffle of its own
+    orders = stg_transactions.where(F.col("transaction_id").isNotNull()).select("transaction_id")
     times = (
-        purchase_times(stg_events)
+        purchase_times(stg_events.join(orders, "transaction_id", "left_semi"))
         .groupBy("transaction_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("product_id", "event_time"))).alias("times"))
     )
@@ -203,11 +206,26 @@ def described(rows: DataFrame, added: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def transactions(rows: DataFrame, dim_users: DataFrame) -> DataFrame:
-    """Units sold (`unit_rows`), described, with the membership of the customer on the day of sale."""
-    members = dim_users.select("customer_id", "valid_from", "valid_to", "plus_status")
-    joined = as_of_join(
-        rows, members, "customer_id", date_from_key("date_key"), spread_by="item_id"
+def member_days(rows: DataFrame, dim_users: DataFrame, until: Column | None = None) -> DataFrame:
+    """The days of each order's units on which its customer was a member, as an array."""
+    members = dim_users.where("plus_status").select("customer_id", "valid_from", "valid_to")
+    days = rows.where(
+        F.col("transaction_id").isNotNull() & F.col("customer_id").isNotNull()
+    ).select("transaction_id", "customer_id", "date_key").distinct()
+    held = as_of_join(
+        days, members, "customer_id", date_from_key("date_key"), "inner", until=until
     )
-    member = F.when(F.col("plus_status"), F.col("plus_status").cast("string"))
+    return held.groupBy("transaction_id").agg(F.collect_set("date_key").alias("member_days"))
+
+
+def transactions(
+    rows: DataFrame, dim_users: DataFrame, until: Column | None = None
+) -> DataFrame:
+    """Units sold (`unit_rows`), described, with the membership of the customer on the day of sale.
+
+    An order has one customer, so orders take the days of their units to the customer versions and
+    the units stay where their order is. `until` as in `as_of_join`.
+    """
+    joined = left_lookup(rows, member_days(rows, dim_users, until), "transaction_id")
+    member = F.when(F.array_contains("member_days", F.col("date_key")), F.lit("true"))
     return described(joined.withColumn("plus_status", member), ["plus_status"])

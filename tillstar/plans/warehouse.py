@@ -200,7 +200,7 @@ class Warehouse:
 
     @cached_property
     def fct_transactions(self):
-        return facts.transactions(self.unit_rows, self.dim_users)
+        return facts.transactions(self.unit_rows, self.dim_users, self.last_version)
 
     # marts
 

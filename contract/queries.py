@@ -70,6 +70,7 @@ SETTLED = {
     "monthly_channel_performance": CHANNEL,
     "daily_spend_metrics": CHANNEL,
     "fct_transactions": ("dim_users",),
+    "rpt_transactions": ("sales_units",),
     "rpt_customer_activity": ("dim_users", "listed_events"),
     "activity_mix": ("dim_users",),
     "rpt_customer_activity_as_of": ("dim_users", "dim_users_as_of", "listed_events_as_of"),
@@ -561,7 +562,7 @@ def check_mart_rules(spark, folder):
 
 
 def check_critical_rules(spark, folder):
-    house = order_house(spark, folder).settle("rpt_transactions")
+    house = order_house(spark, folder).settle("sales_units", "rpt_transactions")
     return q.check_report(_Frames(house), checks.mart_rules(), ["critical"])
 
 

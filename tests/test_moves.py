@@ -138,6 +138,13 @@ def test_versions_are_laid_out_up_to_the_last_one(spark):
         assert spark.range(1).select(house.last_version).first()[0] == D(2024, 3, 1)
 
 
+def test_sales_are_stored_by_product(spark, sf_dir, no_broadcast):
+    with scratch(spark):
+        text = plan(entry.queries()["rpt_transactions"](spark, sf_dir))
+        by_product = [part for keys, part in shuffles(text) if keys[0] == "product_id"]
+        assert not any("session_id" in part for part in by_product)
+
+
 def test_activity_mart_with_stored_products_is_the_same(spark):
     src = sources(spark)
     unit = src["transactionsanditems"].where("item_id = 1001").withColumns(

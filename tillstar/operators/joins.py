@@ -39,6 +39,7 @@ def left_lookup(
     Rows with a null key never match, yet a plain hash shuffle sends them all
     to one task. `spread_by` names columns whose hash scatters those rows over
     the values of a second join column that is zero for real keys.
+    A `__spread` column that `df` brings along (a table stored by it) is used as it is.
     In the `null_safe` columns null equals null. Hot real keys are left to
     adaptive skew-join splitting, and the choice of a broadcast to Spark's own
     size check.
@@ -57,7 +58,8 @@ def left_lookup(
         missing = reduce(
             lambda a, b: a | b, [F.col(n).isNull() for n in on if n not in null_safe]
         )
-        df = df.withColumn("__spread", null_spread(missing, *spread_by))
+        if "__spread" not in df.columns:
+            df = df.withColumn("__spread", null_spread(missing, *spread_by))
         right = right.withColumn("__zero", zero_of(f"__{on[0]}"))
         condition = condition & (F.col("__spread") == F.col("__zero"))
     joined = df.join(right, condition, "left")

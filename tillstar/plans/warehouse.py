@@ -9,6 +9,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillstar.operators.joins import null_spread
 from tillstar.plans import competitor, dims, exports, facts, marts, reports, staging
 from tillstar.sinks.writers import (
     as_view, commented, settled, settled_by, target_database, write_table,
@@ -210,16 +211,21 @@ class Warehouse:
             self.dim_products, self.dim_brand, self.dim_sub_category, self.dim_main_category
         )
 
+    @cached_property
+    def sales_units(self):
+        """What the sales mart needs of units, their order, return and customer."""
+        customers = marts.customers_now(self.dim_users)
+        rows = facts.unit_rows(
+            self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
+            self.stg_funnel_events, customers, header_to="transaction_coupon",
+        )
+        return rows.drop("purchase_time", "return_date")
+
     @cached_property
     def rpt_transactions(self):
         units = self.sold_units
         if "fct_transactions" not in self.__dict__:
-            customers = marts.customers_now(self.dim_users)
-            rows = facts.unit_rows(
-                self.stg_transactions_and_items, self.stg_transactions, self.stg_product_returns,
-                self.stg_funnel_events, customers,
-            )
-            units = facts.described(rows, [c for c in customers.columns if c != "customer_id"])
+            units = self.sales_units.withColumn("product_revenue", facts.revenue())
         return marts.transactions(
             units, self.dim_date, self.dim_users, self.dim_products, self.dim_brand,
             self.dim_sub_category, self.dim_main_category,
@@ -343,6 +349,11 @@ class Warehouse:
         return reports.session_engagement(self.fct_sessions, self.dim_date)
 
 
+def _by_product(units: DataFrame) -> tuple[DataFrame, list[str]]:
+    spread = null_spread(F.col("product_id").isNull(), "item_id")
+    return units.withColumn("__spread", spread), ["product_id", "__spread"]
+
+
 def _by_customer(versions: DataFrame) -> tuple[DataFrame, list[str]]:
     return versions, ["customer_id"]
 
@@ -351,6 +362,7 @@ def _by_customer(versions: DataFrame) -> tuple[DataFrame, list[str]]:
 KEYED = {
     "dim_users": _by_customer,
     "dim_users_as_of": _by_customer,
+    "sales_units": _by_product,
     "listed_events": marts.by_group,
     "listed_events_as_of": marts.by_group,
 }

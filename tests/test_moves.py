@@ -151,6 +151,9 @@ def test_activity_mart_with_stored_products_is_the_same(spark):
         {"item_id": F.lit(None).cast("string"), "product_id": F.lit(None).cast("string")}
     )
     src["transactionsanditems"] = src["transactionsanditems"].unionByName(unit)
+    # a product of another brand with an id that is there already: each of its units is two rows, one event
+    again = src["productattributes"].where("item_id = 2").withColumn("item_brand", F.lit("Other"))
+    src["productattributes"] = src["productattributes"].unionByName(again)
     for events_name, name in (
         ("listed_events", "rpt_customer_activity"),
         ("listed_events_as_of", "rpt_customer_activity_as_of"),
@@ -158,5 +161,6 @@ def test_activity_mart_with_stored_products_is_the_same(spark):
         with scratch(spark):
             lazy = getattr(Warehouse(spark, src), name)
             stored = getattr(Warehouse(spark, src).settle("dim_users", events_name), name)
-            assert stored.columns == lazy.columns and stored.count() == lazy.count() == 6
+            assert stored.columns == lazy.columns and stored.count() == lazy.count() == 7
+            assert stored.agg(F.countDistinct("customer_activity_sequence")).first()[0] == 6
             assert stored.exceptAll(lazy).isEmpty()

@@ -186,6 +186,8 @@ def profile_changes(dim_users: DataFrame) -> DataFrame:
 
 #: What the activity mart shows of a product.
 LISTED = {"brand_name": "product_brand", "main_category_name": "product_category", "list_price": "product_list_price"}
+#: The same of further products of one id, where a catalog repeats it.
+FURTHER = "__further"
 #: Order of a customer's events of a day.
 TIES = ["activity_type", "transaction_id", "item_id"]
 #: Months whose groups of events are counted together.
@@ -201,9 +203,20 @@ def listed(
 ) -> DataFrame:
     """Units bought by known customers with what the activity mart shows of their product.
 
-    While units are narrow they move to their product at less cost than with their customer.
+    While units are narrow they move to their product at less cost than with their customer. A
+    unit stays one row, so that it is one event: products that repeat its id are kept in a list.
     """
     catalog = _listed_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
+    found = F.sort_array(F.collect_list(F.struct(*LISTED.values())))
+    catalog = (
+        catalog.groupBy("product_id")
+        .agg(found.alias("found"))
+        .select(
+            "product_id", F.col("found")[0].alias("first"),
+            F.when(F.size("found") > 1, F.slice("found", 2, F.size("found"))).alias(FURTHER),
+        )
+        .select("product_id", "first.*", FURTHER)
+    )
     known = units.where(F.col("customer_id").isNotNull())
     return left_lookup(known, catalog, "product_id", spread_by="item_id")
 
@@ -229,7 +242,7 @@ def purchase_activity(
     sold = units.select(
         "customer_id", date_from_key("date_key").alias("activity_date"),
         "item_id", "transaction_id", "product_id", "product_revenue", "product_quantity",
-        *[c for c in units.columns if c in LISTED.values()],
+        *[c for c in units.columns if c in (*LISTED.values(), FURTHER)],
     )
     return as_of_join(sold, versions, "customer_id", "activity_date", "inner", until=until).select(
         "*",
@@ -281,7 +294,7 @@ def customer_activity(
     """
     kept = [
         c for c in events.columns
-        if c != "year_part" and c not in LISTED.values() and c not in group_marks(TIES)
+        if c not in ("year_part", FURTHER, *LISTED.values(), *group_marks(TIES))
     ]
     calendar = dim_date.select(
         F.col("date").alias("activity_date"),
@@ -295,7 +308,12 @@ def customer_activity(
         events.drop("year_part"), "customer_id", "activity_date", TIES, months=STRETCH
     )
     # what needs no shuffle comes after the one by product, so that it isn't carried through it
-    if not set(LISTED.values()) <= set(events.columns):
+    if FURTHER in events.columns:
+        one = F.array(F.struct(*LISTED.values()))
+        every = F.when(F.col(FURTHER).isNull(), one).otherwise(F.concat(one, FURTHER))
+        rows = rows.withColumn("__product", F.explode(every)).drop(*LISTED.values())
+        rows = rows.select("*", "__product.*")
+    else:
         catalog = _listed_catalog(dim_products, dim_brand, dim_sub_category, dim_main_category)
         rows = left_lookup(rows, catalog, "product_id", spread_by="sequence")
     rows = left_lookup(rows, calendar, "activity_date")
